@@ -81,14 +81,14 @@ def encode_sequences(df: DataFrame, specs: dict, dictionary: DataFrame,
     if key is None:
         raise ValueError("a dictionary beyond the map bound needs the row key")
     keys = [key] if isinstance(key, str) else list(key)
-    pairs = F.flatten(F.array(*[
-        F.transform(
-            F.coalesce(F.col(c).cast("array<string>"), F.array().cast("array<string>")),
-            lambda x, i, c=c, f=f: F.struct(
-                F.lit(c).alias("col"), F.lit(f).alias("fea_name"), i.alias("pos"),
-                x.alias("fea_val")))
-        for c, f in specs.items()
-    ]))
+
+    def elements(c, feature):
+        known = F.coalesce(F.col(c).cast("array<string>"), F.array().cast("array<string>"))
+        return F.transform(known, lambda x, i: F.struct(
+            F.lit(c).alias("col"), F.lit(feature).alias("fea_name"), i.alias("pos"),
+            x.alias("fea_val")))
+
+    pairs = F.flatten(F.array(*[elements(c, f) for c, f in specs.items()]))
     long = df.select(*keys, F.explode(pairs).alias("p")).select(*keys, "p.*")
     coded = lookup_join(long, dictionary, ["fea_name", "fea_val"])
     entry = F.struct("pos", F.coalesce(F.col("encode_id"), F.lit(default)).alias("id"))

@@ -78,11 +78,12 @@ def long_values(df: DataFrame, cols=(), seqs=()) -> DataFrame:
     scalars = [
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in cols
     ]
-    parts = [F.array(*scalars)] if scalars else []
-    for s in seqs:
-        parts.append(F.transform(
-            F.coalesce(F.col(s).cast("array<double>"), F.array().cast("array<double>")),
-            lambda x, s=s: F.struct(F.lit(s).alias("feature"), x.alias("value"))))
+
+    def elements(s):
+        known = F.coalesce(F.col(s).cast("array<double>"), F.array().cast("array<double>"))
+        return F.transform(known, lambda x: F.struct(F.lit(s).alias("feature"), x.alias("value")))
+
+    parts = ([F.array(*scalars)] if scalars else []) + [elements(s) for s in seqs]
     every = F.concat(*parts) if len(parts) > 1 else parts[0]
     return df.select(F.explode(every).alias("_v")).select("_v.feature", "_v.value")
 

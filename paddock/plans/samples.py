@@ -1,8 +1,7 @@
 """Labelled samples from the behaviour log.
 
-Each job takes the log of any number of days: the day is part of every key, so
-a range of days is one Spark job and a single day is the same job on one
-partition.
+Each job takes the log of any number of days, so a range of days is one Spark
+job and a single day is the same job on one partition.
 """
 
 from __future__ import annotations
@@ -58,18 +57,18 @@ def train_samples(behaviour: DataFrame, rate: float = NEGATIVE_RATE, seed: int =
 
 
 def label_events(behaviour: DataFrame) -> DataFrame:
-    """The earliest row per (day, item, user, request, action) in the search scene."""
+    """The earliest row per (item, user, request, action) in the search scene."""
     df = valid_ids(filter_scene(behaviour), ["user_id"], above_zero=False,
                    not_values=("0", "unknown"))
     df = df.where((F.col("recommend_id") != "") & (F.col("clue_id") != ""))
     df = int_ids(filter_actions(df, LABEL_ACTIONS), ["user_id", "clue_id", "ts"])
     df = df.withColumn("amount", F.expr("cast(try_cast(amount as double) as int)"))
     return first_per_key(
-        df, ["dt", "clue_id", "user_id", "recommend_id", "action"], ties=["amount"])
+        df, ["clue_id", "user_id", "recommend_id", "action"], ties=["amount"])
 
 
 def label_flags(events: DataFrame, prices: DataFrame, by_user: bool = False) -> DataFrame:
-    """One row of flags per (day, item, request) from one aggregation.
+    """One row of flags per (item, request) from one aggregation.
 
     The key leaves the user out, as times reported by clients are not exact but
     requests are; where users share a request this gives one flag and not one
@@ -83,7 +82,7 @@ def label_flags(events: DataFrame, prices: DataFrame, by_user: bool = False) ->
         name: F.when(bid, price_reached(share)).otherwise(0)
         for name, share in PRICE_SHARES.items()
     })
-    keys = ["dt", "clue_id", "recommend_id"] + (["user_id"] if by_user else [])
+    keys = ["clue_id", "recommend_id"] + (["user_id"] if by_user else [])
     return priced.groupBy(*keys).agg(*[F.max(c).alias(n) for n, c in flags.items()])
 
 
@@ -92,7 +91,7 @@ def order_flags(orders: DataFrame, ahead: int = ORDER_AHEAD_DAYS) -> DataFrame:
     made = F.substring("create_time", 1, 10).cast("date")
     days = F.sequence(F.date_sub(made, ahead), made)
     return orders.select(
-        F.explode(days).cast("string").alias("dt"), "clue_id", "user_id"
+        F.explode(F.transform(days, lambda d: d.cast("string"))).alias("dt"), "clue_id", "user_id"
     ).distinct().withColumn("is_order", F.lit(1))
 
 
@@ -101,12 +100,13 @@ def impression_labels(behaviour: DataFrame, prices: DataFrame, orders: DataFrame
     """Impressions with their click, collection, bid, price and order labels.
 
     ``prices`` holds the latest price per item, ``orders`` int ids and the
-    time of each order.
+    time of each order.  A request id belongs to one request, so the log may
+    span days; an impression has the day of its first sighting.
     """
     events = label_events(behaviour)
     seen = events.where("action = 'beseen'").select(
         "dt", "clue_id", "user_id", "recommend_id", "ts")
-    keys = ["dt", "clue_id", "recommend_id"] + (["user_id"] if by_user else [])
+    keys = ["clue_id", "recommend_id"] + (["user_id"] if by_user else [])
     out = attach_labels(seen, label_flags(events, prices, by_user), keys)
     out = attach_labels(out, order_flags(orders), ["dt", "clue_id", "user_id"])
     return out.select(

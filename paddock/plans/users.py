@@ -18,7 +18,8 @@ def encoded_favourites(ratios: DataFrame, by, ratio: str, cols: dict,
     """One row per user with the dictionary id of each favourite category.
 
     The favourites are encoded while they are rows, by one join, and pivoted
-    after that.
+    after that.  A user who is in the table but has no rows in some category
+    gets the code of '-1' there, which is known where -1 is itself a value.
     """
     by = list(by)
     best = favourite_long(ratios, by, ratio)
@@ -32,7 +33,14 @@ def encoded_favourites(ratios: DataFrame, by, ratio: str, cols: dict,
         for c, v in zip(by[1:], values):
             here = here & (F.col(c) == v)
         aggs.append(F.max(F.when(here, F.col("encode_id"))).alias(out))
-    return coded.groupBy(by[0]).agg(*aggs)
+    # at most one entry per feature
+    none = dictionary.where(F.col("fea_val") == NO_FAVOURITE).agg(
+        F.map_from_entries(F.collect_list(F.struct("fea_name", "encode_id")))).scalar()
+    return coded.groupBy(by[0]).agg(*aggs).select(by[0], *[
+        F.coalesce(F.col(out), F.element_at(none, F.lit(N.cluster_name(values[-1]))), F.lit(1))
+        .alias(out)
+        for out, values in cols.items()
+    ])
 
 
 def convert_counts(convert_cnt: DataFrame) -> DataFrame:
