@@ -73,9 +73,11 @@ def encode_sequences(df: DataFrame, specs: dict, dictionary: DataFrame,
     """The same for every element of array columns."""
     dictionary = dictionary.where(F.col("fea_name").isin(*sorted(set(specs.values()))))
     if fits_in_map(dictionary, limit):
-        maps = feature_maps(dictionary)
-        return df.select(*[
-            map_array(c, _feature(maps, specs[c]), default).alias(c) if c in specs else F.col(c)
+        # a subquery may not stand inside a higher-order function: give it a column
+        held = df.withColumn("_maps", feature_maps(dictionary))
+        return held.select(*[
+            map_array(c, _feature(F.col("_maps"), specs[c]), default).alias(c)
+            if c in specs else F.col(c)
             for c in df.columns
         ])
     if key is None:
