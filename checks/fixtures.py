@@ -20,7 +20,7 @@ from paddock.plans import users as user_plans
 from paddock.plans.daily import Inputs
 from paddock.plans.samples import impression_labels, train_samples
 from paddock.session import shared_dir
-from paddock.sources import scan_day, scan_dictionary
+from paddock.sources import scan_dictionary
 
 RUN = "2024-01-27"
 SNAP = "2024-01-26"
@@ -326,11 +326,7 @@ class Tables:
 
     @cached_property
     def samples(self) -> DataFrame:
-        return train_samples(self.behaviour)
-
-    @cached_property
-    def day_samples(self) -> DataFrame:
-        return train_samples(scan_day(self.behaviour, RUN)).drop("dt")
+        return self.stored("samples", lambda: train_samples(self.behaviour))
 
     def label_impressions(self) -> DataFrame:
         return impression_labels(self.behaviour, self.prices(RUN), self.orders)
@@ -394,9 +390,10 @@ class Tables:
         ).withColumnRenamed("clue_id", "clues")
         rows = self.impressions.select(
             "user_id", "clue_id", "recommend_id", F.col("is_bid").alias("label"), "ts", "dt")
-        rows = lookup_join(rows, item, "clue_id")
-        rows = lookup_join(rows, user, "user_id")
-        rows = lookup_join(rows, seqs, ["user_id", "ts"])
+        keys = rows
+        rows = lookup_join(rows, item, "clue_id", keys_from=keys)
+        rows = lookup_join(rows, user, "user_id", keys_from=keys)
+        rows = lookup_join(rows, seqs, ["user_id", "ts"], keys_from=keys)
         return rows.select(
             "user_id", "clue_id", "recommend_id", "label", "ts",
             "s_u_click_tag_id_0_7", "d_u_click_cnt_0_7", "d_u_click_road_haul_max_0_7",

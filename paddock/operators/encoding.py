@@ -108,10 +108,21 @@ def encode_sequences(df: DataFrame, specs: dict, dictionary: DataFrame,
 
 
 def encode_long(long: DataFrame, feature: Column, value: Column, dictionary: DataFrame,
-                out: str = "encode_id", default: int = UNKNOWN) -> DataFrame:
-    """Rows that already hold one value each: one equi join, any dictionary size."""
-    keyed = long.withColumn("fea_name", feature).withColumn("fea_val", value.cast("string"))
-    coded = lookup_join(keyed, dictionary, ["fea_name", "fea_val"])
-    return coded.withColumn(out, F.coalesce(F.col("encode_id"), F.lit(default))).drop(
-        "fea_name", "fea_val")
+                out: str = "encode_id", default: int = UNKNOWN,
+                keys_from: DataFrame | None = None, limit: int = MAP_LIMIT) -> DataFrame:
+    """Rows that already hold one value each: one join to the dictionary.
 
+    The dictionary is broadcast if it passes the size check.  ``keys_from`` has
+    the columns that ``feature`` and ``value`` read.
+    """
+
+    def keyed(df):
+        return df.withColumn("fea_name", feature).withColumn("fea_val", value.cast("string"))
+
+    on = ["fea_name", "fea_val"]
+    if fits_in_map(dictionary, limit):
+        coded = keyed(long).join(F.broadcast(dictionary), on, "left")
+    else:
+        coded = lookup_join(keyed(long), dictionary, on,
+                            keys_from=None if keys_from is None else keyed(keys_from))
+    return coded.withColumn(out, F.coalesce(F.col("encode_id"), F.lit(default))).drop(*on)

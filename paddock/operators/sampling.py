@@ -16,6 +16,7 @@ from paddock.functions import hash32, keep_draw, unit_draw
 from paddock.operators.joins import lookup_join
 
 SUB_BUCKETS = 64
+EARLY_ITEMS, EARLY_SALTS = 1000, 64
 
 
 def eligible_index(queries: DataFrame, items: DataFrame, day: str = "dt"):
@@ -40,7 +41,8 @@ def eligible_index(queries: DataFrame, items: DataFrame, day: str = "dt"):
     w = Window.partitionBy(*slot).orderBy("clue_id")
     numbered = items.withColumn("_sec", F.col("on_sale_ts")).withColumn(
         "_rn", F.row_number().over(w))
-    numbered = lookup_join(numbered, base.where("_sub >= 0"), slot, "inner")
+    # a slot holds at most a sub-bucket of one second's new items: no hot key
+    numbered = numbered.join(base.where("_sub >= 0"), slot)
     numbered = numbered.withColumn("idx", F.col("_base") + F.col("_rn") - 1)
     numbered = numbered.drop("_sec", "_sub", "_base", "_rn")
 
@@ -77,7 +79,14 @@ def sampled_negatives(queries: DataFrame, items: DataFrame, rate: float = 0.3, s
     number = F.when(
         F.col("n") > 0, F.pmod(hash32(f"{seed}-item", *group, "user_id"), F.col("n")))
     chosen = chosen.withColumn("idx", number)
-    return lookup_join(chosen, numbered.select(day, "idx", "clue_id"), [day, "idx"]).drop("idx", "n")
+    # While few items are on sale all requests draw from those few: spread them.
+    early = F.col("n") < EARLY_ITEMS
+    spread = F.pmod(F.xxhash64(*group, "user_id"), F.lit(EARLY_SALTS)).cast("int")
+    chosen = chosen.withColumn("_salt", F.when(early, spread).otherwise(0))
+    copies = F.when(F.col("idx") < EARLY_ITEMS, F.sequence(F.lit(0), F.lit(EARLY_SALTS - 1)))
+    numbered = numbered.select(day, "idx", "clue_id", F.explode(
+        F.coalesce(copies, F.array(F.lit(0)))).alias("_salt"))
+    return chosen.join(numbered, [day, "idx", "_salt"], "left").drop("idx", "n", "_salt")
 
 
 def bernoulli(df: DataFrame, p: float, seed, keys) -> DataFrame:

@@ -137,7 +137,8 @@ def last_items(spine: DataFrame, events: DataFrame, items: DataFrame, attrs, k:
     The shortest whole path: history, item join, ordered arrays, padding.
     """
     rows = point_in_time(spine, events, k=k, lag=lag, floor=floor)
-    joined = sequence_items(rows, items.select("clue_id", *[a for a in attrs if a != "clue_id"]))
+    items = items.select("clue_id", *[a for a in attrs if a != "clue_id"])
+    joined = sequence_items(rows, items, keys_from=events)
     seqs = collect_ordered(joined, ["user_id", "ts"], "rn", attrs)
     if pad is None:
         return seqs

@@ -13,6 +13,7 @@ from paddock.plans.histories import (
 from paddock.plans.items import item_features, latest_prices, priced_items
 from paddock.plans.samples import train_samples
 from paddock.plans.users import sample_user_features
+from paddock.session import cut
 from paddock.sources.sinks import write_partition
 from paddock.sources.tables import scan_day, shift_day
 
@@ -36,20 +37,22 @@ def daily_samples(inputs: Inputs, run_date: str, samples: DataFrame | None = Non
                   as_text: bool = False, exact: bool = False) -> DataFrame:
     """All features of the samples of one day, in one job without step tables.
 
-    Item rates and user features come from the day before.
+    Item rates and user features come from the day before.  Only the five key
+    columns of the samples are written in between: four joins start from them.
     """
     if samples is None:
-        samples = train_samples(scan_day(inputs.behaviour, run_date)).drop("dt")
+        samples = cut(train_samples(scan_day(inputs.behaviour, run_date)).drop("dt"))
     before = shift_day(run_date, -1)
     prices = latest_prices(inputs.price_log, run_date, ties=inputs.price_ties)
     items = inputs.items(run_date)
-    with_items = item_features(
-        samples, items, prices, inputs.rates(before), inputs.dictionary, run_date)
-    with_users = sample_user_features(with_items, inputs.users(before))
+    keys = samples.where(F.col("clue_id").isNotNull())
+    out = item_features(
+        keys, items, prices, inputs.rates(before), inputs.dictionary, run_date)
+    out = sample_user_features(out, inputs.users(before), keys)
     attributes = sequence_attributes(priced_items(items, prices, run_date), inputs.dictionary)
     events = action_events(inputs.behaviour, run_date, exact=exact).unionByName(
         order_events(inputs.orders, run_date))
-    return sample_sequences(with_users, events, attributes, as_text).withColumn(
+    return sample_sequences(out, events, attributes, as_text, keys_from=keys).withColumn(
         "dt", F.lit(run_date))
 
 

@@ -27,5 +27,5 @@ def evaluate_scores(scored: DataFrame, group="recommend_id") -> DataFrame:
 def evaluate(samples: DataFrame, users: DataFrame, items: DataFrame, shares=(0.8, 0.1, 0.1),
              group="recommend_id") -> DataFrame:
     """Time split, inner product scores, and the metrics of each part."""
-    scored = score_pairs(users, items, time_split(samples, shares))
+    scored = score_pairs(users, items, time_split(samples, shares), keys_from=samples)
     return evaluate_scores(cut(scored), group)

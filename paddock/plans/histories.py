@@ -70,7 +70,7 @@ def sequence_features(moments: DataFrame, events: DataFrame, attributes: DataFra
     kinds = F.explode(F.array(*[F.lit(a) for a in N.SEQ_ACTIONS]))
     spine = moments.select("user_id", "ts").distinct().select("user_id", kinds.alias("action"), "ts")
     rows = point_in_time(spine, events, by=("user_id", "action"), k=k, lag=lag)
-    rows = sequence_items(rows.drop("event_ts"), attributes)
+    rows = sequence_items(rows.drop("event_ts"), attributes, keys_from=events)
     cols = [*N.SEQ_SPARSE, *N.SEQ_DENSE]
     nested = collect_by_action(rows, ["user_id", "ts"], "rn", cols, N.SEQ_ACTIONS)
     out = []
@@ -83,15 +83,18 @@ def sequence_features(moments: DataFrame, events: DataFrame, attributes: DataFra
 
 
 def sample_sequences(samples: DataFrame, events: DataFrame, attributes: DataFrame,
-                     as_text: bool = False, drop_nulls: bool = False) -> DataFrame:
+                     as_text: bool = False, drop_nulls: bool = False,
+                     keys_from: DataFrame | None = None) -> DataFrame:
     """Samples with padded sparse sequences, dense sequences and statistics.
 
     Sparse sequences always have 10 elements; dense ones keep their length and
     are padded by preprocessing.  ``as_text`` gives comma text, in which null
-    elements vanish; ``drop_nulls`` does the same to the arrays.
+    elements vanish; ``drop_nulls`` does the same to the arrays.  ``keys_from``
+    is the narrow sample table, where ``samples`` already carries features.
     """
-    seqs = sequence_features(samples, events, attributes)
-    wide = lookup_join(samples, seqs, ["user_id", "ts"], split_by=["clue_id", "recommend_id"])
+    keys = samples if keys_from is None else keys_from
+    seqs = sequence_features(keys, events, attributes)
+    wide = lookup_join(samples, seqs, ["user_id", "ts"], keys_from=keys)
     out = [F.col(c) for c in samples.columns]
     stats = [c for c in seqs.columns if c.startswith("d_u_")]
     for a in N.SEQ_ACTIONS:

@@ -67,7 +67,8 @@ def label_events(behaviour: DataFrame) -> DataFrame:
         df, ["clue_id", "user_id", "recommend_id", "action"], ties=["amount"])
 
 
-def label_flags(events: DataFrame, prices: DataFrame, by_user: bool = False) -> DataFrame:
+def label_flags(events: DataFrame, prices: DataFrame, by_user: bool = False,
+                keys_from: DataFrame | None = None) -> DataFrame:
     """One row of flags per (item, request) from one aggregation.
 
     The key leaves the user out, as times reported by clients are not exact but
@@ -75,7 +76,7 @@ def label_flags(events: DataFrame, prices: DataFrame, by_user: bool = False) ->
     row per user.  ``by_user`` adds the user to the key.
     """
     priced = lookup_join(events.where("action <> 'beseen'"),
-                         prices.select("clue_id", "model_price"), "clue_id")
+                         prices.select("clue_id", "model_price"), "clue_id", keys_from=keys_from)
     bid = F.col("action") == "bid"
     flags = {f"is_{a}": (F.col("action") == a).cast("int") for a in LABEL_ACTIONS[1:]}
     flags.update({
@@ -106,9 +107,12 @@ def impression_labels(behaviour: DataFrame, prices: DataFrame, orders: DataFrame
     events = label_events(behaviour)
     seen = events.where("action = 'beseen'").select(
         "dt", "clue_id", "user_id", "recommend_id", "ts")
+    scan = int_ids(behaviour.select("dt", "clue_id", "user_id", "recommend_id"),
+                   ["clue_id", "user_id"])
     keys = ["clue_id", "recommend_id"] + (["user_id"] if by_user else [])
-    out = attach_labels(seen, label_flags(events, prices, by_user), keys)
-    out = attach_labels(out, order_flags(orders), ["dt", "clue_id", "user_id"])
+    flags = label_flags(events, prices, by_user, keys_from=scan)
+    out = attach_labels(seen, flags, keys, keys_from=scan)
+    out = attach_labels(out, order_flags(orders), ["dt", "clue_id", "user_id"], keys_from=scan)
     return out.select(
         "dt", "clue_id", "user_id", "recommend_id", "ts", "is_click", "is_quick_collection",
         "is_bid", *PRICE_SHARES, "is_order")

@@ -26,7 +26,8 @@ def encoded_favourites(ratios: DataFrame, by, ratio: str, cols: dict,
     best = best.withColumn("best_key", F.coalesce("best_key", F.lit(NO_FAVOURITE)))
     cluster = F.col("cluster")
     name = F.when(cluster.isin(*N.PREFIXED_CLUSTERS), F.concat(F.lit("c2b_"), cluster))
-    coded = encode_long(best, name.otherwise(cluster), F.col("best_key"), dictionary)
+    coded = encode_long(best, name.otherwise(cluster), F.col("best_key"), dictionary,
+                        keys_from=ratios.withColumnRenamed("key", "best_key"))
     aggs = []
     for out, values in cols.items():
         here = F.lit(True)
@@ -86,6 +87,6 @@ def user_offline_features(action_cnt: DataFrame, convert_cnt: DataFrame, action_
     )
 
 
-def sample_user_features(samples: DataFrame, users: DataFrame) -> DataFrame:
+def sample_user_features(samples: DataFrame, users: DataFrame, keys_from=None) -> DataFrame:
     """Samples with the user features of the snapshot before their day."""
-    return join_user_features(samples, users)
+    return join_user_features(samples, users, keys_from)
