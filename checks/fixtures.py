@@ -19,7 +19,7 @@ from paddock.plans import names as N
 from paddock.plans import users as user_plans
 from paddock.plans.daily import Inputs
 from paddock.plans.samples import impression_labels, train_samples
-from paddock.session import shared_dir
+from paddock.session import shared_dir, tune
 from paddock.sources import scan_dictionary
 
 RUN = "2024-01-27"
@@ -50,8 +50,7 @@ class Tables:
     written once per session to the shared folder and read from there."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        self.spark, self.dir = spark, sf_dir
+        self.spark, self.dir = tune(spark), sf_dir
 
     def stored(self, name: str, build) -> DataFrame:
         app = self.spark.sparkContext.applicationId

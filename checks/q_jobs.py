@@ -20,7 +20,7 @@ from paddock.plans import refresh as RF
 from paddock.plans.daily import backfill, daily_samples
 from paddock.plans.evaluation import evaluate
 from paddock.plans.histories import (
-    action_events, order_events, sample_sequences, sequence_attributes,
+    action_events, item_keys, order_events, sample_sequences, sequence_attributes,
 )
 from paddock.plans.items import item_features
 from paddock.plans.samples import impression_labels, test_samples, train_samples
@@ -166,7 +166,9 @@ def _(t):
     """All samples of all days against the history known on the run date."""
     events = action_events(t.behaviour, RUN).unionByName(order_events(t.orders, RUN))
     attributes = sequence_attributes(t.priced(RUN), t.codes)
-    return rounded(sample_sequences(t.samples, events, attributes, as_text=True), AVG_NAMES)
+    out = sample_sequences(t.samples, events, attributes, as_text=True,
+                           item_keys=item_keys(t.behaviour))
+    return rounded(out, AVG_NAMES)
 
 
 @query("p8_daily_samples", f"""

@@ -17,8 +17,18 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _name(c) -> str:
+    return "`" + c.replace("`", "``") + "`"
+
+
 def pad_array(arr, k: int, value, dtype: str = "string") -> Column:
     """Right-pad to ``k``; null counts as empty; longer arrays stay as they are."""
+    if isinstance(arr, str) and not isinstance(value, Column):
+        # as SQL text: wide tables pad dozens of columns by name
+        return F.expr(
+            f"concat(coalesce(cast({_name(arr)} as array<{dtype}>), cast(array() as array<{dtype}>)), "
+            f"array_repeat(cast('{value}' as {dtype}), "
+            f"greatest({k} - coalesce(size({_name(arr)}), 0), 0)))")
     fill = value if isinstance(value, Column) else F.lit(value)
     fill = fill.cast(dtype)
     known = F.coalesce(_col(arr).cast(f"array<{dtype}>"), F.array().cast(f"array<{dtype}>"))
@@ -51,16 +61,16 @@ def array_median(arr) -> Column:
     return F.when(n > 0, (low + high) / 2)
 
 
-def lower_median(arr) -> Column:
+def lower_median(arr: str) -> Column:
     """Smallest element with at least half of the elements at or below it."""
-    asc = F.array_sort(F.array_compact(_col(arr)))
-    return F.get(asc, F.floor((F.size(asc) - 1) / 2).cast("int"))
+    known = f"array_compact({_name(arr)})"
+    return F.expr(f"get(array_sort({known}), cast((size({known}) - 1) div 2 as int))")
 
 
-def array_mean(arr) -> Column:
-    known = F.array_compact(_col(arr).cast("array<double>"))
-    total = F.aggregate(known, F.lit(0.0), lambda a, x: a + x)
-    return F.when(F.size(known) > 0, total / F.size(known))
+def array_mean(arr: str) -> Column:
+    """Mean of the non-null elements; null if there are none."""
+    known = f"array_compact(cast({_name(arr)} as array<double>))"
+    return F.expr(f"try_divide(aggregate({known}, cast(0 as double), (a, x) -> a + x), size({known}))")
 
 
 def pad_dense_local(arr, median, k: int = 10) -> Column:

@@ -44,10 +44,13 @@ def encode_categories(df: DataFrame, specs: dict, dictionary: DataFrame,
     dictionary = dictionary.where(F.col("fea_name").isin(*sorted(set(specs.values()))))
     if fits_in_map(dictionary, limit):
         maps = feature_maps(dictionary)
-        return df.select(*[
+        coded = df.select(*[
             map_value(c, _feature(maps, specs[c]), default).alias(c) if c in specs else F.col(c)
             for c in df.columns
         ])
+        # Joins on the key need this shuffle anyway.  Without it the lookups would
+        # run inside the join, once per matching row instead of once per row.
+        return coded if key is None else coded.repartition(key)
     if key is None:
         raise ValueError("a dictionary beyond the map bound needs the row key")
     pairs = F.array(*[

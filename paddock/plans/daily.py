@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paddock.plans.histories import (
-    action_events, order_events, sample_sequences, sequence_attributes,
+    action_events, item_keys, order_events, sample_sequences, sequence_attributes,
 )
 from paddock.plans.items import item_features, latest_prices, priced_items
 from paddock.plans.samples import train_samples
@@ -52,8 +52,9 @@ def daily_samples(inputs: Inputs, run_date: str, samples: DataFrame | None = Non
     attributes = sequence_attributes(priced_items(items, prices, run_date), inputs.dictionary)
     events = action_events(inputs.behaviour, run_date, exact=exact).unionByName(
         order_events(inputs.orders, run_date))
-    return sample_sequences(out, events, attributes, as_text, keys_from=keys).withColumn(
-        "dt", F.lit(run_date))
+    out = sample_sequences(out, events, attributes, as_text, keys_from=keys,
+                           item_keys=item_keys(inputs.behaviour))
+    return out.withColumn("dt", F.lit(run_date))
 
 
 def backfill(inputs: Inputs, start: str, end: str, path: str, scene: str = "SEARCH",

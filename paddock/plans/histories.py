@@ -40,6 +40,11 @@ def action_events(behaviour: DataFrame, run_date: str, actions=("click", "bid"),
     return union_history_today(history.select(*cols), today.select(*cols))
 
 
+def item_keys(behaviour: DataFrame) -> DataFrame:
+    """The item ids of the log, as the events carry them."""
+    return int_ids(behaviour.select("clue_id"), ["clue_id"])
+
+
 def order_events(orders: DataFrame, run_date: str) -> DataFrame:
     """Orders of the 90 days before the run date, as events."""
     made = F.substring("create_time", 1, 10)
@@ -61,7 +66,8 @@ def sequence_attributes(priced: DataFrame, dictionary: DataFrame) -> DataFrame:
 
 
 def sequence_features(moments: DataFrame, events: DataFrame, attributes: DataFrame,
-                      k: int = N.SEQ_LENGTH, lag: int = N.VISIBLE_AFTER) -> DataFrame:
+                      k: int = N.SEQ_LENGTH, lag: int = N.VISIBLE_AFTER,
+                      item_keys: DataFrame | None = None) -> DataFrame:
     """(user_id, ts, arrays..., realtime statistics): one row per moment with history.
 
     The three kinds of event are one pass: the kind is part of the key until
@@ -70,7 +76,8 @@ def sequence_features(moments: DataFrame, events: DataFrame, attributes: DataFra
     kinds = F.explode(F.array(*[F.lit(a) for a in N.SEQ_ACTIONS]))
     spine = moments.select("user_id", "ts").distinct().select("user_id", kinds.alias("action"), "ts")
     rows = point_in_time(spine, events, by=("user_id", "action"), k=k, lag=lag)
-    rows = sequence_items(rows.drop("event_ts"), attributes, keys_from=events)
+    item_keys = events if item_keys is None else item_keys
+    rows = sequence_items(rows.drop("event_ts"), attributes, keys_from=item_keys)
     cols = [*N.SEQ_SPARSE, *N.SEQ_DENSE]
     nested = collect_by_action(rows, ["user_id", "ts"], "rn", cols, N.SEQ_ACTIONS)
     out = []
@@ -84,16 +91,18 @@ def sequence_features(moments: DataFrame, events: DataFrame, attributes: DataFra
 
 def sample_sequences(samples: DataFrame, events: DataFrame, attributes: DataFrame,
                      as_text: bool = False, drop_nulls: bool = False,
-                     keys_from: DataFrame | None = None) -> DataFrame:
+                     keys_from: DataFrame | None = None,
+                     item_keys: DataFrame | None = None) -> DataFrame:
     """Samples with padded sparse sequences, dense sequences and statistics.
 
     Sparse sequences always have 10 elements; dense ones keep their length and
     are padded by preprocessing.  ``as_text`` gives comma text, in which null
     elements vanish; ``drop_nulls`` does the same to the arrays.  ``keys_from``
-    is the narrow sample table, where ``samples`` already carries features.
+    is the narrow sample table, where ``samples`` already carries features;
+    ``item_keys`` a scan with the item ids of the events.
     """
     keys = samples if keys_from is None else keys_from
-    seqs = sequence_features(keys, events, attributes)
+    seqs = sequence_features(keys, events, attributes, item_keys=item_keys)
     wide = lookup_join(samples, seqs, ["user_id", "ts"], keys_from=keys)
     out = [F.col(c) for c in samples.columns]
     stats = [c for c in seqs.columns if c.startswith("d_u_")]

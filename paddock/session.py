@@ -14,6 +14,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The JVM does not compile methods beyond 8000 bytes: the stages with more
+    # than a hundred output columns are faster as split projections.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -24,6 +27,13 @@ def configure(builder):
     return builder
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply :data:`SETTINGS` to a running session."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, named by ``spark.checkpoint.dir``.
 
