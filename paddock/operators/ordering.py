@@ -34,7 +34,10 @@ def running_total(df: DataFrame, order, weights, by=()) -> DataFrame:
     inside = Window.partitionBy("_part", *by).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, 0)
     out = part.select("*", *[F.sum(w).over(inside).alias(f"_i_{w}") for w in weights])
-    out = out.join(F.broadcast(carry), ["_part", *by], "left")
+    carry = carry.withColumnsRenamed({c: f"_k_{c}" for c in ["_part", *by]})
+    same = reduce(lambda a, b: a & b, [
+        F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in ["_part", *by]])
+    out = out.join(F.broadcast(carry), same, "left")
     return out.select(
         *df.columns,
         *[(F.col(f"_i_{w}") + F.coalesce(F.col(f"_c_{w}"), F.lit(0))).alias(f"cum_{w}")

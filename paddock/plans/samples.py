@@ -62,7 +62,7 @@ def label_events(behaviour: DataFrame) -> DataFrame:
                    not_values=("0", "unknown"))
     df = df.where((F.col("recommend_id") != "") & (F.col("clue_id") != ""))
     df = int_ids(filter_actions(df, LABEL_ACTIONS), ["user_id", "clue_id", "ts"])
-    df = df.withColumn("amount", F.expr("cast(try_cast(amount as double) as int)"))
+    df = df.withColumn("amount", F.expr("try_cast(try_cast(amount as double) as int)"))
     return first_per_key(
         df, ["clue_id", "user_id", "recommend_id", "action"], ties=["amount"])
 

@@ -22,7 +22,9 @@ def encoded_favourites(ratios: DataFrame, by, ratio: str, cols: dict,
     gets the code of '-1' there, which is known where -1 is itself a value.
     """
     by = list(by)
-    best = favourite_long(ratios, by, ratio)
+    # One shuffle by user serves both groupings and the star join; a user holds at
+    # most one row per category value, so no user is large here.
+    best = favourite_long(ratios.repartition(by[0]), by, ratio)
     best = best.withColumn("best_key", F.coalesce("best_key", F.lit(NO_FAVOURITE)))
     cluster = F.col("cluster")
     name = F.when(cluster.isin(*N.PREFIXED_CLUSTERS), F.concat(F.lit("c2b_"), cluster))

@@ -21,7 +21,8 @@ SETTINGS = {
 
 
 def configure(builder):
-    """Apply :data:`SETTINGS` to a session builder."""
+    """Apply :data:`SETTINGS` to a session builder; drop checkpoints nobody refers to."""
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     return builder

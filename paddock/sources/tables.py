@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -58,10 +59,10 @@ def scan_days(table: DataFrame, start: str, end: str, skip: tuple = ()) -> DataF
 
 def read_tsv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """Tab-separated files with a header; a path that is not there gives no rows."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(where):
+    try:
+        # quotes off: the vectors are written as bare bracketed text
+        return spark.read.csv(path, sep="\t", header=True, schema=schema, quote="")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
-    # quotes and escapes off: the vectors are written as bare bracketed text
-    return spark.read.csv(path, sep="\t", header=True, schema=schema, quote="")
