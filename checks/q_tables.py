@@ -207,7 +207,13 @@ def _(t):
     return P.recent_items(t.items, "2024").select("clue_id", "create_time")
 
 
-@query("f9_feature_families")
+@query("f9_feature_families", """
+SELECT s_u_click_tag_id_0_7, user_id, d_u_click_cnt_0_7, d_u_click_road_haul_max_0_7,
+  array_to_string(tags, ',') AS s_seq_c2b_click_tag_id_seq,
+  coalesce(array_to_string(hauls, ','), '') AS d_seq_c2b_click_road_haul_seq,
+  coalesce(array_to_string(sellers, ','), '') AS d_seq_c2b_click_c2b_seller_price_seq,
+  s_i_tag_id, s_i_city_id, d_i_c2b_evaluate_score, d_i_c2b_ctob_model_price, d_i_road_haul
+FROM features""")
 def _(t):
     """The feature table in the model's column order."""
     return t.features.select(*P.model_order(P.feature_families(t.features)))

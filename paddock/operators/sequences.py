@@ -11,6 +11,9 @@ the number of seconds of a bucket (times k) or of buckets of the lookback
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,12 +44,13 @@ def last_k_before(spine: DataFrame, events: DataFrame, by=("user_id",), k: int =
 
     ``hist`` is an array of (ts, payload...) structs, latest first, ties by
     payload descending.  ``spine`` may hold a moment more than once; the result
-    has one row per distinct (by, ts).  ``floor`` names a spine column: events
+    has one row per distinct (by, ts) with a known key.  ``floor`` names a spine column: events
     before that second are not part of the history.
     """
     by = list(by)
     entry = F.struct(F.col("ts").alias("ts"), *[F.col(c) for c in payload])
-    ev = events.where(F.col("ts").isNotNull()).select(
+    known = reduce(and_, [F.col(c).isNotNull() for c in [*by, "ts"]])
+    ev = events.where(known).select(
         *by, (F.col("ts") + lag).cast("bigint").alias("_at"), entry.alias("_e"))
     # a second needs no more than its last k events
     per_second = Window.partitionBy(*by, "_at").orderBy(F.col("_e").desc())
@@ -54,7 +58,7 @@ def last_k_before(spine: DataFrame, events: DataFrame, by=("user_id",), k: int =
             .drop("_rn").withColumn("_b", F.floor(F.col("_at") / bucket)))
 
     extra = [floor] if floor else []
-    moments = spine.where(F.col("ts").isNotNull()).select(*by, "ts", *extra).distinct()
+    moments = spine.where(known).select(*by, "ts", *extra).distinct()
     moments = moments.withColumn("_at", F.col("ts").cast("bigint")).withColumn(
         "_b", F.floor(F.col("_at") / bucket))
 

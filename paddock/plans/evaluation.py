@@ -28,4 +28,4 @@ def evaluate(samples: DataFrame, users: DataFrame, items: DataFrame, shares=(0.8
              group="recommend_id") -> DataFrame:
     """Time split, inner product scores, and the metrics of each part."""
     scored = score_pairs(users, items, time_split(samples, shares), keys_from=samples)
-    return evaluate_scores(cut(scored), group)
+    return evaluate_scores(cut(scored.select("split", group, "label", "score")), group)

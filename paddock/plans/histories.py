@@ -31,12 +31,13 @@ def action_events(behaviour: DataFrame, run_date: str, actions=("click", "bid"),
     rows = valid_ids(window.where(F.col("action").isin(*actions)), ["user_id", "clue_id"],
                      above_zero=False)
     cols = ["user_id", "action", "ts", "clue_id"]
+    # users that are not numbers cannot be joined to a sample
+    rows = int_ids(rows, ["user_id", "ts", "clue_id"]).where(F.col("user_id").isNotNull())
     if exact:
-        return int_ids(rows, ["user_id", "ts", "clue_id"]).select(*cols)
+        return rows.select(*cols)
     before = scan_window(rows, run_date, -N.HISTORY_DAYS, -1)
-    history = last_k_history(int_ids(before, ["user_id", "ts", "clue_id"]), N.SEQ_LENGTH,
-                             by=("user_id", "action"))
-    today = int_ids(scan_day(rows, run_date), ["user_id", "ts", "clue_id"])
+    history = last_k_history(before, N.SEQ_LENGTH, by=("user_id", "action"))
+    today = scan_day(rows, run_date)
     return union_history_today(history.select(*cols), today.select(*cols))
 
 
