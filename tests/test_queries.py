@@ -6,6 +6,7 @@ import pytest
 
 from checks import ORACLES, QUERIES
 from checks.compare import check, connect
+from paddock.operators.joins import HOT_ROWS_SETTING
 
 SF = "/root/testdata/sf0.001"
 SOME = ["entry_last_clicked_items", "p1_train_samples", "p2_impression_labels",
@@ -26,6 +27,18 @@ def test_query_equals_sql(spark, con, name):
     assert text.startswith("ok"), text
 
 
+@pytest.mark.parametrize("name", [
+    "p2_impression_labels", "p5_item_features", "p6_sample_user_features", "m4_score_pairs",
+    "j10_sequence_items"])
+def test_query_equals_sql_with_many_hot_keys(spark, con, name):
+    spark.conf.set(HOT_ROWS_SETTING, "5")
+    try:
+        text, _, _ = check(spark, con, SF, name, QUERIES[name], ORACLES.get(name))
+    finally:
+        spark.conf.unset(HOT_ROWS_SETTING)
+    assert text.startswith("ok"), text
+
+
 def test_every_query_of_the_inventory_is_registered():
     ids = {n.split("_")[0] for n in QUERIES}
     for letter, last in {"s": 13, "f": 14, "j": 14, "a": 17, "w": 5, "t": 3, "u": 2, "c": 24,
