@@ -297,7 +297,8 @@ SELECT user_id, ts, array_to_string(clues, ',') AS clues, array_to_string(tags,
   array_to_string(list_transform(sellers, lambda x: coalesce(x, -1)), ',') AS sellers FROM click_seqs""")
 def _(t):
     rows = Q.point_in_time(t.impressions, t.clicks)
-    rows = J.sequence_items(rows, t.sequence_items.select("clue_id", "tag_id", "seller_price"))
+    items = t.sequence_items.select("clue_id", "tag_id", "seller_price")
+    rows = J.sequence_items(rows, items, keys_from=t.clicks)
     out = Q.collect_ordered(rows, ["user_id", "ts"], "rn", ["clue_id", "tag_id", "seller_price"])
 
     def text(c):
