@@ -31,3 +31,12 @@ def op1(spark, sf_dir):
         "_row.doc_id", "_quality.n_words", "_quality.word_chars", "_quality.n_symbols",
         "_quality.n_dup_lines", "_quality.n_repeat_words", "_quality.base_failed",
         "_quality.kept", "_quality.score")
+
+
+@query("op2_line_dedup")
+def op2(spark, sf_dir):
+    """The text left of every document, and how many lines it lost."""
+    from paddock.llm.line_dedup import line_dedup
+
+    return line_dedup(table(spark, sf_dir, "documents")).select(
+        "_row.doc_id", "_lines.text", "_lines.n_lines", "_lines.n_deleted", "_lines.emptied")
