@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 QUERIES: dict = {}
 ORACLES: dict = {}
 
@@ -40,3 +42,12 @@ def op2(spark, sf_dir):
 
     return line_dedup(table(spark, sf_dir, "documents")).select(
         "_row.doc_id", "_lines.text", "_lines.n_lines", "_lines.n_deleted", "_lines.emptied")
+
+
+@query("op6_ngram_jaccard_join")
+def op6(spark, sf_dir):
+    """Set size and component of every document."""
+    from paddock.llm.ngram_join import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
