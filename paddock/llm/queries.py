@@ -51,3 +51,11 @@ def op6(spark, sf_dir):
 
     return near_duplicates(table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
+@query("op3_mixing")
+def op3(spark, sf_dir):
+    """Category, weight, probability and draw of every document."""
+    from paddock.llm.mixing import mix
+
+    return mix(table(spark, sf_dir, "documents")).select("_row.doc_id", "_mix.*")
