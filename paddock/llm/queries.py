@@ -59,3 +59,18 @@ def op3(spark, sf_dir):
     from paddock.llm.mixing import mix
 
     return mix(table(spark, sf_dir, "documents")).select("_row.doc_id", "_mix.*")
+
+
+#: The public vocabulary the queries encode with.
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query("op8_sentencepieces")
+def op8(spark, sf_dir):
+    """Pieces and n best scores of every document."""
+    from paddock.llm.piece_lattice import Pieces
+    from paddock.llm.sentencepieces import encode
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return encode(docs, Pieces.load(PIECES)).select(
+        "_row.doc_id", "ids", "n_pieces", "scores", "digests", "round_trip")
