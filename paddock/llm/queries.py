@@ -74,3 +74,12 @@ def op8(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return encode(docs, Pieces.load(PIECES)).select(
         "_row.doc_id", "ids", "n_pieces", "scores", "digests", "round_trip")
+
+
+@query("op4_lm_scoring")
+def op4(spark, sf_dir):
+    """Unigram and model scores of every document."""
+    from paddock.llm.lm_scoring import score_texts
+
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 2
+    return score_texts(table(spark, sf_dir, "documents"), held_out)
