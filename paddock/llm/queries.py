@@ -83,3 +83,16 @@ def op4(spark, sf_dir):
 
     held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 2
     return score_texts(table(spark, sf_dir, "documents"), held_out)
+
+
+@query("op7_quality_classifier")
+def op7(spark, sf_dir):
+    """Quality score of every document."""
+    from paddock.llm.quality_classifier import THRESHOLD, fitted, labelled_sample, score_quality
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
+    model = fitted(labelled_sample(docs, table(spark, sf_dir, "labels"), ~held_out))
+    return score_quality(docs, model).select("_row.doc_id", "score", "n_passages", "attention").select(
+        "doc_id", held_out.alias("held_out"), "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "n_passages", "attention")
