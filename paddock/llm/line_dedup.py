@@ -64,11 +64,15 @@ def line_windows(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     ``place``, ``print``, ``window``, ``after``."""
     docs = df.select(_document(df, key, text), df[f"`{text}`"].alias("text"))
     lines = F.filter(F.transform(F.split("text", "\n"), _trim), lambda x: F.length(x) > 0)
-    hashed = docs.withColumn("lines", lines).select(
-        "doc", F.transform("lines", lambda x: F.xxhash64(x)).alias("h"),
-        F.transform("lines", lambda x: F.regexp_count(x, F.lit("[^\\x20\\x09-\\x0D]+"))).alias("n"))
-    listed = hashed.withColumn("w", _windows(F.col("h"), F.col("n")))
-    return listed.select("doc", F.explode("w").alias("w")).select("doc", "w.*")
+    # bound inside one expression: a lambda that reads another column would have
+    # that column's expression computed again for every line
+    hashed = let(lines, lambda ls: F.struct(
+        F.transform(ls, lambda x: F.xxhash64(x)).alias("h"),
+        F.transform(ls, lambda x: F.regexp_count(x, F.lit("[^\\x20\\x09-\\x0D]+"))).alias("n")))
+    windows = let(hashed, lambda s: _windows(s["h"], s["n"]))
+    # outer: no filter on the windows is inferred, which would compute them twice
+    listed = docs.select("doc", F.explode_outer(windows).alias("w")).where("w is not null")
+    return listed.select("doc", "w.*")
 
 
 def _document(df: DataFrame, key: str, text: str) -> Column:
