@@ -96,3 +96,11 @@ def op7(spark, sf_dir):
     return score_quality(docs, model).select("_row.doc_id", "score", "n_passages", "attention").select(
         "doc_id", held_out.alias("held_out"), "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "n_passages", "attention")
+
+
+@query("op10_fingerprints")
+def op10(spark, sf_dir):
+    """Fingerprints of every document and of its edited text, and their likeness."""
+    from paddock.llm.fingerprints import neighbour_fingerprints
+
+    return neighbour_fingerprints(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
