@@ -104,3 +104,26 @@ def op10(spark, sf_dir):
     from paddock.llm.fingerprints import neighbour_fingerprints
 
     return neighbour_fingerprints(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query("op5_warc")
+def op5(spark, sf_dir):
+    """Every page written to archives and read back."""
+    from paddock.llm.warc import archived
+
+    return archived(table(spark, sf_dir, "pages")).select(
+        F.col("id").cast("long").alias("page_id"), "payload_bytes", "payload_digest",
+        F.col("kind").alias("record_type"), F.col("refers_to").cast("long").alias("refers_to"), "last_chunk")
+
+
+ORACLES["op5_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, octet_length(encode(html)) AS payload_bytes, sha256(html) AS payload_digest FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND first <> page_id THEN first END AS refers_to,
+       CAST(CASE WHEN payload_bytes >= 100 AND first <> page_id THEN 0
+                 ELSE greatest((payload_bytes + 65535) // 65536 - 1, 0) END AS INTEGER) AS last_chunk
+FROM f
+"""
