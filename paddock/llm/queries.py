@@ -127,3 +127,13 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
                  ELSE greatest((payload_bytes + 65535) // 65536 - 1, 0) END AS INTEGER) AS last_chunk
 FROM f
 """
+
+
+@query("op9_html_extraction")
+def op9(spark, sf_dir):
+    """Main text of every page."""
+    from paddock.llm.html_extraction import labeller, main_text
+
+    pages = table(spark, sf_dir, "pages")
+    return main_text(pages, labeller(pages)).select(
+        "_row.page_id", "_row.url", "text", "n_chars", "n_blocks", "n_main")
