@@ -11,21 +11,24 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from paddock.functions import pad_array
+from paddock.functions import hash32, pad_array
 from paddock.operators.filters import int_ids
 from paddock.operators.joins import lookup_join
 from paddock.plans import items as item_plans
 from paddock.plans import names as N
 from paddock.plans import users as user_plans
 from paddock.plans.daily import Inputs
-from paddock.plans.samples import impression_labels, train_samples
+from paddock.plans.samples import impression_labels, label_events, train_samples
 from paddock.session import shared_dir, tune
 from paddock.sources import scan_dictionary
 
 RUN = "2024-01-27"
 SNAP = "2024-01-26"
 ACTIONS = {"view": "beseen", "click": "click", "error": "quick_collection", "purchase": "bid"}
-VERSIONS = {"2024-06-04": "2023-11-05", N.DICTIONARY_VERSION: "2023-11-10"}
+#: Dictionary versions and their seeds: one in 16 values of all items, by hash, is left out as unknown.
+VERSIONS = {"2024-06-04": "old", N.DICTIONARY_VERSION: "new"}
+#: Before the first item: the daily job gives every item its features.
+MIN_CREATE = "2023"
 PRICE_TIES = ("o", "l", "x")
 WINDOWS = {"0_3": (0, 2), "0_7": (0, 6), "7_14": (7, 13), "14_30": (14, 29), "0_30": (0, 29),
            "0_365": (0, 364)}
@@ -163,10 +166,9 @@ class Tables:
             for d, a in DICTIONARY_ATTRIBUTES.items()
         ]))
         parts = None
-        for version, until in VERSIONS.items():
-            rows = base.where(F.col("create_time") <= until).select(entries.alias("e"))
-            rows = rows.select("e.*").where("fea_val is not null").distinct().withColumn(
-                "dt", F.lit(version))
+        for version, seed in VERSIONS.items():
+            rows = base.select(entries.alias("e")).select("e.*").where("fea_val is not null").distinct()
+            rows = rows.where(hash32(seed, "fea_name", "fea_val") % 16 != 0).withColumn("dt", F.lit(version))
             parts = rows if parts is None else parts.unionByName(rows)
         w = Window.partitionBy("dt", "fea_name").orderBy("fea_val")
         return parts.withColumn("encode_id", (F.row_number().over(w) + 1).cast("int"))
@@ -321,14 +323,21 @@ class Tables:
         return Inputs(
             behaviour=self.behaviour, orders=self.orders, price_log=self.price_log,
             dictionary=self.codes, items=lambda day: self.items, rates=self.rates,
-            users=self.users, price_ties=PRICE_TIES)
+            users=self.users, min_create=MIN_CREATE, price_ties=PRICE_TIES)
 
     @cached_property
     def samples(self) -> DataFrame:
         return self.stored("samples", lambda: train_samples(self.behaviour))
 
+    @cached_property
+    def day_prices(self) -> DataFrame:
+        """The latest price as of each day on which an item was labelled."""
+        asked = label_events(self.behaviour).where("clue_id is not null").select("dt", "clue_id").distinct()
+        return self.stored("day_prices", lambda: item_plans.prices_by_day(
+            asked, self.price_log, ties=PRICE_TIES))
+
     def label_impressions(self) -> DataFrame:
-        return impression_labels(self.behaviour, self.prices(RUN), self.orders)
+        return impression_labels(self.behaviour, self.day_prices, self.orders)
 
     @cached_property
     def impressions(self) -> DataFrame:
@@ -389,10 +398,9 @@ class Tables:
         ).withColumnRenamed("clue_id", "clues")
         rows = self.impressions.select(
             "user_id", "clue_id", "recommend_id", F.col("is_bid").alias("label"), "ts", "dt")
-        keys = rows
-        rows = lookup_join(rows, item, "clue_id", keys_from=keys)
-        rows = lookup_join(rows, user, "user_id", keys_from=keys)
-        rows = lookup_join(rows, seqs, ["user_id", "ts"], keys_from=keys)
+        rows = lookup_join(rows, item, "clue_id")
+        rows = lookup_join(rows, user, "user_id")
+        rows = lookup_join(rows, seqs, ["user_id", "ts"])
         return rows.select(
             "user_id", "clue_id", "recommend_id", "label", "ts",
             "s_u_click_tag_id_0_7", "d_u_click_cnt_0_7", "d_u_click_road_haul_max_0_7",

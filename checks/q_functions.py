@@ -148,8 +148,8 @@ SELECT user_id, ts, string_agg(cast(coalesce(c.encode_id, 1) AS VARCHAR), ',' OR
 FROM click_hist h JOIN items i ON h.clue_id = i.clue_id
 LEFT JOIN codes c ON c.fea_name = 'city_id' AND c.fea_val = i.city_id WHERE rn <= 10 GROUP BY ALL""")
 def _(t):
-    """The way taken beyond the size bound of the map, forced here."""
-    return _mapped(t, key=["user_id", "ts"], limit=0)
+    """With a declared key instead of row numbers."""
+    return _mapped(t, key=["user_id", "ts"])
 
 
 @query("c15_map_value", """

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from checks.fixtures import RUN, SNAP
+from checks.fixtures import MIN_CREATE, RUN, SNAP
 from checks.q_evaluation import tower_weights
 from checks.q_operators import DENSE, ORDERED, SEQS
 from checks.registry import query
@@ -20,7 +20,7 @@ from paddock.plans import refresh as RF
 from paddock.plans.daily import backfill, daily_samples
 from paddock.plans.evaluation import evaluate
 from paddock.plans.histories import (
-    action_events, item_keys, order_events, sample_sequences, sequence_attributes,
+    action_events, order_events, sample_sequences, sequence_attributes,
 )
 from paddock.plans.items import item_features
 from paddock.plans.samples import impression_labels, test_samples, train_samples
@@ -47,13 +47,13 @@ def _(t):
 
 @query("p2_impression_labels", "SELECT * FROM impressions")
 def _(t):
-    return impression_labels(t.behaviour, t.prices(RUN), t.orders)
+    return impression_labels(t.behaviour, t.day_prices, t.orders)
 
 
 @query("p3_test_samples", """
 SELECT dt, user_id, clue_id, recommend_id, is_bid AS label, ts FROM impressions""")
 def _(t):
-    return test_samples(impression_labels(t.behaviour, t.prices(RUN), t.orders))
+    return test_samples(impression_labels(t.behaviour, t.day_prices, t.orders))
 
 
 @query("p4_user_offline_features", "SELECT * FROM users")
@@ -71,7 +71,7 @@ def item_cols(alias):
     return f"{sparse}, {rates}, {', '.join(f'{alias}.{f}' for f in N.ITEM_DENSE.values())}"
 
 
-RECENT_TABLE = f"({item_table_sql('priced_run', chr(39) + '2024' + chr(39) + ' < create_time')})"
+RECENT_TABLE = f"({item_table_sql('priced_run', chr(39) + '2023' + chr(39) + ' < create_time')})"
 
 
 def rounded(df, cols):
@@ -83,7 +83,7 @@ def rounded(df, cols):
 SELECT s.user_id, s.clue_id, s.recommend_id, s.label, s.ts, {item_cols('i')}
 FROM samples s LEFT JOIN {RECENT_TABLE} i ON s.clue_id = i.clue_id WHERE s.clue_id IS NOT NULL""")
 def _(t):
-    out = item_features(t.samples.drop("dt"), t.items, t.prices(RUN), t.rates(SNAP), t.codes, RUN)
+    out = item_features(t.samples.drop("dt"), t.items, t.prices(RUN), t.rates(SNAP), t.codes, RUN, MIN_CREATE)
     return rounded(out, RATE_NAMES)
 
 
@@ -166,8 +166,7 @@ def _(t):
     """All samples of all days against the history known on the run date."""
     events = action_events(t.behaviour, RUN).unionByName(order_events(t.orders, RUN))
     attributes = sequence_attributes(t.priced(RUN), t.codes)
-    out = sample_sequences(t.samples, events, attributes, as_text=True,
-                           item_keys=item_keys(t.behaviour))
+    out = sample_sequences(t.samples, events, attributes, as_text=True)
     return rounded(out, AVG_NAMES)
 
 
@@ -351,8 +350,10 @@ def _item_table(t):
 WITH parts AS (SELECT o.split, o.is_bid AS label, o.recommend_id,
   1 / (1 + exp(-list_dot_product(u.embedding::DOUBLE[], i.embedding::DOUBLE[]))) AS score
   FROM ({ORDERED}) o JOIN embeddings u ON o.user_id = u.vec_id JOIN embeddings i ON o.clue_id = i.vec_id),
-ranked AS (SELECT *, rank() OVER (PARTITION BY split ORDER BY score) AS rk,
-  rank() OVER (PARTITION BY split, recommend_id ORDER BY score) AS gk FROM parts),
+ranked AS (SELECT *, rank() OVER (PARTITION BY split ORDER BY score)
+    + (count(*) OVER (PARTITION BY split, score) - 1) / 2.0::DOUBLE AS rk,
+  rank() OVER (PARTITION BY split, recommend_id ORDER BY score)
+    + (count(*) OVER (PARTITION BY split, recommend_id, score) - 1) / 2.0::DOUBLE AS gk FROM parts),
 grouped AS (SELECT split, recommend_id, count(*) AS n, (sum(CASE WHEN label = 1 THEN gk END)
     - sum(label) * (sum(label) + 1) / 2.0::DOUBLE) / (sum(label) * (count(*) - sum(label))) AS auc
   FROM ranked GROUP BY ALL HAVING sum(label) > 0 AND sum(label) < count(*))

@@ -102,9 +102,9 @@ def _(t):
 @query("j6_encode_by_join", f"""
 SELECT p.clue_id, {_coded(ITEM_CODES)[0]} FROM priced_run p {_coded(ITEM_CODES)[1]}""")
 def _(t):
-    """The way taken beyond the size bound of the map, forced here."""
+    """Without a declared key: rows are numbered."""
     return E.encode_categories(
-        t.priced(RUN).select("clue_id", *ITEM_CODES), ITEM_CODES, t.codes, key="clue_id", limit=0)
+        t.priced(RUN).select("clue_id", *ITEM_CODES), ITEM_CODES, t.codes, key=None)
 
 
 @query("j7_assemble_user", """
@@ -124,12 +124,12 @@ def _(t):
 
 
 @query("j9_attach_labels", """
-SELECT clue_id, user_id, recommend_id, ts, is_click, is_quick_collection, is_bid, is_daojia80,
+SELECT dt, clue_id, user_id, recommend_id, ts, is_click, is_quick_collection, is_bid, is_daojia80,
   is_daojia90, is_daojia100 FROM impressions""")
 def _(t):
     events = SP.label_events(t.behaviour)
-    seen = events.where("action = 'beseen'").select("clue_id", "user_id", "recommend_id", "ts")
-    return J.attach_labels(seen, SP.label_flags(events, t.prices(RUN)))
+    seen = events.where("action = 'beseen'").select("dt", "clue_id", "user_id", "recommend_id", "ts")
+    return J.attach_labels(seen, SP.label_flags(events, t.day_prices), ["dt", "clue_id", "recommend_id"])
 
 
 @query("j10_sequence_items", """
@@ -298,7 +298,7 @@ SELECT user_id, ts, array_to_string(clues, ',') AS clues, array_to_string(tags,
 def _(t):
     rows = Q.point_in_time(t.impressions, t.clicks)
     items = t.sequence_items.select("clue_id", "tag_id", "seller_price")
-    rows = J.sequence_items(rows, items, keys_from=t.clicks)
+    rows = J.sequence_items(rows, items)
     out = Q.collect_ordered(rows, ["user_id", "ts"], "rn", ["clue_id", "tag_id", "seller_price"])
 
     def text(c):

@@ -109,7 +109,7 @@ def _rates_sql(key) -> str:
 def dictionary_sql() -> str:
     legs = " UNION ".join(
         f"SELECT v.dt, '{d}' AS fea_name, cast({a} AS VARCHAR) AS fea_val FROM priced_run, versions v "
-        f"WHERE create_time <= v.until AND {a} IS NOT NULL"
+        f"WHERE {a} IS NOT NULL AND ('0x' || substr(md5(v.seed || '|{d}|' || cast({a} AS VARCHAR)), 1, 8))::BIGINT % 16 <> 0"
         for d, a in DICTIONARY_ATTRIBUTES.items())
     return f"""
 SELECT dt, fea_name, fea_val,
@@ -216,8 +216,8 @@ SELECT cast(l_partkey AS VARCHAR) AS clue_id,
     "prices_snap": prices_sql(SNAP),
     "priced_run": priced_sql("prices_run"),
     "priced_snap": priced_sql("prices_snap"),
-    "versions": ("SELECT * FROM (VALUES ('2024-06-04', '2023-11-05'), ('2024-11-01', '2023-11-10'))"
-                 " v(dt, until)"),
+    "versions": ("SELECT * FROM (VALUES ('2024-06-04', 'old'), ('2024-11-01', 'new'))"
+                 " v(dt, seed)"),
     "dictionary": dictionary_sql(),
     "codes": "SELECT fea_name, fea_val, encode_id FROM dictionary WHERE dt = '2024-11-01'",
     "code_maps": "SELECT fea_name, map(list(fea_val), list(encode_id)) AS m FROM codes GROUP BY fea_name",
@@ -289,31 +289,36 @@ LEFT JOIN numbered i ON p.dt = i.dt AND p.n > 0
     "label_events": """
 SELECT * FROM (SELECT cast(clue_id AS INT) AS clue_id, cast(user_id AS INT) AS user_id,
   recommend_id, cast(amount AS INT) AS amount, cast(ts AS INT) AS ts, action, dt,
-  row_number() OVER (PARTITION BY clue_id, user_id, recommend_id, action
+  row_number() OVER (PARTITION BY dt, clue_id, user_id, recommend_id, action
                      ORDER BY cast(ts AS INT), cast(amount AS INT)) AS rn
   FROM scene WHERE user_id <> '' AND user_id <> '0' AND user_id <> 'unknown' AND recommend_id <> ''
     AND clue_id <> '' AND action IN ('beseen', 'click', 'quick_collection', 'bid')) t WHERE rn = 1""",
+    "prices_day": f"""
+SELECT dt, clue_id, model_price FROM (SELECT e.dt, e.clue_id, cast(g.model_price AS INT) AS model_price,
+  row_number() OVER (PARTITION BY e.dt, e.clue_id ORDER BY g.ts DESC, g.o DESC, g.l DESC, g.x DESC) AS rn
+  FROM (SELECT DISTINCT dt, clue_id FROM label_events) e JOIN price_log g ON cast(g.clue_id AS INT) = e.clue_id
+  AND g.dt BETWEEN strftime(cast(e.dt AS DATE) - {N.PRICE_DAYS}, '%Y-%m-%d') AND e.dt) t WHERE rn = 1""",
     "bids_priced": """
-SELECT e.clue_id, e.recommend_id, e.amount, p.model_price FROM label_events e
-JOIN prices_run p ON e.clue_id = p.clue_id WHERE e.action = 'bid' AND p.model_price > 0""",
+SELECT e.dt, e.clue_id, e.recommend_id, e.amount, p.model_price FROM label_events e
+JOIN prices_day p ON e.dt = p.dt AND e.clue_id = p.clue_id WHERE e.action = 'bid' AND p.model_price > 0""",
     "impressions": """
 SELECT a.dt, a.clue_id, a.user_id, a.recommend_id, a.ts, coalesce(is_click, 0) AS is_click,
   coalesce(is_quick_collection, 0) AS is_quick_collection, coalesce(is_bid, 0) AS is_bid,
   coalesce(is_daojia80, 0) AS is_daojia80, coalesce(is_daojia90, 0) AS is_daojia90,
   coalesce(is_daojia100, 0) AS is_daojia100, coalesce(is_order, 0) AS is_order
 FROM (SELECT * FROM label_events WHERE action = 'beseen') a
-LEFT JOIN (SELECT DISTINCT clue_id, recommend_id, 1 AS is_click FROM label_events
-  WHERE action = 'click') b USING (clue_id, recommend_id)
-LEFT JOIN (SELECT DISTINCT clue_id, recommend_id, 1 AS is_quick_collection FROM label_events
-  WHERE action = 'quick_collection') c USING (clue_id, recommend_id)
-LEFT JOIN (SELECT DISTINCT clue_id, recommend_id, 1 AS is_bid FROM label_events
-  WHERE action = 'bid') d USING (clue_id, recommend_id)
-LEFT JOIN (SELECT DISTINCT clue_id, recommend_id, 1 AS is_daojia80 FROM bids_priced
-  WHERE amount > model_price * 0.8::DOUBLE) e USING (clue_id, recommend_id)
-LEFT JOIN (SELECT DISTINCT clue_id, recommend_id, 1 AS is_daojia90 FROM bids_priced
-  WHERE amount > model_price * 0.9::DOUBLE) f USING (clue_id, recommend_id)
-LEFT JOIN (SELECT DISTINCT clue_id, recommend_id, 1 AS is_daojia100 FROM bids_priced
-  WHERE amount > model_price) g USING (clue_id, recommend_id)
+LEFT JOIN (SELECT DISTINCT dt, clue_id, recommend_id, 1 AS is_click FROM label_events
+  WHERE action = 'click') b USING (dt, clue_id, recommend_id)
+LEFT JOIN (SELECT DISTINCT dt, clue_id, recommend_id, 1 AS is_quick_collection FROM label_events
+  WHERE action = 'quick_collection') c USING (dt, clue_id, recommend_id)
+LEFT JOIN (SELECT DISTINCT dt, clue_id, recommend_id, 1 AS is_bid FROM label_events
+  WHERE action = 'bid') d USING (dt, clue_id, recommend_id)
+LEFT JOIN (SELECT DISTINCT dt, clue_id, recommend_id, 1 AS is_daojia80 FROM bids_priced
+  WHERE amount > model_price * 0.8::DOUBLE) e USING (dt, clue_id, recommend_id)
+LEFT JOIN (SELECT DISTINCT dt, clue_id, recommend_id, 1 AS is_daojia90 FROM bids_priced
+  WHERE amount > model_price * 0.9::DOUBLE) f USING (dt, clue_id, recommend_id)
+LEFT JOIN (SELECT DISTINCT dt, clue_id, recommend_id, 1 AS is_daojia100 FROM bids_priced
+  WHERE amount > model_price) g USING (dt, clue_id, recommend_id)
 LEFT JOIN (SELECT DISTINCT i.dt, o.clue_id, o.user_id, 1 AS is_order
   FROM orders_in o JOIN (SELECT DISTINCT dt FROM behaviour) i
   ON substr(o.create_time, 1, 10) BETWEEN i.dt

@@ -1,91 +1,77 @@
 """Category values to the ids of a pinned dictionary; 1 is unknown.
 
-A dictionary of checked size becomes one map value per plan (a scalar
-subquery), so the encoded table does not move however many columns it has.
-Beyond the bound the values are unpivoted and joined on (feature, value).
+One way for a dictionary of any size: the values become long rows, one join
+brings their ids (broadcast where Spark finds the dictionary small), one group
+per row brings them back.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paddock.functions import map_array, map_value
-from paddock.operators.joins import lookup_join
+from paddock.session import cut
 
 UNKNOWN = 1
-MAP_LIMIT = 20000
 
 
-def fits_in_map(dictionary: DataFrame, limit: int = MAP_LIMIT) -> bool:
-    """Whether the dictionary has at most ``limit`` rows; reads no more than that."""
-    return dictionary.limit(limit + 1).count() <= limit
+def entries(dictionary: DataFrame, features=None) -> DataFrame:
+    """(fea_name, fea_val, encode_id), one row per value: a repeated value has its smallest id."""
+    rows = dictionary.where("fea_name is not null and fea_val is not null")
+    if features is not None:
+        rows = rows.where(F.col("fea_name").isin(*sorted(set(features))))
+    return rows.groupBy("fea_name", "fea_val").agg(F.min("encode_id").alias("encode_id"))
+
 
+def _keyed(df: DataFrame, key):
+    """``df`` and the columns that tell its rows apart.
 
-def feature_maps(dictionary: DataFrame) -> Column:
-    """map<feature, map<value, id>> as one scalar value; check the size first."""
-    per_feature = dictionary.groupBy("fea_name").agg(
-        F.map_from_entries(F.collect_list(F.struct("fea_val", "encode_id"))).alias("m"))
-    whole = per_feature.agg(F.map_from_entries(F.collect_list(F.struct("fea_name", "m"))))
-    return whole.scalar()
+    A declared ``key`` must be unique; without one every row gets a number and
+    the table is written once, so that both branches see the same numbers.
+    """
+    if key is None:
+        return cut(df.withColumn("_row", F.monotonically_increasing_id())), ["_row"]
+    return df, [key] if isinstance(key, str) else list(key)
 
 
-def _feature(maps: Column, name: str) -> Column:
-    return F.element_at(maps, F.lit(name))
+def _beside(df: DataFrame, wide: DataFrame, keys, columns) -> DataFrame:
+    """``df`` with the columns of ``wide``; null keys are equal to null keys."""
+    wide = wide.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+    return df.join(wide, same, "left").select(*columns)
 
 
 def encode_categories(df: DataFrame, specs: dict, dictionary: DataFrame,
-                      default: int = UNKNOWN, key: str | None = None,
-                      limit: int = MAP_LIMIT) -> DataFrame:
+                      default: int = UNKNOWN, key=None) -> DataFrame:
     """Replace columns by ids.  ``specs``: column -> dictionary feature name.
 
-    ``key`` names the unique row key, needed only beyond the size bound.
+    ``key`` names columns that are unique per row, if there are any; they spare
+    a numbering of the rows.  Null and unknown values give ``default``.
     """
-    dictionary = dictionary.where(F.col("fea_name").isin(*sorted(set(specs.values()))))
-    if fits_in_map(dictionary, limit):
-        maps = feature_maps(dictionary)
-        coded = df.select(*[
-            map_value(c, _feature(maps, specs[c]), default).alias(c) if c in specs else F.col(c)
-            for c in df.columns
-        ])
-        # Joins on the key need this shuffle anyway.  Without it the lookups would
-        # run inside the join, once per matching row instead of once per row.
-        return coded if key is None else coded.repartition(key)
-    if key is None:
-        raise ValueError("a dictionary beyond the map bound needs the row key")
+    held, keys = _keyed(df, key)
     pairs = F.array(*[
         F.struct(F.lit(c).alias("col"), F.lit(f).alias("fea_name"),
                  F.col(c).cast("string").alias("fea_val"))
         for c, f in specs.items()
     ])
-    long = df.select(key, F.explode(pairs).alias("p")).select(key, "p.*")
-    coded = lookup_join(long, dictionary, ["fea_name", "fea_val"])
-    wide = coded.groupBy(key).agg(*[
-        F.max(F.when(F.col("col") == c, F.col("encode_id"))).alias(c) for c in specs
+    long = held.select(*keys, F.explode(pairs).alias("p")).select(*keys, "p.*")
+    coded = long.join(entries(dictionary, specs.values()), ["fea_name", "fea_val"], "left")
+    wide = coded.groupBy(*keys).agg(*[
+        F.max(F.when(F.col("col") == c, F.col("encode_id"))).alias(f"_c_{c}") for c in specs
     ])
-    rest = df.drop(*specs)
-    out = rest.join(wide, key, "left")
-    return out.select(*[
-        F.coalesce(F.col(c), F.lit(default)).alias(c) if c in specs else F.col(c)
+    return _beside(held, wide, keys, [
+        F.coalesce(F.col(f"_c_{c}"), F.lit(default)).alias(c) if c in specs else F.col(c)
         for c in df.columns
     ])
 
 
 def encode_sequences(df: DataFrame, specs: dict, dictionary: DataFrame,
-                     default: int = UNKNOWN, key=None, limit: int = MAP_LIMIT) -> DataFrame:
-    """The same for every element of array columns."""
-    dictionary = dictionary.where(F.col("fea_name").isin(*sorted(set(specs.values()))))
-    if fits_in_map(dictionary, limit):
-        # a subquery may not stand inside a higher-order function: give it a column
-        held = df.withColumn("_maps", feature_maps(dictionary))
-        return held.select(*[
-            map_array(c, _feature(F.col("_maps"), specs[c]), default).alias(c)
-            if c in specs else F.col(c)
-            for c in df.columns
-        ])
-    if key is None:
-        raise ValueError("a dictionary beyond the map bound needs the row key")
-    keys = [key] if isinstance(key, str) else list(key)
+                     default: int = UNKNOWN, key=None) -> DataFrame:
+    """The same for every element of array columns; null arrays stay null."""
+    held, keys = _keyed(df, key)
 
     def elements(c, feature):
         known = F.coalesce(F.col(c).cast("array<string>"), F.array().cast("array<string>"))
@@ -94,15 +80,14 @@ def encode_sequences(df: DataFrame, specs: dict, dictionary: DataFrame,
             x.alias("fea_val")))
 
     pairs = F.flatten(F.array(*[elements(c, f) for c, f in specs.items()]))
-    long = df.select(*keys, F.explode(pairs).alias("p")).select(*keys, "p.*")
-    coded = lookup_join(long, dictionary, ["fea_name", "fea_val"])
+    long = held.select(*keys, F.explode(pairs).alias("p")).select(*keys, "p.*")
+    coded = long.join(entries(dictionary, specs.values()), ["fea_name", "fea_val"], "left")
     entry = F.struct("pos", F.coalesce(F.col("encode_id"), F.lit(default)).alias("id"))
     wide = coded.groupBy(*keys).agg(*[
         F.array_sort(F.collect_list(F.when(F.col("col") == c, entry))).alias(f"_n_{c}")
         for c in specs
     ])
-    out = df.join(wide, keys, "left")
-    return out.select(*[
+    return _beside(held, wide, keys, [
         F.when(F.col(c).isNotNull(),
                F.coalesce(F.col(f"_n_{c}.id"), F.array().cast("array<int>"))).alias(c)
         if c in specs else F.col(c)
@@ -111,21 +96,10 @@ def encode_sequences(df: DataFrame, specs: dict, dictionary: DataFrame,
 
 
 def encode_long(long: DataFrame, feature: Column, value: Column, dictionary: DataFrame,
-                out: str = "encode_id", default: int = UNKNOWN,
-                keys_from: DataFrame | None = None, limit: int = MAP_LIMIT) -> DataFrame:
-    """Rows that already hold one value each: one join to the dictionary.
-
-    The dictionary is broadcast if it passes the size check.  ``keys_from`` has
-    the columns that ``feature`` and ``value`` read.
-    """
-
-    def keyed(df):
-        return df.withColumn("fea_name", feature).withColumn("fea_val", value.cast("string"))
-
+                out: str = "encode_id", default: int = UNKNOWN) -> DataFrame:
+    """Rows that already hold one value each: one join to the dictionary."""
     on = ["fea_name", "fea_val"]
-    if fits_in_map(dictionary, limit):
-        coded = keyed(long).join(F.broadcast(dictionary), on, "left")
-    else:
-        coded = lookup_join(keyed(long), dictionary, on,
-                            keys_from=None if keys_from is None else keyed(keys_from))
-    return coded.withColumn(out, F.coalesce(F.col("encode_id"), F.lit(default))).drop(*on)
+    keyed = long.withColumn("fea_name", feature).withColumn("fea_val", value.cast("string"))
+    coded = keyed.join(entries(dictionary), on, "left")
+    return coded.withColumn(out, F.coalesce(F.col("encode_id"), F.lit(default))).drop(
+        *on, *({"encode_id"} - {out}))

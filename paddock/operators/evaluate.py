@@ -66,14 +66,12 @@ def accuracy(df: DataFrame, threshold: float = 0.5, label="label", score="score"
 
 
 def score_pairs(users: DataFrame, items: DataFrame, pairs: DataFrame, user="user_id",
-                item="clue_id", user_vec="user_embedding", item_vec="item_embedding",
-                keys_from: DataFrame | None = None) -> DataFrame:
+                item="clue_id", user_vec="user_embedding", item_vec="item_embedding") -> DataFrame:
     """Inner product and its sigmoid for every pair with both vectors."""
     narrow_u = users.select(user, F.col(user_vec).alias("_u"))
     narrow_i = items.select(item, F.col(item_vec).alias("_i"))
-    keys = pairs if keys_from is None else keys_from
-    both = lookup_join(pairs, narrow_u, user, "inner", keys)
-    both = lookup_join(both, narrow_i, item, "inner", keys)
+    both = lookup_join(pairs, narrow_u, user, "inner")
+    both = lookup_join(both, narrow_i, item, "inner")
     both = both.withColumn("inner_product", dot("_u", "_i"))
     return both.withColumn("score", sigmoid("inner_product")).drop("_u", "_i")
 

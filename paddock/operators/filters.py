@@ -13,6 +13,9 @@ from paddock.functions import safe_int
 
 # Page types of the search scene, and feature name prefixes.
 SCENE_LIKE, SCENE_NOT_LIKE = "%SEARCH%", "%INVITATION%"
+SEARCH, GRAB = "SEARCH", "GRAB"
+#: Scene: page types like the first and not like the second.
+SCENES = {SEARCH: (SCENE_LIKE, SCENE_NOT_LIKE), GRAB: ("%GRAB%", "%INVITATION%")}
 ACTIVE_SCENES = ("%SEARCH%", "%GRAB%")
 FAMILIES = ("s_u", "d_u", "s_i", "d_i", "s_seq", "d_seq")
 KEY_COLUMNS = 5
@@ -23,6 +26,11 @@ def filter_scene(df: DataFrame, like=SCENE_LIKE, not_like=SCENE_NOT_LIKE) -> Dat
     return df.where(page.like(like) & ~page.like(not_like))
 
 
+def filter_named_scene(df: DataFrame, scene: str) -> DataFrame:
+    """The rows of one of :data:`SCENES`; an unknown name is an error."""
+    return filter_scene(df, *SCENES[scene])
+
+
 def filter_scene_any(df: DataFrame, likes=ACTIVE_SCENES) -> DataFrame:
     page = F.col("page_type")
     return df.where(reduce(or_, [page.like(p) for p in likes]))

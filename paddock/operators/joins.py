@@ -1,86 +1,48 @@
 """Joins of a large side to a side with one row per key.
 
-A third of the large side may carry one key.  Runtime skew handling only helps
-where both inputs of the join are bare shuffles, which a grouped or windowed
-input is not, so hot keys are looked for first: one narrow count gives the keys
-with most rows, at most ``HOT_KEYS`` of them.  Where there are none, the join is
-a plain one.  Where there are, large rows of a hot key get one of ``SALTS``
-salts and only the lookup rows of hot keys are repeated; all other rows move as
-in a plain join.  Rows without a key match nothing and are spread as well.
+A third of the large side may carry one key.  The join is on one struct of the
+keys, whatever partitioning the inputs have, so both sides come in as plain
+shuffles and runtime skew handling can split every partition that turns out
+large, a single hot key included, by what was measured: no counting job, no list
+of keys, no salt.  A lookup that is small enough is broadcast by Spark.
 """
 
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-HOT_ROWS_SETTING = "paddock.join.hotRows"
-HOT_ROWS = 1_000_000
-HOT_KEYS = 1000
-SALTS = 256
 
-
-def hot_keys(df: DataFrame, on) -> DataFrame | None:
-    """The keys with more than ``paddock.join.hotRows`` rows, the first 1000 by
-    rows, as a small frame; None if there are none.
-
-    Runs a count over the key columns of ``df``, which should be a stored table
-    or a scan of one.  A key beyond the first 1000 holds less than a thousandth
-    of all rows.
-    """
-    least = int(df.sparkSession.conf.get(HOT_ROWS_SETTING, str(HOT_ROWS)))
-    counted = df.groupBy(*on).agg(F.count("*").alias("_rows")).where(F.col("_rows") > least)
-    top = counted.orderBy(F.col("_rows").desc(), *on).limit(HOT_KEYS).drop("_rows").collect()
-    if not top:
-        return None
-    schema = T.StructType([df.schema[c] for c in on] + [T.StructField("_hot", T.BooleanType())])
-    for field in schema:
-        field.nullable = True
-    return df.sparkSession.createDataFrame([(*r, True) for r in top], schema)
-
-
-def lookup_join(large: DataFrame, lookup: DataFrame, on, how: str = "left",
-                keys_from: DataFrame | None = None) -> DataFrame:
-    """Join ``large`` to ``lookup``, which must hold one row per key.
-
-    ``keys_from`` names a cheaper frame in which the same keys are frequent, such
-    as the table that ``large`` was made from; it decides how rows are spread
-    and never what the result is.
-    """
+def lookup_join(large: DataFrame, lookup: DataFrame, on, how: str = "left") -> DataFrame:
+    """Join ``large`` to ``lookup``, which must hold one row per key; null keys match nothing."""
     on = [on] if isinstance(on, str) else list(on)
-    hot = hot_keys(large if keys_from is None else keys_from, on)
-    if hot is None:
-        return large.join(lookup, on, how)
-    hot = F.broadcast(hot)
-    rest = [c for c in large.columns if c not in on] or on
-    no_key = reduce(or_, [F.col(c).isNull() for c in on])
-    spread = F.coalesce(F.col("_hot"), no_key)
-    left = large.join(hot, on, "left").withColumn(
-        "_salt", F.when(spread, F.pmod(F.xxhash64(*rest), F.lit(SALTS)).cast("int"))
-        .otherwise(0)).drop("_hot")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
-        F.array(F.lit(0)))
-    right = lookup.join(hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    return left.join(right, on + ["_salt"], how).drop("_salt")
+    known = lookup.where(reduce(and_, [F.col(c).isNotNull() for c in on]))
+    right = known.select(F.struct(*on).alias("_key"), *[c for c in lookup.columns if c not in on])
+    left = large.withColumn("_key", F.struct(*on))
+    out = left.join(right, "_key", how).drop("_key")
+    rest = [c for c in large.columns if c not in on]
+    return out.select(*on, *rest, *[c for c in lookup.columns if c not in on])
 
 
-def join_item_features(samples: DataFrame, items: DataFrame, keys_from=None) -> DataFrame:
-    return lookup_join(samples, items, "clue_id", keys_from=keys_from)
+def join_item_features(samples: DataFrame, items: DataFrame) -> DataFrame:
+    return lookup_join(samples, items, "clue_id")
 
 
-def join_user_features(samples: DataFrame, users: DataFrame, keys_from=None) -> DataFrame:
-    return lookup_join(samples, users, "user_id", keys_from=keys_from)
+def join_user_features(samples: DataFrame, users: DataFrame) -> DataFrame:
+    return lookup_join(samples, users, "user_id")
 
 
 def join_sequences(samples: DataFrame, *sequences: DataFrame) -> DataFrame:
-    """Attach sequence frames, each with one row per (user_id, ts)."""
-    keys = samples.select("user_id", "ts")
+    """Attach sequence frames, each with one row per (user_id, ts).
+
+    A user has few samples in one second, so no key is hot, and all joins share
+    one shuffle of the samples.
+    """
     for s in sequences:
-        samples = lookup_join(samples, s, ["user_id", "ts"], keys_from=keys)
+        samples = samples.join(s, ["user_id", "ts"], "left")
     return samples
 
 
@@ -96,16 +58,16 @@ def join_item_rates(items: DataFrame, *rates: DataFrame) -> DataFrame:
     return items
 
 
-def sequence_items(events: DataFrame, items: DataFrame, keys_from=None) -> DataFrame:
+def sequence_items(events: DataFrame, items: DataFrame) -> DataFrame:
     """Events with the attributes of their item; unknown items drop out."""
-    return lookup_join(events, items, "clue_id", "inner", keys_from)
+    return lookup_join(events, items, "clue_id", "inner")
 
 
 def attach_labels(impressions: DataFrame, labels: DataFrame, on=("clue_id", "recommend_id"),
-                  flags=None, keys_from=None) -> DataFrame:
+                  flags=None) -> DataFrame:
     """Left join to flags with one row per key; missing flags are 0."""
     flags = flags or [c for c in labels.columns if c not in on]
-    out = lookup_join(impressions, labels, list(on), keys_from=keys_from)
+    out = lookup_join(impressions, labels, list(on))
     return out.select(*[
         F.coalesce(F.col(c), F.lit(0)).alias(c) if c in flags else F.col(c)
         for c in out.columns

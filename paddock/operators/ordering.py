@@ -111,17 +111,19 @@ def fit_trimmed_scaler(df: DataFrame, cols, p: float = 0.03) -> DataFrame:
 
 
 def _tuple_before(keys, point) -> Column:
-    """Lexicographic (keys) < (point)."""
+    """Lexicographic (keys) < (point), nulls first as in sorting."""
     out = F.lit(False)
     for c in reversed(keys):
-        out = (F.col(c) < F.lit(point[c])) | ((F.col(c) == F.lit(point[c])) & out)
+        here = F.lit(point[c])
+        less = F.lit(False) if point[c] is None else F.col(c).isNull() | (F.col(c) < here)
+        out = F.coalesce(less, F.lit(False)) | (F.col(c).eqNullSafe(here) & out)
     return out
 
 
 def _tuple_equal(keys, point) -> Column:
     out = F.lit(True)
     for c in keys:
-        out = out & (F.col(c) == F.lit(point[c]))
+        out = out & F.col(c).eqNullSafe(F.lit(point[c]))
     return out
 
 
@@ -159,7 +161,7 @@ def time_split(df: DataFrame, shares=(0.8, 0.1, 0.1), ts: str = "ts",
     """Add ``split``: rows in time order cut at int(0.8 n) and int(0.9 n).
 
     Only the keys are sorted.  The rows themselves are labelled by comparison
-    with the keys at the cuts and do not move.  Ties columns must not be null.
+    with the keys at the cuts and do not move.  Null ties come first.
     """
     n = df.count()
     bounds, total = [], 0.0

@@ -16,16 +16,16 @@ from paddock.functions import hash32, keep_draw, unit_draw
 from paddock.operators.joins import lookup_join
 
 SUB_BUCKETS = 64
-EARLY_ITEMS, EARLY_SALTS = 1000, 64
+HOUR = 3600
 
 
 def eligible_index(queries: DataFrame, items: DataFrame, day: str = "dt"):
     """(queries with ``n``, items with ``idx``), both per day.
 
     ``n`` is the number of items with ``on_sale_ts < query_ts``; ``idx`` counts
-    items from 0 by (on_sale_ts, sub-bucket, clue_id).  The only ordered
-    sum runs over counts per (second, sub-bucket) of one day, and the items
-    of one second are numbered by sub-bucket.
+    items from 0 by (on_sale_ts, sub-bucket, clue_id).  Ordered sums
+    run over counts per (second, sub-bucket) inside one hour and over the hours of
+    one day, and the items of one second are numbered by sub-bucket.
     """
     items = items.withColumn("_sub", F.pmod(F.col("clue_id"), F.lit(SUB_BUCKETS)).cast("int"))
     slot = [day, "_sec", "_sub"]
@@ -33,10 +33,15 @@ def eligible_index(queries: DataFrame, items: DataFrame, day: str = "dt"):
         F.count("*").alias("_cnt"))
     asked = queries.select(day, F.col("query_ts").alias("_sec"), F.lit(-1).alias("_sub"),
                            F.lit(0).cast("bigint").alias("_cnt")).distinct()
-    in_order = Window.partitionBy(day).orderBy("_sec", "_sub").rowsBetween(
+    both = marks.unionByName(asked).withColumn("_hour", F.floor(F.col("_sec") / HOUR))
+    in_hour = Window.partitionBy(day, "_hour").orderBy("_sec", "_sub").rowsBetween(
         Window.unboundedPreceding, -1)
-    base = marks.unionByName(asked).select(
-        *slot, F.coalesce(F.sum("_cnt").over(in_order), F.lit(0)).alias("_base"))
+    # one row per hour: what the hours before it add up to
+    hours = both.groupBy(day, "_hour").agg(F.sum("_cnt").alias("_in"))
+    earlier = Window.partitionBy(day).orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
+    hours = hours.select(day, "_hour", F.coalesce(F.sum("_in").over(earlier), F.lit(0)).alias("_off"))
+    base = both.withColumn("_run", F.coalesce(F.sum("_cnt").over(in_hour), F.lit(0))).join(
+        hours, [day, "_hour"]).select(*slot, (F.col("_run") + F.col("_off")).alias("_base"))
 
     w = Window.partitionBy(*slot).orderBy("clue_id")
     numbered = items.withColumn("_sec", F.col("on_sale_ts")).withColumn(
@@ -79,14 +84,9 @@ def sampled_negatives(queries: DataFrame, items: DataFrame, rate: float = 0.3, s
     number = F.when(
         F.col("n") > 0, F.pmod(hash32(f"{seed}-item", *group, "user_id"), F.col("n")))
     chosen = chosen.withColumn("idx", number)
-    # While few items are on sale all requests draw from those few: spread them.
-    early = F.col("n") < EARLY_ITEMS
-    spread = F.pmod(F.xxhash64(*group, "user_id"), F.lit(EARLY_SALTS)).cast("int")
-    chosen = chosen.withColumn("_salt", F.when(early, spread).otherwise(0))
-    copies = F.when(F.col("idx") < EARLY_ITEMS, F.sequence(F.lit(0), F.lit(EARLY_SALTS - 1)))
-    numbered = numbered.select(day, "idx", "clue_id", F.explode(
-        F.coalesce(copies, F.array(F.lit(0)))).alias("_salt"))
-    return chosen.join(numbered, [day, "idx", "_salt"], "left").drop("idx", "n", "_salt")
+    # while few items are on sale all requests draw from those few: a hot key like any other
+    numbered = numbered.select(day, "idx", "clue_id")
+    return lookup_join(chosen, numbered, [day, "idx"]).drop("idx", "n")
 
 
 def bernoulli(df: DataFrame, p: float, seed, keys) -> DataFrame:

@@ -142,7 +142,7 @@ def last_items(spine: DataFrame, events: DataFrame, items: DataFrame, attrs, k:
     """
     rows = point_in_time(spine, events, k=k, lag=lag, floor=floor)
     items = items.select("clue_id", *[a for a in attrs if a != "clue_id"])
-    joined = sequence_items(rows, items, keys_from=events)
+    joined = sequence_items(rows, items)
     seqs = collect_ordered(joined, ["user_id", "ts"], "rn", attrs)
     if pad is None:
         return seqs

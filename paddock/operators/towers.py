@@ -56,15 +56,20 @@ def _dense(x, w, name, relu=True):
     return np.maximum(y, 0.0) if relu else y
 
 
+def known(ids: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Ids outside an embedding table are unknown: 1."""
+    return np.where((ids >= 0) & (ids < len(table)), ids, min(1, len(table) - 1))
+
+
 def forward(pdf: pd.DataFrame, spec: TowerSpec, w: dict) -> np.ndarray:
     """(rows, 32) vectors of one batch."""
     parts = []
     for c, layer in spec.sparse.items():
-        parts.append(w[layer][pdf[c].to_numpy(int)])
+        parts.append(w[layer][known(pdf[c].to_numpy(int), w[layer])])
     if spec.dense:
         parts.append(_dense(pdf[spec.dense].to_numpy(float), w, "dense"))
     for c, layer in spec.sparse_seq.items():
-        parts.append(w[layer][np.stack(pdf[c].to_numpy()).astype(int)].mean(axis=1))
+        parts.append(w[layer][known(np.stack(pdf[c].to_numpy()).astype(int), w[layer])].mean(axis=1))
     if spec.dense_seq:
         flat = np.concatenate([np.stack(pdf[c].to_numpy()) for c in spec.dense_seq], axis=1)
         parts.append(_dense(flat.astype(float), w, "dense_seq"))

@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paddock.plans.histories import (
-    action_events, item_keys, order_events, sample_sequences, sequence_attributes,
+    action_events, order_events, sample_sequences, sequence_attributes,
 )
 from paddock.plans.items import item_features, latest_prices, priced_items
 from paddock.plans.samples import train_samples
 from paddock.plans.users import sample_user_features
+from paddock.operators.filters import SEARCH
 from paddock.session import cut
 from paddock.sources.sinks import write_partition
 from paddock.sources.tables import scan_day, shift_day
@@ -21,7 +22,8 @@ from paddock.sources.tables import scan_day, shift_day
 @dataclass
 class Inputs:
     """The tables of a run.  ``items``, ``rates`` and ``users`` are functions of
-    the day, so a source may keep snapshots or derive them."""
+    the day, so a source may keep snapshots or derive them.  Items created at
+    ``min_create`` (text) or before have no features."""
 
     behaviour: DataFrame
     orders: DataFrame
@@ -30,40 +32,41 @@ class Inputs:
     items: object
     rates: object
     users: object
+    min_create: str
     price_ties: tuple = ()
 
 
 def daily_samples(inputs: Inputs, run_date: str, samples: DataFrame | None = None,
-                  as_text: bool = False, exact: bool = False) -> DataFrame:
-    """All features of the samples of one day, in one job without step tables.
+                  as_text: bool = False, scene: str = SEARCH) -> DataFrame:
+    """All features of one scene's samples of one day, in one job without step tables.
 
     Item rates and user features come from the day before.  Only the five key
     columns of the samples are written in between: four joins start from them.
     """
     if samples is None:
-        samples = cut(train_samples(scan_day(inputs.behaviour, run_date)).drop("dt"))
+        samples = cut(train_samples(scan_day(inputs.behaviour, run_date), scene=scene).drop("dt"))
     before = shift_day(run_date, -1)
     prices = latest_prices(inputs.price_log, run_date, ties=inputs.price_ties)
     items = inputs.items(run_date)
     keys = samples.where(F.col("clue_id").isNotNull())
     out = item_features(
-        keys, items, prices, inputs.rates(before), inputs.dictionary, run_date)
-    out = sample_user_features(out, inputs.users(before), keys)
+        keys, items, prices, inputs.rates(before), inputs.dictionary, run_date,
+        inputs.min_create)
+    out = sample_user_features(out, inputs.users(before))
     attributes = sequence_attributes(priced_items(items, prices, run_date), inputs.dictionary)
-    events = action_events(inputs.behaviour, run_date, exact=exact).unionByName(
+    events = action_events(inputs.behaviour, run_date).unionByName(
         order_events(inputs.orders, run_date))
-    out = sample_sequences(out, events, attributes, as_text, keys_from=keys,
-                           item_keys=item_keys(inputs.behaviour))
+    out = sample_sequences(out, events, attributes, as_text, keys_from=keys)
     return out.withColumn("dt", F.lit(run_date))
 
 
-def backfill(inputs: Inputs, start: str, end: str, path: str, scene: str = "SEARCH",
+def backfill(inputs: Inputs, start: str, end: str, path: str, scene: str = SEARCH,
              **kw) -> list[str]:
-    """Run the daily job for each day of a range; each run replaces its own partition."""
+    """Run the daily job of a scene for each day of a range; each run replaces its own partition."""
     done, day = [], start
     while day <= end:
         write_partition(
-            daily_samples(inputs, day, **kw).drop("dt"), path, dt=day, scene=scene)
+            daily_samples(inputs, day, scene=scene, **kw).drop("dt"), path, dt=day, scene=scene)
         done.append(day)
         day = shift_day(day, 1)
     return done

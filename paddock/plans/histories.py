@@ -20,12 +20,12 @@ PAD = "1"
 
 
 def action_events(behaviour: DataFrame, run_date: str, actions=("click", "bid"),
-                  exact: bool = False) -> DataFrame:
+                  lag: int = N.VISIBLE_AFTER) -> DataFrame:
     """(user_id, action, ts, clue_id): recent history and all of the run date.
 
-    The history of the days before is cut to the last 10 before the visibility
-    lag applies, so an event in the last minute before midnight can leave a
-    sample with fewer than 10; ``exact`` keeps the whole lookback instead.
+    Of the days before, the last 10 events that every moment of the run date can
+    see are kept, and all that come within ``lag`` seconds of midnight: bounded
+    per user, and no moment misses one of its last 10.
     """
     window = scan_window(behaviour, run_date, -N.HISTORY_DAYS, 0)
     rows = valid_ids(window.where(F.col("action").isin(*actions)), ["user_id", "clue_id"],
@@ -33,17 +33,12 @@ def action_events(behaviour: DataFrame, run_date: str, actions=("click", "bid"),
     cols = ["user_id", "action", "ts", "clue_id"]
     # users that are not numbers cannot be joined to a sample
     rows = int_ids(rows, ["user_id", "ts", "clue_id"]).where(F.col("user_id").isNotNull())
-    if exact:
-        return rows.select(*cols)
     before = scan_window(rows, run_date, -N.HISTORY_DAYS, -1)
-    history = last_k_history(before, N.SEQ_LENGTH, by=("user_id", "action"))
-    today = scan_day(rows, run_date)
-    return union_history_today(history.select(*cols), today.select(*cols))
-
-
-def item_keys(behaviour: DataFrame) -> DataFrame:
-    """The item ids of the log, as the events carry them."""
-    return int_ids(behaviour.select("clue_id"), ["clue_id"])
+    midnight = F.unix_timestamp(F.lit(run_date), "yyyy-MM-dd")
+    late = F.coalesce(F.col("ts") >= midnight - lag, F.lit(False))
+    history = last_k_history(before.where(~late), N.SEQ_LENGTH, by=("user_id", "action"))
+    late_or_today = before.where(late).unionByName(scan_day(rows, run_date))
+    return union_history_today(history.select(*cols), late_or_today.select(*cols))
 
 
 def order_events(orders: DataFrame, run_date: str) -> DataFrame:
@@ -67,8 +62,7 @@ def sequence_attributes(priced: DataFrame, dictionary: DataFrame) -> DataFrame:
 
 
 def sequence_features(moments: DataFrame, events: DataFrame, attributes: DataFrame,
-                      k: int = N.SEQ_LENGTH, lag: int = N.VISIBLE_AFTER,
-                      item_keys: DataFrame | None = None) -> DataFrame:
+                      k: int = N.SEQ_LENGTH, lag: int = N.VISIBLE_AFTER) -> DataFrame:
     """(user_id, ts, arrays..., realtime statistics): one row per moment with history.
 
     The three kinds of event are one pass: the kind is part of the key until
@@ -77,8 +71,7 @@ def sequence_features(moments: DataFrame, events: DataFrame, attributes: DataFra
     kinds = F.explode(F.array(*[F.lit(a) for a in N.SEQ_ACTIONS]))
     spine = moments.select("user_id", "ts").distinct().select("user_id", kinds.alias("action"), "ts")
     rows = point_in_time(spine, events, by=("user_id", "action"), k=k, lag=lag)
-    item_keys = events if item_keys is None else item_keys
-    rows = sequence_items(rows.drop("event_ts"), attributes, keys_from=item_keys)
+    rows = sequence_items(rows.drop("event_ts"), attributes)
     cols = [*N.SEQ_SPARSE, *N.SEQ_DENSE]
     nested = collect_by_action(rows, ["user_id", "ts"], "rn", cols, N.SEQ_ACTIONS)
     out = []
@@ -92,19 +85,17 @@ def sequence_features(moments: DataFrame, events: DataFrame, attributes: DataFra
 
 def sample_sequences(samples: DataFrame, events: DataFrame, attributes: DataFrame,
                      as_text: bool = False, drop_nulls: bool = False,
-                     keys_from: DataFrame | None = None,
-                     item_keys: DataFrame | None = None) -> DataFrame:
+                     keys_from: DataFrame | None = None) -> DataFrame:
     """Samples with padded sparse sequences, dense sequences and statistics.
 
     Sparse sequences always have 10 elements; dense ones keep their length and
     are padded by preprocessing.  ``as_text`` gives comma text, in which null
     elements vanish; ``drop_nulls`` does the same to the arrays.  ``keys_from``
-    is the narrow sample table, where ``samples`` already carries features;
-    ``item_keys`` a scan with the item ids of the events.
+    is the narrow sample table, where ``samples`` already carries features.
     """
     keys = samples if keys_from is None else keys_from
-    seqs = sequence_features(keys, events, attributes, item_keys=item_keys)
-    wide = lookup_join(samples, seqs, ["user_id", "ts"], keys_from=keys)
+    seqs = sequence_features(keys, events, attributes)
+    wide = samples.join(seqs, ["user_id", "ts"], "left")
     out = [F.col(c) for c in samples.columns]
     stats = [c for c in seqs.columns if c.startswith("d_u_")]
     for a in N.SEQ_ACTIONS:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paddock.functions import (
@@ -18,8 +18,6 @@ from paddock.operators.windows import latest_per_key
 from paddock.plans import names as N
 from paddock.sources.tables import scan_window
 
-MIN_CREATE = "2024"
-
 
 def latest_prices(price_log: DataFrame, run_date: str, days: int = N.PRICE_DAYS,
                   ties=()) -> DataFrame:
@@ -31,6 +29,25 @@ def latest_prices(price_log: DataFrame, run_date: str, days: int = N.PRICE_DAYS,
     ])
 
 
+def prices_by_day(asked: DataFrame, price_log: DataFrame, days: int = N.PRICE_DAYS,
+                  ties=()) -> DataFrame:
+    """(dt, clue_id, model_price): the price :func:`latest_prices` gives each asked day and item.
+
+    ``asked`` holds distinct (dt, clue_id).  One ordered pass per item over its
+    price rows and asked days; a row's price is the last before it.
+    """
+    marks = asked.select("clue_id", "dt", F.lit(1).alias("_asked"))
+    rows = price_log.withColumn("clue_id", safe_int("clue_id")).where("clue_id is not null").select(
+        "clue_id", "dt", F.lit(0).alias("_asked"), "ts", *ties,
+        F.struct("dt", safe_int("model_price").alias("p")).alias("_last"))
+    both = rows.unionByName(marks, allowMissingColumns=True)
+    order = Window.partitionBy("clue_id").orderBy("dt", "_asked", "ts", *ties)
+    seen = both.withColumn("_last", F.last("_last", ignorenulls=True).over(
+        order.rowsBetween(Window.unboundedPreceding, 0))).where("_asked = 1")
+    recent = F.col("_last.dt") >= F.date_sub(F.col("dt").cast("date"), days).cast("string")
+    return seen.select("dt", "clue_id", F.when(recent, F.col("_last.p")).alias("model_price"))
+
+
 def priced_items(items: DataFrame, prices: DataFrame, run_date: str) -> DataFrame:
     """Snapshot rows with price, segments and bins; one row per item."""
     out = join_latest_price(items, prices)
@@ -63,7 +80,7 @@ def item_table(items: DataFrame, prices: DataFrame, rates, dictionary: DataFrame
 
 
 def item_features(samples: DataFrame, items: DataFrame, prices: DataFrame, rates,
-                  dictionary: DataFrame, run_date: str, min_create: str = MIN_CREATE,
+                  dictionary: DataFrame, run_date: str, min_create: str,
                   names=None) -> DataFrame:
     """Samples with a known item id and the features of their item.
 

@@ -26,8 +26,9 @@ def active_users(behaviour: DataFrame, run_date: str) -> DataFrame:
     """Users who saw an item in an active scene in the last days."""
     window = filter_scene_any(scan_window(behaviour, run_date, -ACTIVE_DAYS, 0))
     seen = valid_ids(filter_actions(window, ["beseen"]), ["user_id"], above_zero=False)
-    return distinct_rows(seen, ["user_id"]).withColumn(
-        "user_id", F.expr("try_cast(user_id as int)"))
+    ids = seen.select(F.expr("try_cast(user_id as int)").alias("user_id"))
+    # one user may have several spellings ('1', '01'); malformed ids name nobody
+    return distinct_rows(ids.where("user_id is not null"), ["user_id"])
 
 
 def model_inputs(features: DataFrame, sparse, dense, stats: DataFrame) -> DataFrame:

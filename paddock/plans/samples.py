@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from paddock.functions import price_reached
 from paddock.functions.scalars import PRICE_SHARES
 from paddock.operators.aggregates import distinct_rows, first_seen, query_heads
-from paddock.operators.filters import filter_actions, filter_scene, int_ids, valid_ids
+from paddock.operators.filters import (
+    SEARCH, filter_actions, filter_named_scene, filter_scene, int_ids, valid_ids,
+)
 from paddock.operators.joins import attach_labels, lookup_join
 from paddock.operators.sampling import sampled_negatives, union_labels
 from paddock.operators.windows import first_per_key
@@ -23,9 +25,9 @@ LABEL_ACTIONS = ("beseen", "click", "quick_collection", "bid")
 ORDER_AHEAD_DAYS = 3
 
 
-def requests_and_items(behaviour: DataFrame):
-    """(request heads, items on sale) of each day in the search scene."""
-    scene = filter_scene(behaviour)
+def requests_and_items(behaviour: DataFrame, scene: str = SEARCH):
+    """(request heads, items on sale) of each day in a scene."""
+    scene = filter_named_scene(behaviour, scene)
     items = int_ids(valid_ids(scene, ["clue_id"]), ["clue_id", "ts"])
     items = first_seen(items, by=["dt"])
     seen = valid_ids(filter_actions(scene, ["beseen"]), ["user_id", "clue_id"])
@@ -34,62 +36,70 @@ def requests_and_items(behaviour: DataFrame):
     return heads, items
 
 
-def positives(behaviour: DataFrame) -> DataFrame:
+def positives(behaviour: DataFrame, scene: str = SEARCH) -> DataFrame:
     """Distinct bids: the positive pairs."""
-    bids = valid_ids(filter_actions(filter_scene(behaviour), ["bid"]), ["user_id", "clue_id"])
+    bids = valid_ids(filter_actions(filter_named_scene(behaviour, scene), ["bid"]), ["user_id", "clue_id"])
     bids = int_ids(bids.where(F.col("recommend_id") != ""), ["user_id", "clue_id", "ts"])
     rows = distinct_rows(bids, ["dt", "user_id", "clue_id", "recommend_id", "ts"])
     return rows.withColumn("label", F.lit(1)).select(*SAMPLE_COLUMNS)
 
 
-def train_samples(behaviour: DataFrame, rate: float = NEGATIVE_RATE, seed: int = 1) -> DataFrame:
+def train_samples(behaviour: DataFrame, rate: float = NEGATIVE_RATE, seed: int = 1,
+                  scene: str = SEARCH) -> DataFrame:
     """Positive bids and, for a share of the requests, one random item on sale.
 
     A request before the first item of its day gives a null item, as a left
     join would; feature jobs drop it.
     """
-    heads, items = requests_and_items(behaviour)
+    heads, items = requests_and_items(behaviour, scene)
     negatives = sampled_negatives(heads, items, rate, seed)
     negatives = negatives.select(
         "dt", "user_id", "clue_id", "recommend_id", F.lit(0).alias("label"),
         F.col("query_ts").alias("ts"))
-    return union_labels(positives(behaviour), negatives)
+    return union_labels(positives(behaviour, scene), negatives)
 
 
 def label_events(behaviour: DataFrame) -> DataFrame:
-    """The earliest row per (item, user, request, action) in the search scene."""
+    """The earliest row per day and (item, user, request, action) in the search scene."""
     df = valid_ids(filter_scene(behaviour), ["user_id"], above_zero=False,
                    not_values=("0", "unknown"))
     df = df.where((F.col("recommend_id") != "") & (F.col("clue_id") != ""))
     df = int_ids(filter_actions(df, LABEL_ACTIONS), ["user_id", "clue_id", "ts"])
     df = df.withColumn("amount", F.expr("try_cast(try_cast(amount as double) as int)"))
     return first_per_key(
-        df, ["clue_id", "user_id", "recommend_id", "action"], ties=["amount"])
+        df, ["dt", "clue_id", "user_id", "recommend_id", "action"], ties=["amount"])
 
 
-def label_flags(events: DataFrame, prices: DataFrame, by_user: bool = False,
-                keys_from: DataFrame | None = None) -> DataFrame:
-    """One row of flags per (item, request) from one aggregation.
+def label_flags(events: DataFrame, prices: DataFrame, by_user: bool = False) -> DataFrame:
+    """One row of flags per (day, item, request) from one aggregation.
+
+    ``prices``: (dt, clue_id, model_price), the latest price as of each day.
 
     The key leaves the user out, as times reported by clients are not exact but
     requests are; where users share a request this gives one flag and not one
     row per user.  ``by_user`` adds the user to the key.
     """
     priced = lookup_join(events.where("action <> 'beseen'"),
-                         prices.select("clue_id", "model_price"), "clue_id", keys_from=keys_from)
+                         prices.select("dt", "clue_id", "model_price"), ["dt", "clue_id"])
     bid = F.col("action") == "bid"
     flags = {f"is_{a}": (F.col("action") == a).cast("int") for a in LABEL_ACTIONS[1:]}
     flags.update({
         name: F.when(bid, price_reached(share)).otherwise(0)
         for name, share in PRICE_SHARES.items()
     })
-    keys = ["clue_id", "recommend_id"] + (["user_id"] if by_user else [])
+    keys = ["dt", "clue_id", "recommend_id"] + (["user_id"] if by_user else [])
     return priced.groupBy(*keys).agg(*[F.max(c).alias(n) for n, c in flags.items()])
 
 
-def order_flags(orders: DataFrame, ahead: int = ORDER_AHEAD_DAYS) -> DataFrame:
-    """(dt, clue_id, user_id, is_order) for orders on the day or up to ``ahead`` days later."""
+def order_flags(orders: DataFrame, days: DataFrame, ahead: int = ORDER_AHEAD_DAYS) -> DataFrame:
+    """(dt, clue_id, user_id, is_order) for orders on a day or up to ``ahead`` days later.
+
+    ``days``: (dt), the days of the log; other orders drop out before they are multiplied.
+    """
     made = F.substring("create_time", 1, 10).cast("date")
+    span = days.agg(F.min("dt").alias("first"), F.max("dt").alias("last"))
+    first, last = span.select("first").scalar(), span.select("last").scalar()
+    orders = orders.where((made >= first.cast("date")) & (made <= F.date_add(last.cast("date"), ahead)))
     days = F.sequence(F.date_sub(made, ahead), made)
     return orders.select(
         F.explode(F.transform(days, lambda d: d.cast("string"))).alias("dt"), "clue_id", "user_id"
@@ -100,19 +110,17 @@ def impression_labels(behaviour: DataFrame, prices: DataFrame, orders: DataFrame
                       by_user: bool = False) -> DataFrame:
     """Impressions with their click, collection, bid, price and order labels.
 
-    ``prices`` holds the latest price per item, ``orders`` int ids and the
-    time of each order.  A request id belongs to one request, so the log may
-    span days; an impression has the day of its first sighting.
+    ``prices`` holds the latest price per day and item, ``orders`` int ids and
+    the time of each order.  Every day is labelled by itself: a range of days
+    gives the rows of its days.
     """
     events = label_events(behaviour)
     seen = events.where("action = 'beseen'").select(
         "dt", "clue_id", "user_id", "recommend_id", "ts")
-    scan = int_ids(behaviour.select("dt", "clue_id", "user_id", "recommend_id"),
-                   ["clue_id", "user_id"])
-    keys = ["clue_id", "recommend_id"] + (["user_id"] if by_user else [])
-    flags = label_flags(events, prices, by_user, keys_from=scan)
-    out = attach_labels(seen, flags, keys, keys_from=scan)
-    out = attach_labels(out, order_flags(orders), ["dt", "clue_id", "user_id"], keys_from=scan)
+    keys = ["dt", "clue_id", "recommend_id"] + (["user_id"] if by_user else [])
+    out = attach_labels(seen, label_flags(events, prices, by_user), keys)
+    flags = order_flags(orders, behaviour.select("dt"))
+    out = attach_labels(out, flags, ["dt", "clue_id", "user_id"])
     return out.select(
         "dt", "clue_id", "user_id", "recommend_id", "ts", "is_click", "is_quick_collection",
         "is_bid", *PRICE_SHARES, "is_order")

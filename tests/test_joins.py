@@ -4,60 +4,87 @@ from paddock.operators import encoding as E
 from paddock.operators import joins as J
 
 
-@pytest.fixture
-def few(spark):
-    """Keys count as hot from three rows on."""
-    spark.conf.set(J.HOT_ROWS_SETTING, "2")
-    yield
-    spark.conf.unset(J.HOT_ROWS_SETTING)
-
-
 def sample(spark):
     rows = [(1, i) for i in range(50)] + [(2, 50), (3, 51)] + [(None, i) for i in range(60, 70)]
     large = spark.createDataFrame(rows, "k int, v int")
-    lookup = spark.createDataFrame([(1, "a"), (2, "b"), (9, "z")], "k int, name string")
+    lookup = spark.createDataFrame([(1, "a"), (2, "b"), (9, "z"), (None, "n")], "k int, name string")
     return large, lookup
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_hot_keys_do_not_change_the_result(spark, few, how):
+def test_lookup_is_the_plain_join(spark, how):
     large, lookup = sample(spark)
-    assert {r.k for r in J.hot_keys(large, ["k"]).collect()} == {1, None}
     got = sorted(map(str, J.lookup_join(large, lookup, "k", how).collect()))
     assert got == sorted(map(str, large.join(lookup, "k", how).collect()))
 
 
-def test_hot_keys_spread_over_tasks(spark, few):
-    large, lookup = sample(spark)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_one_hot_key_of_equal_rows_is_split_at_run_time(spark):
+    """Grouped inputs on both sides, nine in ten rows alike: runtime skew handling still applies."""
+    held = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+            "spark.sql.adaptive.forceOptimizeSkewedJoin": "true"}
+    large = spark.range(0, 60000, 1, 8).selectExpr(
+        "if(id % 10 = 0, id, 7) as k", "repeat(uuid(), 3) as v")
+    lookup = spark.range(0, 60000, 1, 8).selectExpr("id as k", "id % 5 as n").groupBy("k").max("n")
+    before = {c: spark.conf.get(c, None) for c in held}
+    for c, v in held.items():
+        spark.conf.set(c, v)
     try:
-        plan = J.lookup_join(large, lookup, "k")._jdf.queryExecution().toString()
+        out = J.lookup_join(large, lookup, "k")
+        assert len(out.collect()) == 60000
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "_salt" in plan and "Cartesian" not in plan
-
-
-def test_no_hot_keys_gives_a_plain_join(spark):
-    large, lookup = sample(spark)
-    assert "_salt" not in J.lookup_join(large, lookup, "k")._jdf.queryExecution().toString()
+        for c, v in before.items():
+            spark.conf.unset(c) if v is None else spark.conf.set(c, v)
 
 
 def test_labels_default_to_zero(spark):
     seen = spark.createDataFrame([(1, "r", 5), (2, "r", 6)], "clue_id int, recommend_id string, ts int")
     flags = spark.createDataFrame([(1, "r", 1)], "clue_id int, recommend_id string, is_bid int")
-    rows = sorted(map(tuple, J.attach_labels(seen, flags).collect()))
+    rows = sorted(map(tuple, J.attach_labels(seen, flags).select(
+        "clue_id", "recommend_id", "ts", "is_bid").collect()))
     assert rows == [(1, "r", 5, 1), (2, "r", 6, 0)]
 
 
-@pytest.mark.parametrize("limit", [100, 0])
-def test_encoding_on_both_ways(spark, limit):
+def codes(spark, extra=()):
+    return spark.createDataFrame([("f", "x", 7), ("f", "y", 8), ("g", "new", 9), *extra],
+                                 "fea_name string, fea_val string, encode_id int")
+
+
+@pytest.mark.parametrize("key", ["id", None])
+def test_encoding_with_and_without_a_key(spark, key):
     df = spark.createDataFrame([(1, "x"), (2, "new"), (3, None)], "id int, c string")
-    codes = spark.createDataFrame([("f", "x", 7), ("f", "y", 8), ("g", "new", 9)],
-                                  "fea_name string, fea_val string, encode_id int")
-    out = E.encode_categories(df, {"c": "f"}, codes, key="id", limit=limit)
+    out = E.encode_categories(df, {"c": "f"}, codes(spark), key=key)
     assert dict(map(tuple, out.select("id", "c").collect())) == {1: 7, 2: 1, 3: 1}
     arrays = spark.createDataFrame([(1, ["x", "new", None]), (2, []), (3, None)],
                                    "id int, c array<string>")
-    out = E.encode_sequences(arrays, {"c": "f"}, codes, key="id", limit=limit)
+    out = E.encode_sequences(arrays, {"c": "f"}, codes(spark), key=key)
     got = dict(map(tuple, out.select("id", "c").collect()))
     assert got == {1: [7, 1, 1], 2: [], 3: None}
+
+
+def test_encoding_of_null_keys_and_equal_rows(spark):
+    df = spark.createDataFrame([(None, "x", ["x"]), (1, "y", ["y", "x"]), (1, "y", ["y", "x"])],
+                               "id int, c string, a array<string>")
+    out = E.encode_categories(df, {"c": "f"}, codes(spark))
+    assert sorted(r.c for r in out.collect()) == [7, 8, 8]
+    out = E.encode_sequences(df, {"a": "f"}, codes(spark))
+    assert sorted(r.a for r in out.collect()) == [[7], [8, 7], [8, 7]]
+    one = E.encode_categories(df.limit(1), {"c": "f"}, codes(spark), key="id")
+    assert [r.c for r in one.collect()] == [7]
+
+
+def test_a_repeated_value_has_its_smallest_id(spark):
+    df = spark.createDataFrame([(1, "x")], "id int, c string")
+    out = E.encode_categories(df, {"c": "f"}, codes(spark, [("f", "x", 3)]))
+    assert [r.c for r in out.collect()] == [3]
+
+
+def test_a_large_dictionary(spark):
+    many = spark.range(25000).selectExpr("'f' as fea_name", "cast(id as string) as fea_val",
+                                         "cast(id + 2 as int) as encode_id")
+    df = spark.createDataFrame([(1, "24999"), (2, "x")], "id int, c string")
+    out = E.encode_categories(df, {"c": "f"}, many)
+    assert dict(map(tuple, out.collect())) == {1: 25001, 2: 1}

@@ -74,3 +74,10 @@ def test_trimmed_scaler(spark):
     kept = [float(i) for i in range(3, 98)]
     assert r["mean"] == pytest.approx(statistics.mean(kept))
     assert r["scale"] == pytest.approx(statistics.pstdev(kept))
+
+
+def test_time_split_with_null_ties(spark):
+    rows = [(100, None if i < 4 else i, 1, "r") for i in range(10)]
+    df = spark.createDataFrame(rows, "ts int, clue_id int, user_id int, recommend_id string")
+    got = [r.split for r in O.time_split(df, ties=("clue_id", "user_id", "recommend_id")).collect()]
+    assert (got.count("train"), got.count("valid"), got.count("test")) == (8, 1, 1)

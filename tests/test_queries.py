@@ -6,7 +6,6 @@ import pytest
 
 from checks import ORACLES, QUERIES
 from checks.compare import check, connect
-from paddock.operators.joins import HOT_ROWS_SETTING
 
 SF = "/root/testdata/sf0.001"
 SOME = ["entry_last_clicked_items", "p1_train_samples", "p2_impression_labels",
@@ -27,16 +26,28 @@ def test_query_equals_sql(spark, con, name):
     assert text.startswith("ok"), text
 
 
-@pytest.mark.parametrize("name", [
-    "p2_impression_labels", "p5_item_features", "p6_sample_user_features", "m4_score_pairs",
-    "j10_sequence_items"])
-def test_query_equals_sql_with_many_hot_keys(spark, con, name):
-    spark.conf.set(HOT_ROWS_SETTING, "5")
-    try:
-        text, _, _ = check(spark, con, SF, name, QUERIES[name], ORACLES.get(name))
-    finally:
-        spark.conf.unset(HOT_ROWS_SETTING)
-    assert text.startswith("ok"), text
+def test_a_range_of_days_is_labelled_as_its_days(spark):
+    from functools import reduce
+
+    from checks.fixtures import Tables
+    from paddock.plans.samples import impression_labels
+
+    t = Tables(spark, SF)
+    days = [r.dt for r in t.behaviour.select("dt").distinct().collect()]
+    whole = impression_labels(t.behaviour, t.day_prices, t.orders)
+    parts = [impression_labels(t.behaviour.where(t.behaviour.dt == d), t.day_prices, t.orders) for d in days[:4]]
+    rows = reduce(lambda a, b: a.unionByName(b), parts)
+    got, want = rows.collect(), whole.where(whole.dt.isin(days[:4])).collect()
+    assert got and sorted(map(str, got)) == sorted(map(str, want))
+
+
+def test_scenes_select_their_own_samples(spark):
+    from checks.fixtures import Tables
+    from paddock.plans.samples import train_samples
+
+    t = Tables(spark, SF)
+    search, grab = (train_samples(t.behaviour, scene=s).collect() for s in ("SEARCH", "GRAB"))
+    assert search and grab and not {(r.user_id, r.ts) for r in search} & {(r.user_id, r.ts) for r in grab}
 
 
 def test_every_query_of_the_inventory_is_registered():
