@@ -115,18 +115,20 @@ def preprocess_apply(df: DataFrame, stats: DataFrame, as_json: bool = True) -> D
     return _finish(prepare(df, families), families, stats, as_json)
 
 
-def attribute_of(column: str) -> str:
-    """The dictionary name inside a feature name.
+def dictionary_names() -> dict[str, str]:
+    """Encoded feature -> dictionary name, from the definitions of the features."""
+    out = {feature: name for _, feature, name in N.ITEM_SPARSE}
+    favourites = {**N.action_favourites(), **N.order_favourites("0_30"), **N.order_favourites("0_365")}
+    out.update({feature: N.cluster_name(spec[-1]) for feature, spec in favourites.items()})
+    for action in N.SEQ_ACTIONS:
+        for name in N.SEQ_SPARSE.values():
+            out[N.seq_name("s", action, name)] = name
+    return out
 
-    A user feature ends in its two window bounds; a sequence ends in 'seq'
-    after its action; an item feature is the rest of the name.
-    """
-    words = column.split("_")
-    if column.startswith("s_seq_"):
-        return "_".join(words[4:-1])
-    if column.startswith("s_u_"):
-        return "_".join(words[3:-2])
-    return "_".join(words[2:]) if column.startswith("s_i_") else column
+
+def attribute_of(column: str) -> str:
+    """The dictionary name of a feature; a column that is no defined feature names itself."""
+    return dictionary_names().get(column, column)
 
 
 def encode_raw(df: DataFrame, dictionary: DataFrame, key=N.KEYS) -> DataFrame:
@@ -143,9 +145,9 @@ def encode_raw(df: DataFrame, dictionary: DataFrame, key=N.KEYS) -> DataFrame:
         if c in padded else F.col(c)
         for c in df.columns
     ])
-    scalars = {c: attribute_of(c) for c in families["s_u"] + families["s_i"]}
-    scalars = {c: a for c, a in scalars.items() if a in known}
-    arrays = {c: attribute_of(c) for c in families["s_seq"] if attribute_of(c) in known}
+    of = dictionary_names()
+    scalars = {c: of[c] for c in families["s_u"] + families["s_i"] if of.get(c) in known}
+    arrays = {c: of[c] for c in families["s_seq"] if of.get(c) in known}
     if scalars:
         df = encode_categories(df, scalars, dictionary)
     return encode_sequences(df, arrays, dictionary, key=list(key)) if arrays else df
