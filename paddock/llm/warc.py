@@ -38,8 +38,8 @@ def records(df: DataFrame, key: str = "page_id", url: str = "url", payload: str
     twice = written(narrow.groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("n"))
                     .where("n > 1").select("digest", "first"), "twice")
     again = written(narrow.join(twice, "digest").where("id is null or id != first").select(
-        "id", F.col("first").alias("refers_to")).distinct(), "revisits")
-    return rows.join(again.hint("shuffle_hash"), "id", "left").withColumn(
+        "id", "digest", F.col("first").alias("refers_to")).distinct(), "revisits")
+    return rows.join(again.hint("shuffle_hash"), ["id", "digest"], "left").withColumn(
         "kind", F.when(F.col("refers_to").isNull(), "response").otherwise("revisit"))
 
 
