@@ -12,6 +12,8 @@ from paddock.session import shared_dir
 #: White space as the word pattern ``[^\x20\x09-\x0D]+`` sees it.
 BLANK = "[\\x20\\x09-\\x0D]+"
 BLANK_CHARS = " \t\n\x0b\x0c\r"
+#: Lets Spark drop a query's shuffle files as soon as its table is written.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def packed(df: DataFrame, **named: str | Column) -> DataFrame:
@@ -54,5 +56,13 @@ def scratch(spark: SparkSession, label: str) -> str:
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a table in the shared folder: lineage ends there, lost executors lose nothing."""
     path = scratch(df.sparkSession, label)
-    df.write.parquet(path)
+    conf = df.sparkSession.conf
+    kept = conf.get(CLEANUP, None)
+    if kept is not None:
+        conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if kept is not None:
+            conf.set(CLEANUP, kept)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,14 +8,18 @@
    The sample decides how many candidates there are and never what is found.
 2. Equal sets are one node, named by their smallest id.  Nodes with the same
    prefix and size are one group, and only groups have postings.
-3. Candidates come from the postings without all pairs: of the groups of a
-   shingle one is the hub, the same wherever it occurs, and the members of the
-   others are verified against its first node.  Shingles whose nodes are all in
-   one component are done.  After ``ROUNDS`` rounds with other hubs, what is left
-   is enumerated in full: group pairs of a shingle that pass the size filter,
-   expanded to members that are in different components yet.  So every pair that
-   may link is verified, or its two nodes are known to be connected already.
-4. Verification counts the intersection of the two whole sets.
+3. Shingles with the same list of groups are one.  Candidates come from these
+   lists without all pairs: of the groups of a list one is the hub, and the
+   members of the others are verified against its first node.  Lists whose nodes
+   are all in one component are done and drop out.  After ``ROUNDS`` rounds with
+   other hubs, what is left is enumerated in full: group pairs of a list that
+   pass the size filter, expanded to members that are in different components
+   yet.  So every pair that may link is verified, or its two nodes are known to
+   be connected already.
+4. A candidate pair is verified in two steps.  What two sets share is at most
+   what their prefixes share and one of their rests, so most pairs fall by their
+   prefixes alone; the intersection of the two whole sets decides the others.
+   Whole sets are made only of the nodes that get so far.
 """
 
 from __future__ import annotations
@@ -109,13 +113,44 @@ def _only(df: DataFrame, ids: DataFrame) -> DataFrame:
         ids.hint("shuffle_hash"), "id", "left_semi")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those pairs ``a``, ``b`` whose sets link."""
-    a = sets.select(F.col("id").alias("a"), F.col("s").alias("sa"))
-    b = sets.select(F.col("id").alias("b"), F.col("s").alias("sb"))
-    both = pairs.join(b, "b").join(a, "a")
-    shared = F.size(F.array_intersect("sa", "sb"))
-    return both.where(100 * shared >= PERCENT * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
+def _enough(shared, a, b):
+    return 100 * shared >= PERCENT * (a + b - shared)
+
+
+def _both(pairs: DataFrame, values: DataFrame, *names: str) -> DataFrame:
+    """``pairs`` with the named values of both nodes."""
+    for side in ("b", "a"):
+        pairs = pairs.join(values.select(F.col("id").alias(side), *[
+            F.col(n).alias(f"{n}_{side}") for n in names]), side)
+    return pairs
+
+
+class _Verifier:
+    """Tells which pairs ``a``, ``b`` link; keeps the whole sets it has made."""
+
+    def __init__(self, docs: DataFrame, prefixes: DataFrame):
+        self.docs, self.prefixes = docs, prefixes
+        self.sets: DataFrame | None = None
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        near = _both(pairs, self.prefixes, "n", "prefix")
+        rest = F.greatest(F.col("n_a") - F.size("prefix_a"), F.col("n_b") - F.size("prefix_b"))
+        most = F.least(F.size(F.array_intersect("prefix_a", "prefix_b")) + rest, F.col("n_a"), F.col("n_b"))
+        near = written(near.where(_enough(most, F.col("n_a"), F.col("n_b"))).select("a", "b"), "pairs")
+        self._make(near.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+        if self.sets is None:
+            return near
+        whole = _both(near, self.sets, "s")
+        shared = F.size(F.array_intersect("s_a", "s_b"))
+        return written(whole.where(_enough(shared, F.size("s_a"), F.size("s_b"))).select("a", "b"), "links")
+
+    def _make(self, ids: DataFrame) -> None:
+        if self.sets is not None:
+            ids = ids.join(self.sets.select("id"), "id", "left_anti")
+        ids = written(ids, "ids")
+        if not ids.isEmpty():
+            new = written(shingle_sets(_only(self.docs, ids)), "sets")
+            self.sets = new if self.sets is None else self.sets.union(new)
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -135,12 +170,9 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     groups = nodes.groupBy("n", "pk").agg(F.min("node").alias("g"), F.count("*").alias("members"))
     members = written(nodes.join(groups, ["n", "pk"]).select("g", "node", "n", "members"), "members")
     heads = members.where("node = g").select(F.col("g").alias("id"), "members", "n").dropDuplicates(["id"])
-    postings = known.join(heads.select("id", "members"), "id").select(
-        F.explode("prefix").alias("t"), F.col("id").alias("g"), "members")
-    repeated = postings.groupBy("t").agg(F.sum("members").alias("m")).where("m > 1").select("t")
-    shared = written(postings.join(repeated, "t").select("t", "g").distinct(), "postings")
-    links = _links(docs, members, shared)
-    found = components(links)
+    postings = known.join(heads, "id").select(
+        F.explode_outer("prefix").alias("t"), F.col("id").alias("g"), "members", known["n"])
+    found = _components_of(docs, known, members, _lists(written(postings, "postings")))
     named = nodes.join(found, "node", "left").select(
         *keys, F.coalesce("component", "node").alias("component"))
     out = known.select("id", *keys).join(named, keys, "left")
@@ -148,35 +180,47 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
                       F.when(F.col("n") > 0, F.coalesce("component", "id")).otherwise(F.col("id")).alias("component"))
 
 
-def _links(docs: DataFrame, members: DataFrame, shared: DataFrame) -> DataFrame:
-    """Links between nodes that connect all that link."""
+def _lists(postings: DataFrame) -> DataFrame:
+    """``t``, ``g``, ``n`` of the shingles with two nodes or more, one shingle per list of groups.
+
+    Lists are told apart by number, two sums, least and largest of their groups' hashes.
+    """
+    h = F.xxhash64("g")
+    lists = postings.groupBy("t").agg(
+        F.sum("members").alias("m"), F.count("*").alias("c"), F.min(h).alias("low"), F.max(h).alias("high"),
+        F.sum(F.pmod(h, F.lit(1 << 30))).alias("s1"),
+        F.sum(F.pmod(F.xxhash64("g", F.lit(1)), F.lit(1 << 30))).alias("s2")).where("m > 1")
+    one = lists.groupBy("c", "low", "high", "s1", "s2").agg(F.min("t").alias("t")).select("t")
+    return written(postings.join(written(one, "shingles"), "t").select("t", "g", "n"), "lists")
+
+
+def _components_of(docs: DataFrame, known: DataFrame, members: DataFrame, lists: DataFrame) -> DataFrame:
+    """``node`` and ``component`` of the nodes that link."""
     spark = docs.sparkSession
-    taking_part = shared.select("g").distinct()
-    nodes = written(members.join(taking_part, "g", "left_semi"), "nodes-near")
+    nodes = written(members.join(lists.select("g").distinct(), "g", "left_semi"), "nodes-near")
     ids = nodes.select(F.col("node").alias("id")).distinct()
-    sets = written(shingle_sets(_only(docs, ids)), "sets")
-    links = written(spark.createDataFrame([], "a long, b long"), "links")
+    verifier = _Verifier(docs, written(known.select("id", "n", "prefix").join(ids, "id", "left_semi"), "prefixes"))
+    links = spark.createDataFrame([], "a long, b long")
+    labels = spark.createDataFrame([], "node long, component long")
     for turn in range(ROUNDS + 1):
-        labels = components(links) if turn else spark.createDataFrame([], "node long, component long")
         held = written(nodes.join(labels, "node", "left").select(
             "g", "node", "n", F.coalesce("component", "node").alias("c")), "labelled")
-        spans = held.groupBy("g").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.first("n").alias("n"))
-        seen = shared.join(spans, "g")
+        spans = held.groupBy("g").agg(F.min("c").alias("low"), F.max("c").alias("high"))
+        seen = lists.select("t", "g", "n").join(spans, "g")
         hubs = seen.groupBy("t").agg(
             F.min(F.struct(F.xxhash64("g", F.lit(turn)).alias("h"), F.col("g"), F.col("n"))).alias("hub"),
-            F.min("low").alias("low"), F.max("high").alias("high")).where("low < high")
+            F.min("low").alias("least"), F.max("high").alias("most")).where("least < most")
+        lists = written(seen.join(hubs.select("t", "hub"), "t"), "lists")
         if turn < ROUNDS:
-            groups = seen.select("t", "g", "n").join(hubs.select("t", "hub"), "t").where(
-                set_sizes_fit(F.col("n"), F.col("hub.n"))).select(
+            groups = lists.where(set_sizes_fit(F.col("n"), F.col("hub.n"))).select(
                 F.col("hub.g").alias("a"), F.col("g")).distinct()
-            heads = held.where("node = g").select(F.col("node").alias("a"), F.col("c").alias("ca"))
+            heads = held.where("node = g").select(F.col("node").alias("a"), F.col("c").alias("ca")).distinct()
             pairs = groups.join(held.select("g", F.col("node").alias("b"), "c"), "g").join(heads, "a").where(
                 "a != b and c != ca").select("a", "b")
         else:
-            open_ = seen.select("t", "g", "n", "low", "high").join(hubs.select("t"), "t", "left_semi")
-            other = open_.select("t", F.col("g").alias("g2"), F.col("n").alias("n2"),
+            other = lists.select("t", F.col("g").alias("g2"), F.col("n").alias("n2"),
                                  F.col("low").alias("low2"), F.col("high").alias("high2"))
-            groups = open_.join(other, "t").where(
+            groups = lists.join(other, "t").where(
                 (F.col("g") <= F.col("g2")) & set_sizes_fit(F.col("n"), F.col("n2"))
                 & ~((F.col("low") == F.col("high2")) & (F.col("high") == F.col("low2")))
             ).select("g", "g2").distinct()
@@ -184,6 +228,8 @@ def _links(docs: DataFrame, members: DataFrame, shared: DataFrame) -> DataFrame:
             two = held.select(F.col("g").alias("g2"), F.col("node").alias("b"), F.col("c").alias("cb"))
             pairs = groups.join(one, "g").join(two, "g2").where("a != b and ca != cb").select(
                 F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        found = written(_verified(written(pairs, "pairs"), sets), "links")
-        links = written(links.union(found), "links")
-    return links
+        new = verifier.links(pairs)
+        if not new.isEmpty():
+            links = links.union(new)
+            labels = components(links)
+    return labels
