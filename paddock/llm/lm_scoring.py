@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from paddock.llm.common import written
 from paddock.llm.log_bilinear import BATCH, Model, Trainer, contexts_of
 
-OWN, ENDINGS, HEAD, ROUNDS = 384, 96, 50_000, 3
+OWN, ENDINGS, HEAD, ROUNDS = 192, 63, 50_000, 2
 END = b"\n"
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -61,7 +61,7 @@ def token_counts(docs: DataFrame) -> DataFrame:
         for b in batches:
             for t in b.column(0).to_pylist():
                 counted.update(tokens_of(t))
-                if len(counted) > 200_000:
+                if len(counted) > 400_000:
                     yield rows(counted)
                     counted.clear()
         yield rows(counted)

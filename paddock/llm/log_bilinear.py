@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-CONTEXT, DIM, NOISE, BATCH = 5, 16, 64, 1024
+CONTEXT, DIM, NOISE, BATCH = 5, 16, 32, 1024
 RATE = 0.02
 
 
@@ -59,11 +59,18 @@ class Model:
     def log_probabilities(self, contexts: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """The natural log-probability of each target after its context, normalised over all classes."""
         out = np.empty(len(targets), np.float64)
+        # bias and a bound of all scores are two more dimensions, so that the
+        # product gives numbers of at most 0 and nothing else passes over it
+        wide = np.concatenate([self.outputs, self.bias[:, None], np.ones((len(self.bias), 1))], axis=1).T
+        wide = np.ascontiguousarray(wide, np.float32)
+        longest, most = np.sqrt((self.outputs ** 2).sum(axis=1).max()), self.bias.max()
         for a in range(0, len(targets), 4096):
             c, t = contexts[a:a + 4096], targets[a:a + 4096]
-            scores = self._meaning(c) @ self.outputs.T + self.bias
-            scores -= scores.max(axis=1, keepdims=True)
-            picked = scores[np.arange(len(t)), t]
+            meaning = self._meaning(c)
+            bound = np.sqrt((meaning ** 2).sum(axis=1)) * longest + most
+            ones = np.ones((len(t), 1), np.float32)
+            scores = np.concatenate([meaning, ones, -bound[:, None]], axis=1).astype(np.float32) @ wide
+            picked = scores[np.arange(len(t)), t].astype(np.float64)
             out[a:a + 4096] = picked - np.log(np.exp(scores, out=scores).sum(axis=1))
         return out
 
@@ -108,10 +115,11 @@ class Trainer:
         np.add.at(grads[2], drawn, down.T @ meaning)
         grads[3] += np.bincount(targets, up, len(m.bias)).astype(np.float32)
         np.add.at(grads[3], drawn, down.sum(axis=0))
+        spread = np.empty((CONTEXT, n, DIM), np.float32)
         for j in range(CONTEXT):
-            read = m.inputs[contexts[:, j]]
-            grads[1][j] = (g_meaning * read).sum(axis=0)
-            grads[0] += _summed(contexts[:, j], g_meaning * m.weights[j], len(m.inputs))
+            grads[1][j] = (g_meaning * m.inputs[contexts[:, j]]).sum(axis=0)
+            np.multiply(g_meaning, m.weights[j], out=spread[j])
+        grads[0] += _summed(contexts.T.ravel(), spread.reshape(-1, DIM), len(m.inputs))
         self._ascend(grads)
 
     def _ascend(self, grads) -> None:
