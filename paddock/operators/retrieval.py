@@ -63,11 +63,12 @@ def top_items(users: DataFrame, items: DataFrame, n: int, user="user_id", item="
 def recall_at_n(users: DataFrame, items: DataFrame, truth: DataFrame, n: int, user="user_id",
                 item="clue_id", **kw) -> DataFrame:
     """One row: positives of users and items that have vectors, those in the top n, the share."""
-    top = top_items(users, items, n, user, item, **kw).select(
-        user, item, F.lit(1).alias("_hit"))
     wanted = truth.select(user, item).distinct()
     wanted = wanted.join(users.select(user), user, "left_semi")
     wanted = wanted.join(items.select(item), item, "left_semi")
+    # only users with a positive are scored
+    asked = users.join(wanted.select(user).distinct(), user, "left_semi")
+    top = top_items(asked, items, n, user, item, **kw).select(user, item, F.lit(1).alias("_hit"))
     both = wanted.join(top, [user, item], "left")
     out = both.agg(F.count("*").alias("positives"), F.count("_hit").alias("found"))
     return out.withColumn(
