@@ -100,7 +100,7 @@ def _mask(bit):
 
 
 def _only(df: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``df`` whose id is in ``ids``; a bit map of fixed size spares most others the shuffle."""
+    """The rows of ``df`` whose id is in ``ids`` (distinct); a bit map of fixed size spares most others the shuffle."""
 
     def bit(c):
         return F.pmod(F.xxhash64(c), F.lit(ID_BITS))
@@ -110,7 +110,8 @@ def _only(df: DataFrame, ids: DataFrame) -> DataFrame:
     near = df.withColumn("_b", bit("id")).withColumn("_word", (F.col("_b") / 64).cast("int")).join(
         F.broadcast(words), "_word")
     return near.where(F.col("_bits").bitwiseAND(_mask(F.col("_b"))) != 0).drop("_b", "_word", "_bits").join(
-        ids.hint("shuffle_hash"), "id", "left_semi")
+        # not a semi join: that would be moved below the bit map, to all rows
+        ids.hint("shuffle_hash"), "id")
 
 
 def _enough(shared, a, b):
@@ -211,6 +212,8 @@ def _components_of(docs: DataFrame, known: DataFrame, members: DataFrame, lists:
             F.min(F.struct(F.xxhash64("g", F.lit(turn)).alias("h"), F.col("g"), F.col("n"))).alias("hub"),
             F.min("low").alias("least"), F.max("high").alias("most")).where("least < most")
         lists = written(seen.join(hubs.select("t", "hub"), "t"), "lists")
+        if lists.isEmpty():
+            break
         if turn < ROUNDS:
             groups = lists.where(set_sizes_fit(F.col("n"), F.col("hub.n"))).select(
                 F.col("hub.g").alias("a"), F.col("g")).distinct()
