@@ -9,8 +9,9 @@
 2. Equal sets are one node, named by their smallest id.  Nodes with the same
    prefix and size are one group, and only groups have postings.
 3. Shingles with the same list of groups are one.  Candidates come from these
-   lists without all pairs: of the groups of a list one is the hub, and the
-   members of the others are verified against its first node.  Lists whose nodes
+   lists without all pairs: of the groups of a list one is the hub, and in each
+   round the members of a group are verified against the first node of the hub
+   that most of its lists have.  Lists whose nodes
    are all in one component are done and drop out.  After ``ROUNDS`` rounds with
    other hubs, what is left is enumerated in full: group pairs of a list that
    pass the size filter, expanded to members that are in different components
@@ -195,6 +196,17 @@ def _lists(postings: DataFrame) -> DataFrame:
     return written(postings.join(written(one, "shingles"), "t").select("t", "g", "n"), "lists")
 
 
+def _one_hub_each(lists: DataFrame) -> DataFrame:
+    """``g`` and ``a``, the hub of another group that most of its lists have (one a
+    round, so candidates are as many as groups), and itself where its members differ."""
+    fit = lists.where((F.col("g") != F.col("hub.g")) & set_sizes_fit(F.col("n"), F.col("hub.n")))
+    votes = fit.groupBy("g", F.col("hub.g").alias("a")).agg(
+        F.count("*").alias("lists"), F.min("hub.h").alias("h"))
+    best = votes.groupBy("g").agg(F.max(F.struct("lists", "h", "a")).alias("best"))
+    own = lists.where("low < high").select("g", F.col("g").alias("a")).distinct()
+    return best.select("g", F.col("best.a").alias("a")).union(own)
+
+
 def _components_of(docs: DataFrame, known: DataFrame, members: DataFrame, lists: DataFrame) -> DataFrame:
     """``node`` and ``component`` of the nodes that link."""
     spark = docs.sparkSession
@@ -215,8 +227,7 @@ def _components_of(docs: DataFrame, known: DataFrame, members: DataFrame, lists:
         if lists.isEmpty():
             break
         if turn < ROUNDS:
-            groups = lists.where(set_sizes_fit(F.col("n"), F.col("hub.n"))).select(
-                F.col("hub.g").alias("a"), F.col("g")).distinct()
+            groups = _one_hub_each(lists)
             heads = held.where("node = g").select(F.col("node").alias("a"), F.col("c").alias("ca")).distinct()
             pairs = groups.join(held.select("g", F.col("node").alias("b"), "c"), "g").join(heads, "a").where(
                 "a != b and c != ca").select("a", "b")
