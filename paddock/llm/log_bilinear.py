@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-CONTEXT, DIM, NOISE, BATCH = 5, 16, 32, 1024
+CONTEXT, DIM, NOISE, BATCH = 4, 12, 24, 1024
 RATE = 0.02
 
 
