@@ -7,14 +7,15 @@ smallest line hash, so neighbouring windows mostly share one.  Any repeated run
 of ``LINES`` lines or ``LONG`` words holds a whole window and so shares a
 fingerprint and the window with its first copy: that much is guaranteed to go.
 
-Fingerprints seen once drop out.  The windows of the others are joined to the
-first place in the corpus (by document, then line) with the same window, and a
-match goes on to the right while the lines agree with that place, at most up to
-where the next window would match by itself.  To the left nothing needs to be
-compared: every window that starts inside a repeated run and before its last
-whole window is a repeated window itself.  All lines under a match of a later
-place are deleted.  Every deleted line equals an earlier line that stays, and
-what is compared per place is a few hashes, so no pairs of copies are made.
+Fingerprints seen once drop out.  The windows of the others, and each of them
+with its next lines up to ``LINES`` in all, are runs that are joined to their own
+first place in the corpus (by document, then line); a run of a later place is
+deleted.  So a run that later copies share goes even where the first copy of its
+window goes on differently.  Longer runs need no row: they hold the window of the
+next line as well.  To the left nothing needs to be compared: every window that
+starts inside a repeated run and before its last whole window is a repeated window
+itself.  Every deleted line equals an earlier line that stays, and a place is at
+most ``LINES`` hashes, so no pairs of copies are made.
 
 JVM only.  Rows agreeing in key and text are one document and get one result;
 documents are ordered by key (null first), then by a hash of the text.
@@ -50,8 +51,9 @@ def _windows(h: Column, n: Column) -> Column:
             return let(F.slice(h, i + 1, k), lambda s: F.struct(
                 i.alias("i"), k.alias("k"),
                 (i + F.array_position(s, F.array_min(s)).cast("int") - 1).alias("place"),
-                F.array_min(s).alias("print"), F.xxhash64(s).alias("window"),
-                F.slice(h, i + k + 1, LINES - 1).alias("after")))
+                F.array_min(s).alias("print"),
+                F.transform(F.sequence(k, F.least(F.lit(LINES), F.size(h) - i)),
+                            lambda m: F.xxhash64(F.slice(h, i + 1, m))).alias("runs")))
 
         return F.when(size.isNotNull(), full(size))
 
@@ -61,7 +63,7 @@ def _windows(h: Column, n: Column) -> Column:
 
 def line_windows(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per window of every different document: ``doc``, ``i``, ``k``,
-    ``place``, ``print``, ``window``, ``after``."""
+    ``place``, ``print`` and ``runs``, the hashes of its lines and of those with the next 1, 2 ... lines."""
     docs = df.select(_document(df, key, text), df[f"`{text}`"].alias("text"))
     lines = F.filter(F.transform(F.split("text", "\n"), _trim), lambda x: F.length(x) > 0)
     # bound inside one expression: a lambda that reads another column would have
@@ -86,14 +88,15 @@ def repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     prints = windows.select("doc", "place", "print").distinct()
     repeated = prints.groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print")
     kept = windows.join(written(repeated, "line-prints"), "print", "left_semi")
-    first = written(kept.groupBy("window").agg(
-        F.min(F.struct("doc", "i", "after")).alias("first"), F.count("*").alias("n"))
-        .where("n > 1").select("window", "first"), "line-firsts")
-    later = kept.join(first, "window").where(
-        F.struct("doc", "i") > F.struct("first.doc", "first.i"))
-    same = F.zip_with("after", "first.after", lambda a, b: F.coalesce(a == b, F.lit(False)))
-    more = F.coalesce(F.nullif(F.array_position(same, F.lit(False)), F.lit(0)) - 1, F.size("after"))
-    ends = later.select("doc", "i", (F.col("i") + F.col("k") + more - 1).cast("int").alias("last"))
+    runs = kept.select("doc", "i", "k", F.posexplode("runs").alias("more", "run"))
+    first = written(runs.groupBy("run").agg(
+        F.min(F.struct("doc", "i")).alias("first"), F.count("*").alias("n"))
+        .where("n > 1").select("run", "first"), "line-firsts")
+    later = runs.join(first, "run").where(F.struct("doc", "i") > F.col("first"))
+    # where a longer run is repeated its beginnings are too: each adds its last line
+    last = (F.col("i") + F.col("k") + F.col("more") - 1).cast("int")
+    ends = later.select("doc", F.when(F.col("more") == 0, F.col("i")).otherwise(last).alias("i"),
+                        last.alias("last"))
     return ends.groupBy("doc").agg(F.array_distinct(F.flatten(F.collect_list(
         F.sequence("i", "last")))).alias("gone"))
 

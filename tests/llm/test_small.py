@@ -69,6 +69,17 @@ def test_line_dedup(spark, docs):
     assert sorted(got) == [(1, a, 0, False), (2, "one\ntwo\n\nend", 6, False), (3, "", 6, True), (3, "", 6, True)]
 
 
+def test_line_dedup_where_the_first_copy_goes_on_differently(spark):
+    from paddock.llm.line_dedup import line_dedup
+
+    notice = " ".join(f"n{i}" for i in range(60))
+    rows = [(0, f"{notice}\nu0")] + [(d, f"{notice}\nf1\nf2\nf3\nu{d}") for d in range(1, 5)]
+    rows += [(5, f"{notice}\nf1\nf2\nv5"), (6, f"{notice}\nu6\nf2")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_dedup(df).select("_row.doc_id", "_lines.*").collect()}
+    assert got == {0: rows[0][1], 1: "f1\nf2\nf3\nu1", 2: "u2", 3: "u3", 4: "u4", 5: "v5", 6: "u6\nf2"}
+
+
 def test_near_duplicates(spark, docs):
     from paddock.llm.ngram_join import near_duplicates
 
