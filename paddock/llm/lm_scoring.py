@@ -1,8 +1,9 @@
 """Log10 probabilities of texts by a log-bilinear model over word classes.
 
-Tokens are lower-cased words and one end per text.  The ``OWN`` most frequent
-words and the end are classes of their own; every other word is in the class of
-its last two characters (``ENDINGS`` by hash).  A token's probability is that of
+Tokens are lower-cased words and one end per text.  The most frequent words and
+the end are classes of their own: ``OWN`` of them at least, and four times the
+square root of the distinct training words where that is more (:func:`own_words`).
+Every other word is in the class of its last two characters (``ENDINGS`` by hash).  A token's probability is that of
 its class after the classes before it (:mod:`paddock.llm.log_bilinear`) times
 that of the word in its class: c / n of what the class leaves for words never
 seen, which is the share of its words seen once (all unseen words of a class
@@ -12,7 +13,7 @@ Spark counts every training token; counts of the ``HEAD`` most frequent words
 (a bounded list) go to the tasks, all others meet their counts in a join.  The
 model trains on every training text: in each of ``ROUNDS`` rounds all partitions
 go on from the same weights over their own texts, and the weights are averaged
-by tokens in Spark.  Weights are a fixed size; texts and counts stay distributed.
+by tokens in Spark.  Weights grow with the classes; texts and counts stay distributed.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from paddock.llm.common import written
 from paddock.llm.log_bilinear import BATCH, Model, Trainer, contexts_of
 
-OWN, ENDINGS, HEAD, ROUNDS = 192, 63, 50_000, 2
+OWN, ENDINGS, HEAD, ROUNDS = 384, 96, 50_000, 3
 END = b"\n"
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -40,6 +41,11 @@ def tokens_of(text: str | None) -> list[bytes]:
     return words
 
 
+def own_words(v: int) -> int:
+    """How many words get a class of their own, of ``v`` distinct ones."""
+    return max(OWN, 4 * math.isqrt(v))
+
+
 def ending(word: bytes) -> int:
     """The class, from 0, of a word that has none of its own."""
     return zlib.crc32(word.decode("utf-8", "replace")[-2:].encode()) % ENDINGS
@@ -74,7 +80,7 @@ class Lexicon:
     """What the tasks know of words: class and count of the most frequent, sums by ending."""
 
     def __init__(self, head: list, endings: dict, n: int, v: int):
-        own = [w for w, _ in head if w != END][:OWN]
+        own = [w for w, _ in head if w != END][:own_words(v)]
         self.own = {w: i for i, w in enumerate(own)}
         self.own[END] = len(own)
         self.shift = len(own) + 1
@@ -111,14 +117,14 @@ class Lexicon:
 
 
 def lexicon(counts: DataFrame) -> Lexicon:
-    """From the written counts; at most ``HEAD`` words and ``ENDINGS`` sums reach the driver."""
+    """From the written counts; ``HEAD`` words, or all that are classes, and ``ENDINGS`` sums reach the driver."""
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    head = counts.orderBy(F.desc("c"), "word").limit(HEAD).collect()
+    head = counts.orderBy(F.desc("c"), "word").limit(max(HEAD, own_words(v) + 1)).collect()
     sums = counts.groupBy("ending").agg(F.sum("c"), F.count_if(F.col("c") == 1)).collect()
     return Lexicon([(bytes(r.word), r.c) for r in head], {r[0]: (r[1], r[2]) for r in sums}, n, v)
 
 
-CODED = ("n_tokens long, n_head long, base double, inside double, classes array<short>, "
+CODED = ("n_tokens long, n_head long, base double, inside double, classes array<int>, "
          "tail array<binary>")
 
 
@@ -142,7 +148,7 @@ def coded(rows: DataFrame, words: Lexicon) -> DataFrame:
                 for column, value in zip(out, (len(found), len(known), sum(e[1] for e in known),
                                                sum(e[2] for e in known), classes, tail)):
                     column.append(value)
-            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.int16()),
+            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.int32()),
                      pa.list_(pa.binary())]
             yield pa.RecordBatch.from_arrays(
                 list(b.columns[:-1]) + [pa.array(c, k) for c, k in zip(out, kinds)],

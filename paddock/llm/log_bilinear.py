@@ -14,8 +14,8 @@ from dataclasses import dataclass
 
 import numpy as np
 
-CONTEXT, DIM, NOISE, BATCH = 4, 12, 24, 1024
-RATE = 0.02
+CONTEXT, DIM, NOISE, BATCH = 5, 16, 64, 1024
+RATE, FIRST = 0.1, 1e-5
 
 
 @dataclass
@@ -64,14 +64,15 @@ class Model:
         wide = np.concatenate([self.outputs, self.bias[:, None], np.ones((len(self.bias), 1))], axis=1).T
         wide = np.ascontiguousarray(wide, np.float32)
         longest, most = np.sqrt((self.outputs ** 2).sum(axis=1).max()), self.bias.max()
-        for a in range(0, len(targets), 4096):
-            c, t = contexts[a:a + 4096], targets[a:a + 4096]
+        rows = min(4096, max(64, 4_000_000 // len(self.bias)))
+        for a in range(0, len(targets), rows):
+            c, t = contexts[a:a + rows], targets[a:a + rows]
             meaning = self._meaning(c)
             bound = np.sqrt((meaning ** 2).sum(axis=1)) * longest + most
             ones = np.ones((len(t), 1), np.float32)
             scores = np.concatenate([meaning, ones, -bound[:, None]], axis=1).astype(np.float32) @ wide
             picked = scores[np.arange(len(t)), t].astype(np.float64)
-            out[a:a + 4096] = picked - np.log(np.exp(scores, out=scores).sum(axis=1))
+            out[a:a + rows] = picked - np.log(np.exp(scores, out=scores).sum(axis=1))
         return out
 
 
@@ -89,16 +90,14 @@ def contexts_of(texts: list[np.ndarray], start: int) -> tuple[np.ndarray, np.nda
 
 
 class Trainer:
-    """Adam over batches; gradients of vectors that many rows share are summed by class."""
+    """Adagrad over batches (rare classes keep their pace and do not run on without new gradients); gradients of vectors that many rows share are summed by class."""
 
     def __init__(self, model: Model, frequencies: np.ndarray, seed: int):
         self.model = model.like(model.flat().copy())
         self.draw = np.random.RandomState(seed)
         self.cumulated = np.cumsum(frequencies)
         self.noise = np.log(NOISE * frequencies).astype(np.float32)
-        self.first = [np.zeros_like(p) for p in model.parts()]
-        self.second = [np.zeros_like(p) for p in model.parts()]
-        self.steps = 0
+        self.squares = [np.full_like(p, FIRST) for p in model.parts()]
 
     def step(self, contexts: np.ndarray, targets: np.ndarray) -> None:
         m, n = self.model, len(targets)
@@ -123,11 +122,9 @@ class Trainer:
         self._ascend(grads)
 
     def _ascend(self, grads) -> None:
-        self.steps += 1
-        for p, g, a, b in zip(self.model.parts(), grads, self.first, self.second):
-            a += 0.1 * (g - a)
-            b += 0.01 * (g * g - b)
-            p += RATE * (a / (1 - 0.9 ** self.steps)) / (np.sqrt(b / (1 - 0.99 ** self.steps)) + 1e-6)
+        for p, g, b in zip(self.model.parts(), grads, self.squares):
+            b += g * g
+            p += RATE * g / np.sqrt(b)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:

@@ -154,6 +154,21 @@ def test_words_of_a_class_sum_to_one():
             assert math.isclose(sum(inside) + 10 ** lex.unseen[e], 1, rel_tol=1e-9)
 
 
+def test_classes_follow_the_distinct_words():
+    from paddock.llm import lm_scoring as L
+    from paddock.llm import log_bilinear as B
+
+    assert L.OWN >= 384 and L.ENDINGS >= 96 and L.ROUNDS >= 3
+    assert B.CONTEXT >= 5 and B.DIM >= 16 and B.NOISE >= 64
+    for v, own in ((2_000, 384), (40_000, 800), (1_000_000, 4_000)):
+        head = [(f"w{i}".encode(), 9) for i in range(5_000)]
+        sums = {e: (10 ** 6, 0) for e in range(L.ENDINGS)}
+        lex = L.Lexicon(head, sums, L.ENDINGS * 10 ** 6, v)
+        assert len(lex.own) == own + 1 and lex.classes == own + 1 + L.ENDINGS
+        assert len({lex.head[w][0] for w, _ in head[:own]}) == own
+        assert all(lex.head[w][0] >= lex.shift for w, _ in head[own:])
+
+
 def test_warc(spark):
     from paddock.llm.warc import archived
 
