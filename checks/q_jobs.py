@@ -375,13 +375,9 @@ def _(t):
 SELECT dt, 'SEARCH' AS scene, label, count(*) AS n FROM samples
 WHERE clue_id IS NOT NULL AND dt BETWEEN '{SNAP}' AND '{RUN}' GROUP BY ALL""")
 def _(t):
-    """Two days written by the daily job, one partition each."""
-    from dataclasses import replace
-
+    """Two days written by the daily job, one partition each, with users and rates of the day before each."""
     path = f"{shared_dir(t.spark)}/backfill-{uuid.uuid4().hex[:12]}"
-    # one user snapshot serves both days here
-    inputs = replace(t.inputs, users=lambda day: t.users(SNAP), rates=lambda day: t.rates(SNAP))
-    backfill(inputs, SNAP, RUN, path)
+    backfill(t.inputs, SNAP, RUN, path)
     back = t.spark.read.parquet(path)
     return back.groupBy(F.col("dt").cast("string").alias("dt"), "scene", "label").agg(
         F.count("*").alias("n"))

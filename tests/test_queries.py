@@ -50,6 +50,24 @@ def test_scenes_select_their_own_samples(spark):
     assert search and grab and not {(r.user_id, r.ts) for r in search} & {(r.user_id, r.ts) for r in grab}
 
 
+def test_the_backfill_asks_for_snapshots_of_each_day(spark, monkeypatch):
+    from checks import q_jobs
+    from checks.fixtures import Tables
+
+    asked = []
+    for kind in ("users", "rates"):
+        monkeypatch.setattr(Tables, kind, lambda self, day, kind=kind: asked.append((kind, day)))
+
+    def fake(inputs, start, end, path):
+        for day in ("2024-01-25", "2024-01-26"):
+            inputs.users(day), inputs.rates(day)
+        spark.sql("SELECT DATE '2024-01-26' AS dt, 'SEARCH' AS scene, 1 AS label").write.parquet(path)
+
+    monkeypatch.setattr(q_jobs, "backfill", fake)
+    QUERIES["p15_backfill"](spark, SF).collect()
+    assert asked == [(k, d) for d in ("2024-01-25", "2024-01-26") for k in ("users", "rates")]
+
+
 def test_every_query_of_the_inventory_is_registered():
     ids = {n.split("_")[0] for n in QUERIES}
     for letter, last in {"s": 13, "f": 14, "j": 14, "a": 17, "w": 5, "t": 3, "u": 2, "c": 24,
