@@ -137,3 +137,37 @@ def op9(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     return main_text(pages, labeller(pages)).select(
         "_row.page_id", "_row.url", "text", "n_chars", "n_blocks", "n_main")
+
+
+@query("op11_filter_audit", r"""
+WITH w AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+f AS (SELECT *, min(doc_id) OVER (PARTITION BY text) AS first FROM w),
+m AS (SELECT bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic, doc_id AS labelled FROM labels GROUP BY doc_id),
+d AS (SELECT part, [len(words) < 50, 100 * len(list_distinct(words)) < 65 * len(words),
+    100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text),
+    regexp_matches(text, '[#$%&*|]'), coalesce(doc_id > first, false)] AS fails,
+  coalesce(good, false) AS good, coalesce(toxic, false) AS toxic FROM f LEFT JOIN m ON doc_id = labelled),
+g AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS ng, count(*) FILTER (toxic) AS nt FROM d GROUP BY ALL),
+l AS (SELECT unnest([1, 2, 3, 4, 5]) AS i),
+o AS (SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM l a, l b, l c, l d, l e WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+s AS (SELECT array_to_string(list_transform(o, lambda x: substr('ABCDE', x, 1)), '') AS filter_order, i AS step,
+  o[i] AS own, o[1:i - 1] AS before FROM o, l),
+t AS (SELECT part, filter_order, step, own, fails[own] AS hit,
+  len(list_filter(before, lambda x: fails[x])) > 0 AS gone, len(list_filter(fails, lambda x: x)) = 1 AS single, n, ng, nt
+  FROM g, s),
+r AS (SELECT part, filter_order, step, own,
+  sum(CASE WHEN NOT hit AND NOT gone THEN n ELSE 0 END)::BIGINT AS kept,
+  sum(CASE WHEN hit AND NOT gone THEN n ELSE 0 END)::BIGINT AS removed,
+  sum(CASE WHEN hit AND gone THEN n ELSE 0 END)::BIGINT AS redundant,
+  sum(CASE WHEN hit AND single THEN n ELSE 0 END)::BIGINT AS unique_fails,
+  sum(CASE WHEN hit AND NOT gone THEN ng ELSE 0 END)::BIGINT AS good_lost,
+  sum(CASE WHEN hit AND NOT gone THEN nt ELSE 0 END)::BIGINT AS toxic_lost FROM t GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM r
+""")
+def op11(spark, sf_dir):
+    """What five filters remove, in every order, per source."""
+    from paddock.llm.filter_audit import audit, judged
+
+    return audit(judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
