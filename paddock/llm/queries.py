@@ -171,3 +171,19 @@ def op11(spark, sf_dir):
     from paddock.llm.filter_audit import audit, judged
 
     return audit(judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
+#: The public byte-level vocabulary the queries encode with.
+BYTE_PAIRS = "/opt/tokenizers/byte_bpe_50k.json"
+
+
+@query("op12_byte_bpe")
+def op12(spark, sf_dir):
+    """Ids of every document, decoded again."""
+    from paddock.llm.byte_bpe import Shared, decode, encode
+    from paddock.llm.pair_merges import Merges
+
+    shared = Shared(spark, Merges.load(BYTE_PAIRS))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = encode(docs, shared).select("_row.doc_id", "n_tokens", "ids_sha256", "ids")
+    return decode(encoded, shared).select("_row.*", F.sha2("decoded", 256).alias("decoded_sha256"))
