@@ -187,3 +187,24 @@ def op12(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     encoded = encode(docs, shared).select("_row.doc_id", "n_tokens", "ids_sha256", "ids")
     return decode(encoded, shared).select("_row.*", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op13_lexical_search", r"""
+WITH t AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+f AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+d AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM f GROUP BY doc_id),
+s AS (SELECT count(*) AS docs, sum(n)::BIGINT AS l FROM d),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM f, s GROUP BY term, docs),
+q AS (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+r AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // l))))::BIGINT AS score
+  FROM q JOIN f USING (term) JOIN w USING (term) JOIN d USING (doc_id), s GROUP BY ALL)
+SELECT item_id, rank, doc_id, score FROM (SELECT *, cast(row_number() OVER (
+  PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank FROM r WHERE score > 0) WHERE rank <= 10
+""")
+def op13(spark, sf_dir):
+    """The ten best documents of every benchmark item."""
+    from paddock.llm.lexical_search import best_documents
+
+    return best_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
