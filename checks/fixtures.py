@@ -179,35 +179,45 @@ class Tables:
 
     # -- tables other jobs would have filled ------------------------------------------
 
-    def counts(self, day: str) -> DataFrame:
-        return self.stored(f"counts_{day}", lambda: self._counts(day))
-
-    def _counts(self, day: str) -> DataFrame:
-        """Rows per (user, action, item) and window of days before ``day``."""
-        age = F.datediff(F.lit(day).cast("date"), F.col("dt").cast("date"))
-        rows = int_ids(self.behaviour.where(F.col("dt") <= day), ["user_id", "clue_id"])
-        return rows.groupBy("user_id", "action", "clue_id").agg(*[
-            F.sum(F.when(age.between(lo, hi), 1).otherwise(0)).alias(f"cnt_{w}")
+    # (each is a function of a table that has a row for every day it was asked for)
+
+    def by_day(self, name: str, day: str, build) -> DataFrame:
+        """One day of a derived table, without its day."""
+        return self.stored(f"{name}_{day}", lambda: build(self.counts_between(day, day)).drop("dt"))
+
+    def counts_between(self, start: str, end: str) -> DataFrame:
+        return self.stored(f"counts_{start}_{end}", lambda: self._counts(start, end))
+
+    def _counts(self, start: str, end: str) -> DataFrame:
+        """Rows per (dt, user, action, item) and window of days up to ``dt``, for each of the days."""
+        rows = int_ids(self.behaviour.where(F.col("dt") <= end), ["user_id", "clue_id"])
+        rows = rows.groupBy("user_id", "action", "clue_id", F.col("dt").cast("date").alias("at")).agg(
+            F.count("*").alias("n"))
+        days = F.sequence(F.greatest("at", F.lit(start).cast("date")), F.lit(end).cast("date"))
+        rows = rows.withColumn("day", F.explode(days))
+        age = F.datediff("day", "at")
+        return rows.groupBy(F.col("day").cast("string").alias("dt"), "user_id", "action", "clue_id").agg(*[
+            F.sum(F.when(age.between(lo, hi), F.col("n")).otherwise(0)).alias(f"cnt_{w}")
             for w, (lo, hi) in WINDOWS.items()
         ])
 
     def action_cnt(self, day: str) -> DataFrame:
-        return self.stored(f"action_cnt_{day}", lambda: self._action_cnt(day))
+        return self.by_day("action_cnt", day, self._action_cnt)
 
-    def _action_cnt(self, day: str) -> DataFrame:
-        rows = self.counts(day).where("action <> 'order'")
-        return rows.groupBy("user_id", "action").agg(*[
+    def _action_cnt(self, counts: DataFrame) -> DataFrame:
+        rows = counts.where("action <> 'order'")
+        return rows.groupBy("dt", "user_id", "action").agg(*[
             F.sum(f"cnt_{w}").alias(f"cnt_{w}") for w in ("0_7", "7_14", "14_30")])
 
     def convert_cnt(self, day: str) -> DataFrame:
-        return self.stored(f"convert_cnt_{day}", lambda: self._convert_cnt(day))
+        return self.by_day("convert_cnt", day, self._convert_cnt)
 
-    def _convert_cnt(self, day: str) -> DataFrame:
-        rows = self.counts(day).where("action = 'order'")
-        return rows.groupBy("user_id").agg(*[
+    def _convert_cnt(self, counts: DataFrame) -> DataFrame:
+        rows = counts.where("action = 'order'")
+        return rows.groupBy("dt", "user_id").agg(*[
             F.sum(f"cnt_{w}").alias(f"cnt_{w}") for w in ("0_30", "0_365")])
 
-    def _statis(self, day: str, rows: DataFrame, windows: dict, by) -> DataFrame:
+    def _statis(self, rows: DataFrame, windows: dict, by) -> DataFrame:
         dims = self.items.select("clue_id", "road_haul", "evaluate_score")
         rows = lookup_join(rows, dims, "clue_id", "inner")
         each = F.explode(F.array(*[
@@ -224,22 +234,24 @@ class Tables:
         return rows.groupBy(*by, "cnt_days").agg(*aggs)
 
     def action_statis(self, day: str) -> DataFrame:
-        return self.stored(f"action_statis_{day}", lambda: self._action_statis(day))
+        return self.by_day("action_statis", day, self._action_statis)
 
-    def _action_statis(self, day: str) -> DataFrame:
-        rows = self.counts(day).where("action in ('click', 'bid')")
-        return self._statis(day, rows, {7: "0_7", 30: "0_30"}, ["user_id", "action"])
+    def _action_statis(self, counts: DataFrame) -> DataFrame:
+        rows = counts.where("action in ('click', 'bid')")
+        return self._statis(rows, {7: "0_7", 30: "0_30"}, ["dt", "user_id", "action"])
 
     def convert_statis(self, day: str) -> DataFrame:
-        return self.stored(f"convert_statis_{day}", lambda: self._convert_statis(day))
+        return self.by_day("convert_statis", day, self._convert_statis)
 
-    def _convert_statis(self, day: str) -> DataFrame:
-        rows = self.counts(day).where("action = 'order'").withColumn("convert", F.lit("beseen"))
-        return self._statis(day, rows, {30: "0_30", 365: "0_365"}, ["user_id", "convert"])
+    def _convert_statis(self, counts: DataFrame) -> DataFrame:
+        rows = counts.where("action = 'order'").withColumn("convert", F.lit("beseen"))
+        return self._statis(rows, {30: "0_30", 365: "0_365"}, ["dt", "user_id", "convert"])
 
-    def _ratios(self, day: str, rows: DataFrame, windows, clusters, by) -> DataFrame:
-        dims = self.priced(day).select("clue_id", *clusters)
-        rows = lookup_join(rows, dims, "clue_id", "inner")
+    def _ratios(self, rows: DataFrame, windows, clusters, by) -> DataFrame:
+        asked = rows.select("dt", "clue_id").where("clue_id is not null").distinct()
+        prices = item_plans.prices_by_day(asked, self.price_log, ties=PRICE_TIES)
+        dims = item_plans.priced_items(asked.join(self.items, "clue_id"), prices, F.col("dt"), item_plans.BY_DAY)
+        rows = lookup_join(rows, dims.select("dt", "clue_id", *clusters), ["dt", "clue_id"], "inner")
         pairs = F.explode(F.array(*[
             F.struct(F.lit(c).alias("cluster"), F.col(c).cast("string").alias("key"))
             for c in clusters
@@ -254,59 +266,61 @@ class Tables:
             ratio(f"c_{w}", f"t_{w}").alias(f"ratio_{w}") for w in windows])
 
     def action_ratio(self, day: str) -> DataFrame:
-        return self.stored(f"action_ratio_{day}", lambda: self._action_ratio(day))
+        return self.by_day("action_ratio", day, self._action_ratio)
 
-    def _action_ratio(self, day: str) -> DataFrame:
-        rows = self.counts(day).where("action in ('click', 'bid')")
-        return self._ratios(day, rows, ("0_7", "7_14", "14_30"), N.CLUSTERS, ["user_id", "action"])
+    def _action_ratio(self, counts: DataFrame) -> DataFrame:
+        rows = counts.where("action in ('click', 'bid')")
+        return self._ratios(rows, ("0_7", "7_14", "14_30"), N.CLUSTERS, ["dt", "user_id", "action"])
 
     def convert_ratio(self, day: str) -> DataFrame:
-        return self.stored(f"convert_ratio_{day}", lambda: self._convert_ratio(day))
+        return self.by_day("convert_ratio", day, self._convert_ratio)
 
-    def _convert_ratio(self, day: str) -> DataFrame:
-        rows = self.counts(day).where("action = 'order'")
-        return self._ratios(day, rows, ("0_30", "0_365"), N.ORDER_CLUSTERS, ["user_id"])
+    def _convert_ratio(self, counts: DataFrame) -> DataFrame:
+        rows = counts.where("action = 'order'")
+        return self._ratios(rows, ("0_30", "0_365"), N.ORDER_CLUSTERS, ["dt", "user_id"])
 
     def rates(self, day: str) -> tuple:
+        return tuple(f.drop("dt") for f in self.rates_between(day, day))
+
+    def rates_between(self, start: str, end: str) -> tuple:
         built = []
 
         def part(i):
             if not built:
-                built.extend(self._rates(day))
+                built.extend(self._rates(self.counts_between(start, end)))
             return built[i]
 
         return tuple(
-            self.stored(f"rates_{i}_{day}", lambda i=i: part(i)) for i in range(3))
+            self.stored(f"rates_{i}_{start}_{end}", lambda i=i: part(i)) for i in range(3))
 
-    def _rates(self, day: str) -> tuple:
-        """(item rates, tag shares of bids, tag and category rates), one row per item."""
-        per = self.counts(day).groupBy("clue_id").agg(*[
+    def _rates(self, counts: DataFrame) -> tuple:
+        """(item rates, tag shares of bids, tag and category rates), one row per item and day."""
+        per = counts.groupBy("dt", "clue_id").agg(*[
             F.sum(F.when(F.col("action") == a, F.col(f"cnt_{w}")).otherwise(0)).alias(f"{a}_{w}")
             for a in ("beseen", "click", "bid") for w in WINDOWS
         ])
-        item_rate = per.select("clue_id", *[
+        item_rate = per.select("dt", "clue_id", *[
             ratio(f"{n}_{w}", f"{d}_{w}").alias(f"{d}_{n}_rate_{w}")
             for d, n in (("click", "bid"), ("beseen", "click")) for w in ("0_3", "0_30")
         ])
         dims = self.items.select("clue_id", "tag_id", "minor_category_id")
         both = dims.join(per, "clue_id")
-        sums = [c for c in per.columns if c != "clue_id"]
+        sums = [c for c in per.columns if c not in ("dt", "clue_id")]
 
-        def grouped(key):
-            return both.groupBy(key).agg(*[F.sum(c).alias(c) for c in sums])
+        def grouped(*key):
+            return both.groupBy("dt", *key).agg(*[F.sum(c).alias(c) for c in sums])
 
-        tags = grouped("tag_id").withColumns(
-            {f"all_{w}": F.sum(f"bid_{w}").over(Window.partitionBy(F.lit(1)))
-             for w in ("0_7", "7_14", "14_30")})
-        shares = dims.join(tags, "tag_id").select("clue_id", *[
+        totals = grouped().select("dt", *[F.col(f"bid_{w}").alias(f"all_{w}") for w in ("0_7", "7_14", "14_30")])
+        tags = grouped("tag_id").join(totals, "dt")
+        shares = dims.join(tags, "tag_id").select("dt", "clue_id", *[
             ratio(f"bid_{w}", f"all_{w}").alias(f"tag_id_bid_percent_ratio_{w}")
             for w in ("0_7", "7_14", "14_30")])
-        tag_rates = dims.join(tags, "tag_id").select("clue_id", *[
+        tag_rates = dims.join(tags, "tag_id").select("dt", "clue_id", *[
             ratio(f"{n}_{w}", f"{d}_{w}").alias(f"tag_id_{n}_rate_{w}")
             for d, n in (("beseen", "click"), ("click", "bid")) for w in ("0_7", "7_14")])
         category = dims.join(grouped("minor_category_id"), "minor_category_id").select(
-            "clue_id", ratio("click_0_7", "beseen_0_7").alias("minor_category_id_click_rate_0_7"))
-        return item_rate, shares, tag_rates.join(category, "clue_id", "left")
+            "dt", "clue_id", ratio("click_0_7", "beseen_0_7").alias("minor_category_id_click_rate_0_7"))
+        return item_rate, shares, tag_rates.join(category, ["dt", "clue_id"], "left")
 
     def users(self, day: str) -> DataFrame:
         return self.stored(f"users_{day}", lambda: self.user_features(day))
@@ -316,6 +330,21 @@ class Tables:
             self.action_cnt(day), self.convert_cnt(day), self.action_statis(day),
             self.convert_statis(day), self.action_ratio(day), self.convert_ratio(day), self.codes)
 
+    def users_between(self, start: str, end: str) -> DataFrame:
+        """The user features of every day from ``start`` to ``end``, in one job."""
+        def build():
+            counts = self.counts_between(start, end)
+            parts = {f: self.stored(f"{f}_{start}_{end}", lambda f=f: getattr(self, f"_{f}")(counts))
+                     for f in ("action_cnt", "convert_cnt", "action_statis", "convert_statis",
+                               "action_ratio", "convert_ratio")}
+            return user_plans.user_offline_features(*parts.values(), self.codes, key=("dt", "user_id"))
+
+        return self.stored(f"users_{start}_{end}", build)
+
+    def items_between(self, start: str, end: str) -> DataFrame:
+        days = F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))
+        return self.items.withColumn("dt", F.explode(F.transform(days, lambda d: d.cast("string"))))
+
     # -- results further queries start from ----------------------------------------------
 
     @cached_property
@@ -323,7 +352,13 @@ class Tables:
         return Inputs(
             behaviour=self.behaviour, orders=self.orders, price_log=self.price_log,
             dictionary=self.codes, items=lambda day: self.items, rates=self.rates,
-            users=self.users, min_create=MIN_CREATE, price_ties=PRICE_TIES)
+            users=self.users, min_create=MIN_CREATE, price_ties=PRICE_TIES,
+            days_of={"items": self.items_between, "rates": self.rates_between, "users": self.users_between})
+
+    @cached_property
+    def log_days(self) -> tuple[str, str]:
+        """The first and the last day of the log."""
+        return tuple(self.behaviour.agg(F.min("dt"), F.max("dt")).first())
 
     @cached_property
     def samples(self) -> DataFrame:

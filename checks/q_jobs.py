@@ -10,18 +10,15 @@ from checks.fixtures import MIN_CREATE, RUN, SNAP
 from checks.q_evaluation import tower_weights
 from checks.q_operators import DENSE, ORDERED, SEQS
 from checks.registry import query
-from checks.tables_sql import item_table_sql
+from checks.tables_sql import code_of, item_table_sql
 from paddock.operators.filters import feature_families
 from paddock.operators.sequences import last_items
 from paddock.operators.towers import TowerSpec
 from paddock.plans import names as N
 from paddock.plans import preprocess as PP
 from paddock.plans import refresh as RF
-from paddock.plans.daily import backfill, daily_samples
+from paddock.plans.daily import backfill, daily_samples, range_sequences
 from paddock.plans.evaluation import evaluate
-from paddock.plans.histories import (
-    action_events, order_events, sample_sequences, sequence_attributes,
-)
 from paddock.plans.items import item_features
 from paddock.plans.samples import impression_labels, test_samples, train_samples
 from paddock.plans.users import sample_user_features
@@ -103,23 +100,19 @@ def _(t):
 
 def _events_sql(action):
     if action == "contract":
-        return f"""
-SELECT user_id, clue_id, ts FROM orders_in WHERE substr(create_time, 1, 10) BETWEEN
-  strftime(DATE '{RUN}' - 90, '%Y-%m-%d') AND '{SNAP}'"""
-    base = (f"SELECT cast(user_id AS INT) AS user_id, cast(clue_id AS INT) AS clue_id, "
-            f"cast(ts AS INT) AS ts FROM behaviour WHERE action = '{action}' AND ")
-    return f"""
-SELECT user_id, clue_id, ts FROM (SELECT *, row_number() OVER (PARTITION BY user_id
-  ORDER BY ts DESC, clue_id DESC) AS rn FROM ({base} dt BETWEEN
-  strftime(DATE '{RUN}' - 29, '%Y-%m-%d') AND '{SNAP}') b) h WHERE rn <= 10
-UNION ALL {base} dt = '{RUN}'"""
+        return "SELECT user_id, clue_id, ts, substr(create_time, 1, 10) AS at FROM orders_in"
+    return (f"SELECT cast(user_id AS INT) AS user_id, cast(clue_id AS INT) AS clue_id, "
+            f"cast(ts AS INT) AS ts, dt AS at FROM behaviour WHERE action = '{action}'")
 
 
-def _sequence_sql(action, spine):
-    """Sequences of one action; ``spine`` gives the moments."""
+def _sequence_sql(action, spine, items="seq_items"):
+    """Sequences of one action: the last ten events that each moment of ``spine`` can see
+    of the days its own day's job looks at.  ``items`` may hold the items of each day."""
+    back, until = (90, 1) if action == "contract" else (29, 0)
+    item = "concat(h.dt, '|', h.clue_id)" if items == "seq_items_days" else "h.clue_id"
     cols = [f"list(i.{a} ORDER BY rn) AS {N.seq_name('s', action, n)}"
             for a, n in N.SEQ_SPARSE.items() if a != "clue_id"]
-    cols.append(f"list(i.clue_id ORDER BY rn) AS {N.seq_name('s', action, 'clue_id')}")
+    cols.append(f"list(h.clue_id ORDER BY rn) AS {N.seq_name('s', action, 'clue_id')}")
     cols += [f"list(i.{a} ORDER BY rn) AS {N.seq_name('d', action, n)}"
              for a, n in N.SEQ_DENSE.items()]
     if action == "click":
@@ -129,11 +122,13 @@ def _sequence_sql(action, spine):
                      f"min({m}) AS {name.format(stat='min')}",
                      f"quantile_disc({m}, 0.5) AS {name.format(stat='p50')}"]
     return f"""
-SELECT h.user_id, h.ts, {', '.join(cols)} FROM (SELECT m.user_id, m.ts, e.clue_id,
+SELECT h.user_id, h.ts, {', '.join(cols)} FROM (SELECT m.user_id, m.ts, m.dt, e.clue_id,
   row_number() OVER (PARTITION BY m.user_id, m.ts ORDER BY e.ts DESC, e.clue_id DESC) AS rn
-  FROM (SELECT DISTINCT user_id, ts FROM {spine}) m JOIN ({_events_sql(action)}) e
-  ON m.user_id = e.user_id AND m.ts > e.ts + 60) h
-JOIN seq_items i ON h.clue_id = i.clue_id WHERE rn <= 10 GROUP BY h.user_id, h.ts"""
+  FROM (SELECT DISTINCT user_id, ts, dt FROM {spine}) m JOIN ({_events_sql(action)}) e
+  ON m.user_id = e.user_id AND m.ts > e.ts + 60
+  AND e.at BETWEEN strftime(cast(m.dt AS DATE) - {back}, '%Y-%m-%d')
+    AND strftime(cast(m.dt AS DATE) - {until}, '%Y-%m-%d')) h
+JOIN {items} i ON {item} = i.clue_id WHERE rn <= 10 GROUP BY h.user_id, h.ts"""
 
 
 def _seq_out():
@@ -150,9 +145,9 @@ def _seq_out():
     return ", ".join(out + [f"b.{c}" for c in stats])
 
 
-def _seq_joins(spine):
+def _seq_joins(spine, items="seq_items"):
     return " ".join(
-        f"LEFT JOIN ({_sequence_sql(a, spine)}) {x} ON s.user_id = {x}.user_id AND s.ts = {x}.ts"
+        f"LEFT JOIN ({_sequence_sql(a, spine, items)}) {x} ON s.user_id = {x}.user_id AND s.ts = {x}.ts"
         for x, a in zip("bcd", N.SEQ_ACTIONS))
 
 
@@ -161,13 +156,10 @@ AVG_NAMES = [name.format(stat="avg") for name in N.REALTIME.values()]
 
 @query("p7_sample_sequences", f"""
 SELECT s.dt, s.user_id, s.clue_id, s.recommend_id, s.label, s.ts, {_seq_out()}
-FROM samples s {_seq_joins('samples')}""")
+FROM samples s {_seq_joins('samples', 'seq_items_days')}""")
 def _(t):
-    """All samples of all days against the history known on the run date."""
-    events = action_events(t.behaviour, RUN).unionByName(order_events(t.orders, RUN))
-    attributes = sequence_attributes(t.priced(RUN), t.codes)
-    out = sample_sequences(t.samples, events, attributes, as_text=True)
-    return rounded(out, AVG_NAMES)
+    """All samples of all days, each with the history and the items of its own day."""
+    return rounded(range_sequences(t.inputs, t.samples, *t.log_days, as_text=True), AVG_NAMES)
 
 
 @query("p8_daily_samples", f"""
@@ -371,13 +363,35 @@ def _(t):
     return evaluate(test_samples(t.impressions), users, items)
 
 
-@query("p15_backfill", f"""
-SELECT dt, 'SEARCH' AS scene, label, count(*) AS n FROM samples
-WHERE clue_id IS NOT NULL AND dt BETWEEN '{SNAP}' AND '{RUN}' GROUP BY ALL""")
+#: The item rates of the backfill's SQL: those of an item itself.
+OWN_RATES = [c for c in N.ITEM_RATES if c.split("_")[0] in ("click", "beseen")]
+
+
+def item_days_sql():
+    sparse = ", ".join(f"{code_of('p.' + a, d)} AS {f}" for a, f, d in N.ITEM_SPARSE)
+    rates = ", ".join(f"coalesce({c}, 0.0::DOUBLE) AS {N.ITEM_RATES[c]}" for c in OWN_RATES)
+    dense = ", ".join(f"{c} AS {f}" for c, f in N.ITEM_DENSE.items())
+    return (f"SELECT p.clue_id, {sparse}, {rates}, {dense} FROM priced_days p "
+            "LEFT JOIN rates_0_days r ON p.clue_id = r.clue_id WHERE '2023' < create_time")
+
+
+def backfill_sql():
+    sparse = ", ".join(f"coalesce(i.{f}, 1) AS {f}" for f in ITEM_NAMES)
+    rates = ", ".join(f"round(i.{N.ITEM_RATES[c]}, 6) AS {N.ITEM_RATES[c]}" for c in OWN_RATES)
+    return f"""
+SELECT s.user_id, s.clue_id, s.recommend_id, s.label, s.ts, {sparse}, {rates},
+  {', '.join(f'i.{f}' for f in N.ITEM_DENSE.values())}, {', '.join(USER_COLS)}, {_seq_out()},
+  s.dt, 'SEARCH' AS scene
+FROM samples s LEFT JOIN ({item_days_sql()}) i ON concat(s.dt, '|', s.clue_id) = i.clue_id
+LEFT JOIN users_days u ON concat(s.dt, '|', s.user_id) = u.user_id
+{_seq_joins('samples', 'seq_items_days')} WHERE s.clue_id IS NOT NULL"""
+
+
+@query("p15_backfill", backfill_sql())
 def _(t):
-    """Two days written by the daily job, one partition each, with users and rates of the day before each."""
+    """All days of the log by one job: every feature of every sample as its own day's job has it."""
     path = f"{shared_dir(t.spark)}/backfill-{uuid.uuid4().hex[:12]}"
-    backfill(t.inputs, SNAP, RUN, path)
-    back = t.spark.read.parquet(path)
-    return back.groupBy(F.col("dt").cast("string").alias("dt"), "scene", "label").agg(
-        F.count("*").alias("n"))
+    backfill(t.inputs, *t.log_days, path, as_text=True)
+    back = t.spark.read.parquet(path).withColumn("dt", F.col("dt").cast("string"))
+    shared = [N.ITEM_RATES[c] for c in N.ITEM_RATES if c not in OWN_RATES]
+    return rounded(back.drop(*shared), [N.ITEM_RATES[c] for c in OWN_RATES] + AVG_NAMES)

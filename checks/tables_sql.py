@@ -175,6 +175,27 @@ LEFT JOIN rates_2 r2 ON p.clue_id = r2.clue_id WHERE {where}"""
 
 SEQ_ATTRS = [a for a in N.SEQ_SPARSE if a != "clue_id"]
 
+#: Tables of one snapshot that are stated once more for all days, with the day in front of their keys.
+DAILY = ("acted", "items", "priced_snap", "action_cnt", "convert_cnt", "action_statis", "convert_statis",
+         "action_ratio", "convert_ratio", "per_item", "rates_0", "users")
+
+
+def daily_sql(sql: str) -> str:
+    """A statement over one snapshot as one over all days: its keys are then 'day|key'."""
+    return re.sub(rf"\b({'|'.join(DAILY)})\b", r"\1_days", sql)
+
+
+def prices_days_sql(back: int) -> str:
+    """The latest price of every item as of ``back`` days before each day."""
+    return f"""
+SELECT concat(day, '|', cast(clue_id AS INT)) AS clue_id, cast(model_price AS INT) AS model_price,
+  cast(seller_price AS INT) AS seller_price, cast(car_level AS INT) AS car_level
+FROM (SELECT *, row_number() OVER (PARTITION BY day, clue_id ORDER BY ts DESC, o DESC, l DESC, x DESC) AS rn
+      FROM days JOIN price_log ON dt BETWEEN strftime(cast(day AS DATE) - {90 + back}, '%Y-%m-%d')
+        AND strftime(cast(day AS DATE) - {back}, '%Y-%m-%d')) t
+WHERE rn = 1"""
+
+
 CTES = {
     "behaviour": """
 SELECT cast(user_id AS VARCHAR) AS user_id, regexp_extract(props, '([0-9]+)', 1) AS clue_id,
@@ -285,7 +306,7 @@ UNION ALL
 SELECT p.dt, p.user_id, i.clue_id, p.recommend_id, 0, p.query_ts FROM picked p
 LEFT JOIN numbered i ON p.dt = i.dt AND p.n > 0
   AND i.idx = {draw('1-item', 'p.dt', 'p.recommend_id', 'p.page', 'p.user_id')} % nullif(p.n, 0)""",
-    "day_samples": f"SELECT user_id, clue_id, recommend_id, label, ts FROM samples WHERE dt = '{RUN}'",
+    "day_samples": f"SELECT user_id, clue_id, recommend_id, label, ts, dt FROM samples WHERE dt = '{RUN}'",
     "label_events": """
 SELECT * FROM (SELECT cast(clue_id AS INT) AS clue_id, cast(user_id AS INT) AS user_id,
   recommend_id, cast(amount AS INT) AS amount, cast(ts AS INT) AS ts, action, dt,
@@ -367,6 +388,21 @@ SELECT dt, user_id, clue_id, recommend_id, label, ts, inner_product,
 }
 
 
+CTES |= {
+    "days": "SELECT DISTINCT dt AS day FROM behaviour",
+    "acted_days": """
+SELECT concat(day, '|', cast(user_id AS INT)) AS user_id, action, concat(day, '|', cast(clue_id AS INT)) AS clue_id,
+  cast(day AS DATE) - 1 - cast(dt AS DATE) AS age FROM behaviour JOIN days ON dt < day""",
+    "items_days": "SELECT * REPLACE (concat(day, '|', clue_id) AS clue_id) FROM items, days",
+    "prices_days": prices_days_sql(0),
+    "prices_before": prices_days_sql(1),
+    "priced_days": daily_sql(priced_sql("prices_days")),
+    "priced_snap_days": daily_sql(priced_sql("prices_before")),
+    **{f"{n}_days": daily_sql(CTES[n]) for n in DAILY[3:]},
+    "seq_items_days": CTES["seq_items"].replace("priced_run", "priced_days"),
+}
+
+
 def with_tables(sql: str) -> str:
     """Put the tables that ``sql`` names, and those they name, in front of it."""
     def named(text):

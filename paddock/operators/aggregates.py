@@ -19,21 +19,25 @@ def distinct_rows(df: DataFrame, cols) -> DataFrame:
     return df.select(*cols).distinct()
 
 
-def pivot_max(df: DataFrame, key: str, cols: dict, else_=0) -> DataFrame:
+def _names(key) -> list:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def pivot_max(df: DataFrame, key, cols: dict, else_=0) -> DataFrame:
     """``cols``: output name -> (action, source column)."""
-    return df.groupBy(key).agg(*[
+    return df.groupBy(*_names(key)).agg(*[
         F.max(F.when(F.col("action") == action, F.col(src)).otherwise(F.lit(else_))).alias(name)
         for name, (action, src) in cols.items()
     ])
 
 
-def pivot_stats(df: DataFrame, key: str, cols: dict) -> DataFrame:
+def pivot_stats(df: DataFrame, key, cols: dict) -> DataFrame:
     """Statistics by action and window in one pass; absent ones stay null.
 
     ``cols``: output name -> (action, window days, source column); the source
     holds one row per (key, action, window).
     """
-    return df.groupBy(key).agg(*[
+    return df.groupBy(*_names(key)).agg(*[
         F.max(F.when((F.col("action") == action) & (F.col("cnt_days") == days), F.col(src)))
         .alias(name)
         for name, (action, days, src) in cols.items()

@@ -27,12 +27,12 @@ def lookup_join(large: DataFrame, lookup: DataFrame, on, how: str = "left") -> D
     return out.select(*on, *rest, *[c for c in lookup.columns if c not in on])
 
 
-def join_item_features(samples: DataFrame, items: DataFrame) -> DataFrame:
-    return lookup_join(samples, items, "clue_id")
+def join_item_features(samples: DataFrame, items: DataFrame, on="clue_id") -> DataFrame:
+    return lookup_join(samples, items, on)
 
 
-def join_user_features(samples: DataFrame, users: DataFrame) -> DataFrame:
-    return lookup_join(samples, users, "user_id")
+def join_user_features(samples: DataFrame, users: DataFrame, on="user_id") -> DataFrame:
+    return lookup_join(samples, users, on)
 
 
 def join_sequences(samples: DataFrame, *sequences: DataFrame) -> DataFrame:
@@ -46,21 +46,21 @@ def join_sequences(samples: DataFrame, *sequences: DataFrame) -> DataFrame:
     return samples
 
 
-def join_latest_price(items: DataFrame, prices: DataFrame) -> DataFrame:
-    """Both sides hold one row per item: no hot key, no salt."""
-    return items.join(prices, "clue_id", "left")
+def join_latest_price(items: DataFrame, prices: DataFrame, on="clue_id") -> DataFrame:
+    """Both sides hold one row per item (and day): no hot key, no salt."""
+    return items.join(prices, on, "left")
 
 
-def join_item_rates(items: DataFrame, *rates: DataFrame) -> DataFrame:
-    """Rate tables on the int key, one row per item each; they share one partitioning."""
+def join_item_rates(items: DataFrame, *rates: DataFrame, on="clue_id") -> DataFrame:
+    """Rate tables on the int key, one row per item (and day) each; they share one partitioning."""
     for r in rates:
-        items = items.join(r, "clue_id", "left")
+        items = items.join(r, on, "left")
     return items
 
 
-def sequence_items(events: DataFrame, items: DataFrame) -> DataFrame:
+def sequence_items(events: DataFrame, items: DataFrame, on="clue_id") -> DataFrame:
     """Events with the attributes of their item; unknown items drop out."""
-    return lookup_join(events, items, "clue_id", "inner")
+    return lookup_join(events, items, on, "inner")
 
 
 def attach_labels(impressions: DataFrame, labels: DataFrame, on=("clue_id", "recommend_id"),
@@ -74,12 +74,12 @@ def attach_labels(impressions: DataFrame, labels: DataFrame, on=("clue_id", "rec
     ])
 
 
-def assemble_user(spine: DataFrame, *parts: DataFrame) -> DataFrame:
-    """Star of left joins on user_id; every part holds one row per user.
+def assemble_user(spine: DataFrame, *parts: DataFrame, on="user_id") -> DataFrame:
+    """Star of left joins on the user (and day); every part holds one row per key.
 
-    The parts come out of aggregations on user_id, so all sides already share
+    The parts come out of aggregations on that key, so all sides already share
     that partitioning and the chain needs no further shuffle.
     """
     for p in parts:
-        spine = spine.join(p, "user_id", "left")
+        spine = spine.join(p, on, "left")
     return spine

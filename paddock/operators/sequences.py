@@ -39,19 +39,21 @@ def _tail(rows: DataFrame, part: list[str], at: str, k: int) -> DataFrame:
 
 def last_k_before(spine: DataFrame, events: DataFrame, by=("user_id",), k: int = 10,
                   lag: int = 60, payload=("clue_id",), bucket: int = BUCKET_SECONDS,
-                  floor: str | None = None) -> DataFrame:
+                  floor: str | None = None, seen: str | None = None) -> DataFrame:
     """(by, ts, hist): the last ``k`` events with ``event.ts + lag < ts``.
 
     ``hist`` is an array of (ts, payload...) structs, latest first, ties by
     payload descending.  ``spine`` may hold a moment more than once; the result
     has one row per distinct (by, ts) with a known key.  ``floor`` names a spine column: events
-    before that second are not part of the history.
+    before that second are not part of the history.  ``seen`` names an events column
+    that takes the place of ``ts + lag``: the second after which an event is visible,
+    no earlier for a later event of the same key.
     """
     by = list(by)
     entry = F.struct(F.col("ts").alias("ts"), *[F.col(c) for c in payload])
     known = reduce(and_, [F.col(c).isNotNull() for c in [*by, "ts"]])
     ev = events.where(known).select(
-        *by, (F.col("ts") + lag).cast("bigint").alias("_at"), entry.alias("_e"))
+        *by, (F.col(seen) if seen else F.col("ts") + lag).cast("bigint").alias("_at"), entry.alias("_e"))
     # a second needs no more than its last k events
     per_second = Window.partitionBy(*by, "_at").orderBy(F.col("_e").desc())
     ev = (ev.withColumn("_rn", F.row_number().over(per_second)).where(F.col("_rn") <= k)
@@ -75,8 +77,9 @@ def last_k_before(spine: DataFrame, events: DataFrame, by=("user_id",), k: int =
         moments.withColumn("_kind", F.lit(0))
         .unionByName(ev.withColumn("_kind", F.lit(1)), allowMissingColumns=True)
         .unionByName(
+            # all before the bucket, in the order of the events
             inherited.withColumn("_kind", F.lit(1))
-            .withColumn("_at", F.col("_e.ts") + F.lit(lag).cast("bigint")),
+            .withColumn("_at", F.least(F.col("_e.ts") + F.lit(lag), F.col("_b") * bucket - 1).cast("bigint")),
             allowMissingColumns=True)
     )
     out = _tail(rows, [*by, "_b"], "_at", k)

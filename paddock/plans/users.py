@@ -14,17 +14,20 @@ NO_FAVOURITE = "-1"
 
 
 def encoded_favourites(ratios: DataFrame, by, ratio: str, cols: dict,
-                       dictionary: DataFrame) -> DataFrame:
-    """One row per user with the dictionary id of each favourite category.
+                       dictionary: DataFrame, key=("user_id",)) -> DataFrame:
+    """One row per ``key`` with the dictionary id of each favourite category.
+
+    ``by`` starts with the key; ``cols`` gives the values of the rest of it.
 
     The favourites are encoded while they are rows, by one join, and pivoted
     after that.  A user who is in the table but has no rows in some category
     gets the code of '-1' there, which is known where -1 is itself a value.
     """
-    by = list(by)
+    by, key = list(by), list(key)
+    rest = by[len(key):]
     # One shuffle by user serves both groupings and the star join; a user holds at
     # most one row per category value, so no user is large here.
-    best = favourite_long(ratios.repartition(by[0]), by, ratio)
+    best = favourite_long(ratios.repartition(*key), by, ratio)
     best = best.withColumn("best_key", F.coalesce("best_key", F.lit(NO_FAVOURITE)))
     cluster = F.col("cluster")
     name = F.when(cluster.isin(*N.PREFIXED_CLUSTERS), F.concat(F.lit("c2b_"), cluster))
@@ -32,62 +35,66 @@ def encoded_favourites(ratios: DataFrame, by, ratio: str, cols: dict,
     aggs = []
     for out, values in cols.items():
         here = F.lit(True)
-        for c, v in zip(by[1:], values):
+        for c, v in zip(rest, values):
             here = here & (F.col(c) == v)
         aggs.append(F.max(F.when(here, F.col("encode_id"))).alias(out))
     # at most one entry per feature
     none = dictionary.where(F.col("fea_val") == NO_FAVOURITE).agg(
         F.map_from_entries(F.collect_list(F.struct("fea_name", "encode_id")))).scalar()
-    return coded.groupBy(by[0]).agg(*aggs).select(by[0], *[
+    return coded.groupBy(*key).agg(*aggs).select(*key, *[
         F.coalesce(F.col(out), F.element_at(none, F.lit(N.cluster_name(values[-1]))), F.lit(1))
         .alias(out)
         for out, values in cols.items()
     ])
 
 
-def convert_counts(convert_cnt: DataFrame) -> DataFrame:
+def convert_counts(convert_cnt: DataFrame, key=("user_id",)) -> DataFrame:
     return convert_cnt.select(
-        "user_id",
+        *key,
         F.coalesce("cnt_0_30", F.lit(0)).cast("int").alias("d_u_contract_cnt_30"),
         F.coalesce("cnt_0_365", F.lit(0)).cast("int").alias("d_u_contract_cnt_365"))
 
 
 def user_offline_features(action_cnt: DataFrame, convert_cnt: DataFrame, action_statis: DataFrame,
                           convert_statis: DataFrame, action_ratio: DataFrame,
-                          convert_ratio: DataFrame, dictionary: DataFrame) -> DataFrame:
+                          convert_ratio: DataFrame, dictionary: DataFrame,
+                          key=("user_id",)) -> DataFrame:
     """One row per user with counted actions: 47 dense and 50 sparse features.
 
     Counts without a source are 0, statistics stay null, categories are 1.
+    With ("dt", "user_id") as ``key`` the inputs hold the snapshots of many days
+    and so does the result.
     """
+    key = list(key)
     counts = N.action_count_columns()
-    spine = pivot_max(action_cnt.where("user_id is not null"), "user_id", counts)
-    stats = pivot_stats(action_statis, "user_id", N.action_stat_columns())
+    spine = pivot_max(action_cnt.where("user_id is not null"), key, counts)
+    stats = pivot_stats(action_statis, key, N.action_stat_columns())
     # orders carry the name of their conversion in place of the action
     deals = convert_statis.withColumnRenamed("convert", "action")
-    deals = pivot_stats(deals, "user_id", N.order_stat_columns())
+    deals = pivot_stats(deals, key, N.order_stat_columns())
     acted = encoded_favourites(
-        action_ratio, ("user_id", "action", "cluster"), "ratio_0_7", N.action_favourites(),
-        dictionary)
+        action_ratio, (*key, "action", "cluster"), "ratio_0_7", N.action_favourites(),
+        dictionary, key)
     ordered = [
-        encoded_favourites(convert_ratio, ("user_id", "cluster"), f"ratio_{w}",
-                           N.order_favourites(w), dictionary)
+        encoded_favourites(convert_ratio, (*key, "cluster"), f"ratio_{w}",
+                           N.order_favourites(w), dictionary, key)
         for w in ("0_30", "0_365")
     ]
     wide = assemble_user(
-        spine, convert_counts(convert_cnt), stats, deals, acted, *ordered)
+        spine, convert_counts(convert_cnt, key), stats, deals, acted, *ordered, on=key)
 
     seen = [c for c in counts if "_beseen_" in c]
     zero = [c for c in counts if c not in seen] + ["d_u_contract_cnt_30", "d_u_contract_cnt_365"]
     dense = list(N.action_stat_columns()) + list(N.order_stat_columns())
     sparse = [*N.action_favourites(), *N.order_favourites("0_30"), *N.order_favourites("0_365")]
     return wide.select(
-        "user_id", *seen,
+        *key, *seen,
         *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in zero],
         *dense,
         *[F.coalesce(F.col(c), F.lit(1)).alias(c) for c in sparse],
     )
 
 
-def sample_user_features(samples: DataFrame, users: DataFrame) -> DataFrame:
+def sample_user_features(samples: DataFrame, users: DataFrame, on="user_id") -> DataFrame:
     """Samples with the user features of the snapshot before their day."""
-    return join_user_features(samples, users)
+    return join_user_features(samples, users, on)
