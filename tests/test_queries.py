@@ -50,22 +50,49 @@ def test_scenes_select_their_own_samples(spark):
     assert search and grab and not {(r.user_id, r.ts) for r in search} & {(r.user_id, r.ts) for r in grab}
 
 
-def test_the_backfill_asks_for_snapshots_of_each_day(spark, monkeypatch):
-    from checks import q_jobs
+def test_a_range_of_days_has_the_rows_of_each_daily_job(spark):
     from checks.fixtures import Tables
+    from paddock.plans.daily import daily_samples, range_samples
 
-    asked = []
-    for kind in ("users", "rates"):
-        monkeypatch.setattr(Tables, kind, lambda self, day, kind=kind: asked.append((kind, day)))
+    t = Tables(spark, SF)
+    days = ["2024-01-12", "2024-01-13"]
+    whole = range_samples(t.inputs, *days)
+    got = whole.collect()
+    for day in days:
+        own = daily_samples(t.inputs, day).select(*whole.columns).collect()
+        assert own and sorted(map(str, own)) == sorted(str(r) for r in got if r.dt == day)
+    assert {r.dt for r in got} == set(days)
+
+
+def test_days_without_a_range_function_are_put_together(spark):
+    from paddock.plans.daily import Inputs
+
+    def frame(day):
+        return spark.createDataFrame([(1, day)], "user_id int, made string")
 
-    def fake(inputs, start, end, path):
-        for day in ("2024-01-25", "2024-01-26"):
-            inputs.users(day), inputs.rates(day)
-        spark.sql("SELECT DATE '2024-01-26' AS dt, 'SEARCH' AS scene, 1 AS label").write.parquet(path)
+    inputs = Inputs(None, None, None, None, items=None, rates=lambda day: (frame(day), frame(day)), users=frame, min_create="")
+    rows = inputs.between("users", "2024-01-30", "2024-02-02").collect()
+    assert [(r.made, r.dt) for r in rows] == [(d, d) for d in ("2024-01-30", "2024-01-31", "2024-02-01", "2024-02-02")]
+    assert [f.count() for f in inputs.between("rates", "2024-01-30", "2024-01-31")] == [2, 2]
+
+
+def test_a_backfill_replaces_its_days_and_no_others(spark, monkeypatch, tmp_path):
+    from paddock.plans import daily
+
+    asked = []
 
-    monkeypatch.setattr(q_jobs, "backfill", fake)
-    QUERIES["p15_backfill"](spark, SF).collect()
-    assert asked == [(k, d) for d in ("2024-01-25", "2024-01-26") for k in ("users", "rates")]
+    def rows(inputs, start, end, scene, **kw):
+        asked.append((start, end))
+        return spark.createDataFrame([(d, len(asked)) for d in daily.days_between(start, end)], "dt string, run int")
+
+    monkeypatch.setattr(daily, "range_samples", rows)
+    path = str(tmp_path / "samples")
+    daily.backfill(None, "2024-01-01", "2024-01-05", path, together=2)
+    daily.backfill(None, "2024-01-04", "2024-01-04", path)
+    assert asked == [("2024-01-01", "2024-01-02"), ("2024-01-03", "2024-01-04"), ("2024-01-05", "2024-01-05"),
+                     ("2024-01-04", "2024-01-04")]
+    back = {str(r.dt): (r.run, r.scene) for r in spark.read.parquet(path).collect()}
+    assert back == {f"2024-01-0{d}": (n, "SEARCH") for d, n in zip(range(1, 6), (1, 1, 2, 4, 3))}
 
 
 def test_every_query_of_the_inventory_is_registered():

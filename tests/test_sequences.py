@@ -63,3 +63,46 @@ def test_recent_stats(spark):
     df = spark.createDataFrame([(1, [1, 2, 3, 10]), (2, [None, 4])], "u int, x array<int>")
     rows = Q.recent_stats(df, {"x": "x_{stat}"}, keep=["u"]).orderBy("u").collect()
     assert [tuple(r) for r in rows] == [(1, 4.0, 10, 1, 2), (2, 4.0, 4, 4, 4)]
+
+
+def test_a_column_says_when_events_are_seen(spark):
+    rnd = random.Random(9)
+    events = sorted((1 if rnd.random() < .6 else 2, rnd.randint(0, 4000), rnd.randint(0, 4)) for _ in range(400))
+    spine = [(rnd.randint(1, 2), rnd.randint(0, 5000)) for _ in range(150)]
+    late = lambda ts: max(ts + 60, (ts // 1000 + 1) * 1000 - 1)
+    s, e = frames(spark, spine, events)
+    e = e.withColumn("seen", F.greatest(F.col("ts") + 60, (F.floor(F.col("ts") / 1000) + 1) * 1000 - 1))
+    want = {(u, ts): sorted([(x, c) for v, x, c in events if v == u and ts > late(x)], reverse=True)[:10] for u, ts in set(spine)}
+    for bucket in (70, 900, 100000):
+        assert got(Q.last_k_before(s, e, seen="seen", bucket=bucket)) == want
+
+
+def test_moments_of_many_days_look_back_from_their_own_day(spark):
+    """More than ten clicks before and after a sample, days that have gone out of sight, orders of the day itself."""
+    from paddock.plans.histories import events_between, history_rows
+
+    day, base = 86400, 1704067200  # 2024-01-01
+    rnd = random.Random(3)
+    acts = [(u, rnd.choice(["click", "bid", "order"]), base + rnd.randint(0, 60 * day), rnd.randint(1, 50))
+            for u in (1, 1, 1, 2) for _ in range(120)]
+    acts += [(1, a, base + 40 * day - x, 7) for a in ("click", "order") for x in (1, 30, 59, 60, 61, 62)]
+    moments = [(rnd.choice([1, 1, 2]), base + rnd.randint(30 * day, 59 * day)) for _ in range(60)]
+    moments += [(1, base + 40 * day + x) for x in (0, 1, 29, 30, 31, 59, 60)]
+    iso = lambda ts: F.date_format(F.timestamp_seconds(ts), "yyyy-MM-dd")
+    rows = spark.createDataFrame(acts, "user_id int, action string, ts long, clue_id int")
+    log = rows.where("action <> 'order'").select(*[F.col(c).cast("string").alias(c) for c in ("user_id", "action", "ts", "clue_id")],
+                                                 iso("ts").alias("dt"))
+    orders = rows.where("action = 'order'").select(
+        "user_id", "clue_id", F.date_format(F.timestamp_seconds("ts"), "yyyy-MM-dd HH:mm:ss").alias("create_time"))
+    spine = spark.createDataFrame(moments, "user_id int, ts int")
+    events = events_between(log, orders, "2024-01-31", "2024-02-28")
+    have = {}
+    for r in history_rows(spine, events).collect():
+        have.setdefault((r.user_id, r.ts, r.action), []).append((r.rn, r.clue_id))
+    for u, ts in set(moments):
+        today = (ts - base) // day
+        for action, name, back, until in (("click", "click", 29, 0), ("bid", "bid", 29, 0), ("order", "contract", 90, 1)):
+            seen = [(x, c) for v, a, x, c in acts if v == u and a == action and ts > x + 60
+                    and today - back <= (x - base) // day <= today - until]
+            want = [(n + 1, c) for n, (_, c) in enumerate(sorted(seen, reverse=True)[:10])]
+            assert sorted(have.get((u, ts, name), [])) == want, (u, ts, action)
