@@ -12,6 +12,7 @@ from paddock.operators import encoding as E
 from paddock.operators import filters as P
 from paddock.operators import joins as J
 from paddock.operators import ordering as O
+from paddock.operators import quantiles as QU
 from paddock.operators import sampling as R
 from paddock.operators import sequences as Q
 from paddock.operators import windows as W
@@ -324,14 +325,14 @@ def parsed(t):
 @query("a11_fit_medians", " UNION ALL ".join(
     f"SELECT '{c}' AS feature, round(median({c}), 6)::DOUBLE AS median FROM features" for c in DENSE))
 def _(t):
-    return O.fit_medians(t.features, DENSE).select("feature", F.round("median", 6).alias("median"))
+    return QU.fit_medians(t.features, DENSE).select("feature", F.round("median", 6).alias("median"))
 
 
 @query("a12_fit_seq_medians", " UNION ALL ".join(
     f"SELECT '{c}' AS feature, round(median(x), 6)::DOUBLE AS median FROM (SELECT unnest({s}) AS x "
     f"FROM features) e" for c, s in SEQS.items()))
 def _(t):
-    return O.fit_medians(parsed(t), seqs=list(SEQS)).select(
+    return QU.fit_medians(parsed(t), seqs=list(SEQS)).select(
         "feature", F.round("median", 6).alias("median"))
 
 
@@ -343,10 +344,10 @@ def _(t):
     """After filling with the medians; one row of the aggregate becomes rows again."""
     from paddock.plans.preprocess import fill_missing
 
-    medians = {r["feature"]: r["median"] for r in O.fit_medians(t.features, DENSE).collect()}
+    medians = {r["feature"]: r["median"] for r in QU.fit_medians(t.features, DENSE).collect()}
     families = {"d_u": DENSE, "d_i": [], "d_seq": []}
     filled = fill_missing(t.features, families, medians)
-    out = A.scaler_long(O.long_values(filled, DENSE))
+    out = A.scaler_long(QU.long_values(filled, DENSE))
     return out.select("feature", F.round("mean", 6).alias("mean"), F.round("scale", 6).alias("scale"))
 
 
@@ -359,9 +360,9 @@ def _(t):
     from paddock.plans.preprocess import fill_missing
 
     rows = parsed(t)
-    medians = {r["feature"]: r["median"] for r in O.fit_medians(rows, seqs=list(SEQS)).collect()}
+    medians = {r["feature"]: r["median"] for r in QU.fit_medians(rows, seqs=list(SEQS)).collect()}
     filled = fill_missing(rows, {"d_u": [], "d_i": [], "d_seq": list(SEQS)}, medians)
-    out = A.scaler_long(O.long_values(filled, seqs=list(SEQS)))
+    out = A.scaler_long(QU.long_values(filled, seqs=list(SEQS)))
     return out.select("feature", F.round("mean", 6).alias("mean"), F.round("scale", 6).alias("scale"))
 
 
@@ -370,7 +371,7 @@ def _(t):
 FROM features, (SELECT quantile_cont({c}::DOUBLE, 0.03) AS lo, quantile_cont({c}::DOUBLE, 0.97) AS hi
   FROM features) b WHERE {c} BETWEEN lo AND hi""" for c in DENSE))
 def _(t):
-    out = O.fit_trimmed_scaler(t.features, DENSE)
+    out = QU.fit_trimmed_scaler(t.features, DENSE)
     return out.select("feature", F.round("mean", 6).alias("mean"), F.round("scale", 6).alias("scale"))
 
 

@@ -1,37 +1,77 @@
 """Offline evaluation of scored samples.
 
-Areas under the curve come from counts per distinct score and running totals
-over them: a group of any size spreads over many ranges, and equal scores share
+Areas under the curve come from counts per distinct score: a sketch of all scores
+parts them into ranges, ranks run inside a range of a group, and equal scores share
 their average rank.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paddock.functions import dot, sigmoid
 from paddock.operators.joins import lookup_join
-from paddock.operators.ordering import running_total
 
+#: Rows of a score range, about, and how many ranges there are at most.
+PER_RANGE, MOST_RANGES = 100_000, 4096
 
-def _group_auc(df: DataFrame, by, label="label", score="score") -> DataFrame:
-    """(by..., rows, positives, auc); auc is null where one label is missing."""
+
+def score_ranges(df: DataFrame, score="score") -> list[float]:
+    """Scores that part all rows into ranges of about ``PER_RANGE``, by one sketch; none for few rows."""
+    shares = [i / MOST_RANGES for i in range(1, MOST_RANGES)]
+    row = df.agg(F.count("*").alias("n"), F.percentile_approx(F.col(score).cast("double"), shares).alias("q")).first()
+    wanted = min(MOST_RANGES, -(-row["n"] // PER_RANGE))
+    if wanted < 2 or not row["q"]:
+        return []
+    return sorted({row["q"][i * MOST_RANGES // wanted - 1] for i in range(1, wanted)})
+
+
+def _range_of(score, splits: list[float]):
+    """How many of the sorted ``splits`` lie below a score, looked up in two steps."""
+    if not splits:
+        return F.lit(0)
+    step = max(1, math.isqrt(len(splits)))
+    below = lambda points: F.size(F.filter(points, lambda s: s < score))
+    coarse = below(F.array(*[F.lit(s) for s in splits[step - 1::step]]))
+    return coarse * step + below(F.slice(F.array(*[F.lit(s) for s in splits]), coarse * step + 1, F.lit(step)))
+
+
+def group_areas(df: DataFrame, by, splits: list[float], label="label", score="score") -> DataFrame:
+    """(by..., rows, positives, auc); auc is null where one label is missing.
+
+    Ranks run inside a (group, score range) only; a group of any size spreads over
+    the ranges, and its ranges are added up in order.
+    """
     by = list(by)
     pos = F.sum(F.when(F.col(label) == 1, 1).otherwise(0))
-    counted = df.groupBy(*by, F.col(score).alias("_score")).agg(
+    own = _range_of(F.col(score).cast("double"), splits)
+    counted = df.groupBy(*by, own.alias("_range"), F.col(score).alias("_score")).agg(
         F.count("*").alias("_all"), pos.alias("_pos"))
     counted = counted.withColumn("_neg", F.col("_all") - F.col("_pos"))
-    ranked = running_total(counted, ["_score"], ["_neg"], by=by)
+    upto = Window.partitionBy(*by, "_range").orderBy("_score").rowsBetween(Window.unboundedPreceding, 0)
     # negatives below count 1, ties count one half
-    wins = F.col("_pos") * (F.col("cum__neg") - F.col("_neg") / 2)
-    out = ranked.groupBy(*by).agg(
-        F.sum("_all").alias("rows"), F.sum("_pos").alias("positives"), F.sum(wins).alias("_w"))
+    wins = F.col("_pos") * (F.sum("_neg").over(upto) - F.col("_neg") / 2)
+    part = counted.withColumn("_w", wins).groupBy(*by, "_range").agg(
+        F.sum("_all").alias("_all"), F.sum("_pos").alias("_pos"), F.sum("_neg").alias("_neg"), F.sum("_w").alias("_w"))
+    # no more entries than there are ranges
+    ranges = F.array_sort(F.collect_list(F.struct("_range", "_pos", "_neg", "_w")))
+    start = F.struct(F.lit(0).cast("long").alias("neg"), F.lit(0.0).alias("w"))
+    total = F.aggregate(ranges, start, lambda a, r: F.struct(
+        (a["neg"] + r["_neg"]).alias("neg"), (a["w"] + r["_w"] + r["_pos"] * a["neg"]).alias("w")))
+    out = part.groupBy(*by).agg(
+        F.sum("_all").alias("rows"), F.sum("_pos").alias("positives"), total["w"].alias("_w"))
     pairs = F.col("positives") * (F.col("rows") - F.col("positives"))
     return out.select(
         *by, "rows", "positives", F.when(pairs > 0, F.col("_w") / pairs).alias("auc"))
 
 
+def _group_auc(df: DataFrame, by, label="label", score="score") -> DataFrame:
+    return group_areas(df, by, score_ranges(df, score), label, score)
+
+
 def auc(df: DataFrame, label="label", score="score") -> DataFrame:
     """One row: rows, positives, auc."""
     return _group_auc(df, [], label, score)
@@ -79,8 +119,9 @@ def score_pairs(users: DataFrame, items: DataFrame, pairs: DataFrame, user="user
 def daily_auc(df: DataFrame, day="dt", group="recommend_id", label="label",
               score="score") -> DataFrame:
     """One row per day: rows, positives, auc and the group-weighted area, 4 digits."""
-    whole = group_auc(df, day, label, score)
-    per = _group_auc(df, [day, group], label, score).where(F.col("auc").isNotNull())
+    splits = score_ranges(df, score)
+    whole = group_areas(df, [day], splits, label, score)
+    per = group_areas(df, [day, group], splits, label, score).where(F.col("auc").isNotNull())
     grouped = per.groupBy(day).agg(
         F.round(F.sum(F.col("auc") * F.col("rows")) / F.sum("rows"), 4).alias("gauc"))
     return whole.join(grouped, day, "left").select(

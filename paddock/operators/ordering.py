@@ -2,8 +2,8 @@
 
 ``running_total`` sorts by ranges, writes the sorted parts once (so the part
 numbers stay what they are when a task is repeated), adds up each part, and
-shifts every part by the sum of those before it.  Exact medians, the time split
-and the area under the curve are read off such totals.
+shifts every part by the sum of those before it.  The time split needs no such order:
+its cuts are found by counting.
 """
 
 from __future__ import annotations
@@ -53,63 +53,6 @@ def global_index(df: DataFrame, order, name: str = "idx") -> DataFrame:
     return out.withColumn(name, F.col("cum__one") - 1).drop("cum__one", "_one", "_tie")
 
 
-def exact_quantile(values: DataFrame, p: float = 0.5) -> DataFrame:
-    """(feature, n, value): interpolated quantile of (feature, value) rows, nulls ignored."""
-    counted = values.where(F.col("value").isNotNull()).groupBy("feature", "value").agg(
-        F.count("*").alias("cnt"))
-    ranked = running_total(counted, ["value"], ["cnt"], by=["feature"])
-    totals = ranked.groupBy("feature").agg(F.max("cum_cnt").alias("n"))
-    # one row per feature: its size is the number of columns
-    ranked = ranked.join(F.broadcast(totals), "feature")
-    # positions are 0-based; a value holds [cum - cnt, cum)
-    pos = F.lit(float(p)) * (F.col("n") - 1)
-    low, high = F.floor(pos), F.ceil(pos)
-
-    def holds(at: Column) -> Column:
-        return (F.col("cum_cnt") > at) & (F.col("cum_cnt") - F.col("cnt") <= at)
-
-    picked = ranked.where(holds(low) | holds(high)).groupBy("feature", "n").agg(
-        F.max(F.when(holds(low), F.col("value"))).alias("_lo"),
-        F.max(F.when(holds(high), F.col("value"))).alias("_hi"),
-    )
-    return picked.select(
-        "feature", "n", (F.col("_lo") + (pos - low) * (F.col("_hi") - F.col("_lo"))).alias("value"))
-
-
-def long_values(df: DataFrame, cols=(), seqs=()) -> DataFrame:
-    """(feature, value) rows of scalar columns and of all sequence elements."""
-    scalars = [
-        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in cols
-    ]
-
-    def elements(s):
-        known = F.coalesce(F.col(s).cast("array<double>"), F.array().cast("array<double>"))
-        return F.transform(known, lambda x: F.struct(F.lit(s).alias("feature"), x.alias("value")))
-
-    parts = ([F.array(*scalars)] if scalars else []) + [elements(s) for s in seqs]
-    every = F.concat(*parts) if len(parts) > 1 else parts[0]
-    return df.select(F.explode(every).alias("_v")).select("_v.feature", "_v.value")
-
-
-def fit_medians(df: DataFrame, dense=(), seqs=()) -> DataFrame:
-    """Exact interpolated medians: per column, and per sequence over all its elements."""
-    return exact_quantile(long_values(df, dense, seqs)).select(
-        "feature", F.col("value").alias("median"))
-
-
-def fit_trimmed_scaler(df: DataFrame, cols, p: float = 0.03) -> DataFrame:
-    """(feature, mean, scale) over the values within the p and 1-p quantiles."""
-    values = long_values(df, cols).where(F.col("value").isNotNull())
-    lo = exact_quantile(values, p).select("feature", F.col("value").alias("lo"))
-    hi = exact_quantile(values, 1 - p).select("feature", F.col("value").alias("hi"))
-    bounds = lo.join(hi, "feature")
-    kept = values.join(F.broadcast(bounds), "feature").where(
-        F.col("value").between(F.col("lo"), F.col("hi")))
-    out = kept.groupBy("feature").agg(
-        F.avg("value").alias("mean"), F.stddev_pop("value").alias("scale"))
-    return out.withColumn("scale", F.when(F.col("scale") == 0, 1.0).otherwise(F.col("scale")))
-
-
 def _tuple_before(keys, point) -> Column:
     """Lexicographic (keys) < (point), nulls first as in sorting."""
     out = F.lit(False)
@@ -127,32 +70,90 @@ def _tuple_equal(keys, point) -> Column:
     return out
 
 
-def _cut_points(df: DataFrame, ts: str, ties, positions) -> list[dict]:
+#: Error of a sketch of seconds as one in so many, and what is added to either side of a cut.
+ACCURACY, SLACK = 10_000, 4 / 10_000
+#: Below and above all seconds.
+FIRST, LAST = -(1 << 63), (1 << 63) - 1
+#: The seconds around a cut are listed; a second with more rows than this is narrowed first.
+LISTED = 1_000_000
+#: Key tuples that narrow a second at once.
+SPLITTERS = 64
+
+
+def _seconds_at(df: DataFrame, ts: str, positions, points) -> dict:
+    """{position: (second, rows before it, rows in it)}, all positions in one scan.
+
+    ``points`` enclose each position by a sketch; where one did not, all seconds
+    are counted.
+    """
+    found, asked = {}, [(p, low, high) for p, (low, high) in zip(positions, points)]
+    while asked:
+        bounds = F.explode(F.array(*[F.struct(F.lit(p).alias("at"), F.lit(low).alias("low"), F.lit(high).alias("high"))
+                                     for p, low, high in asked]))
+        key = F.when(F.col("t") >= F.col("b.low"), F.col("t"))
+        counted = df.select(F.col(ts).alias("t"), bounds.alias("b")).where("t <= b.high").groupBy(
+            F.col("b.at").alias("at"), key.alias("second")).agg(F.count("*").alias("cnt"))
+        # a row per distinct second between the bounds
+        upto = Window.partitionBy("at").orderBy(F.col("second").asc_nulls_first()).rowsBetween(
+            Window.unboundedPreceding, 0)
+        rows = counted.withColumn("cum", F.sum("cnt").over(upto)).where("cum > at and cum - cnt <= at").collect()
+        found |= {r["at"]: (r["second"], r["cum"] - r["cnt"], r["cnt"]) for r in rows if r["second"] is not None}
+        asked = [(p, FIRST, LAST) for p, _, _ in asked if p not in found]
+    return found
+
+
+def _splitters(df: DataFrame, keys, rows: int) -> list[dict]:
+    """Some distinct key tuples of ``df`` in order: a share of all by hash, whatever their copies."""
+    share = max(1, rows // (8 * SPLITTERS))
+    while True:
+        some = df if share == 1 else df.where(F.pmod(F.xxhash64(*keys), F.lit(share)) == 0)
+        found = some.select(*keys).distinct().orderBy(*keys).limit(64 * SPLITTERS).collect()
+        if found or share == 1:
+            step = max(1, len(found) // SPLITTERS)
+            return [r.asDict() for r in found[::step]]
+        share = max(1, share // 16)
+
+
+def _narrowed(df: DataFrame, ties, at: int, rows: int) -> tuple[DataFrame, int]:
+    """The rows between two key tuples around position ``at``, and the position among them."""
+    while rows > LISTED:
+        keys = _splitters(df, ties, rows)
+        # how many of them are not above a row's own
+        place = sum([(~_tuple_before(ties, k)).cast("int") for k in keys], F.lit(0))
+        counts = {r["b"]: r["c"] for r in df.groupBy(place.alias("b")).agg(F.count("*").alias("c")).collect()}
+        before, b = 0, 0
+        while before + counts.get(b, 0) <= at:
+            before, b = before + counts.get(b, 0), b + 1
+        if counts[b] == rows:
+            break  # nothing between the splitters parts them: few different keys
+        if b:
+            df = df.where(~_tuple_before(ties, keys[b - 1]))
+        if b < len(keys):
+            df = df.where(_tuple_before(ties, keys[b]))
+        at, rows = at - before, counts[b]
+    return df, at
+
+
+def _cut_points(df: DataFrame, ts: str, ties, positions, points) -> list[dict]:
     """The key tuple at each 0-based position, with the copies left of it.
 
-    First the second that holds the position, from counts per second; then,
-    among the rows of that second only, the full key.
+    The second that holds each position comes from counts per second, the key from
+    counts per key in those seconds; one scan each for all positions.  Only a second
+    that holds very many rows is narrowed first.
     """
     keys = [ts, *ties]
-    seconds = df.groupBy(ts).agg(F.count("*").alias("cnt"))
-    totals = running_total(seconds, [ts], ["cnt"])
-    hits = {}
-    for p in positions:
-        row = totals.where((F.col("cum_cnt") > p) & (F.col("cum_cnt") - F.col("cnt") <= p)).first()
-        hits[p] = (row[ts], row["cum_cnt"] - row["cnt"])
-    points = []
-    for p in positions:
-        second, start = hits[p]
-        inside = df.where(F.col(ts) == F.lit(second)).groupBy(*keys).agg(
-            F.count("*").alias("cnt"))
-        ranked = running_total(inside, ties, ["cnt"])
-        at = p - start
-        row = ranked.where(
-            (F.col("cum_cnt") > at) & (F.col("cum_cnt") - F.col("cnt") <= at)).first()
-        point = {c: row[c] for c in keys}
-        points.append({"key": point, "left": at - (row["cum_cnt"] - row["cnt"]),
-                       "copies": row["cnt"]})
-    return points
+    seconds = _seconds_at(df, ts, positions, points)
+    parts = None
+    for p, (second, before, rows) in seconds.items():
+        inside, at = _narrowed(df.where(F.col(ts) == F.lit(second)), ties, p - before, rows)
+        inside = inside.select(*keys, F.lit(p).alias("_at"), F.lit(at).alias("_in"))
+        parts = inside if parts is None else parts.unionByName(inside)
+    counted = parts.groupBy("_at", "_in", *keys).agg(F.count("*").alias("cnt"))
+    upto = Window.partitionBy("_at", "_in").orderBy(*ties).rowsBetween(Window.unboundedPreceding, 0)
+    rows = counted.withColumn("cum", F.sum("cnt").over(upto)).where("cum > _in and cum - cnt <= _in").collect()
+    found = {r["_at"]: r for r in rows}
+    return [{"key": {c: found[p][c] for c in keys}, "copies": found[p]["cnt"],
+             "left": found[p]["_in"] - (found[p]["cum"] - found[p]["cnt"])} for p in positions]
 
 
 def time_split(df: DataFrame, shares=(0.8, 0.1, 0.1), ts: str = "ts",
@@ -160,17 +161,23 @@ def time_split(df: DataFrame, shares=(0.8, 0.1, 0.1), ts: str = "ts",
                names=("train", "valid", "test")) -> DataFrame:
     """Add ``split``: rows in time order cut at int(0.8 n) and int(0.9 n).
 
-    Only the keys are sorted.  The rows themselves are labelled by comparison
-    with the keys at the cuts and do not move.  Null ties come first.
+    All cuts are found together, by three scans of the keys: a sketch of the seconds,
+    counts of the seconds around each cut, counts of the keys in those.  The rows
+    themselves are labelled by comparison with the keys at the cuts and do not move.
+    Null seconds and null ties come first.
     """
-    n = df.count()
-    bounds, total = [], 0.0
-    for s in shares[:-1]:
-        total = round(total + s, 10)
-        bounds.append(int(n * total))
     keys = [ts, *ties]
-    todo = sorted({b for b in bounds if b < n})
-    points = dict(zip(todo, _cut_points(df.select(*keys), ts, list(ties), todo)))
+    totals = [round(sum(shares[:k + 1]), 10) for k in range(len(shares) - 1)]
+    near = [min(1.0, max(0.0, t + d)) for t in totals for d in (-SLACK, SLACK)]
+    order = df.select(F.coalesce(F.col(ts).cast("long"), F.lit(FIRST)).alias("_t"), *keys)
+    first = order.agg(F.count("*").alias("n"), F.percentile_approx("_t", near, ACCURACY).alias("q")).first()
+    n = first["n"]
+    bounds = [int(n * t) for t in totals]
+    enclosed = {b: first["q"][2 * k:2 * k + 2] for k, b in enumerate(bounds) if b < n}
+    todo = sorted(enclosed)
+    found = _cut_points(order, "_t", list(ties), todo, [enclosed[b] for b in todo]) if todo else []
+    points = {b: p | {"key": {ts: None if p["key"]["_t"] == FIRST else p["key"]["_t"],
+                              **{c: p["key"][c] for c in ties}}} for b, p in zip(todo, found)}
 
     label = None
     torn = {}

@@ -6,15 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paddock.functions import round4
-from paddock.operators.evaluate import _group_auc, score_pairs
+from paddock.operators.evaluate import group_areas, score_pairs, score_ranges
 from paddock.operators.ordering import time_split
 from paddock.session import cut
 
 
 def evaluate_scores(scored: DataFrame, group="recommend_id") -> DataFrame:
     """(split, rows, positives, auc, gauc, accuracy) of scored rows with a split."""
-    whole = _group_auc(scored, ["split"])
-    per = _group_auc(scored, ["split", group]).where(F.col("auc").isNotNull())
+    splits = score_ranges(scored)
+    whole = group_areas(scored, ["split"], splits)
+    per = group_areas(scored, ["split", group], splits).where(F.col("auc").isNotNull())
     grouped = per.groupBy("split").agg(
         round4(F.sum(F.col("auc") * F.col("rows")) / F.sum("rows")).alias("gauc"))
     hit = (F.col("score") > 0.5).cast("int") == F.col("label")

@@ -10,10 +10,10 @@ from paddock.functions import (
     standardize_array,
 )
 from paddock.functions.scalars import USER_BUCKETS
-from paddock.operators.aggregates import fit_scaler, scaler_long
+from paddock.operators.aggregates import scaler_long
 from paddock.operators.encoding import encode_categories, encode_sequences
 from paddock.operators.filters import blank_to_null, cast_families, feature_families, fill_defaults
-from paddock.operators.ordering import fit_medians, long_values
+from paddock.operators.quantiles import fit_medians, long_values
 from paddock.plans import names as N
 from paddock.sources.payloads import encode_arrays_json
 from paddock.sources.stats import stats_dict, stats_frame
@@ -42,21 +42,17 @@ def prepare(df: DataFrame, families: dict) -> DataFrame:
 def fit(df: DataFrame, families: dict) -> DataFrame:
     """Statistics of prepared rows: medians first, then mean and scale after filling.
 
-    Two passes over the columns.  What leaves the cluster is one row per
-    feature column.
+    A sketch and a count for the medians of all columns, one pass for all scales.
+    What leaves the cluster is one row per feature column.
     """
     dense, seqs = families["d_u"] + families["d_i"], families["d_seq"]
     medians = {r["feature"]: r["median"] for r in fit_medians(df, dense, seqs).collect()}
     filled = fill_missing(df, families, medians)
-    rows = {}
-    if dense:
-        for c, (mean, scale) in fit_scaler(filled, dense).items():
-            rows[c] = {"kind": "dense", "median": medians.get(c), "mean": mean, "scale": scale}
-    if seqs:
-        for r in scaler_long(long_values(filled, seqs=seqs)).collect():
-            c = r["feature"]
-            rows[c] = {"kind": "sequence", "median": medians.get(c), "mean": r["mean"],
-                       "scale": r["scale"]}
+    rows = {c: {"kind": kind, "median": medians.get(c), "mean": None, "scale": 1.0}
+            for kind, cols in (("dense", dense), ("sequence", seqs)) for c in cols}
+    if rows:
+        for r in scaler_long(long_values(filled, dense, seqs).where("value is not null")).collect():
+            rows[r["feature"]] |= {"mean": r["mean"], "scale": r["scale"]}
     return stats_frame(df.sparkSession, rows)
 
 

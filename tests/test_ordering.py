@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from paddock.operators import ordering as O
+from paddock.operators import quantiles as Q
 
 
 def test_running_total_by_group(spark):
@@ -25,7 +26,7 @@ def test_exact_quantile(spark, p):
     data = {"a": [rnd.randint(0, 20) * 1.0 for _ in range(101)], "b": [rnd.random() for _ in range(64)]}
     rows = [(f, v) for f, vs in data.items() for v in vs] + [("a", None)]
     df = spark.createDataFrame(rows, "feature string, value double")
-    got = {r.feature: r.value for r in O.exact_quantile(df, p).collect()}
+    got = {r.feature: r.value for r in Q.exact_quantiles(df, [p]).collect()}
     for f, vs in data.items():
         vs = sorted(vs)
         at = p * (len(vs) - 1)
@@ -37,7 +38,7 @@ def test_exact_quantile(spark, p):
 def test_medians_of_columns_and_sequences(spark):
     df = spark.createDataFrame(
         [(1.0, [1.0, 9.0]), (None, None), (4.0, [3.0])], "x double, s array<double>")
-    got = {r.feature: r["median"] for r in O.fit_medians(df, ["x"], ["s"]).collect()}
+    got = {r.feature: r["median"] for r in Q.fit_medians(df, ["x"], ["s"]).collect()}
     assert got == {"x": 2.5, "s": statistics.median([1, 9, 3])}
 
 
@@ -70,7 +71,7 @@ def test_time_split_shares_out_copies(spark):
 
 def test_trimmed_scaler(spark):
     df = spark.createDataFrame([(float(i),) for i in range(100)] + [(1e9,)], "x double")
-    r = O.fit_trimmed_scaler(df, ["x"]).first()
+    r = Q.fit_trimmed_scaler(df, ["x"]).first()
     kept = [float(i) for i in range(3, 98)]
     assert r["mean"] == pytest.approx(statistics.mean(kept))
     assert r["scale"] == pytest.approx(statistics.pstdev(kept))
