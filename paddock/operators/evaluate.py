@@ -16,17 +16,20 @@ from paddock.functions import dot, sigmoid
 from paddock.operators.joins import lookup_join
 
 #: Rows of a score range, about, and how many ranges there are at most.
-PER_RANGE, MOST_RANGES = 100_000, 4096
+PER_RANGE, MOST_RANGES = 1_000_000, 4096
 
 
 def score_ranges(df: DataFrame, score="score") -> list[float]:
-    """Scores that part all rows into ranges of about ``PER_RANGE``, by one sketch; none for few rows."""
-    shares = [i / MOST_RANGES for i in range(1, MOST_RANGES)]
-    row = df.agg(F.count("*").alias("n"), F.percentile_approx(F.col(score).cast("double"), shares).alias("q")).first()
-    wanted = min(MOST_RANGES, -(-row["n"] // PER_RANGE))
-    if wanted < 2 or not row["q"]:
+    """Scores that part all rows into ranges of about ``PER_RANGE``; none for few rows.
+
+    Rows are counted; where there are many, one sketch gives the scores.
+    """
+    wanted = min(MOST_RANGES, -(-df.count() // PER_RANGE))
+    if wanted < 2:
         return []
-    return sorted({row["q"][i * MOST_RANGES // wanted - 1] for i in range(1, wanted)})
+    shares = [i / wanted for i in range(1, wanted)]
+    found = df.agg(F.percentile_approx(F.col(score).cast("double"), shares).alias("q")).first()["q"]
+    return sorted(set(found or []))
 
 
 def _range_of(score, splits: list[float]):

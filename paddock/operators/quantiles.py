@@ -11,14 +11,16 @@ What reaches the driver is a row per feature and asked rank.
 
 from __future__ import annotations
 
+import json
 import math
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Points of a sketch, its relative error as one in so many, and values listed at most.
-POINTS, ACCURACY, LISTED = 256, 10_000, 200_000
+POINTS, ACCURACY, LISTED = 128, 5_000, 200_000
 
 
 @dataclass
@@ -34,7 +36,8 @@ class Rank:
 
 
 def sketched(value: Column) -> Column:
-    return F.percentile_approx(value, [i / POINTS for i in range(1, POINTS)], ACCURACY)
+    shares = F.from_json(F.lit(str([i / POINTS for i in range(1, POINTS)])), "array<double>")
+    return F.percentile_approx(value, shares, ACCURACY)
 
 
 def _enclosed(feature: str, at: int, n: int, points: list, offset: int = 0) -> Rank:
@@ -51,10 +54,13 @@ def _enclosed(feature: str, at: int, n: int, points: list, offset: int = 0) -> R
 
 
 def _beside(values: DataFrame, ranks: list[Rank]) -> DataFrame:
-    """Every value beside the ranks of its feature: a few rows per feature are sent to the tasks."""
-    rows = [(k, r.feature, r.at, r.low, r.high) for k, r in enumerate(ranks)]
-    asked = values.sparkSession.createDataFrame(rows, "k int, feature string, at long, low double, high double")
-    return values.join(F.broadcast(asked), "feature")
+    """Every value beside the ranks of its feature: a constant of a few entries per feature."""
+    asked: dict = {}
+    for k, r in enumerate(ranks):
+        asked.setdefault(r.feature, []).append({"k": k, "at": r.at, "low": r.low, "high": r.high})
+    held = F.from_json(F.lit(json.dumps(asked)), "map<string,array<struct<k:int,at:bigint,low:double,high:double>>>")
+    rows = values.select("value", F.explode(F.element_at(held, F.col("feature"))).alias("r"))
+    return rows.select("value", "r.*")
 
 
 def _list(values: DataFrame, ranks: list[Rank]) -> None:
@@ -128,7 +134,10 @@ def exact_quantiles(values: DataFrame, probs) -> DataFrame:
             at = float(p) * (row.n - 1)
             low, high = ranks[row.feature, math.floor(at)].value, ranks[row.feature, math.ceil(at)].value
             out.append((row.feature, row.n, float(p), low + (at - math.floor(at)) * (high - low)))
-    return values.sparkSession.createDataFrame(out, "feature string, n long, p double, value double")
+    columns = list(zip(*out)) or [[], [], [], []]
+    kinds = {"feature": pa.string(), "n": pa.int64(), "p": pa.float64(), "value": pa.float64()}
+    return values.sparkSession.createDataFrame(
+        pa.table({name: pa.array(c, kind) for c, (name, kind) in zip(columns, kinds.items())}))
 
 
 def long_values(df: DataFrame, cols=(), seqs=()) -> DataFrame:

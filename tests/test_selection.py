@@ -29,7 +29,7 @@ def values():
     }
 
 
-@pytest.mark.parametrize("points,listed", [(256, 200_000), (8, 40), (4, 0)])
+@pytest.mark.parametrize("points,listed", [(128, 200_000), (8, 40), (4, 0)])
 def test_quantiles_of_many_features_at_once(spark, monkeypatch, points, listed):
     monkeypatch.setattr(Q, "POINTS", points)
     monkeypatch.setattr(Q, "LISTED", listed)
@@ -67,7 +67,7 @@ def pair_auc(rows):
     return sum((p > q) + .5 * (p == q) for p in pos for q in neg) / (len(pos) * len(neg))
 
 
-@pytest.mark.parametrize("per_range", [100_000, 7, 1])
+@pytest.mark.parametrize("per_range", [1_000_000, 7, 1])
 def test_areas_by_ranges_of_scores(spark, monkeypatch, per_range):
     monkeypatch.setattr(M, "PER_RANGE", per_range)
     rnd = random.Random(12)
