@@ -9,7 +9,7 @@ from checks.registry import query
 from paddock.operators import compare as C
 from paddock.operators import evaluate as M
 from paddock.operators.retrieval import recall_at_n, top_items
-from paddock.operators.towers import HIDDEN, DENSE_WIDTH, VECTOR, TowerSpec, tower_forward
+from paddock.operators.towers import HIDDEN, DENSE_WIDTH, VECTOR, TowerSpec
 
 PER = """
 SELECT {by} count(*) AS rows, cast(sum(label) AS BIGINT) AS positives,
@@ -64,8 +64,8 @@ def _(t):
     return out.withColumns({c: F.round(c, 6) for c in ("inner_product", "score")})
 
 
-def tower_weights(spark, spec: TowerSpec, vocab: int = 64, dim: int = 6, buckets: int = 8001):
-    """Weights from a formula, as a table; the rows of a model of this shape."""
+def tower_shapes(spec: TowerSpec, vocab: int = 64, dim: int = 6, buckets: int = 8001) -> dict:
+    """(rows, columns) of every layer of a model for ``spec``."""
     shapes = {}
     for layer in list(spec.sparse.values()) + list(spec.sparse_seq.values()):
         shapes[layer] = (buckets if layer == "emb_user" else vocab, dim)
@@ -79,8 +79,13 @@ def tower_weights(spark, spec: TowerSpec, vocab: int = 64, dim: int = 6, buckets
     for i, h in enumerate(HIDDEN):
         shapes[f"hidden_{i}"], width = (width, h), h
     shapes["vector"] = (width, VECTOR)
+    return shapes
+
+
+def tower_weights(spark, spec: TowerSpec):
+    """Weights from a formula, as a table; the rows of a model of this shape."""
     parts = None
-    for i, (layer, (r, c)) in enumerate(sorted(shapes.items())):
+    for i, (layer, (r, c)) in enumerate(sorted(tower_shapes(spec).items())):
         cells = spark.range(r * c).select(
             F.lit(layer).alias("layer"), F.floor(F.col("id") / c).cast("int").alias("row"),
             (F.col("id") % c).cast("int").alias("col"),
@@ -89,6 +94,55 @@ def tower_weights(spark, spec: TowerSpec, vocab: int = 64, dim: int = 6, buckets
     return parts
 
 
+def tower_sql(spec: TowerSpec, inputs: str) -> str:
+    """Tables ``tower``: the rows of ``inputs`` with n and the totals of their vector.
+
+    Layers are lists of their columns, embeddings lists of their rows.
+    """
+    shapes = tower_shapes(spec)
+    layers = []
+    for i, (layer, (r, c)) in enumerate(sorted(shapes.items())):
+        one, other = ("row", "col") if layer.startswith("emb") else ("col", "row")
+        layers.append(f"""(SELECT list(x ORDER BY {one}) FROM (SELECT {one}, list(v ORDER BY {other}) AS x FROM
+  (SELECT id // {c} AS row, id % {c} AS col, ((id * 7919 + {i * 31}) % 1000)::DOUBLE / 5000::DOUBLE - 0.1::DOUBLE AS v
+   FROM range({r * c}) t(id)) e GROUP BY {one}) l) AS w_{layer}""")
+
+    def looked(layer, x):
+        return f"w_{layer}[1 + CASE WHEN {x} BETWEEN 0 AND {shapes[layer][0] - 1} THEN {x} ELSE 1 END]"
+
+    def dense(layer, x):
+        return f"list_transform(w_{layer}, lambda c: greatest(list_dot_product({x}, c), 0::DOUBLE))"
+
+    parts = [looked(layer, c) for c, layer in spec.sparse.items()]
+    if spec.dense:
+        parts.append(dense("dense", f"[{', '.join(f'{c}::DOUBLE' for c in spec.dense)}]"))
+    for c, layer in spec.sparse_seq.items():
+        parts.append(f"list_transform(range(1, {shapes[layer][1] + 1}), lambda k: "
+                     f"list_avg(list_transform({c}, lambda x: {looked(layer, 'x')}[k])))")
+    if spec.dense_seq:
+        parts.append(dense("dense_seq", f"flatten([{', '.join(spec.dense_seq)}])"))
+    steps = f"t0 AS (SELECT i.*, w.*, flatten([{', '.join(parts)}]) AS x0 FROM {inputs} i, w)"
+    for k in range(len(HIDDEN)):
+        steps += f", t{k + 1} AS (SELECT *, {dense(f'hidden_{k}', f'x{k}')} AS x{k + 1} FROM t{k})"
+    last = len(HIDDEN)
+    return f"""w AS (SELECT {', '.join(layers)}),
+{steps},
+tower AS (SELECT *, len(v) AS n FROM (SELECT * EXCLUDE ({', '.join(f'w_{x}' for x in shapes)}),
+  list_transform(w_vector, lambda c: list_dot_product(x{last}, c)::FLOAT) AS v FROM t{last}) o)"""
+
+
+#: What is compared of a vector: its sum and the sum weighted by place, to 4 digits.
+TOTALS = ("round(list_sum(list_transform(v, lambda x: x::DOUBLE)), 4) AS total, "
+          "round(list_sum(list_transform(v, lambda x, i: x::DOUBLE * i)), 4) AS by_place")
+
+
+def vector_totals(c: str) -> list:
+    x = F.col(c).cast("array<double>")
+    add = lambda a, y: a + y
+    return [F.size(x).alias("n"), F.round(F.aggregate(x, F.lit(0.0), add), 4).alias("total"),
+            F.round(F.aggregate(F.transform(x, lambda y, i: y * (i + 1)), F.lit(0.0), add), 4).alias("by_place")]
+
+
 SPEC = TowerSpec(
     sparse={"s_u_click_tag_id_0_7": "emb_tag_id", "user_id": "emb_user"},
     dense=["d_u_click_cnt_0_7", "d_u_click_road_haul_max_0_7"],
@@ -97,18 +151,6 @@ SPEC = TowerSpec(
 )
 
 
-@query("m5_tower_forward")
-def _(t):
-    """User vectors of all preprocessed rows."""
-    from paddock.plans.preprocess import preprocess_fit
-
-    ready, _stats = preprocess_fit(t.features, as_json=False)
-    out = tower_forward(ready, tower_weights(t.spark, SPEC), SPEC, "original_user_id")
-    total = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double"))
-    return out.select("original_user_id", F.size("embedding").alias("n"),
-                      F.round(total, 4).alias("total"))
-
-
 TOP = """
 SELECT * FROM (SELECT u.vec_id AS user_id, i.vec_id AS clue_id,
   row_number() OVER (PARTITION BY u.vec_id ORDER BY

@@ -7,13 +7,13 @@ import uuid
 from pyspark.sql import functions as F
 
 from checks.fixtures import MIN_CREATE, RUN, SNAP
-from checks.q_evaluation import tower_weights
+from checks.q_evaluation import SPEC, TOTALS, tower_sql, tower_weights, vector_totals
 from checks.q_operators import DENSE, ORDERED, SEQS
 from checks.registry import query
 from checks.tables_sql import code_of, item_table_sql
 from paddock.operators.filters import feature_families
 from paddock.operators.sequences import last_items
-from paddock.operators.towers import TowerSpec
+from paddock.operators.towers import TowerSpec, tower_forward
 from paddock.plans import names as N
 from paddock.plans import preprocess as PP
 from paddock.plans import refresh as RF
@@ -23,6 +23,8 @@ from paddock.plans.items import item_features
 from paddock.plans.samples import impression_labels, test_samples, train_samples
 from paddock.plans.users import sample_user_features
 from paddock.session import shared_dir
+from paddock.sources.models import pack_weights
+from paddock.sources.versions import write_version
 
 FLAG = "coalesce(array_to_string(list_concat({c}, list_resize([]::INT[], 10 - coalesce(len({c}), 0), 1)), ','), '')"
 
@@ -193,10 +195,11 @@ def _model_inputs_sql():
     for name, s in SEQS.items():
         out.append(f"round(list_sum(list_transform(p_{s}, lambda x: (x - a_{s}) / d_{s})), 4) AS {name}")
         out.append(f"cast(len(p_{s}) AS INT) AS {name}_n")
-    return f"""
+    tables = f"""
 WITH medians AS (SELECT {', '.join(fit)}),
 filled AS (SELECT f.*, {fills}, {pads} FROM features f, medians),
-scalers AS (SELECT *, {seqdev} FROM (SELECT {dev} FROM filled) d)
+scalers AS (SELECT *, {seqdev} FROM (SELECT {dev} FROM filled) d)"""
+    return tables, f"""
 SELECT user_id AS original_user_id, cast(user_id % 8001 AS INT) AS user_id, clue_id, recommend_id,
   label, ts, coalesce(s_u_click_tag_id_0_7, 1) AS s_u_click_tag_id_0_7,
   coalesce(s_i_tag_id, 1) AS s_i_tag_id, coalesce(s_i_city_id, 1) AS s_i_city_id,
@@ -204,7 +207,8 @@ SELECT user_id AS original_user_id, cast(user_id % 8001 AS INT) AS user_id, clue
 FROM filled, scalers"""
 
 
-MODEL_INPUTS = _model_inputs_sql()
+FITTED, PREPARED = _model_inputs_sql()
+MODEL_INPUTS = FITTED + PREPARED
 
 
 def summed(df):
@@ -227,6 +231,26 @@ def _(t):
     return summed(PP.preprocess_fit(t.features)[0])
 
 
+def _tower_inputs_sql():
+    """The prepared rows as inputs of the user tower, sequences as lists."""
+    dense = ", ".join(f"(v_{c} - a_{c}) / d_{c} AS {c}" for c in SPEC.dense)
+    seqs = ", ".join(f"list_transform(p_{s}, lambda x: (x - a_{s}) / d_{s}) AS {name}"
+                     for name, s in SEQS.items() if name in SPEC.dense_seq)
+    return f"""{FITTED}, inputs AS (SELECT user_id AS original_user_id, clue_id, ts, cast(user_id % 8001 AS INT) AS user_id,
+  coalesce(s_u_click_tag_id_0_7, 1) AS s_u_click_tag_id_0_7, tags AS s_seq_c2b_click_tag_id_seq, {dense}, {seqs}
+  FROM filled, scalers),
+{tower_sql(SPEC, 'inputs')}
+SELECT original_user_id, {TOTALS}, n FROM tower"""
+
+
+@query("m5_tower_forward", _tower_inputs_sql())
+def _(t):
+    """User vectors of all preprocessed rows."""
+    ready = PP.preprocess_fit(t.features, as_json=False)[0]
+    out = tower_forward(ready, tower_weights(t.spark, SPEC), SPEC, "original_user_id")
+    return out.select("original_user_id", *vector_totals("embedding"))
+
+
 @query("p10_preprocess_apply", MODEL_INPUTS)
 def _(t):
     """Statistics saved, loaded and applied to the same rows give the same inputs."""
@@ -286,50 +310,69 @@ def fitted(df, cols):
     return PP.fit(df, families)
 
 
+def scaled_sql(table, dense):
+    """Statistics of columns of a table and, by ``ready``, a column under them."""
+    fit = ", ".join(f"median({c})::DOUBLE AS m_{c}" for c in dense)
+    dev = ", ".join(f"avg(coalesce({c}, m_{c})) AS a_{c}, CASE WHEN stddev_pop(coalesce({c}, m_{c})) = 0 THEN 1 "
+                    f"ELSE stddev_pop(coalesce({c}, m_{c})) END AS d_{c}" for c in dense)
+    return (f"mid AS (SELECT {fit} FROM {table}), "
+            f"dev AS (SELECT {', '.join(f'any_value(m_{c}) AS m_{c}' for c in dense)}, {dev} FROM {table}, mid)")
+
+
+def ready(c):
+    return f"(coalesce({c}, m_{c})::DOUBLE - a_{c}) / d_{c}"
+
+
+VECTOR = f"n, {TOTALS}"
+
+
 @query("p12_refresh_user_vectors", f"""
-WITH active AS (SELECT DISTINCT cast(user_id AS INT) AS user_id FROM behaviour
+WITH {scaled_sql('users', USER_SPEC.dense)}, active AS (SELECT DISTINCT cast(user_id AS INT) AS user_id FROM behaviour
   WHERE dt BETWEEN strftime(DATE '{RUN}' - 7, '%Y-%m-%d') AND '{RUN}' AND action = 'beseen'
     AND (page_type LIKE '%SEARCH%' OR page_type LIKE '%GRAB%') AND user_id <> ''),
 before AS (SELECT DISTINCT cast(user_id AS INT) AS user_id FROM behaviour
   WHERE dt BETWEEN strftime(DATE '{SNAP}' - 7, '%Y-%m-%d') AND '{SNAP}' AND action = 'beseen'
-    AND (page_type LIKE '%SEARCH%' OR page_type LIKE '%GRAB%') AND user_id <> '')
-SELECT concat('user_vector:', user_id) AS key, 604800 AS ttl, 32 AS n FROM active
+    AND (page_type LIKE '%SEARCH%' OR page_type LIKE '%GRAB%') AND user_id <> ''),
+inputs AS (SELECT a.user_id, coalesce(s_u_click_tag_id_0_7, 1) AS s_u_click_tag_id_0_7, a.user_id % 8001 AS user_bucket,
+  {', '.join(f'{ready(c)} AS {c}' for c in USER_SPEC.dense)}
+  FROM active a LEFT JOIN users u ON a.user_id = u.user_id, dev),
+{tower_sql(USER_SPEC, 'inputs')}
+SELECT concat('user_vector:', user_id) AS key, 604800 AS ttl, {VECTOR} FROM tower
 WHERE user_id NOT IN (SELECT user_id FROM before)""")
 def _(t):
-    """A second run with the same features writes the users who became active only.
-
-    The first run, of the day before, is exported and read back as text.
-    """
-    features, weights = t.users(SNAP), tower_weights(t.spark, USER_SPEC)
+    """A second run with the same features writes the users who became active only."""
+    features = t.users(SNAP)
+    weights = pack_weights(tower_weights(t.spark, USER_SPEC))
     stats = fitted(features, USER_SPEC.dense)
-    path = f"{shared_dir(t.spark)}/user-vectors-{uuid.uuid4().hex[:12]}"
-    none = RF.read_vectors(t.spark, path)
-    first, _, _ = RF.refresh_user_vectors(
-        t.behaviour, features, stats, weights, USER_SPEC, none, SNAP)
-    RF.write_vectors(first, path)
-    _, _, payload = RF.refresh_user_vectors(
-        t.behaviour, features, stats, weights, USER_SPEC, RF.read_vectors(t.spark, path), RUN)
-    return payload.select("key", "ttl", F.size(F.from_json("value", "array<double>")).alias("n"))
-
-
-@query("p13_refresh_item_vectors", """
-SELECT clue_id, 'v1' AS model_version, 32 AS n, CASE WHEN create_time > '2023-12-01' THEN 'new'
-  ELSE 'existing' END AS reason FROM items WHERE sale_status = 0 AND auction_type IN (1, 2)""")
+    store = f"{shared_dir(t.spark)}/user-vectors-{uuid.uuid4().hex[:12]}"
+    for day in (SNAP, RUN):
+        _, _, payload = RF.refresh_user_vectors(t.behaviour, features, stats, weights, USER_SPEC, store, day)
+    return payload.select("key", "ttl", F.from_json("value", "array<float>").alias("v")).select(
+        "key", "ttl", *vector_totals("v"))
+
+
+@query("p13_refresh_item_vectors", f"""
+WITH {scaled_sql('item_table', ITEM_SPEC.dense)},
+inputs AS (SELECT clue_id, coalesce(s_i_tag_id, 1) AS s_i_tag_id, coalesce(s_i_seats, 1) AS s_i_seats,
+  {', '.join(f'{ready(c)} AS {c}' for c in ITEM_SPEC.dense)} FROM item_table, dev),
+{tower_sql(ITEM_SPEC, 'inputs')}
+SELECT i.clue_id, 'v1' AS model_version, {VECTOR}, CASE WHEN create_time > '2023-12-01' THEN 'new'
+  ELSE 'existing' END AS reason FROM items i JOIN tower t ON i.clue_id = t.clue_id
+WHERE sale_status = 0 AND auction_type IN (1, 2)""")
 def _(t):
     """Vectors of the items on sale; those created up to December were known before."""
-    from paddock.operators.compare import refresh_all
-
-    weights = tower_weights(t.spark, ITEM_SPEC)
+    weights = pack_weights(tower_weights(t.spark, ITEM_SPEC))
     table = t.stored("item_table", lambda: _item_table(t))
     stats = fitted(table, ITEM_SPEC.dense)
+    store = f"{shared_dir(t.spark)}/item-vectors-{uuid.uuid4().hex[:12]}"
     old = t.items.where("create_time <= '2023-12-01'").select(
-        "clue_id", F.array(F.lit(0.0)).alias("embedding"))
-    new, todo, payload = RF.refresh_item_vectors(
-        t.items, t.prices(RUN), t.rates(SNAP), t.codes, stats, weights, ITEM_SPEC, old, RUN, "v1")
-    reasons = refresh_all(new, old, "clue_id").select("clue_id", "reason")
-    out = payload.join(reasons, "clue_id")
-    return out.select("clue_id", "model_version",
-                      F.size(F.from_json("embedding", "array<double>")).alias("n"), "reason")
+        "clue_id", F.array(F.lit(0.0).cast("float")).alias("embedding"))
+    write_version(old, store, "before")
+    _, todo, payload = RF.refresh_item_vectors(
+        t.items, t.prices(RUN), t.rates(SNAP), t.codes, stats, weights, ITEM_SPEC, store, RUN, "v1")
+    out = payload.join(todo.select("clue_id", "reason"), "clue_id")
+    return out.withColumn("v", F.from_json("embedding", "array<float>")).select(
+        "clue_id", "model_version", *vector_totals("v"), "reason")
 
 
 def _item_table(t):

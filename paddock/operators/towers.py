@@ -1,9 +1,8 @@
 """Batch forward pass of one feed-forward tower.
 
-The weights are a table (layer, row, col, value).  Their number follows from
-the shape of the model and not from the data; it is checked before they are
-handed to the tasks.  Rows go through in Arrow batches, one matrix product per
-layer.
+The weights are a packed table in the shared folder, from which the tasks read what
+they need: embedding rows by block, and the dense layers, whose size follows from the
+shape of the network.  Rows go through in Arrow batches, one matrix product per layer.
 """
 
 from __future__ import annotations
@@ -13,13 +12,13 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from paddock.sources.models import PackedModel, opened, pack_weights
 
 # Layer widths.
 DENSE_WIDTH = 64
 HIDDEN = (256, 128)
 VECTOR = 32
-MAX_WEIGHTS = 50_000_000
 
 
 @dataclass
@@ -35,41 +34,22 @@ class TowerSpec:
         return [*self.sparse, *self.dense, *self.sparse_seq, *self.dense_seq]
 
 
-def load_weights(weights: DataFrame, limit: int = MAX_WEIGHTS) -> dict[str, np.ndarray]:
-    """Weight matrices by layer name; biases are layers named ``<layer>_bias``."""
-    shapes = weights.groupBy("layer").agg(
-        (F.max("row") + 1).alias("r"), (F.max("col") + 1).alias("c")).collect()
-    total = sum(int(s["r"]) * int(s["c"]) for s in shapes)
-    if total > limit:
-        raise ValueError(f"{total} weights are more than the bound of {limit}")
-    out = {s["layer"]: np.zeros((int(s["r"]), int(s["c"]))) for s in shapes}
-    flat = weights.select("layer", "row", "col", "value").toPandas()
-    for layer, part in flat.groupby("layer"):
-        out[layer][part["row"].to_numpy(int), part["col"].to_numpy(int)] = part["value"].to_numpy()
-    return out
-
-
-def _dense(x, w, name, relu=True):
-    y = x @ w[name]
+def _dense(x, w: PackedModel, name, relu=True):
+    y = x @ w.matrix(name)
     if f"{name}_bias" in w:
-        y = y + w[f"{name}_bias"][0]
+        y = y + w.matrix(f"{name}_bias")[0]
     return np.maximum(y, 0.0) if relu else y
 
 
-def known(ids: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """Ids outside an embedding table are unknown: 1."""
-    return np.where((ids >= 0) & (ids < len(table)), ids, min(1, len(table) - 1))
-
-
-def forward(pdf: pd.DataFrame, spec: TowerSpec, w: dict) -> np.ndarray:
-    """(rows, 32) vectors of one batch."""
+def forward(pdf: pd.DataFrame, spec: TowerSpec, w: PackedModel) -> np.ndarray:
+    """(rows, 32) vectors of one batch; biases are layers named ``<layer>_bias``."""
     parts = []
     for c, layer in spec.sparse.items():
-        parts.append(w[layer][known(pdf[c].to_numpy(int), w[layer])])
+        parts.append(w.rows(layer, pdf[c].to_numpy(int)))
     if spec.dense:
         parts.append(_dense(pdf[spec.dense].to_numpy(float), w, "dense"))
     for c, layer in spec.sparse_seq.items():
-        parts.append(w[layer][known(np.stack(pdf[c].to_numpy()).astype(int), w[layer])].mean(axis=1))
+        parts.append(w.rows(layer, np.stack(pdf[c].to_numpy()).astype(int)).mean(axis=1))
     if spec.dense_seq:
         flat = np.concatenate([np.stack(pdf[c].to_numpy()) for c in spec.dense_seq], axis=1)
         parts.append(_dense(flat.astype(float), w, "dense_seq"))
@@ -79,13 +59,16 @@ def forward(pdf: pd.DataFrame, spec: TowerSpec, w: dict) -> np.ndarray:
     return _dense(x, w, "vector", relu=False)
 
 
-def tower_forward(features: DataFrame, weights: DataFrame, spec: TowerSpec, key: str,
+def tower_forward(features: DataFrame, weights: DataFrame | str, spec: TowerSpec, key: str,
                   out: str = "embedding") -> DataFrame:
-    """(key, vector) for every row of ``features``; model inputs must not be null."""
-    shared = features.sparkSession.sparkContext.broadcast(load_weights(weights))
+    """(key, vector) for every row of ``features``; model inputs must not be null.
+
+    ``weights`` is the folder of a packed model, or its cells, which are packed first.
+    """
+    path = weights if isinstance(weights, str) else pack_weights(weights)
 
     def run(batches):
-        w = shared.value
+        w = opened(path)
         for pdf in batches:
             if len(pdf):
                 vectors = forward(pdf, spec, w).astype("float32")

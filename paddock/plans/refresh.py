@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from paddock.sources.payloads import kv_payload, upsert_payload
 from paddock.sources.sinks import write_csv
 from paddock.sources.stats import stats_dict
 from paddock.sources.tables import read_tsv, scan_window
+from paddock.sources.versions import read_version, write_version
 
 # Days that make a user active, and the shape of the store's keys.
 ACTIVE_DAYS = 7
@@ -47,8 +50,7 @@ def model_inputs(features: DataFrame, sparse, dense, stats: DataFrame) -> DataFr
     return features.select(*cells)
 
 
-def user_vectors(users: DataFrame, features: DataFrame, stats: DataFrame, weights: DataFrame,
-                 spec: TowerSpec) -> DataFrame:
+def user_vectors(users: DataFrame, features: DataFrame, stats: DataFrame, weights, spec: TowerSpec) -> DataFrame:
     """(user_id, embedding) of the given users; ``spec`` may use ``user_bucket``."""
     wide = users.join(features, "user_id", "left")
     ready = model_inputs(wide, set(spec.sparse), set(spec.dense), stats)
@@ -56,16 +58,29 @@ def user_vectors(users: DataFrame, features: DataFrame, stats: DataFrame, weight
     return tower_forward(ready, weights, spec, "user_id")
 
 
+def refreshed(new: DataFrame, key: str, store: str, run_date: str, pick) -> tuple[DataFrame, DataFrame]:
+    """(vectors of this run, those to write): the vectors are made once, as a version of ``store``.
+
+    What changed follows from this version and the one that was current, whatever day
+    and hour that was; a run that fails leaves the one before.
+    """
+    spark = new.sparkSession
+    rows = new.select(key, "embedding")
+    old = read_version(spark, store, schema=rows.schema)
+    now = write_version(rows, store, f"{run_date}-{uuid.uuid4().hex[:8]}")
+    return now, pick(now, old, key)
+
+
 def refresh_user_vectors(behaviour: DataFrame, features: DataFrame, stats: DataFrame,
-                         weights: DataFrame, spec: TowerSpec, old: DataFrame, run_date: str):
-    """(all vectors, changed ones, payload of the changed ones)."""
+                         weights, spec: TowerSpec, store: str, run_date: str):
+    """(all vectors, changed ones, payload of the changed ones); the vectors become a version of ``store``."""
     new = user_vectors(active_users(behaviour, run_date), features, stats, weights, spec)
-    changed = changed_embeddings(new, old, "user_id")
-    return new, changed, kv_payload(changed, KEY_FORMAT)
+    now, changed = refreshed(new, "user_id", store, run_date, changed_embeddings)
+    return now, changed, kv_payload(changed, KEY_FORMAT)
 
 
 def refresh_item_vectors(sale: DataFrame, prices: DataFrame, rates, dictionary: DataFrame,
-                         stats: DataFrame, weights: DataFrame, spec: TowerSpec, old: DataFrame,
+                         stats: DataFrame, weights, spec: TowerSpec, store: str,
                          run_date: str, model_version: str, changed_only: bool = False,
                          names=None):
     """(all vectors, rows to write, payload) of the items on sale.
@@ -77,8 +92,8 @@ def refresh_item_vectors(sale: DataFrame, prices: DataFrame, rates, dictionary:
     ready = model_inputs(table, set(spec.sparse), set(spec.dense), stats)
     new = tower_forward(ready, weights, spec, "clue_id")
     pick = changed_embeddings if changed_only else refresh_all
-    todo = pick(new, old, "clue_id")
-    return new, todo, upsert_payload(todo, model_version)
+    now, todo = refreshed(new, "clue_id", store, run_date, pick)
+    return now, todo, upsert_payload(todo, model_version)
 
 
 def write_vectors(vectors: DataFrame, path: str, key="user_id", vector="embedding",

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from paddock.operators import compare as C
 from paddock.operators import evaluate as M
 from paddock.operators.retrieval import top_items
-from paddock.operators.towers import TowerSpec, forward, load_weights, tower_forward
+from paddock.operators.towers import TowerSpec, forward, tower_forward
+from paddock.sources.models import PackedModel, pack_weights
 
 
 def pair_auc(rows):
@@ -95,7 +96,13 @@ def test_tower_matches_numpy(spark):
     df = spark.createDataFrame(
         rows, "id int, a int, x double, y double, s array<int>, d array<double>")
     got = {r.id: np.array(r.embedding) for r in tower_forward(df, weights, spec, "id").collect()}
-    w = load_weights(weights)
+    w = PackedModel(pack_weights(weights))
+    flat = weights.toPandas()
+    for layer, part in flat.groupby("layer"):
+        want = np.zeros((part["row"].max() + 1, part["col"].max() + 1))
+        want[part["row"], part["col"]] = part["value"]
+        assert np.array_equal(w.matrix(layer), want)
+    model, w = w, {layer: w.matrix(layer) for layer in w.shapes}
     for k, a, x, y, s, d in rows:
         dense = np.maximum(np.array([x, y]) @ w["dense"], 0)
         seq = np.maximum(np.array(d) @ w["dense_seq"], 0)
@@ -103,9 +110,7 @@ def test_tower_matches_numpy(spark):
         for h in ("hidden_0", "hidden_1"):
             v = np.maximum(v @ w[h], 0)
         assert got[k] == pytest.approx(v @ w["vector"], abs=1e-4)
-    assert forward(df.toPandas(), spec, w).shape == (20, 32)
-    with pytest.raises(ValueError):
-        load_weights(weights, limit=10)
+    assert forward(df.toPandas(), spec, model).shape == (20, 32)
 
 
 def test_experiment_lift(spark):
