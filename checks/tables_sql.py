@@ -286,8 +286,8 @@ WHERE clue_id > '0' AND clue_id <> '' GROUP BY dt, cast(clue_id AS INT)""",
 SELECT dt, cast(user_id AS INT) AS user_id, recommend_id, page, min(cast(ts AS INT)) AS query_ts
 FROM scene WHERE action = 'beseen' AND recommend_id <> '' AND user_id > '0' AND user_id <> ''
   AND clue_id > '0' AND clue_id <> '' GROUP BY ALL""",
-    "numbered": """
-SELECT *, row_number() OVER (PARTITION BY dt ORDER BY on_sale_ts, clue_id % 64, clue_id) - 1 AS idx
+    "numbered": f"""
+SELECT *, row_number() OVER (PARTITION BY dt ORDER BY on_sale_ts, {draw('order', 'clue_id')}, clue_id) - 1 AS idx
 FROM on_shelf""",
     "counted": """
 SELECT h.dt, h.user_id, h.recommend_id, h.page, h.query_ts, count(i.clue_id) AS n

@@ -15,45 +15,57 @@ from pyspark.sql import functions as F
 from paddock.functions import hash32, keep_draw, unit_draw
 from paddock.operators.joins import lookup_join
 
-SUB_BUCKETS = 64
 HOUR = 3600
+#: Items of one second that are numbered together, about.
+PART_ROWS = 100_000
+ORDER_SEED = "order"
+
+
+def _earlier(value: str, by, order: str):
+    """The sum of ``value`` over the rows before, per ``by``."""
+    rows = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(value).over(rows), F.lit(0))
+
+
+def _seconds(queries: DataFrame, items: DataFrame, day: str) -> DataFrame:
+    """(day, _sec, _cnt, _base): items per second, and items of the day before it.
+
+    Sums run over the seconds of one hour and the hours of one day.
+    """
+    marks = items.groupBy(day, F.col("on_sale_ts").alias("_sec")).agg(F.count("*").alias("_cnt"))
+    asked = queries.select(day, F.col("query_ts").alias("_sec"), F.lit(0).cast("bigint").alias("_cnt"))
+    both = marks.unionByName(asked.distinct()).groupBy(day, "_sec").agg(F.sum("_cnt").alias("_cnt"))
+    both = both.withColumn("_hour", F.floor(F.col("_sec") / HOUR))
+    hours = both.groupBy(day, "_hour").agg(F.sum("_cnt").alias("_in"))
+    hours = hours.select(day, "_hour", _earlier("_in", [day], "_hour").alias("_off"))
+    both = both.withColumn("_run", _earlier("_cnt", [day, "_hour"], "_sec")).join(hours, [day, "_hour"])
+    return both.select(day, "_sec", "_cnt", (F.col("_run") + F.col("_off")).alias("_base"))
 
 
 def eligible_index(queries: DataFrame, items: DataFrame, day: str = "dt"):
     """(queries with ``n``, items with ``idx``), both per day.
 
     ``n`` is the number of items with ``on_sale_ts < query_ts``; ``idx`` counts
-    items from 0 by (on_sale_ts, sub-bucket, clue_id).  Ordered sums
-    run over counts per (second, sub-bucket) inside one hour and over the hours of
-    one day, and the items of one second are numbered by sub-bucket.
+    items from 0 by (on_sale_ts, hash of clue_id, clue_id).  The order is found from
+    the top: hours of a day, seconds of an hour, parts of a second, items of a part.
+    A second is cut into ranges of the hash by its measured count, so a day whose
+    items all appear at once is numbered by as many tasks as it has parts.
     """
-    items = items.withColumn("_sub", F.pmod(F.col("clue_id"), F.lit(SUB_BUCKETS)).cast("int"))
-    slot = [day, "_sec", "_sub"]
-    marks = items.groupBy(day, F.col("on_sale_ts").alias("_sec"), "_sub").agg(
-        F.count("*").alias("_cnt"))
-    asked = queries.select(day, F.col("query_ts").alias("_sec"), F.lit(-1).alias("_sub"),
-                           F.lit(0).cast("bigint").alias("_cnt")).distinct()
-    both = marks.unionByName(asked).withColumn("_hour", F.floor(F.col("_sec") / HOUR))
-    in_hour = Window.partitionBy(day, "_hour").orderBy("_sec", "_sub").rowsBetween(
-        Window.unboundedPreceding, -1)
-    # one row per hour: what the hours before it add up to
-    hours = both.groupBy(day, "_hour").agg(F.sum("_cnt").alias("_in"))
-    earlier = Window.partitionBy(day).orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
-    hours = hours.select(day, "_hour", F.coalesce(F.sum("_in").over(earlier), F.lit(0)).alias("_off"))
-    base = both.withColumn("_run", F.coalesce(F.sum("_cnt").over(in_hour), F.lit(0))).join(
-        hours, [day, "_hour"]).select(*slot, (F.col("_run") + F.col("_off")).alias("_base"))
-
-    w = Window.partitionBy(*slot).orderBy("clue_id")
-    numbered = items.withColumn("_sec", F.col("on_sale_ts")).withColumn(
-        "_rn", F.row_number().over(w))
-    # a slot holds at most a sub-bucket of one second's new items: no hot key
-    numbered = numbered.join(base.where("_sub >= 0"), slot)
-    numbered = numbered.withColumn("idx", F.col("_base") + F.col("_rn") - 1)
-    numbered = numbered.drop("_sec", "_sub", "_base", "_rn")
-
-    counts = base.where("_sub = -1").select(
-        day, F.col("_sec").alias("query_ts"), F.col("_base").alias("n"))
-    return lookup_join(queries, counts, [day, "query_ts"]), numbered
+    seconds = _seconds(queries, items, day)
+    columns = items.columns
+    items = items.withColumns({"_sec": F.col("on_sale_ts"), "_hash": hash32(ORDER_SEED, "clue_id")})
+    items = lookup_join(items, seconds.where("_cnt > 0"), [day, "_sec"], "inner")
+    parts = F.ceil(F.col("_cnt") / PART_ROWS)
+    items = items.withColumn("_part", F.floor(F.col("_hash") * parts / F.lit(float(2**32))))
+    slot = [day, "_sec", "_part"]
+    cut = items.where(F.col("_cnt") > PART_ROWS).groupBy(*slot).agg(F.count("*").alias("_own"))
+    cut = cut.select(*slot, _earlier("_own", [day, "_sec"], "_part").alias("_off"))
+    inside = F.row_number().over(Window.partitionBy(*slot).orderBy("_hash", "clue_id"))
+    numbered = lookup_join(items, cut, slot).withColumn(
+        "idx", F.col("_base") + F.coalesce(F.col("_off"), F.lit(0)) + inside - 1)
+
+    counts = seconds.select(day, F.col("_sec").alias("query_ts"), F.col("_base").alias("n"))
+    return lookup_join(queries, counts, [day, "query_ts"]), numbered.select(*columns, "idx")
 
 
 def eligible_items(queries: DataFrame, items: DataFrame, day: str = "dt") -> DataFrame:

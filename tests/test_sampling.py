@@ -43,3 +43,30 @@ def test_favourite_matches_join_back(spark):
     out = favourite(df, "r", {"t": ("click", "tag"), "u": ("bid", "tag")})
     got = {r.user_id: (r.t, r.u) for r in out.collect()}
     assert got == {1: ("b", "-1"), 2: ("-1", "-1"), 3: ("-1", "q")}
+
+
+def test_a_hot_second_is_numbered_in_parts(spark, monkeypatch):
+    """All items of a day at once, and a usual day beside it: one order, whatever the parts."""
+    monkeypatch.setattr(R, "PART_ROWS", 100)
+    rows = [("d", c, 5000) for c in range(3000)] + [("e", c, 100 * (c % 7) + 7200 * (c % 3)) for c in range(300)]
+    items = spark.createDataFrame(rows, "dt string, clue_id int, on_sale_ts int")
+    queries = spark.createDataFrame([("d", 1, "r", "1", t) for t in (5000, 5001)] + [("e", 2, "r", "1", 7300)],
+                                    "dt string, user_id int, recommend_id string, page string, query_ts int")
+    counted, numbered = R.eligible_index(queries, items)
+    assert {(r.dt, r.query_ts): r.n for r in counted.collect()} == {
+        ("d", 5000): 0, ("d", 5001): 3000, ("e", 7300): sum(t < 7300 for d, _, t in rows if d == "e")}
+    got = {(r.dt, r.clue_id): r.idx for r in numbered.collect()}
+    for day in "de":
+        own = items.where(F.col("dt") == day).select("clue_id", "on_sale_ts", R.hash32(R.ORDER_SEED, "clue_id").alias("h")).collect()
+        order = sorted(own, key=lambda r: (r.on_sale_ts, r.h, r.clue_id))
+        assert [got[day, r.clue_id] for r in order] == list(range(len(order)))
+    # no task numbers more than a part
+    seconds = R._seconds(queries, items, "dt").where("dt = 'd' and _cnt > 0").first()
+    assert seconds["_cnt"] == 3000 and -(-seconds["_cnt"] // R.PART_ROWS) == 30
+
+
+def test_no_items_or_no_requests(spark):
+    items = spark.createDataFrame([("d", 1, 10)], "dt string, clue_id int, on_sale_ts int")
+    queries = spark.createDataFrame([("d", 1, "r", "1", 11)], "dt string, user_id int, recommend_id string, page string, query_ts int")
+    assert [r.n for r in R.eligible_index(queries, items.limit(0))[0].collect()] == [0]
+    assert [r.idx for r in R.eligible_index(queries.limit(0), items)[1].collect()] == [0]
