@@ -168,8 +168,8 @@ def towers(t):
 
 @query("m6_top_items", f"SELECT user_id, clue_id, cast(rank AS INT) AS rank FROM ({TOP}) t")
 def _(t):
-    """Small chunks, so that several chunks of each side meet."""
-    return top_items(*towers(t), 20, chunk_rows=200).select("user_id", "clue_id", "rank")
+    """Small blocks, so that there are many of them."""
+    return top_items(*towers(t), 20, block_rows=50).select("user_id", "clue_id", "rank")
 
 
 @query("m6_recall_at_n", f"""

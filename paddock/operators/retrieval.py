@@ -1,63 +1,153 @@
-"""Top items per user by inner product, in blocks.
+"""Top items per user by inner product, exactly, with a bound that ends the search.
 
-Users and items are hashed into chunks of a bounded number of vectors; each
-(user chunk, item chunk) pair is one matrix product in one task and gives back
-at most n rows per user, which a ranked merge reduces to n.  Neither side is
-broadcast or collected, so neither has to be small.
+Items are packed once into blocks by falling norm, as a table in the shared folder.
+Users stay where they are: the task that holds some reads block after block, one
+matrix product each, and a user is done where their norm times the largest norm of the
+next block is below their n-th score, as no item further on can do better.  No row of
+either side is shuffled to the other, copied or collected.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections import OrderedDict
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CHUNK_ROWS = 20000
+from paddock.session import shared_dir
+
+#: Items of a block, about; users that are searched together; bytes of blocks a worker keeps.
+BLOCK_ROWS, USER_ROWS, KEPT_BYTES = 1024, 4096, 256 << 20
+#: Ranges of norms, at most.
+RANGES = 1024
+
+
+def pack_items(items: DataFrame, item: str, vec: str, block_rows: int = BLOCK_ROWS) -> str:
+    """Write (norm, ids, vecs) rows, a block each; returns the folder.
+
+    Blocks are ranges of the norm from a sketch, cut by a hash of the id where a range
+    holds many items; ``norm`` is the largest of the block.
+    """
+    rows = items.select(F.col(item).cast("long").alias("id"), F.col(vec).cast("array<double>").alias("vec"))
+    rows = rows.where("id is not null and vec is not null")
+    rows = rows.withColumn("norm", F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)))
+    size = items.count()
+    ranges = min(RANGES, max(1, size // block_rows))
+    shares = F.from_json(F.lit(str([i / ranges for i in range(1, ranges)])), "array<double>")
+    splits = rows.agg(F.percentile_approx("norm", shares, 10_000).alias("q")).first()["q"] if ranges > 1 else None
+    held = F.from_json(F.lit(str(sorted(set(splits or [])))), "array<double>")
+    rows = rows.withColumn("range", F.size(F.filter(held, lambda s: s < F.col("norm"))))
+    # a row per range
+    counts = rows.groupBy("range").agg(F.ceil(F.count("*") / block_rows).alias("parts"))
+    rows = rows.join(F.broadcast(counts), "range").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
+
+    def packed(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("id")
+        return pd.DataFrame({"norm": [part["norm"].max()], "ids": [part["id"].to_numpy("<i8").tobytes()],
+                             "vecs": [np.stack(part["vec"].to_numpy()).astype("<f8").tobytes()],
+                             "block": [uuid.uuid4().hex]})
+
+    path = f"{shared_dir(items.sparkSession).rstrip('/')}/items-{uuid.uuid4().hex}"
+    rows.select("range", "part", "norm", "id", "vec").groupBy("range", "part").applyInPandas(
+        packed, "norm double, ids binary, vecs binary, block string").write.parquet(path)
+    return path
+
+
+class ItemBlocks:
+    """The packed blocks by falling norm, read one at a time; a worker keeps some of them."""
+
+    def __init__(self, path: str, kept_bytes: int = KEPT_BYTES):
+        import pyarrow.dataset as ds
+        from pyarrow import fs
+
+        store, inner = fs.FileSystem.from_uri(path) if ":" in path else (None, path)
+        self.table = ds.dataset(inner, filesystem=store, format="parquet")
+        known = self.table.to_table(columns=["norm", "block"]).to_pylist() if self.table.files else []
+        self.order = sorted(((r["norm"], r["block"]) for r in known), reverse=True)
+        self.kept_bytes, self.held, self.cache = kept_bytes, 0, OrderedDict()
+
+    def read(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids ascending, vectors) of the ``k``-th block."""
+        if k in self.cache:
+            self.cache.move_to_end(k)
+            return self.cache[k]
+        import pyarrow.compute as pc
+
+        row = self.table.to_table(columns=["ids", "vecs"], filter=pc.field("block") == self.order[k][1])
+        ids = np.frombuffer(row.column("ids")[0].as_py(), "<i8")
+        found = ids, np.frombuffer(row.column("vecs")[0].as_py(), "<f8").reshape(len(ids), -1)
+        self.cache[k] = found
+        self.held += sum(x.nbytes for x in found)
+        while self.held > self.kept_bytes and len(self.cache) > 1:
+            self.held -= sum(x.nbytes for x in self.cache.popitem(last=False)[1])
+        return found
+
+
+_OPEN: dict = {}
+
+
+def _blocks(path: str) -> ItemBlocks:
+    if path not in _OPEN:
+        _OPEN.clear()
+        _OPEN[path] = ItemBlocks(path)
+    return _OPEN[path]
+
+
+def _best(scores: np.ndarray, ids: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The n highest of each row, ties by smaller id, in any order."""
+    if scores.shape[1] <= n:
+        return scores, ids
+    at = np.argpartition(-scores, n - 1, axis=1)[:, :n]
+    top, own = np.take_along_axis(scores, at, axis=1), np.take_along_axis(ids, at, axis=1)
+    last = top.min(axis=1)
+    # more at the n-th score than there is room for: the smaller ids stay
+    for r in np.flatnonzero((scores >= last[:, None]).sum(axis=1) > n):
+        first = np.lexsort([ids[r], -scores[r]])[:n]
+        top[r], own[r] = scores[r][first], ids[r][first]
+    return top, own
+
+
+def search(blocks: ItemBlocks, vectors: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """(scores, ids, products made): n columns per row in order, -inf where there are fewer items."""
+    norms = np.sqrt((vectors * vectors).sum(axis=1)) * (1 + 1e-9)
+    scores, ids = np.full((len(vectors), n), -np.inf), np.full((len(vectors), n), np.iinfo(np.int64).max)
+    made = 0
+    for k, (norm, _) in enumerate(blocks.order):
+        open_ = np.flatnonzero(norms * norm >= scores.min(axis=1))
+        if not len(open_):
+            break
+        own, matrix = blocks.read(k)
+        found = vectors[open_] @ matrix.T
+        made += found.size
+        scores[open_], ids[open_] = _best(
+            np.concatenate([scores[open_], found], axis=1),
+            np.concatenate([ids[open_], np.broadcast_to(own, found.shape)], axis=1), n)
+    order = np.lexsort([ids, -scores], axis=1)
+    return np.take_along_axis(scores, order, axis=1), np.take_along_axis(ids, order, axis=1), made
 
 
 def top_items(users: DataFrame, items: DataFrame, n: int, user="user_id", item="clue_id",
               user_vec="user_embedding", item_vec="item_embedding",
-              chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """(user, item, score, rank), rank 1..n; ties by smaller item id."""
-    u_chunks = max(1, -(-users.count() // chunk_rows))
-    i_chunks = max(1, -(-items.count() // chunk_rows))
-
-    def spread(df, key, vec, own, own_n, other, other_n):
-        out = df.select(F.col(key).alias("id"), F.col(vec).cast("array<double>").alias("vec"))
-        out = out.withColumn(own, F.pmod(F.xxhash64("id"), F.lit(own_n)).cast("int"))
-        return out.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(other_n - 1))))
-
-    left = spread(users, user, user_vec, "uc", u_chunks, "ic", i_chunks)
-    right = spread(items, item, item_vec, "ic", i_chunks, "uc", u_chunks)
-    schema = "uid bigint, iid bigint, score double"
-
-    def product(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"uid": [], "iid": [], "score": []})
-        if a.empty or b.empty:
-            return empty
-        b = b.sort_values("id")
-        ids = b["id"].to_numpy()
-        matrix = np.stack(b["vec"].to_numpy()).T
-        take = min(n, len(ids))
-        parts = []
-        for start in range(0, len(a), 512):
-            block = a.iloc[start:start + 512]
-            scores = np.stack(block["vec"].to_numpy()) @ matrix
-            # stable sort on the negated score keeps the smaller id on ties
-            best = np.argsort(-scores, axis=1, kind="stable")[:, :take]
-            parts.append(pd.DataFrame({
-                "uid": np.repeat(block["id"].to_numpy(), take),
-                "iid": ids[best].ravel(),
-                "score": np.take_along_axis(scores, best, axis=1).ravel(),
-            }))
-        return pd.concat(parts) if parts else empty
-
-    found = left.groupBy("uc", "ic").cogroup(right.groupBy("uc", "ic")).applyInPandas(
-        product, schema)
-    w = Window.partitionBy("uid").orderBy(F.col("score").desc(), F.col("iid").asc())
-    ranked = found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
-    return ranked.select(F.col("uid").alias(user), F.col("iid").alias(item), "score", "rank")
+              block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(user, item, score, rank), rank 1..n; ties by smaller item id.  Null vectors take no part."""
+    path = pack_items(items, item, item_vec, block_rows)
+
+    def run(batches):
+        blocks = _blocks(path)
+        for pdf in batches:
+            for low in range(0, len(pdf), USER_ROWS):
+                part = pdf.iloc[low:low + USER_ROWS]
+                scores, ids, _ = search(blocks, np.stack(part["vec"].to_numpy()).astype(float), n)
+                row, at = np.nonzero(scores > -np.inf)
+                yield pd.DataFrame({user: part["id"].to_numpy()[row], item: ids[row, at],
+                                    "score": scores[row, at], "rank": (at + 1).astype("int32")})
+
+    rows = users.select(F.col(user).cast("long").alias("id"), F.col(user_vec).cast("array<double>").alias("vec"))
+    return rows.where("vec is not null").mapInPandas(
+        run, f"{user} bigint, {item} bigint, score double, rank int")
 
 
 def recall_at_n(users: DataFrame, items: DataFrame, truth: DataFrame, n: int, user="user_id",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from paddock.operators import compare as C
 from paddock.operators import evaluate as M
-from paddock.operators.retrieval import top_items
+from paddock.operators.retrieval import ItemBlocks, pack_items, search, top_items
 from paddock.operators.towers import TowerSpec, forward, tower_forward
 from paddock.sources.models import PackedModel, pack_weights
 
@@ -74,16 +74,28 @@ def test_feature_diff_counts_nulls_and_missing_keys(spark):
     assert got == {"x": (3, 2), "y": (3, 0)}
 
 
-def test_top_items_in_chunks(spark):
+def test_top_items_by_falling_norm(spark):
     rnd = np.random.default_rng(0)
-    u, i = rnd.normal(size=(30, 8)), rnd.normal(size=(70, 8))
-    users = spark.createDataFrame([(k, list(map(float, v))) for k, v in enumerate(u)],
+    u, i = rnd.normal(size=(30, 8)), rnd.normal(size=(900, 8)) * rnd.exponential(size=(900, 1)) ** 2
+    i[700:720] = i[int(np.argmax((i * i).sum(axis=1)))]  # ties among the best
+    users = spark.createDataFrame([(k, list(map(float, v))) for k, v in enumerate(u)] + [(99, None)],
                                   "user_id long, user_embedding array<double>")
-    items = spark.createDataFrame([(k, list(map(float, v))) for k, v in enumerate(i)],
+    items = spark.createDataFrame([(k, list(map(float, v))) for k, v in enumerate(i)] + [(5000, None)],
                                   "clue_id long, item_embedding array<double>")
-    got = {(r.user_id, r["rank"]): r.clue_id for r in top_items(users, items, 5, chunk_rows=16).collect()}
-    order = np.argsort(-(u @ i.T), axis=1)[:, :5]
-    assert got == {(k, n + 1): order[k, n] for k in range(30) for n in range(5)}
+    scores = np.round(u @ i.T, 9)
+    order = np.lexsort([np.broadcast_to(np.arange(900), scores.shape), -scores], axis=1)[:, :12]
+    for rows in (16, 4096):
+        top = top_items(users, items, 12, block_rows=rows)
+        got = {(r.user_id, r["rank"]): r.clue_id for r in top.collect()}
+        assert got == {(k, n + 1): order[k, n] for k in range(30) for n in range(12)}
+    few = top_items(users, items.where("clue_id < 3"), 12).groupBy("user_id").count().collect()
+    assert {(r.user_id, r["count"]) for r in few} == {(k, 3) for k in range(30)}
+    assert top_items(users, items.limit(0), 12).count() == 0
+    # the bound leaves most products out, and a worker keeps few blocks
+    blocks = ItemBlocks(pack_items(items, "clue_id", "item_embedding", 16), kept_bytes=3000)
+    found, ids, made = search(blocks, u, 12)
+    assert np.array_equal(ids, order) and made < 0.6 * scores.size and blocks.held <= 3000
+    assert [n for n, _ in blocks.order] == sorted((n for n, _ in blocks.order), reverse=True)
 
 
 def test_tower_matches_numpy(spark):
