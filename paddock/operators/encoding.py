@@ -2,7 +2,9 @@
 
 One way for a dictionary of any size: the values become long rows, one join
 brings their ids (broadcast where Spark finds the dictionary small), one group
-per row brings them back.
+per row brings them back.  Rows without a declared key are told apart by a digest
+of the values that are coded: equal ones are coded once, nothing is numbered or
+written, and a task that runs again finds the same keys.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paddock.session import cut
+from paddock.operators.joins import lookup_join
 
 UNKNOWN = 1
 
@@ -26,19 +28,25 @@ def entries(dictionary: DataFrame, features=None) -> DataFrame:
     return rows.groupBy("fea_name", "fea_val").agg(F.min("encode_id").alias("encode_id"))
 
 
-def _keyed(df: DataFrame, key):
-    """``df`` and the columns that tell its rows apart.
+def _keyed(df: DataFrame, key, specs):
+    """(rows, rows to code, the columns that tell them apart).
 
-    A declared ``key`` must be unique; without one every row gets a number and
-    the table is written once, so that both branches see the same numbers.
+    A declared ``key`` must be unique.  Without one the key is a digest of the values
+    to code, and each combination of values is coded once.
     """
-    if key is None:
-        return cut(df.withColumn("_row", F.monotonically_increasing_id())), ["_row"]
-    return df, [key] if isinstance(key, str) else list(key)
+    if key is not None:
+        return df, df, [key] if isinstance(key, str) else list(key)
+    # JSON leaves out nulls and names the rest: no two combinations share a text
+    digest = F.unhex(F.sha2(F.to_json(F.struct(*specs)), 256))
+    held = df.withColumn("_digest", digest)
+    return held, held.select("_digest", *specs).dropDuplicates(["_digest"]), ["_digest"]
 
 
 def _beside(df: DataFrame, wide: DataFrame, keys, columns) -> DataFrame:
     """``df`` with the columns of ``wide``; null keys are equal to null keys."""
+    if keys == ["_digest"]:
+        # one combination may be that of very many rows
+        return lookup_join(df, wide, "_digest").select(*columns)
     wide = wide.withColumnsRenamed({k: f"_k_{k}" for k in keys})
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
     return df.join(wide, same, "left").select(*columns)
@@ -49,15 +57,15 @@ def encode_categories(df: DataFrame, specs: dict, dictionary: DataFrame,
     """Replace columns by ids.  ``specs``: column -> dictionary feature name.
 
     ``key`` names columns that are unique per row, if there are any; they spare
-    a numbering of the rows.  Null and unknown values give ``default``.
+    a digest of the values.  Null and unknown values give ``default``.
     """
-    held, keys = _keyed(df, key)
+    held, rows, keys = _keyed(df, key, specs)
     pairs = F.array(*[
         F.struct(F.lit(c).alias("col"), F.lit(f).alias("fea_name"),
                  F.col(c).cast("string").alias("fea_val"))
         for c, f in specs.items()
     ])
-    long = held.select(*keys, F.explode(pairs).alias("p")).select(*keys, "p.*")
+    long = rows.select(*keys, F.explode(pairs).alias("p")).select(*keys, "p.*")
     coded = long.join(entries(dictionary, specs.values()), ["fea_name", "fea_val"], "left")
     wide = coded.groupBy(*keys).agg(*[
         F.max(F.when(F.col("col") == c, F.col("encode_id"))).alias(f"_c_{c}") for c in specs
@@ -71,7 +79,7 @@ def encode_categories(df: DataFrame, specs: dict, dictionary: DataFrame,
 def encode_sequences(df: DataFrame, specs: dict, dictionary: DataFrame,
                      default: int = UNKNOWN, key=None) -> DataFrame:
     """The same for every element of array columns; null arrays stay null."""
-    held, keys = _keyed(df, key)
+    held, rows, keys = _keyed(df, key, specs)
 
     def elements(c, feature):
         known = F.coalesce(F.col(c).cast("array<string>"), F.array().cast("array<string>"))
@@ -80,7 +88,7 @@ def encode_sequences(df: DataFrame, specs: dict, dictionary: DataFrame,
             x.alias("fea_val")))
 
     pairs = F.flatten(F.array(*[elements(c, f) for c, f in specs.items()]))
-    long = held.select(*keys, F.explode(pairs).alias("p")).select(*keys, "p.*")
+    long = rows.select(*keys, F.explode(pairs).alias("p")).select(*keys, "p.*")
     coded = long.join(entries(dictionary, specs.values()), ["fea_name", "fea_val"], "left")
     entry = F.struct("pos", F.coalesce(F.col("encode_id"), F.lit(default)).alias("id"))
     wide = coded.groupBy(*keys).agg(*[

@@ -150,8 +150,8 @@ def long_values(df: DataFrame, cols=(), seqs=()) -> DataFrame:
         known = F.coalesce(F.col(s).cast("array<double>"), F.array().cast("array<double>"))
         return F.transform(known, lambda x: F.struct(F.lit(s).alias("feature"), x.alias("value")))
 
-    parts = ([F.array(*scalars)] if scalars else []) + [elements(s) for s in seqs]
-    every = F.concat(*parts) if len(parts) > 1 else parts[0]
+    none = F.array().cast("array<struct<feature:string,value:double>>")
+    every = F.concat(none, *([F.array(*scalars)] if scalars else []), *[elements(s) for s in seqs])
     return df.select(F.explode(every).alias("_v")).select("_v.feature", "_v.value")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -122,12 +124,19 @@ def dictionary_names() -> dict[str, str]:
     return out
 
 
+#: What a column's own name says of its attribute: item, user (action, window of days), sequence.
+NAMED = (r"s_i_(.+)", r"s_u_[^_]+_(.+)_\d+_\d+", r"s_seq_[^_]+_[^_]+_(.+)_seq")
+
+
 def attribute_of(column: str) -> str:
-    """The dictionary name of a feature; a column that is no defined feature names itself."""
-    return dictionary_names().get(column, column)
+    """The dictionary name of a feature: as defined, else as its own name says, else that name."""
+    if column in dictionary_names():
+        return dictionary_names()[column]
+    found = next((m for m in (re.fullmatch(p, column) for p in NAMED) if m), None)
+    return found[1] if found else column
 
 
-def encode_raw(df: DataFrame, dictionary: DataFrame, key=N.KEYS) -> DataFrame:
+def encode_raw(df: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Raw categories to ids: scalars, and sequences padded with '-1' first.
 
     Columns whose attribute is not in the dictionary stay as they are.
@@ -141,12 +150,11 @@ def encode_raw(df: DataFrame, dictionary: DataFrame, key=N.KEYS) -> DataFrame:
         if c in padded else F.col(c)
         for c in df.columns
     ])
-    of = dictionary_names()
-    scalars = {c: of[c] for c in families["s_u"] + families["s_i"] if of.get(c) in known}
-    arrays = {c: of[c] for c in families["s_seq"] if of.get(c) in known}
+    scalars = {c: attribute_of(c) for c in families["s_u"] + families["s_i"] if attribute_of(c) in known}
+    arrays = {c: attribute_of(c) for c in families["s_seq"] if attribute_of(c) in known}
     if scalars:
         df = encode_categories(df, scalars, dictionary)
-    return encode_sequences(df, arrays, dictionary, key=list(key)) if arrays else df
+    return encode_sequences(df, arrays, dictionary) if arrays else df
 
 
 def preprocess_raw(df: DataFrame, dictionary: DataFrame, stats: DataFrame | None = None,

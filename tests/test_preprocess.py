@@ -45,6 +45,23 @@ def test_attribute_names():
     assert P.attribute_of("s_u_click_tag_id_0_7") == "tag_id"
     assert P.attribute_of("s_i_c2b_evaluate_level") == "c2b_evaluate_level"
     assert P.attribute_of("s_seq_c2b_bid_car_year_seq") == "car_year"
+    # columns that are no defined features: as their own name says
+    assert P.attribute_of("s_i_paint") == "paint" and P.attribute_of("s_u_view_paint_kind_0_14") == "paint_kind"
+    assert P.attribute_of("s_seq_c2b_view_paint_kind_seq") == "paint_kind" and P.attribute_of("city") == "city"
+
+
+def test_categories_outside_the_definitions_are_coded(spark):
+    rows = [(u, c, "r", 0, 5, paint, paint, None if paint is None else f"{paint},red", "2024-01-01")
+            for u, c, paint in ((1, 1, "red"), (1, 1, "red"), (2, 1, "blue"), (3, 2, None), (4, 2, "odd"))]
+    df = spark.createDataFrame(rows, "user_id int, clue_id int, recommend_id string, label int, ts int, s_i_paint string, "
+                                     "s_u_view_paint_0_14 string, s_seq_c2b_view_paint_seq string, dt string")
+    codes = spark.createDataFrame([("paint", "red", 2), ("paint", "blue", 3), ("other", "odd", 9)],
+                                  "fea_name string, fea_val string, encode_id int")
+    coded = P.encode_raw(df, codes)
+    got = sorted((r.user_id, r.s_i_paint, r.s_u_view_paint_0_14, r.s_seq_c2b_view_paint_seq[:2]) for r in coded.collect())
+    assert got == [(1, 2, 2, [2, 2]), (1, 2, 2, [2, 2]), (2, 3, 3, [3, 2]), (3, 1, 1, [1, 1]), (4, 1, 1, [1, 2])]
+    out = P.preprocess_raw(df, codes)[0]
+    assert sorted(r.s_i_paint for r in out.collect()) == [1, 1, 2, 2, 3]
 
 
 def test_a_column_of_nulls_stays_null(spark):
