@@ -18,6 +18,7 @@ from paddock.llm.piece_lattice import Pieces
 from paddock.llm.quality_rules import quality_rules, ratios_from_labels
 from paddock.llm.queries import PIECES
 from paddock.llm.sentencepieces import encode
+from paddock.operators.joins import lookup_join
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -43,11 +44,31 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
             F.col("_row.n_chars")).alias("n_chars"))
 
 
+def _own_ids(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``near_id``, an id for each row's text: ``doc_id`` where it has one text.
+
+    Texts that share an id get ids beyond all others, so a text under an id of its own
+    is kept in place of the same one under a shared id.
+    """
+    text = F.xxhash64("text")
+    shared = docs.where("doc_id is not null").groupBy("doc_id").agg(
+        F.min(text).alias("low"), F.max(text).alias("high")).where("low < high").select("doc_id")
+    shared = written(shared, "shared-ids")
+    if shared.isEmpty():
+        return docs.withColumn("near_id", F.col("doc_id"))
+    beyond = F.pmod(F.xxhash64("doc_id", text), F.lit(1 << 61)) + F.lit(1 << 62)
+    marked = lookup_join(docs, shared.withColumn("several", F.lit(True)), "doc_id")
+    return marked.select(*COLUMNS, F.when(F.col("several"), beyond).otherwise(F.col("doc_id")).alias("near_id"))
+
+
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each component; rows without an id stay."""
-    found = near_duplicates(_documents(docs))
-    copies = found.where("component != id").select(F.col("id").alias("doc_id")).distinct()
-    return _documents(docs).join(copies.hint("shuffle_hash"), "doc_id", "left_anti").select(*COLUMNS)
+    """One document of each component, that with the smallest id; rows without an id stay.
+
+    Rows go by their own text: another text under the id of a copy is no copy.
+    """
+    rows = _own_ids(_documents(docs))
+    copies = near_duplicates(rows, "near_id").where("component != id").select(F.col("id").alias("near_id")).distinct()
+    return rows.join(copies.hint("shuffle_hash"), "near_id", "left_anti").select(*COLUMNS)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
