@@ -55,13 +55,16 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = tune(spark), sf_dir
 
-    def stored(self, name: str, build) -> DataFrame:
+    def stored(self, name: str, build, by=()) -> DataFrame:
         app = self.spark.sparkContext.applicationId
         key = (app, self.dir, name)
         if key not in _WRITTEN:
             folder = f"{shared_dir(self.spark)}/{app}-{abs(hash(self.dir))}/{name}"
             df = build()
-            df.write.mode("overwrite").parquet(folder)
+            if by:  # one folder per value, a large one in several files
+                df.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).parquet(folder)
+            else:
+                df.write.mode("overwrite").parquet(folder)
             _WRITTEN[key] = (folder, df.schema)
         folder, schema = _WRITTEN[key]
         return self.spark.read.schema(schema).parquet(folder)
@@ -71,6 +74,10 @@ class Tables:
 
     @cached_property
     def behaviour(self) -> DataFrame:
+        """The log, stored by day as a log is."""
+        return self.stored("behaviour", self._behaviour, by=("dt",))
+
+    def _behaviour(self) -> DataFrame:
         ev = self.read("events")
         hour, day = F.hour("ts"), F.dayofmonth("ts")
         page = F.when(hour < 2, "SEARCH_INVITATION").when(hour < 5, "GRAB").otherwise("SEARCH")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.fixtures import RUN
 from checks.q_operators import SEQS, parsed
-from checks.registry import query
+from checks.registry import digits, digits_sql, query
 from checks.tables_sql import case_bins
 from paddock import functions as X
 from paddock.functions.scalars import ITEM_BUCKETS, PRICE_BINS, PRICE_SHARES, SCORE_SEGMENTS, USER_BUCKETS
@@ -93,19 +93,17 @@ def _(t):
                        X.join_array("seller_price").alias("sellers"))
 
 
-@query("c11_parse_array", """
+@query("c11_parse_array", f"""
 SELECT user_id, ts, clue_id, cast(len(CASE WHEN len(sellers) > 0 THEN sellers END) AS INT) AS n,
-  list_sum(CASE WHEN len(sellers) > 0 THEN sellers END)::DOUBLE AS total FROM features""")
+  {digits_sql('CASE WHEN len(sellers) > 0 THEN sellers END')} AS cells FROM features""")
 def _(t):
     arr = X.parse_array("d_seq_c2b_click_c2b_seller_price_seq", "double")
-    total = F.aggregate(arr, F.lit(0.0), lambda a, x: a + x)
     return t.features.select("user_id", "ts", "clue_id",
-                             F.when(arr.isNotNull(), F.size(arr)).alias("n"), total.alias("total"))
+                             F.when(arr.isNotNull(), F.size(arr)).alias("n"), digits(arr).alias("cells"))
 
 
-@query("c12_pad_dense_global", """
-SELECT user_id, ts, clue_id, cast(len(p) AS INT) AS n, round(list_sum(p), 4) AS total,
-  round(p[10], 4) AS last FROM (SELECT user_id, ts, clue_id, list_concat(hauls::DOUBLE[],
+@query("c12_pad_dense_global", f"""
+SELECT user_id, ts, clue_id, cast(len(p) AS INT) AS n, {digits_sql('p')} AS cells FROM (SELECT user_id, ts, clue_id, list_concat(hauls::DOUBLE[],
   list_resize([]::DOUBLE[], 10 - coalesce(len(hauls), 0), 1234.5::DOUBLE)) AS p FROM features) f""")
 def _(t):
     return _padded(t, X.pad_dense_global("d_seq_c2b_click_road_haul_seq", F.lit(1234.5)))
@@ -113,14 +111,11 @@ def _(t):
 
 def _padded(t, arr):
     rows = parsed(t).withColumn("p", arr)
-    total = F.aggregate("p", F.lit(0.0), lambda a, x: a + x)
-    return rows.select("user_id", "ts", "clue_id", F.size("p").alias("n"),
-                       F.round(total, 4).alias("total"), F.round(F.get("p", F.lit(9)), 4).alias("last"))
+    return rows.select("user_id", "ts", "clue_id", F.size("p").alias("n"), digits("p").alias("cells"))
 
 
-@query("c13_pad_dense_local", """
-SELECT user_id, ts, clue_id, cast(len(p) AS INT) AS n, round(list_sum(p), 4) AS total,
-  round(p[10], 4) AS last FROM (SELECT user_id, ts, clue_id, list_concat(hauls::DOUBLE[],
+@query("c13_pad_dense_local", f"""
+SELECT user_id, ts, clue_id, cast(len(p) AS INT) AS n, {digits_sql('p')} AS cells FROM (SELECT user_id, ts, clue_id, list_concat(hauls::DOUBLE[],
   list_resize([]::DOUBLE[], 10 - coalesce(len(hauls), 0), CASE WHEN len(hauls) > 0
   THEN list_median(hauls::DOUBLE[]) ELSE 1234.5::DOUBLE END)) AS p FROM features) f""")
 def _(t):
@@ -181,15 +176,14 @@ def _(t):
         X.standardize("road_haul", F.lit(25000.0), F.lit(12000.0)), 6).alias("road_haul"))
 
 
-@query("c18_standardize_array", """
-SELECT user_id, ts, clue_id, round(list_sum(list_transform(hauls,
-  lambda x: (x - 25000.0::DOUBLE) / 12000.0::DOUBLE)), 6) AS total FROM features WHERE len(hauls) > 0""")
+@query("c18_standardize_array", f"""
+SELECT user_id, ts, clue_id, {digits_sql('list_transform(hauls, lambda x: (x - 25000.0::DOUBLE) / 12000.0::DOUBLE)')} AS cells
+FROM features WHERE len(hauls) > 0""")
 def _(t):
     seq = list(SEQS)[0]
     rows = parsed(t).where(F.col(seq).isNotNull())
     out = X.standardize_array(seq, F.lit(25000.0), F.lit(12000.0))
-    return rows.select("user_id", "ts", "clue_id", F.round(
-        F.aggregate(out, F.lit(0.0), lambda a, x: a + x), 6).alias("total"))
+    return rows.select("user_id", "ts", "clue_id", digits(out).alias("cells"))
 
 
 @query("c19_price_reached", """
@@ -233,14 +227,13 @@ def _(t):
         X.sigmoid(F.get("embedding", F.lit(0)).cast("double")), 6).alias("p"))
 
 
-@query("c23_vector_text", """
-SELECT vec_id, cast(len(embedding) AS INT) AS n, round(list_sum(embedding::DOUBLE[]), 4) AS total,
+@query("c23_vector_text", f"""
+SELECT vec_id, cast(len(embedding) AS INT) AS n, {digits_sql('embedding')} AS cells,
   '[' AS opening, ']' AS closing FROM embeddings""")
 def _(t):
     text = t.vectors.withColumn("text", X.vector_to_text("embedding"))
     back = X.text_to_vector("text", "double")
-    total = F.aggregate(back, F.lit(0.0), lambda a, x: a + x)
-    return text.select("vec_id", F.size(back).alias("n"), F.round(total, 4).alias("total"),
+    return text.select("vec_id", F.size(back).alias("n"), digits(back).alias("cells"),
                        F.substring("text", 1, 1).alias("opening"),
                        F.right("text", F.lit(1)).alias("closing"))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from checks.fixtures import MIN_CREATE, RUN, SNAP
 from checks.q_evaluation import SPEC, TOTALS, tower_sql, tower_weights, vector_totals
 from checks.q_operators import DENSE, ORDERED, SEQS
-from checks.registry import query
+from checks.registry import digits, digits_sql, query
 from checks.tables_sql import code_of, item_table_sql
 from paddock.operators.filters import feature_families
 from paddock.operators.sequences import last_items
@@ -174,8 +174,11 @@ def _(t):
     return rounded(daily_samples(t.inputs, RUN, as_text=True), RATE_NAMES + AVG_NAMES)
 
 
-def _model_inputs_sql():
-    """Filled and standardized columns; sequences as length and sum."""
+def _model_inputs_sql(local=False):
+    """Filled and standardized columns; short sequences padded with the median of all or their own."""
+    def own(s):
+        return f"CASE WHEN len({s}) > 0 THEN list_median({s}::DOUBLE[]) ELSE m_{s} END"
+
     fit, out = [], []
     for c in DENSE:
         fit.append(f"(SELECT median({c}) FROM features) AS m_{c}")
@@ -183,7 +186,7 @@ def _model_inputs_sql():
         fit.append(f"(SELECT median(y)::DOUBLE FROM (SELECT unnest({s}) AS y FROM features) q) AS m_{s}")
     pads = ", ".join(
         f"list_concat(coalesce({s}, [])::DOUBLE[], list_resize([]::DOUBLE[], "
-        f"10 - coalesce(len({s}), 0), m_{s})) AS p_{s}" for s in SEQS.values())
+        f"10 - coalesce(len({s}), 0), {own(s) if local else f'm_{s}'})) AS p_{s}" for s in SEQS.values())
     fills = ", ".join(f"coalesce({c}, m_{c})::DOUBLE AS v_{c}" for c in DENSE)
     dev = ", ".join(f"avg(v_{c}) AS a_{c}, CASE WHEN stddev_pop(v_{c}) = 0 THEN 1 ELSE "
                     f"stddev_pop(v_{c}) END AS d_{c}" for c in DENSE)
@@ -193,7 +196,7 @@ def _model_inputs_sql():
         for s in SEQS.values())
     out += [f"round((v_{c} - a_{c}) / d_{c}, 5) AS {c}" for c in DENSE]
     for name, s in SEQS.items():
-        out.append(f"round(list_sum(list_transform(p_{s}, lambda x: (x - a_{s}) / d_{s})), 4) AS {name}")
+        out.append(digits_sql(f"list_transform(p_{s}, lambda x: (x - a_{s}) / d_{s})") + f" AS {name}")
         out.append(f"cast(len(p_{s}) AS INT) AS {name}_n")
     tables = f"""
 WITH medians AS (SELECT {', '.join(fit)}),
@@ -212,15 +215,14 @@ MODEL_INPUTS = FITTED + PREPARED
 
 
 def summed(df):
-    """Standardized columns to 5 digits, JSON sequences to their length and sum."""
+    """Standardized columns to 5 digits, the elements of JSON sequences to 4."""
     out = []
     for c in df.columns:
         if c in DENSE:
             out.append(F.round(c, 5).alias(c))
         elif c in SEQS:
             v = F.from_json(c, "array<double>")
-            total = F.aggregate(v, F.lit(0.0), lambda a, x: a + x)
-            out += [F.round(total, 4).alias(c), F.size(v).alias(f"{c}_n")]
+            out += [digits(v).alias(c), F.size(v).alias(f"{c}_n")]
         elif c != "s_seq_c2b_click_clue_id_seq":
             out.append(F.col(c))
     return df.select(*out)
@@ -231,6 +233,12 @@ def _(t):
     return summed(PP.preprocess_fit(t.features)[0])
 
 
+@query("p9_preprocess_local", "".join(_model_inputs_sql(local=True)))
+def _(t):
+    """Short sequences are padded with their own median."""
+    return summed(PP.preprocess_fit(t.features, local=True)[0])
+
+
 def _tower_inputs_sql():
     """The prepared rows as inputs of the user tower, sequences as lists."""
     dense = ", ".join(f"(v_{c} - a_{c}) / d_{c} AS {c}" for c in SPEC.dense)

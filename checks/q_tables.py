@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from checks.fixtures import RUN, SNAP
-from checks.registry import query
+from checks.registry import digits, digits_sql, query
 from paddock import sources as S
 from paddock.functions import safe_int
 from paddock.operators import filters as P
@@ -55,26 +55,37 @@ def _(t):
     return days.groupBy("dt").agg(F.count("*").alias("n"))
 
 
-@query("s6_read_tsv", """
+@query("s5_scan_listed_days", """
+SELECT dt, action, count(*) AS n FROM behaviour WHERE dt IN (SELECT dt FROM (
+  SELECT dt, count(*) AS bids FROM behaviour WHERE action = 'bid' GROUP BY dt) b
+  WHERE bids > (SELECT avg(bids) FROM (SELECT count(*) AS bids FROM behaviour WHERE action = 'bid' GROUP BY dt) a))
+GROUP BY ALL""")
+def _(t):
+    """The days with more bids than an average one: which partitions are read is known at run time."""
+    bids = S.count_by_day(t.behaviour.where("action = 'bid'"), "bids")
+    days = bids.where(F.col("bids") > bids.agg(F.avg("bids")).scalar())
+    return S.scan_listed_days(t.behaviour, days).groupBy("dt", "action").agg(F.count("*").alias("n"))
+
+
+@query("s6_read_tsv", f"""
 SELECT cast(vec_id AS INT) AS vec_id, cast(len(embedding) AS INT) AS n,
-  round(list_sum(embedding::DOUBLE[]), 4) AS total FROM embeddings""")
+  {digits_sql('embedding')} AS cells FROM embeddings""")
 def _(t):
     path = scratch(t, "vectors")
     write_vectors(t.vectors, path, key="vec_id")
     back = read_vectors(t.spark, path, key="vec_id")
-    total = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double"))
-    return back.select("vec_id", F.size("embedding").alias("n"), F.round(total, 4).alias("total"))
+    return back.select("vec_id", F.size("embedding").alias("n"), digits("embedding").alias("cells"))
 
 
 @query("s7_write_partition", """
-SELECT dt, action, count(*) AS n FROM behaviour
-WHERE action IN ('click', 'bid') GROUP BY ALL""")
+SELECT user_id, clue_id, recommend_id, page, page_type, action, amount, ts, dt FROM behaviour
+WHERE action IN ('click', 'bid')""")
 def _(t):
     path = scratch(t, "partitions")
     for action in ("click", "bid", "click"):  # the second click run replaces the first
         rows = P.filter_actions(t.behaviour, [action]).drop("action")
         S.write_partition(rows, path, action=action)
-    return t.spark.read.parquet(path).groupBy("dt", "action").agg(F.count("*").alias("n"))
+    return t.spark.read.schema(t.behaviour.schema).parquet(path)
 
 
 @query("s8_write_csv", "SELECT user_id, clue_id, recommend_id, label, ts FROM samples")
@@ -86,24 +97,21 @@ def _(t):
         schema="user_id int, clue_id int, recommend_id string, label int, ts int")
 
 
-@query("s9_write_by_day", "SELECT dt, label, count(*) AS n FROM samples GROUP BY ALL")
+@query("s9_write_by_day", "SELECT dt, user_id, clue_id, recommend_id, label, ts FROM samples")
 def _(t):
     path = scratch(t, "days")
     S.write_by_day(t.samples, path)
-    back = t.spark.read.schema(t.samples.schema).parquet(path)
-    return back.groupBy("dt", "label").agg(F.count("*").alias("n"))
+    return t.spark.read.schema(t.samples.schema).parquet(path)
 
 
-@query("s10_arrays_json", """
-SELECT vec_id, cast(len(embedding) AS INT) AS n, round(list_sum(embedding::DOUBLE[]), 4) AS total,
+@query("s10_arrays_json", f"""
+SELECT vec_id, cast(len(embedding) AS INT) AS n, {digits_sql('embedding')} AS cells,
   '[' AS opening FROM embeddings""")
 def _(t):
     text = S.encode_arrays_json(t.vectors, ["embedding"])
     back = S.decode_arrays_json(
         text.withColumn("opening", F.substring("embedding", 1, 1)), ["embedding"])
-    total = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x)
-    return back.select("vec_id", F.size("embedding").alias("n"),
-                       F.round(total, 4).alias("total"), "opening")
+    return back.select("vec_id", F.size("embedding").alias("n"), digits("embedding").alias("cells"), "opening")
 
 
 @query("s11_save_load_stats", """
@@ -123,19 +131,17 @@ def _(t):
         F.round(c, 6).alias(c) for c in ("median", "mean", "scale")])
 
 
-@query("s12_kv_payload", """
+@query("s12_kv_payload", f"""
 SELECT concat('vector:', vec_id) AS key, 604800 AS ttl, cast(len(embedding) AS INT) AS n,
-  round(list_sum(embedding::DOUBLE[]), 4) AS total FROM embeddings""")
+  {digits_sql('embedding')} AS cells FROM embeddings""")
 def _(t):
     out = S.kv_payload(t.vectors, "vector:%s", key="vec_id")
     v = F.from_json("value", "array<double>")
-    total = F.aggregate(v, F.lit(0.0), lambda a, x: a + x)
-    return out.select("key", "ttl", F.size(v).alias("n"), F.round(total, 4).alias("total"))
+    return out.select("key", "ttl", F.size(v).alias("n"), digits(v).alias("cells"))
 
 
-@query("s13_upsert_payload", """
-SELECT clue_id, 'v2' AS model_version, cast(len(embedding) AS INT) AS n,
-  round(list_sum(embedding::DOUBLE[]), 4) AS total
+@query("s13_upsert_payload", f"""
+SELECT clue_id, 'v2' AS model_version, cast(len(embedding) AS INT) AS n, {digits_sql('embedding')} AS cells
 FROM (SELECT label AS clue_id, embedding, row_number() OVER (PARTITION BY label
       ORDER BY vec_id DESC) AS rn FROM embeddings) e WHERE rn = 1""")
 def _(t):
@@ -145,9 +151,7 @@ def _(t):
     changes = S.upsert_payload(rows, "v2", order="vec_id")
     out = S.merge_upsert(stored, changes)
     v = F.from_json("embedding", "array<double>")
-    total = F.aggregate(v, F.lit(0.0), lambda a, x: a + x)
-    return out.select("clue_id", "model_version", F.size(v).alias("n"),
-                      F.round(total, 4).alias("total"))
+    return out.select("clue_id", "model_version", F.size(v).alias("n"), digits(v).alias("cells"))
 
 
 @query("f1_filter_scene", """

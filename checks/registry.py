@@ -2,10 +2,22 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from checks.fixtures import Tables
 from checks.tables_sql import with_tables
 
 QUERIES: dict = {}
+
+
+def digits(c):
+    """The elements of an array to four digits, as text: every one of them is compared."""
+    return F.array_join(F.transform(c, lambda e: F.round(e.cast("double") * 10000).cast("bigint").cast("string")), ",")
+
+
+def digits_sql(x: str) -> str:
+    return f"array_to_string(list_transform({x}, lambda e: cast(round(e::DOUBLE * 10000) AS BIGINT)), ',')"
+
 ORACLES: dict = {}
 
 

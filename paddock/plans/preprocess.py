@@ -41,7 +41,7 @@ def prepare(df: DataFrame, families: dict) -> DataFrame:
     })
 
 
-def fit(df: DataFrame, families: dict) -> DataFrame:
+def fit(df: DataFrame, families: dict, local: bool = False) -> DataFrame:
     """Statistics of prepared rows: medians first, then mean and scale after filling.
 
     A sketch and a count for the medians of all columns, one pass for all scales.
@@ -49,7 +49,7 @@ def fit(df: DataFrame, families: dict) -> DataFrame:
     """
     dense, seqs = families["d_u"] + families["d_i"], families["d_seq"]
     medians = {r["feature"]: r["median"] for r in fit_medians(df, dense, seqs).collect()}
-    filled = fill_missing(df, families, medians)
+    filled = fill_missing(df, families, medians, local=local)
     rows = {c: {"kind": kind, "median": medians.get(c), "mean": None, "scale": 1.0}
             for kind, cols in (("dense", dense), ("sequence", seqs)) for c in cols}
     if rows:
@@ -92,25 +92,30 @@ def scale(df: DataFrame, stats: dict) -> DataFrame:
     return df.select(*[cell(c) for c in df.columns])
 
 
-def _finish(df: DataFrame, families: dict, stats: DataFrame, as_json: bool) -> DataFrame:
+def _finish(df: DataFrame, families: dict, stats: DataFrame, as_json: bool,
+            local: bool = False) -> DataFrame:
     known = stats_dict(stats)
     medians = {c: s["median"] for c, s in known.items()}
-    out = scale(fill_missing(df, families, medians), known)
+    out = scale(fill_missing(df, families, medians, local=local), known)
     return encode_arrays_json(out, families["s_seq"] + families["d_seq"]) if as_json else out
 
 
-def preprocess_fit(df: DataFrame, as_json: bool = True):
-    """(model inputs, statistics) of a training range; columns as in the daily job."""
+def preprocess_fit(df: DataFrame, as_json: bool = True, local: bool = False):
+    """(model inputs, statistics) of a training range; columns as in the daily job.
+
+    ``local`` pads a short sequence with its own median in place of that of all.
+    """
     families = feature_families(df)
     ready = prepare(df, families)
-    stats = fit(ready, families)
-    return _finish(ready, families, stats, as_json), stats
+    stats = fit(ready, families, local)
+    return _finish(ready, families, stats, as_json, local), stats
 
 
-def preprocess_apply(df: DataFrame, stats: DataFrame, as_json: bool = True) -> DataFrame:
-    """Model inputs under statistics fitted before."""
+def preprocess_apply(df: DataFrame, stats: DataFrame, as_json: bool = True,
+                     local: bool = False) -> DataFrame:
+    """Model inputs under statistics fitted before, in the same way of padding."""
     families = feature_families(df)
-    return _finish(prepare(df, families), families, stats, as_json)
+    return _finish(prepare(df, families), families, stats, as_json, local)
 
 
 def dictionary_names() -> dict[str, str]:

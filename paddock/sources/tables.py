@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 
 __all__ = [
     "read_table", "shift_day", "scan_day", "scan_window", "scan_snapshot",
-    "scan_dictionary", "scan_days", "read_tsv",
+    "scan_dictionary", "scan_days", "count_by_day", "scan_listed_days", "read_tsv",
 ]
 
 
@@ -57,6 +57,18 @@ def scan_days(table: DataFrame, start: str, end: str, skip: tuple = ()) -> DataF
     return out.where(~F.col("dt").isin(*skip)) if skip else out
 
 
+def count_by_day(table: DataFrame, name: str = "n") -> DataFrame:
+    """Rows per day."""
+    return table.groupBy("dt").agg(F.count("*").alias(name))
+
+
+def scan_listed_days(table: DataFrame, days: DataFrame) -> DataFrame:
+    """The days of a frame.  Its rows prune the partitions of ``table`` while the query runs."""
+    listed = days.select("dt").distinct()
+    # a row per day: as many as the table has partitions
+    return table.join(F.broadcast(listed), "dt", "left_semi")
+
+
 def read_tsv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """Tab-separated files with a header; a path that is not there gives no rows."""
     try:

@@ -55,3 +55,27 @@ def test_user_favourites_share_one_partitioning(spark, t):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # the dictionary is not broadcast here, so coded favourites come back to their user once more
     assert text.count("hashpartitioning(user_id#") <= 10
+
+
+SF = "/root/testdata/sf0.001"
+
+
+def scans(df):
+    """The file scans of a plan, with their partition filters."""
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in text.splitlines() if "FileScan" in line]
+
+
+@pytest.mark.parametrize("name", ["s1_scan_day", "s2_scan_window", "s3_scan_snapshot", "s5_scan_days"])
+def test_registered_scans_read_their_days_only(spark, name):
+    from checks import QUERIES
+
+    found = scans(QUERIES[name](spark, SF))
+    assert found and all("PartitionFilters: [" in x and "dt#" in x.split("PartitionFilters: [")[1].split("]")[0] for x in found)
+
+
+def test_listed_days_prune_while_the_query_runs(spark):
+    from checks import QUERIES
+
+    found = scans(QUERIES["s5_scan_listed_days"](spark, SF))
+    assert any("dynamicpruning" in x for x in found)
