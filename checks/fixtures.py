@@ -123,6 +123,7 @@ class Tables:
             F.col("p_type").alias("auto_type"), F.col("p_size").alias("seats"),
             (F.col("p_size") * 1000 + key % 1000).cast("int").alias("road_haul"),
             F.when(F.col("p_size") != 13, F.col("p_size") * 2).alias("evaluate_score"),
+            F.floor("p_retailprice").cast("int").alias("suggest_price"),
             (key % 4).cast("int").alias("transfer_num"),
             (key % 20 + 2000).cast("int").alias("license_year"),
             (key % 12 + 1).cast("int").alias("license_month"),
@@ -225,17 +226,17 @@ class Tables:
             F.sum(f"cnt_{w}").alias(f"cnt_{w}") for w in ("0_30", "0_365")])
 
     def _statis(self, rows: DataFrame, windows: dict, by) -> DataFrame:
-        dims = self.items.select("clue_id", "road_haul", "evaluate_score")
+        dims = self.items.select("clue_id", *N.REFRESH_MEASURES)
         rows = lookup_join(rows, dims, "clue_id", "inner")
         each = F.explode(F.array(*[
             F.struct(F.lit(d).alias("cnt_days"), F.col(f"cnt_{w}").alias("c"))
             for d, w in windows.items()
         ]))
-        rows = rows.select(*by, "road_haul", "evaluate_score", each.alias("w"))
+        rows = rows.select(*by, *N.REFRESH_MEASURES, each.alias("w"))
         rows = rows.where("w.c > 0").withColumns(
             {"cnt_days": F.col("w.cnt_days"), "c": F.col("w.c")})
         aggs = []
-        for m in N.MEASURES:
+        for m in N.REFRESH_MEASURES:
             aggs += [F.max(m).alias(f"{m}_max"), F.min(m).alias(f"{m}_min"),
                      F.round(F.percentile(m, 0.5, F.col("c")), 6).alias(f"{m}_p50")]
         return rows.groupBy(*by, "cnt_days").agg(*aggs)
@@ -352,6 +353,11 @@ class Tables:
         days = F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))
         return self.items.withColumn("dt", F.explode(F.transform(days, lambda d: d.cast("string"))))
 
+    def refresh_users(self, day: str) -> DataFrame:
+        return self.stored(f"refresh_users_{day}", lambda: user_plans.refresh_user_features(
+            self.action_cnt(day), self.convert_cnt(day), self.action_statis(day),
+            self.action_ratio(day), self.convert_ratio(day), self.codes))
+
     # -- results further queries start from ----------------------------------------------
 
     @cached_property

@@ -306,8 +306,8 @@ def _(t):
 
 
 USER_SPEC = TowerSpec(
-    sparse={"s_u_click_tag_id_0_7": "emb_tag_id", "user_bucket": "emb_user"},
-    dense=["d_u_click_cnt_0_7", "d_u_bid_cnt_0_7", "d_u_click_road_haul_max_0_7"])
+    sparse={**{c: f"emb_{a}" for c, a in N.refresh_sparse().items()}, "user_bucket": "emb_user"},
+    dense=N.refresh_dense())
 ITEM_SPEC = TowerSpec(
     sparse={"s_i_tag_id": "emb_tag_id", "s_i_seats": "emb_seats"},
     dense=["d_i_road_haul", "d_i_c2b_evaluate_score", "d_i_c2b_ctob_model_price"])
@@ -335,28 +335,32 @@ VECTOR = f"n, {TOTALS}"
 
 
 @query("p12_refresh_user_vectors", f"""
-WITH {scaled_sql('users', USER_SPEC.dense)}, active AS (SELECT DISTINCT cast(user_id AS INT) AS user_id FROM behaviour
+WITH {scaled_sql('refresh_users', USER_SPEC.dense)}, active AS (SELECT DISTINCT cast(user_id AS INT) AS user_id FROM behaviour
   WHERE dt BETWEEN strftime(DATE '{RUN}' - 7, '%Y-%m-%d') AND '{RUN}' AND action = 'beseen'
     AND (page_type LIKE '%SEARCH%' OR page_type LIKE '%GRAB%') AND user_id <> ''),
 before AS (SELECT DISTINCT cast(user_id AS INT) AS user_id FROM behaviour
   WHERE dt BETWEEN strftime(DATE '{SNAP}' - 7, '%Y-%m-%d') AND '{SNAP}' AND action = 'beseen'
     AND (page_type LIKE '%SEARCH%' OR page_type LIKE '%GRAB%') AND user_id <> ''),
-inputs AS (SELECT a.user_id, coalesce(s_u_click_tag_id_0_7, 1) AS s_u_click_tag_id_0_7, a.user_id % 8001 AS user_bucket,
+written AS (SELECT user_id, '{SNAP}' AS run FROM before
+  UNION ALL SELECT user_id, '{RUN}' FROM active WHERE user_id NOT IN (SELECT user_id FROM before)),
+inputs AS (SELECT a.user_id, a.run, {', '.join(f'coalesce({c}, 1) AS {c}' for c in N.refresh_sparse())},
+  a.user_id % 8001 AS user_bucket,
   {', '.join(f'{ready(c)} AS {c}' for c in USER_SPEC.dense)}
-  FROM active a LEFT JOIN users u ON a.user_id = u.user_id, dev),
+  FROM written a LEFT JOIN refresh_users u ON a.user_id = u.user_id, dev),
 {tower_sql(USER_SPEC, 'inputs')}
-SELECT concat('user_vector:', user_id) AS key, 604800 AS ttl, {VECTOR} FROM tower
-WHERE user_id NOT IN (SELECT user_id FROM before)""")
+SELECT run, concat('user_vector:', user_id) AS key, 604800 AS ttl, {VECTOR} FROM tower""")
 def _(t):
-    """A second run with the same features writes the users who became active only."""
-    features = t.users(SNAP)
+    """A first run writes all users, a second one with the same features those who became active only.
+
+    All inputs of the model: 32 dense, 50 favourite categories and the user.
+    """
+    features = t.refresh_users(SNAP)
     weights = pack_weights(tower_weights(t.spark, USER_SPEC))
     stats = fitted(features, USER_SPEC.dense)
     store = f"{shared_dir(t.spark)}/user-vectors-{uuid.uuid4().hex[:12]}"
-    for day in (SNAP, RUN):
-        _, _, payload = RF.refresh_user_vectors(t.behaviour, features, stats, weights, USER_SPEC, store, day)
-    return payload.select("key", "ttl", F.from_json("value", "array<float>").alias("v")).select(
-        "key", "ttl", *vector_totals("v"))
+    runs = [RF.refresh_user_vectors(t.behaviour, features, stats, weights, USER_SPEC, store, day)[2].select(
+        F.lit(day).alias("run"), "key", "ttl", F.from_json("value", "array<float>").alias("v")) for day in (SNAP, RUN)]
+    return runs[0].unionByName(runs[1]).select("run", "key", "ttl", *vector_totals("v"))
 
 
 @query("p13_refresh_item_vectors", f"""

@@ -237,7 +237,7 @@ def _(t):
 
 ANY_WINDOW = {
     f"{a}_{m}_{s}": (a, f"{m}_{src}")
-    for a in ("click", "bid") for m in N.MEASURES for s, src in N.STATS.items()}
+    for a in ("click", "bid") for m in N.REFRESH_MEASURES for s, src in N.STATS.items()}
 
 
 @query("a6_pivot_stats_any_window", "SELECT user_id, " + ", ".join(

@@ -74,6 +74,8 @@ def statis_sql(where, windows, extra) -> str:
     for days, (lo, hi) in windows.items():
         parts.append(f"""
 SELECT user_id, {extra}, {days} AS cnt_days,
+  max(suggest_price) AS suggest_price_max, min(suggest_price) AS suggest_price_min,
+  round(quantile_cont(suggest_price::DOUBLE, 0.5), 6) AS suggest_price_p50,
   max(road_haul) AS road_haul_max, min(road_haul) AS road_haul_min,
   round(quantile_cont(road_haul::DOUBLE, 0.5), 6) AS road_haul_p50,
   max(evaluate_score) AS evaluate_score_max, min(evaluate_score) AS evaluate_score_min,
@@ -219,6 +221,7 @@ SELECT cast(p_partkey AS INT) AS clue_id, concat('F', p_partkey % 4) AS fuel_typ
   concat('N', p_partkey % 5) AS guobie, split_part(p_name, ' ', 2) AS minor_category_id,
   p_type AS auto_type, p_size AS seats, cast(p_size * 1000 + p_partkey % 1000 AS INT) AS road_haul,
   CASE WHEN p_size <> 13 THEN p_size * 2 END AS evaluate_score,
+  cast(floor(p_retailprice) AS INT) AS suggest_price,
   cast(p_partkey % 4 AS INT) AS transfer_num, cast(p_partkey % 20 + 2000 AS INT) AS license_year,
   cast(p_partkey % 12 + 1 AS INT) AS license_month, concat('L', p_partkey % 7) AS air_displacement,
   substr('ABCDE', cast(p_partkey % 5 + 1 AS INT), 1) AS evaluate_level,
@@ -277,6 +280,16 @@ FROM acted WHERE action = 'order' GROUP BY user_id""",
         " FROM items i JOIN per_tag t ON i.tag_id = t.tag_id"
         " LEFT JOIN per_category c ON i.minor_category_id = c.minor_category_id",
     "users": user_features_sql(),
+    "refresh_users": f"""
+SELECT c.*, k.cnt_0_30::DOUBLE AS d_u_contract_cnt_30, k.cnt_0_365::DOUBLE AS d_u_contract_cnt_365,
+  s.* EXCLUDE (user_id), {', '.join('u.' + c for c in N.refresh_sparse())}
+FROM (SELECT user_id, {', '.join(f"max(CASE WHEN action = '{a}' THEN {c} ELSE 0 END)::DOUBLE AS {n}"
+                                 for n, (a, c) in N.refresh_count_columns().items())}
+  FROM action_cnt GROUP BY user_id) c LEFT JOIN convert_cnt k ON c.user_id = k.user_id
+LEFT JOIN (SELECT user_id, {', '.join(f"max(CASE WHEN action = '{a}' THEN {c} ELSE 0 END)::DOUBLE AS {n}"
+                                      for n, (a, c) in N.refresh_stat_columns().items())}
+  FROM action_statis GROUP BY user_id) s ON c.user_id = s.user_id
+LEFT JOIN users u ON c.user_id = u.user_id""",
     # samples and impressions
     "scene": "SELECT * FROM behaviour WHERE page_type LIKE '%SEARCH%' AND page_type NOT LIKE '%INVITATION%'",
     "on_shelf": """

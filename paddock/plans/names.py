@@ -66,6 +66,9 @@ PREFIXED_CLUSTERS = ("evaluate_level_segment", "evaluate_score_segment")
 
 MEASURES = ("road_haul", "evaluate_score")
 STATS = {"max": "max", "min": "min", "median": "p50"}
+# The vector refresh counts collections too, and has prices among its measures.
+REFRESH_COUNTS = {"beseen": "beseen", "click": "click", "bid": "bid", "collect": "quick_collection"}
+REFRESH_MEASURES = ("suggest_price", "road_haul", "evaluate_score")
 
 # Attributes of a behaviour sequence: attribute -> name inside the feature.
 SEQ_SPARSE = {
@@ -134,6 +137,32 @@ def order_stat_columns() -> dict:
     return out
 
 
+def refresh_count_columns() -> dict:
+    """Output -> (action, source)."""
+    return {
+        f"d_u_{n}_cnt_{w}": (a, f"cnt_{w}")
+        for n, a in REFRESH_COUNTS.items() for w in ("0_7", "7_14", "14_30")
+    }
+
+
+def refresh_stat_columns() -> dict:
+    """Output -> (action, source); over all windows."""
+    return {
+        f"d_u_{a}_{m}_{s}_0_30": (a, f"{m}_{src}")
+        for a in ("click", "bid") for m in REFRESH_MEASURES for s, src in STATS.items()
+    }
+
+
+def refresh_dense() -> list:
+    return [*refresh_count_columns(), "d_u_contract_cnt_30", "d_u_contract_cnt_365", *refresh_stat_columns()]
+
+
+def refresh_sparse() -> dict:
+    """Favourite category -> the attribute whose embedding it shares."""
+    every = {**action_favourites(), **order_favourites("0_30"), **order_favourites("0_365")}
+    return {feature: spec[-1] for feature, spec in every.items()}
+
+
 def cluster_name(cluster: str) -> str:
     return f"c2b_{cluster}" if cluster in PREFIXED_CLUSTERS else cluster
 

@@ -95,6 +95,28 @@ def user_offline_features(action_cnt: DataFrame, convert_cnt: DataFrame, action_
     )
 
 
+def refresh_user_features(action_cnt: DataFrame, convert_cnt: DataFrame, action_statis: DataFrame,
+                          action_ratio: DataFrame, convert_ratio: DataFrame,
+                          dictionary: DataFrame) -> DataFrame:
+    """One row per user with counted actions: the 32 dense and 50 sparse inputs of the refresh.
+
+    Statistics are the largest of all windows, and 0 for an action a user has not;
+    what a user has no row for at all stays null, categories are 1.
+    """
+    spine = pivot_max(action_cnt.where("user_id is not null"), "user_id", N.refresh_count_columns())
+    stats = pivot_max(action_statis, "user_id", N.refresh_stat_columns())
+    acted = encoded_favourites(
+        action_ratio, ("user_id", "action", "cluster"), "ratio_0_7", N.action_favourites(), dictionary)
+    ordered = [
+        encoded_favourites(convert_ratio, ("user_id", "cluster"), f"ratio_{w}", N.order_favourites(w), dictionary)
+        for w in ("0_30", "0_365")
+    ]
+    wide = assemble_user(spine, convert_counts(convert_cnt), stats, acted, *ordered)
+    return wide.select(
+        "user_id", *[F.col(c).cast("double").alias(c) for c in N.refresh_dense()],
+        *[F.coalesce(F.col(c), F.lit(1)).alias(c) for c in N.refresh_sparse()])
+
+
 def sample_user_features(samples: DataFrame, users: DataFrame, on="user_id") -> DataFrame:
     """Samples with the user features of the snapshot before their day."""
     return join_user_features(samples, users, on)
