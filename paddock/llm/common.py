@@ -65,4 +65,16 @@ def written(df: DataFrame, label: str) -> DataFrame:
     finally:
         if kept is not None:
             conf.set(CLEANUP, kept)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def dropped(*frames: DataFrame | None) -> None:
+    """Remove tables of :func:`written` that a later one has replaced: no plan that is still to run reads them."""
+    for df in frames:
+        path = getattr(df, "_scratch", None)
+        if path:
+            spark = df.sparkSession
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paddock.llm.common import written
+from paddock.llm.common import dropped, written
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -30,10 +30,13 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         small = small.select(F.explode(F.array(
             F.struct(F.col("u"), F.col("m").alias("v")),
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*")
-        links = written(small.where("u != v").distinct(), "components")
+        before, links = links, written(small.where("u != v").distinct(), "components")
+        dropped(before)
         now = links.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long"))).first()
         if now == state:
             break
         state = now
     stars = links.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    return stars.union(links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    out = stars.union(links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    out._scratch = links._scratch  # so that who replaces the result can drop it
+    return out

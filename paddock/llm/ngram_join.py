@@ -14,9 +14,10 @@
    that most of its lists have.  Lists whose nodes
    are all in one component are done and drop out.  After ``ROUNDS`` rounds with
    other hubs, what is left is enumerated in full: group pairs of a list that
-   pass the size filter, expanded to members that are in different components
-   yet.  So every pair that may link is verified, or its two nodes are known to
-   be connected already.
+   pass the size filter and the position filter (two sets share no more than what
+   stands in each from their first common shingle on), expanded to members that are
+   in different components yet.  So every pair that may link is verified, or its two
+   nodes are known to be connected already.
 4. A candidate pair is verified in two steps.  What two sets share is at most
    what their prefixes share and one of their rests, so most pairs fall by their
    prefixes alone; the intersection of the two whole sets decides the others.
@@ -29,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paddock.llm.common import written
+from paddock.llm.common import dropped, written
 from paddock.llm.components import components
 from paddock.llm.shingles import lists_of, mix, shingles, texts_as_bytes
 
@@ -44,6 +45,15 @@ def set_sizes_fit(a, b):
     return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
 
 
+def positions_fit(n, p, other_n, other_p):
+    """Whether sets of these sizes can link if their first common shingle stands at ``p`` and ``other_p``.
+
+    They have to share ``PERCENT / (100 + PERCENT)`` of both sizes together.
+    """
+    least = PERCENT * (n + other_n)
+    return ((100 + PERCENT) * (n - p) >= least) & ((100 + PERCENT) * (other_n - other_p) >= least)
+
+
 def shingle_sets(df: DataFrame) -> DataFrame:
     """``id`` and ``s``, the sorted distinct shingle hashes, for a frame of ``id`` and ``text``."""
 
@@ -133,6 +143,7 @@ class _Verifier:
     def __init__(self, docs: DataFrame, prefixes: DataFrame):
         self.docs, self.prefixes = docs, prefixes
         self.sets: DataFrame | None = None
+        self.made: list[DataFrame] = []
 
     def links(self, pairs: DataFrame) -> DataFrame:
         near = _both(pairs, self.prefixes, "n", "prefix")
@@ -144,7 +155,9 @@ class _Verifier:
             return near
         whole = _both(near, self.sets, "s")
         shared = F.size(F.array_intersect("s_a", "s_b"))
-        return written(whole.where(_enough(shared, F.size("s_a"), F.size("s_b"))).select("a", "b"), "links")
+        found = written(whole.where(_enough(shared, F.size("s_a"), F.size("s_b"))).select("a", "b"), "links")
+        dropped(near)
+        return found
 
     def _make(self, ids: DataFrame) -> None:
         if self.sets is not None:
@@ -152,7 +165,9 @@ class _Verifier:
         ids = written(ids, "ids")
         if not ids.isEmpty():
             new = written(shingle_sets(_only(self.docs, ids)), "sets")
+            self.made.append(new)
             self.sets = new if self.sets is None else self.sets.union(new)
+        dropped(ids)
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -173,8 +188,9 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     members = written(nodes.join(groups, ["n", "pk"]).select("g", "node", "n", "members"), "members")
     heads = members.where("node = g").select(F.col("g").alias("id"), "members", "n").dropDuplicates(["id"])
     postings = known.join(heads, "id").select(
-        F.explode_outer("prefix").alias("t"), F.col("id").alias("g"), "members", known["n"])
+        F.posexplode_outer("prefix").alias("p", "t"), F.col("id").alias("g"), "members", known["n"])
     found = _components_of(docs, known, members, _lists(written(postings, "postings")))
+    dropped(members)
     named = nodes.join(found, "node", "left").select(
         *keys, F.coalesce("component", "node").alias("component"))
     out = known.select("id", *keys).join(named, keys, "left")
@@ -183,23 +199,30 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
 
 
 def _lists(postings: DataFrame) -> DataFrame:
-    """``t``, ``g``, ``n`` of the shingles with two nodes or more, one shingle per list of groups.
+    """``t``, ``g``, ``n``, ``p`` of the shingles with two nodes or more, one shingle per list of groups.
 
     Lists are told apart by number, two sums, least and largest of their groups' hashes.
+    Of equal lists the shingle stays that stands first, in all its groups alike, as the
+    order is one for all: a pair's first common shingle stands no earlier.
     """
     h = F.xxhash64("g")
     lists = postings.groupBy("t").agg(
         F.sum("members").alias("m"), F.count("*").alias("c"), F.min(h).alias("low"), F.max(h).alias("high"),
         F.sum(F.pmod(h, F.lit(1 << 30))).alias("s1"),
-        F.sum(F.pmod(F.xxhash64("g", F.lit(1)), F.lit(1 << 30))).alias("s2")).where("m > 1")
-    one = lists.groupBy("c", "low", "high", "s1", "s2").agg(F.min("t").alias("t")).select("t")
-    return written(postings.join(written(one, "shingles"), "t").select("t", "g", "n"), "lists")
+        F.sum(F.pmod(F.xxhash64("g", F.lit(1)), F.lit(1 << 30))).alias("s2"),
+        F.min(F.struct(h, F.col("p"))).getField("p").alias("p")).where("m > 1")
+    kept = lists.groupBy("c", "low", "high", "s1", "s2").agg(F.min(F.struct("p", "t")).getField("t").alias("t"))
+    one = written(kept.select("t"), "shingles")
+    out = written(postings.join(one, "t").select("t", "g", "n", "p"), "lists")
+    dropped(postings, one)
+    return out
 
 
 def _one_hub_each(lists: DataFrame) -> DataFrame:
     """``g`` and ``a``, the hub of another group that most of its lists have (one a
     round, so candidates are as many as groups), and itself where its members differ."""
-    fit = lists.where((F.col("g") != F.col("hub.g")) & set_sizes_fit(F.col("n"), F.col("hub.n")))
+    fit = lists.where((F.col("g") != F.col("hub.g")) & set_sizes_fit(F.col("n"), F.col("hub.n"))
+                      & positions_fit(F.col("n"), F.col("p"), F.col("hub.n"), F.col("hub.p")))
     votes = fit.groupBy("g", F.col("hub.g").alias("a")).agg(
         F.count("*").alias("lists"), F.min("hub.h").alias("h"))
     best = votes.groupBy("g").agg(F.max(F.struct("lists", "h", "a")).alias("best"))
@@ -212,19 +235,22 @@ def _components_of(docs: DataFrame, known: DataFrame, members: DataFrame, lists:
     spark = docs.sparkSession
     nodes = written(members.join(lists.select("g").distinct(), "g", "left_semi"), "nodes-near")
     ids = nodes.select(F.col("node").alias("id")).distinct()
-    verifier = _Verifier(docs, written(known.select("id", "n", "prefix").join(ids, "id", "left_semi"), "prefixes"))
-    links = spark.createDataFrame([], "a long, b long")
+    prefixes = written(known.select("id", "n", "prefix").join(ids, "id", "left_semi"), "prefixes")
+    verifier = _Verifier(docs, prefixes)
+    links, found = spark.createDataFrame([], "a long, b long"), []
     labels = spark.createDataFrame([], "node long, component long")
     for turn in range(ROUNDS + 1):
         held = written(nodes.join(labels, "node", "left").select(
             "g", "node", "n", F.coalesce("component", "node").alias("c")), "labelled")
         spans = held.groupBy("g").agg(F.min("c").alias("low"), F.max("c").alias("high"))
-        seen = lists.select("t", "g", "n").join(spans, "g")
+        seen = lists.select("t", "g", "n", "p").join(spans, "g")
         hubs = seen.groupBy("t").agg(
-            F.min(F.struct(F.xxhash64("g", F.lit(turn)).alias("h"), F.col("g"), F.col("n"))).alias("hub"),
+            F.min(F.struct(F.xxhash64("g", F.lit(turn)).alias("h"), F.col("g"), F.col("n"), F.col("p"))).alias("hub"),
             F.min("low").alias("least"), F.max("high").alias("most")).where("least < most")
-        lists = written(seen.join(hubs.select("t", "hub"), "t"), "lists")
+        before, lists = lists, written(seen.join(hubs.select("t", "hub"), "t"), "lists")
+        dropped(before)
         if lists.isEmpty():
+            dropped(held)
             break
         if turn < ROUNDS:
             groups = _one_hub_each(lists)
@@ -232,10 +258,11 @@ def _components_of(docs: DataFrame, known: DataFrame, members: DataFrame, lists:
             pairs = groups.join(held.select("g", F.col("node").alias("b"), "c"), "g").join(heads, "a").where(
                 "a != b and c != ca").select("a", "b")
         else:
-            other = lists.select("t", F.col("g").alias("g2"), F.col("n").alias("n2"),
+            other = lists.select("t", F.col("g").alias("g2"), F.col("n").alias("n2"), F.col("p").alias("p2"),
                                  F.col("low").alias("low2"), F.col("high").alias("high2"))
             groups = lists.join(other, "t").where(
                 (F.col("g") <= F.col("g2")) & set_sizes_fit(F.col("n"), F.col("n2"))
+                & positions_fit(F.col("n"), F.col("p"), F.col("n2"), F.col("p2"))
                 & ~((F.col("low") == F.col("high2")) & (F.col("high") == F.col("low2")))
             ).select("g", "g2").distinct()
             one = held.select("g", F.col("node").alias("a"), F.col("c").alias("ca"))
@@ -243,7 +270,12 @@ def _components_of(docs: DataFrame, known: DataFrame, members: DataFrame, lists:
             pairs = groups.join(one, "g").join(two, "g2").where("a != b and ca != cb").select(
                 F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         new = verifier.links(pairs)
+        dropped(held)
         if not new.isEmpty():
             links = links.union(new)
-            labels = components(links)
+            found.append(new)
+            before, labels = labels, components(links)
+            dropped(before)
+    # what is returned reads the labels alone
+    dropped(lists, nodes, prefixes, *found, *verifier.made)
     return labels

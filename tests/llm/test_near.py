@@ -39,3 +39,28 @@ def test_components_of_all_pairs(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.id: (r.n_shingles, r.component) for r in near_duplicates(df).collect()}
     assert got == {i: (len(sets[i]), find(i)) for i in range(len(texts))}
+
+
+def test_positions_leave_out_no_link(spark):
+    """Sets that link pass by their first common shingle; sets that differ early do not."""
+    from pyspark.sql import functions as F
+
+    from paddock.llm.ngram_join import positions_fit
+
+    draw = random.Random(6)
+    rows, links = [], 0
+    for _ in range(4000):
+        base = draw.sample(range(300), draw.randint(1, 60))
+        a, b = ({x for x in base if draw.random() > .08} | {draw.randint(300, 900) for _ in range(draw.randint(0, 4))} for _ in "ab")
+        common = a & b
+        if not common:
+            continue
+        order = {x: draw.random() for x in a | b}
+        p, q = (sum(order[x] < min(order[y] for y in common) for x in s) for s in (a, b))
+        link = 100 * len(common) >= 80 * len(a | b)
+        links += link
+        rows.append((len(a), p, len(b), q, link))
+    df = spark.createDataFrame(rows, "n int, p int, m int, q int, link boolean")
+    fit = positions_fit(F.col("n"), F.col("p"), F.col("m"), F.col("q"))
+    assert links > 300 and df.where("link").where(~fit).count() == 0
+    assert df.where(~fit).count() > 100
