@@ -7,15 +7,15 @@ from pyspark.sql import functions as F
 from checks.fixtures import RUN
 from checks.q_operators import SEQS, parsed
 from checks.registry import digits, digits_sql, query
-from checks.tables_sql import case_bins
+from checks.tables_sql import price_case, score_case
 from paddock import functions as X
-from paddock.functions.scalars import ITEM_BUCKETS, PRICE_BINS, PRICE_SHARES, SCORE_SEGMENTS, USER_BUCKETS
+from paddock.functions.scalars import ITEM_BUCKETS, PRICE_SHARES, USER_BUCKETS
 from paddock.operators.encoding import encode_categories, encode_sequences
 from paddock.plans.preprocess import attribute_of
 
 
 @query("c1_score_segment", f"""
-SELECT clue_id, evaluate_score, {case_bins('evaluate_score', SCORE_SEGMENTS, True)} AS segment
+SELECT clue_id, evaluate_score, {score_case('evaluate_score')} AS segment
 FROM items""")
 def _(t):
     return t.items.select("clue_id", "evaluate_score", X.score_segment("evaluate_score").alias("segment"))
@@ -23,7 +23,7 @@ def _(t):
 
 @query("c2_price_bin", f"""
 SELECT clue_id, o, l, cast(model_price AS INT) AS model_price,
-  {case_bins('cast(model_price AS INT)', PRICE_BINS)} AS bin FROM price_log""")
+  {price_case('cast(model_price AS INT)')} AS bin FROM price_log""")
 def _(t):
     price = X.safe_int("model_price")
     return t.price_log.select("clue_id", "o", "l", price.alias("model_price"),
@@ -159,9 +159,9 @@ def _(t):
     return encode_categories(rows, specs, t.codes, key="clue_id")
 
 
-@query("c16_hash_bucket", f"""
-SELECT l_orderkey, l_linenumber, l_partkey, cast(l_orderkey % {USER_BUCKETS} AS INT) AS user_bucket,
-  cast(l_partkey % {ITEM_BUCKETS} AS INT) AS item_bucket FROM lineitem""")
+@query("c16_hash_bucket", """
+SELECT l_orderkey, l_linenumber, l_partkey, cast(l_orderkey % 8001 AS INT) AS user_bucket,
+  cast(l_partkey % 20001 AS INT) AS item_bucket FROM lineitem""")
 def _(t):
     return t.read("lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey",

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 
-from paddock.functions.scalars import PRICE_BINS, SCORE_SEGMENTS
 from paddock.plans import names as N
 
 RUN, SNAP = "2024-01-27", "2024-01-26"
@@ -20,12 +19,18 @@ def unit(seed, *keys) -> str:
     return f"(({draw(seed, *keys)} + 1)::DOUBLE / 4294967296.0::DOUBLE)"
 
 
-def case_bins(x, table, low_inclusive=False) -> str:
-    arms = []
-    for i, (lo, hi, code) in enumerate(table):
-        sign = ">=" if i == 0 and low_inclusive else ">"
-        arms.append(f"WHEN {x} {sign} {lo} AND {x} <= {hi} THEN {code}")
-    return f"CASE {' '.join(arms)} ELSE -1 END"
+# The bins are stated here once more: a wrong bound on one side shows.
+
+
+def score_case(x) -> str:
+    return (f"CASE WHEN {x} BETWEEN 0 AND 55 THEN 35 WHEN {x} > 55 AND {x} <= 69 THEN 65 "
+            f"WHEN {x} > 69 AND {x} <= 89 THEN 80 WHEN {x} > 89 AND {x} <= 100 THEN 95 ELSE -1 END")
+
+
+def price_case(x) -> str:
+    return (f"CASE WHEN {x} <= 0 OR {x} > 10000000 OR {x} IS NULL THEN -1 WHEN {x} <= 20000 THEN 2 "
+            f"WHEN {x} <= 40000 THEN 4 WHEN {x} <= 60000 THEN 6 WHEN {x} <= 90000 THEN 9 "
+            f"WHEN {x} <= 150000 THEN 15 ELSE 1000 END")
 
 
 def priced_sql(prices: str) -> str:
@@ -34,8 +39,8 @@ SELECT i.*, p.model_price, p.seller_price, p.car_level,
   p.seller_price - p.model_price AS diff_price,
   CASE evaluate_level WHEN 'A' THEN 1 WHEN 'B' THEN 2 WHEN 'C' THEN 3 WHEN 'D' THEN 4 ELSE 0 END
     AS evaluate_level_segment,
-  {case_bins("evaluate_score", SCORE_SEGMENTS, True)} AS evaluate_score_segment,
-  {case_bins("model_price", PRICE_BINS)} AS model_price_bin
+  {score_case("evaluate_score")} AS evaluate_score_segment,
+  {price_case("model_price")} AS model_price_bin
 FROM items i LEFT JOIN {prices} p ON i.clue_id = p.clue_id"""
 
 
