@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from paddock.functions.scalars import day_shift
 from paddock.operators.filters import SEARCH
+from paddock.plans import names as N
 from paddock.plans.histories import (
     action_events, events_between, history_rows, order_events, sample_sequences, sequence_arrays,
     sequence_attributes, with_sequences,
@@ -111,11 +112,16 @@ def histories_by_day(inputs: Inputs, moments: DataFrame, start: str, end: str) -
     return rows, _items_on(inputs, asked, start, end)
 
 
+def _prices_on(inputs: Inputs, asked: DataFrame, start: str, end: str) -> DataFrame:
+    """The prices of the asked (dt, clue_id), from the days of the log that can hold them."""
+    log = scan_days(inputs.price_log, shift_day(start, -N.PRICE_DAYS), end)
+    return prices_by_day(asked, log, ties=inputs.price_ties)
+
+
 def _items_on(inputs: Inputs, asked: DataFrame, start: str, end: str) -> DataFrame:
     """The priced snapshot rows of the asked (dt, clue_id)."""
-    prices = prices_by_day(asked, inputs.price_log.where(F.col("dt") <= end), ties=inputs.price_ties)
     items = asked.join(inputs.between("items", start, end), list(BY_DAY))
-    return priced_items(items, prices, F.col("dt"), BY_DAY)
+    return priced_items(items, _prices_on(inputs, asked, start, end), F.col("dt"), BY_DAY)
 
 
 def range_sequences(inputs: Inputs, samples: DataFrame, start: str, end: str,
@@ -139,7 +145,7 @@ def range_samples(inputs: Inputs, start: str, end: str, as_text: bool = False,
     keys = samples.where(F.col("clue_id").isNotNull())
     asked = keys.select(*BY_DAY).distinct()
     first, last = shift_day(start, -1), shift_day(end, -1)
-    prices = prices_by_day(asked, inputs.price_log.where(F.col("dt") <= end), ties=inputs.price_ties)
+    prices = _prices_on(inputs, asked, start, end)
     items = asked.join(inputs.between("items", start, end), list(BY_DAY))
     rates = [_next_day(r) for r in inputs.between("rates", first, last)]
     out = item_features(keys, items, prices, rates, inputs.dictionary, F.col("dt"),
