@@ -9,17 +9,20 @@
 2. Equal sets are one node, named by their smallest id.  Nodes with the same
    prefix and size are one group, and only groups have postings.
 3. Shingles with the same list of groups are one.  Candidates come from these
-   lists without all pairs: of the groups of a list one is the hub, and in each
-   round the members of a group are verified against the first node of the hub
+   lists without all pairs: of the groups of a list two of different components are
+   hubs, those in which the shingle stands earliest, and in each round the members
+   of a group are verified against the first node of that hub of another component
    that most of its lists have.  Lists whose nodes
    are all in one component are done and drop out.  After ``ROUNDS`` rounds with
    other hubs, what is left is enumerated in full: group pairs of a list that
-   pass the size filter and the position filter (two sets share no more than what
-   stands in each from their first common shingle on), expanded to members that are
+   pass the size filter, the position filter (two sets share no more than what
+   stands in each from their first common shingle on) and the parity filter,
+   expanded to members that are
    in different components yet.  So every pair that may link is verified, or its two
    nodes are known to be connected already.
-4. A candidate pair is verified in two steps.  What two sets share is at most
-   what their prefixes share and one of their rests, so most pairs fall by their
+4. A candidate pair is verified in three steps.  Two sets differ in at least as many
+   shingles as their parity bits differ; what they share is at most
+   what their prefixes share and one of their rests, so most pairs fall by bits and
    prefixes alone; the intersection of the two whole sets decides the others.
    Whole sets are made only of the nodes that get so far.
 """
@@ -27,7 +30,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paddock.llm.common import dropped, written
@@ -39,6 +42,8 @@ SAMPLE, FREQUENT, STOP = 16, 4, 200_000
 ROUNDS = 3
 #: Bits of the map of ids that tells most texts without a candidate apart; fixed, so it may go to every task.
 ID_BITS = 1 << 23
+#: Longs of parity bits that every set has.
+PARITY = 8
 
 
 def set_sizes_fit(a, b):
@@ -54,6 +59,23 @@ def positions_fit(n, p, other_n, other_p):
     return ((100 + PERCENT) * (n - p) >= least) & ((100 + PERCENT) * (other_n - other_p) >= least)
 
 
+def parity(s: np.ndarray) -> np.ndarray:
+    """For each of ``64 * PARITY`` classes of shingles whether the set has an odd number of them.
+
+    A bit that differs takes a shingle that only one of two sets has.
+    """
+    at = (mix(s.view(np.uint64) + np.uint64(3)) % np.uint64(64 * PARITY)).astype(np.int64)
+    odd = (np.bincount(at, minlength=64 * PARITY) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.int64)
+
+
+def parities_fit(n, bits, other_n, other_bits):
+    """Whether sets of these sizes may link: they differ in at least as many shingles as bits."""
+    differ = sum((F.bit_count(F.get(bits, F.lit(i)).bitwiseXOR(F.get(other_bits, F.lit(i)))) for i in range(PARITY)),
+                 F.lit(0))
+    return (100 + PERCENT) * differ <= (100 - PERCENT) * (n + other_n)
+
+
 def shingle_sets(df: DataFrame) -> DataFrame:
     """``id`` and ``s``, the sorted distinct shingle hashes, for a frame of ``id`` and ``text``."""
 
@@ -76,11 +98,11 @@ def frequent_shingles(df: DataFrame) -> np.ndarray:
 
 
 def sketches(df: DataFrame, last: np.ndarray) -> DataFrame:
-    """``id``, ``n``, two hashes of the set, a hash of its prefix, and the prefix."""
+    """``id``, ``n``, two hashes of the set, a hash of its prefix, the prefix, and the set's parity bits."""
     shared = df.sparkSession.sparkContext.broadcast(last)
 
     def sketch(s):
-        n = len(s)
+        n, bits = len(s), parity(s)
         size = n - (n * PERCENT + 99) // 100 + 1 if n else 0
         stop = shared.value
         if len(stop) and n:
@@ -90,7 +112,7 @@ def sketches(df: DataFrame, last: np.ndarray) -> DataFrame:
         with np.errstate(over="ignore"):
             u, v = mix(s.view(np.uint64)), mix(prefix.view(np.uint64) + np.uint64(7))
             sums = (u.sum(dtype=np.uint64), mix(u + np.uint64(1)).sum(dtype=np.uint64), v.sum(dtype=np.uint64))
-        return n, prefix, [np.uint64(x).astype(np.int64) for x in sums]
+        return n, prefix, bits, [np.uint64(x).astype(np.int64) for x in sums]
 
     def run(batches):
         import pyarrow as pa
@@ -99,11 +121,12 @@ def sketches(df: DataFrame, last: np.ndarray) -> DataFrame:
             rows = [sketch(shingles(t, WIDTH)) for t in texts_as_bytes(b.column(1))]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([r[0] for r in rows], pa.int64())]
-                + [pa.array([r[2][j] for r in rows], pa.int64()) for j in range(3)]
-                + [lists_of([r[1] for r in rows])], ["id", "n", "k1", "k2", "pk", "prefix"])
+                + [pa.array([r[3][j] for r in rows], pa.int64()) for j in range(3)]
+                + [lists_of([r[j] for r in rows]) for j in (1, 2)],
+                ["id", "n", "k1", "k2", "pk", "prefix", "bits"])
 
     return df.select("id", "text").mapInArrow(
-        run, "id long, n long, k1 long, k2 long, pk long, prefix array<long>")
+        run, "id long, n long, k1 long, k2 long, pk long, prefix array<long>, bits array<long>")
 
 
 def _mask(bit):
@@ -146,7 +169,9 @@ class _Verifier:
         self.made: list[DataFrame] = []
 
     def links(self, pairs: DataFrame) -> DataFrame:
-        near = _both(pairs, self.prefixes, "n", "prefix")
+        alike = _both(pairs, self.prefixes, "n", "bits").where(
+            parities_fit(F.col("n_a"), F.col("bits_a"), F.col("n_b"), F.col("bits_b"))).select("a", "b")
+        near = _both(alike, self.prefixes, "n", "prefix")
         rest = F.greatest(F.col("n_a") - F.size("prefix_a"), F.col("n_b") - F.size("prefix_b"))
         most = F.least(F.size(F.array_intersect("prefix_a", "prefix_b")) + rest, F.col("n_a"), F.col("n_b"))
         near = written(near.where(_enough(most, F.col("n_a"), F.col("n_b"))).select("a", "b"), "pairs")
@@ -187,9 +212,10 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     groups = nodes.groupBy("n", "pk").agg(F.min("node").alias("g"), F.count("*").alias("members"))
     members = written(nodes.join(groups, ["n", "pk"]).select("g", "node", "n", "members"), "members")
     heads = members.where("node = g").select(F.col("g").alias("id"), "members", "n").dropDuplicates(["id"])
-    postings = known.join(heads, "id").select(
-        F.posexplode_outer("prefix").alias("p", "t"), F.col("id").alias("g"), "members", known["n"])
-    found = _components_of(docs, known, members, _lists(written(postings, "postings")))
+    heads = written(known.join(heads.drop("n"), "id").select(
+        F.col("id").alias("g"), "members", "n", "prefix"), "heads")
+    found = _components_of(docs, known, members, _lists(_postings(heads)))
+    dropped(heads)
     dropped(members)
     named = nodes.join(found, "node", "left").select(
         *keys, F.coalesce("component", "node").alias("component"))
@@ -198,6 +224,19 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
                       F.when(F.col("n") > 0, F.coalesce("component", "id")).otherwise(F.col("id")).alias("component"))
 
 
+def _postings(heads: DataFrame) -> DataFrame:
+    """``t``, ``g``, ``members``, ``n`` and place ``p`` of the prefix shingles that two nodes or more have.
+
+    The shingles are counted alone first, so those of one node only (most of them) carry nothing through a shuffle.
+    """
+    counts = heads.select(F.explode("prefix").alias("t"), "members").groupBy("t").agg(F.sum("members").alias("m"))
+    several = written(counts.where("m > 1").select("t"), "several")
+    out = written(heads.select(F.posexplode("prefix").alias("p", "t"), "g", "members", "n").join(several, "t"),
+                  "postings")
+    dropped(several)
+    return out
+
+
 def _lists(postings: DataFrame) -> DataFrame:
     """``t``, ``g``, ``n``, ``p`` of the shingles with two nodes or more, one shingle per list of groups.
 
@@ -218,14 +257,32 @@ def _lists(postings: DataFrame) -> DataFrame:
     return out
 
 
+def _hub(name: str = "hub") -> Column:
+    """Of the groups of a list that have not been a hub the one in which its shingle stands earliest.
+
+    What stands before the first common shingle is not shared, so no group can share
+    more with the others: in a set of edited copies it is one with the fewest edits.
+    """
+    return F.min(F.struct(F.array_contains("tried", F.col("g")), (F.col("p") / F.col("n")).alias("place"),
+                          F.xxhash64("g").alias("h"), "g", "n", "p", "low", "high")).alias(name)
+
+
+def _apart(low, high, other_low, other_high) -> Column:
+    """Whether two groups have nodes of two components; the least and largest of each are given."""
+    return (low != other_high) | (high != other_low)
+
+
 def _one_hub_each(lists: DataFrame) -> DataFrame:
-    """``g`` and ``a``, the hub of another group that most of its lists have (one a
+    """``g`` and ``a``, the hub in another component that most of its lists have (one a
     round, so candidates are as many as groups), and itself where its members differ."""
-    fit = lists.where((F.col("g") != F.col("hub.g")) & set_sizes_fit(F.col("n"), F.col("hub.n"))
-                      & positions_fit(F.col("n"), F.col("p"), F.col("hub.n"), F.col("hub.p")))
+    met = lists.select("g", "n", "p", "low", "high", F.explode(F.array("hub", "other")).alias("hub")).where(
+        "hub is not null")
+    fit = met.where((F.col("g") != F.col("hub.g")) & set_sizes_fit(F.col("n"), F.col("hub.n"))
+                    & positions_fit(F.col("n"), F.col("p"), F.col("hub.n"), F.col("hub.p"))
+                    & _apart(F.col("low"), F.col("high"), F.col("hub.low"), F.col("hub.high")))
     votes = fit.groupBy("g", F.col("hub.g").alias("a")).agg(
-        F.count("*").alias("lists"), F.min("hub.h").alias("h"))
-    best = votes.groupBy("g").agg(F.max(F.struct("lists", "h", "a")).alias("best"))
+        F.count("*").alias("lists"), F.min("hub.place").alias("place"), F.min("hub.h").alias("h"))
+    best = votes.groupBy("g").agg(F.max(F.struct("lists", -F.col("place"), "h", "a")).alias("best"))
     own = lists.where("low < high").select("g", F.col("g").alias("a")).distinct()
     return best.select("g", F.col("best.a").alias("a")).union(own)
 
@@ -235,20 +292,26 @@ def _components_of(docs: DataFrame, known: DataFrame, members: DataFrame, lists:
     spark = docs.sparkSession
     nodes = written(members.join(lists.select("g").distinct(), "g", "left_semi"), "nodes-near")
     ids = nodes.select(F.col("node").alias("id")).distinct()
-    prefixes = written(known.select("id", "n", "prefix").join(ids, "id", "left_semi"), "prefixes")
+    prefixes = written(known.select("id", "n", "prefix", "bits").join(ids, "id", "left_semi"), "prefixes")
     verifier = _Verifier(docs, prefixes)
     links, found = spark.createDataFrame([], "a long, b long"), []
     labels = spark.createDataFrame([], "node long, component long")
+    lists = lists.withColumn("tried", F.array().cast("array<long>"))
     for turn in range(ROUNDS + 1):
         held = written(nodes.join(labels, "node", "left").select(
             "g", "node", "n", F.coalesce("component", "node").alias("c")), "labelled")
         spans = held.groupBy("g").agg(F.min("c").alias("low"), F.max("c").alias("high"))
-        seen = lists.select("t", "g", "n", "p").join(spans, "g")
-        hubs = seen.groupBy("t").agg(
-            F.min(F.struct(F.xxhash64("g", F.lit(turn)).alias("h"), F.col("g"), F.col("n"), F.col("p"))).alias("hub"),
-            F.min("low").alias("least"), F.max("high").alias("most")).where("least < most")
-        before, lists = lists, written(seen.join(hubs.select("t", "hub"), "t"), "lists")
+        seen = lists.select("t", "g", "n", "p", "tried").join(spans, "g")
+        whole = seen.groupBy("t").agg(_hub(), F.min("low").alias("least"), F.max("high").alias("most"))
+        whole = written(whole.where("least < most").select("t", "hub"), "hubs")
+        apart = _apart(F.col("low"), F.col("high"), F.col("hub.low"), F.col("hub.high"))
+        other = seen.join(whole, "t").where(apart).groupBy("t").agg(_hub("other"))
+        hubs = whole.join(other, "t", "left")
+        before, lists = lists, written(seen.join(hubs, "t").withColumn(
+            "tried", F.concat("tried", F.array("hub.g", "other.g"))), "lists")
+        dropped(whole)
         dropped(before)
+        last = lists
         if lists.isEmpty():
             dropped(held)
             break
@@ -258,12 +321,17 @@ def _components_of(docs: DataFrame, known: DataFrame, members: DataFrame, lists:
             pairs = groups.join(held.select("g", F.col("node").alias("b"), "c"), "g").join(heads, "a").where(
                 "a != b and c != ca").select("a", "b")
         else:
-            other = lists.select("t", F.col("g").alias("g2"), F.col("n").alias("n2"), F.col("p").alias("p2"),
+            # the bits of groups of one node; in larger ones the members are told apart later
+            bits = held.join(prefixes.select(F.col("id").alias("node"), "bits"), "node").groupBy("g").agg(
+                F.when(F.count("*") == 1, F.max("bits")).alias("bits"))
+            lists = lists.drop("hub", "other", "tried").join(bits, "g", "left")
+            other = lists.select("t", F.col("bits").alias("bits2"), F.col("g").alias("g2"), F.col("n").alias("n2"), F.col("p").alias("p2"),
                                  F.col("low").alias("low2"), F.col("high").alias("high2"))
             groups = lists.join(other, "t").where(
                 (F.col("g") <= F.col("g2")) & set_sizes_fit(F.col("n"), F.col("n2"))
                 & positions_fit(F.col("n"), F.col("p"), F.col("n2"), F.col("p2"))
-                & ~((F.col("low") == F.col("high2")) & (F.col("high") == F.col("low2")))
+                & _apart(F.col("low"), F.col("high"), F.col("low2"), F.col("high2"))
+                & F.coalesce(parities_fit(F.col("n"), F.col("bits"), F.col("n2"), F.col("bits2")), F.lit(True))
             ).select("g", "g2").distinct()
             one = held.select("g", F.col("node").alias("a"), F.col("c").alias("ca"))
             two = held.select(F.col("g").alias("g2"), F.col("node").alias("b"), F.col("c").alias("cb"))
@@ -277,5 +345,5 @@ def _components_of(docs: DataFrame, known: DataFrame, members: DataFrame, lists:
             before, labels = labels, components(links)
             dropped(before)
     # what is returned reads the labels alone
-    dropped(lists, nodes, prefixes, *found, *verifier.made)
+    dropped(last, nodes, prefixes, *found, *verifier.made)
     return labels

@@ -64,3 +64,25 @@ def test_positions_leave_out_no_link(spark):
     fit = positions_fit(F.col("n"), F.col("p"), F.col("m"), F.col("q"))
     assert links > 300 and df.where("link").where(~fit).count() == 0
     assert df.where(~fit).count() > 100
+
+
+def test_parity_bits_leave_out_no_link(spark):
+    """Sets that link pass by their parity bits, at any size; sets that share little do not."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from paddock.llm.ngram_join import parities_fit, parity
+
+    draw = random.Random(8)
+    rows, links = [], 0
+    for _ in range(600):
+        base = [draw.getrandbits(62) for _ in range(draw.choice([1, 6, 40, 300, 3000]))]
+        lost = draw.choice([.02, .08, .12, .5])
+        a, b = ({x for x in base if draw.random() > lost} | {draw.getrandbits(62)} for _ in "ab")
+        link = 100 * len(a & b) >= 80 * len(a | b)
+        links += link
+        rows.append((len(a), len(b), link, *(parity(np.array(sorted(s), np.int64)).tolist() for s in (a, b))))
+    df = spark.createDataFrame(rows, "n int, m int, link boolean, a array<long>, b array<long>")
+    fit = parities_fit(F.col("n"), F.col("a"), F.col("m"), F.col("b"))
+    assert links > 150 and df.where("link").where(~fit).count() == 0
+    assert df.where(~fit).count() > 100
