@@ -13,16 +13,17 @@ menu nav noframes ol optgroup option p pre search section select summary table t
 ul""".split())
 #: Elements without content, and elements whose content is no text of the page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("script style noscript template svg math iframe object textarea title canvas audio video".split())
+SILENT = frozenset("script style noscript template iframe textarea title".split())
 #: A new one of the first ends an open one of the second, up to the third.
 ENDS = {
     "li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)),
     "tr": (("tr",), ("table",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")),
     "option": (("option",), ("select",)),
 }
+#: No try goes past the next ``<`` outside quotes and nothing is tried twice, so broken tags cost no more than their length.
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>", re.S)
+    r"<!--.*?(?:-->|\Z)|<[!?][^<>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^<>]*+)>", re.S)
 _NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I | re.S)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 

@@ -1,5 +1,7 @@
 """Pages with known main text, and blocks of broken markup."""
 
+import time
+
 import numpy as np
 import pytest
 
@@ -89,3 +91,16 @@ def test_pages_without_text(spark, model):
     assert len(rows) == 4 and all(r.n_chars == len(r.text) for r in rows)
     assert {r.text for r in rows if r.page_id < 3} == {""}
     assert main_text(df.limit(0), model).count() == 0
+
+
+def test_formulas_and_drawings_are_text_of_the_page():
+    got = [b.text for b in blocks_of("<p>Area <math><mi>x</mi></math> of <svg><text>y</text></svg> end</p>"
+                                     "<svg><p>after an open one</p><script>no < text</script>")]
+    assert got == ["Area x of y end", "after an open one"]
+
+
+def test_broken_tags_cost_their_length():
+    start = time.perf_counter()
+    for bad in ('<a "', "<! ", '<a ">" ', "<a", "<p ' \""):
+        blocks_of(bad * ((1 << 20) // len(bad)))
+    assert time.perf_counter() - start < 20
