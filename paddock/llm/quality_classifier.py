@@ -31,7 +31,10 @@ def labelled_sample(df: DataFrame, labels: DataFrame, learn: Column, key: str =
     chosen = known.orderBy(F.xxhash64("_key"), "_key").limit(size)
     texts = df.select(df[f"`{key}`"].alias("_key"), df[f"`{text}`"].alias("text")).where(
         F.length(F.coalesce("text", F.lit(""))) <= LONGEST)
-    return texts.join(F.broadcast(chosen), "_key").select("_key", "text", "y")
+    # one text of each id, however often a row or an id is repeated
+    return texts.join(F.broadcast(chosen), "_key").groupBy("_key").agg(
+        F.min_by(F.coalesce("text", F.lit("")), F.struct(F.xxhash64("text"), "text")).alias("text"),
+        F.min("y").alias("y"))
 
 
 def fitted(sample: DataFrame) -> Attention:

@@ -220,3 +220,14 @@ def test_spans_and_extensions():
             for k in range(1, 4):
                 if i + k <= len(a) and j + k <= len(b):
                     assert (x.span(i, i + k) == y.span(j, j + k)) == (a[i:i + k] == b[j:j + k])
+
+
+def test_a_repeated_id_gives_one_text_of_the_sample(spark):
+    from paddock.llm.quality_classifier import labelled_sample
+
+    docs = spark.range(900).selectExpr("1L doc_id", "concat('text ', id % 7) text").union(
+        spark.createDataFrame([(2, None), (3, "other")], "doc_id long, text string"))
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 1), (3, 1)], "doc_id long, quality int")
+    got = {r["_key"]: (r.text, r.y) for r in labelled_sample(docs, labels, F.lit(True)).collect()}
+    assert len(got) == 3 and got[1][0].startswith("text ") and got[1][1] == 0
+    assert got[2] == ("", 1) and got[3] == ("other", 1)
