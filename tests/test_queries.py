@@ -109,3 +109,23 @@ def test_entry(spark):
 
     df = __spark_entry__.entry(spark)
     assert df.columns == ["user_id", "ts", "clue_id", "tag_id"] and df.count() > 0
+
+
+@pytest.fixture(scope="module")
+def ties(spark, tmp_path_factory):
+    """Vectors of floats whose text is a tie of the last digit compared, or a whole thousandth."""
+    folder = tmp_path_factory.mktemp("ties")
+    values = [k / 20000 for k in range(1, 400, 2)] + [k / 1000 for k in range(1, 200)]
+    rows = [(k, values[k:k + 20], k // 7) for k in range(len(values) - 20)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(
+        str(folder / "embeddings.parquet"))
+    con = connect(SF)
+    con.execute(f"CREATE OR REPLACE VIEW embeddings AS SELECT * FROM '{folder}/embeddings.parquet/*.parquet'")
+    return str(folder), con
+
+
+@pytest.mark.parametrize("name", [
+    "c23_vector_text"])
+def test_vectors_of_floats_are_read_and_multiplied_as_floats(spark, ties, name):
+    text, _, _ = check(spark, ties[1], ties[0], name, QUERIES[name], ORACLES[name])
+    assert text.startswith("ok"), text
