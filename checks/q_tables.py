@@ -228,7 +228,8 @@ SELECT vec_id, array_to_string(list_transform(embedding, lambda x: cast(floor(x
   AS embedding, label FROM embeddings""")
 def _(t):
     """Every array column, found by type, as comma text."""
-    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 1000).cast("int"))
+    # the product is one of floats
+    whole = F.transform("embedding", lambda x: F.floor(x * F.lit(1000).cast("float")).cast("int"))
     rows = t.vectors.withColumn("embedding", whole)
     arrays = set(P.array_columns(rows))
     return rows.select(*[
