@@ -110,7 +110,7 @@ SELECT vec_id, cast(len(embedding) AS INT) AS n, {digits_sql('embedding')} AS ce
 def _(t):
     text = S.encode_arrays_json(t.vectors, ["embedding"])
     back = S.decode_arrays_json(
-        text.withColumn("opening", F.substring("embedding", 1, 1)), ["embedding"])
+        text.withColumn("opening", F.substring("embedding", 1, 1)), ["embedding"], "float")
     return back.select("vec_id", F.size("embedding").alias("n"), digits("embedding").alias("cells"), "opening")
 
 
