@@ -136,7 +136,7 @@ SELECT concat('vector:', vec_id) AS key, 604800 AS ttl, cast(len(embedding) AS I
   {digits_sql('embedding')} AS cells FROM embeddings""")
 def _(t):
     out = S.kv_payload(t.vectors, "vector:%s", key="vec_id")
-    v = F.from_json("value", "array<double>")
+    v = F.from_json("value", "array<float>")
     return out.select("key", "ttl", F.size(v).alias("n"), digits(v).alias("cells"))
 
 
