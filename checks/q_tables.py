@@ -150,7 +150,7 @@ def _(t):
     stored = S.upsert_payload(rows, "v1", order="vec_id")
     changes = S.upsert_payload(rows, "v2", order="vec_id")
     out = S.merge_upsert(stored, changes)
-    v = F.from_json("embedding", "array<double>")
+    v = F.from_json("embedding", "array<float>")
     return out.select("clue_id", "model_version", F.size(v).alias("n"), digits(v).alias("cells"))
 
 

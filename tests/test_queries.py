@@ -125,7 +125,7 @@ def ties(spark, tmp_path_factory):
 
 
 @pytest.mark.parametrize("name", [
-    "c23_vector_text", "f10_array_columns", "s10_arrays_json", "s12_kv_payload"])
+    "c23_vector_text", "f10_array_columns", "s10_arrays_json", "s12_kv_payload", "s13_upsert_payload"])
 def test_vectors_of_floats_are_read_and_multiplied_as_floats(spark, ties, name):
     text, _, _ = check(spark, ties[1], ties[0], name, QUERIES[name], ORACLES[name])
     assert text.startswith("ok"), text
