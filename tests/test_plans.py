@@ -79,3 +79,16 @@ def test_listed_days_prune_while_the_query_runs(spark):
 
     found = scans(QUERIES["s5_scan_listed_days"](spark, SF))
     assert any("dynamicpruning" in x for x in found)
+
+
+def test_no_join_is_broadcast_by_an_estimate(spark, tmp_path):
+    """A small file exploded to all days is a large table that estimates take for small."""
+    from paddock.session import tune
+
+    tune(spark)
+    path = str(tmp_path / "items")
+    spark.range(50).selectExpr("cast(id as int) as clue_id", "repeat('x', 50) as title").write.parquet(path)
+    days = spark.read.parquet(path).selectExpr("*", "explode(sequence(1, 1000)) as day")
+    asked = spark.range(100_000).selectExpr("cast(id % 50 as int) as clue_id", "cast(id % 1000 as int) as day")
+    plan = asked.join(days, ["clue_id", "day"])._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan
