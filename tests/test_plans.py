@@ -92,3 +92,17 @@ def test_no_join_is_broadcast_by_an_estimate(spark, tmp_path):
     asked = spark.range(100_000).selectExpr("cast(id % 50 as int) as clue_id", "cast(id % 1000 as int) as day")
     plan = asked.join(days, ["clue_id", "day"])._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" not in plan
+
+
+def test_items_nobody_asks_for_drop_out_before_the_days(spark):
+    from types import SimpleNamespace
+
+    from paddock.plans.daily import _snapshots_on
+
+    items = spark.range(1000).selectExpr("cast(id as int) as clue_id", "id % 7 as seats")
+    days = items.selectExpr("*", "explode(array('2024-01-01', '2024-01-02', '2024-01-03')) as dt")
+    asked = spark.createDataFrame([("2024-01-02", 5), ("2024-01-03", 9), ("2024-01-04", 9)], "dt string, clue_id int")
+    got = _snapshots_on(SimpleNamespace(between=lambda kind, start, end: days), asked, "2024-01-01", "2024-01-04")
+    assert sorted(map(tuple, got.select("dt", "clue_id", "seats").collect())) == [("2024-01-02", 5, 5), ("2024-01-03", 9, 2)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("LeftSemi")  # the join to the asked items lies below the explode
