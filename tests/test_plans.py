@@ -106,3 +106,18 @@ def test_items_nobody_asks_for_drop_out_before_the_days(spark):
     assert sorted(map(tuple, got.select("dt", "clue_id", "seats").collect())) == [("2024-01-02", 5, 5), ("2024-01-03", 9, 2)]
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Generate") < plan.index("LeftSemi")  # the join to the asked items lies below the explode
+
+
+def test_prices_by_day_read_the_days_looked_back_on_only(spark):
+    from paddock.plans.items import prices_by_day
+
+    log = spark.createDataFrame(
+        [("1", d, 1, "5", "4", "3") for d in ("2020-01-01", "2023-12-31", "2024-01-01", "2024-01-09", "2024-02-01")],
+        "clue_id string, dt string, ts int, model_price string, seller_price string, car_level string")
+    asked = spark.createDataFrame([("2024-01-10", 1), ("2024-01-12", 1), ("2024-01-12", 2)], "dt string, clue_id int")
+    out = prices_by_day(asked, log, days=9)
+    assert sorted((r.dt, r.clue_id, r.model_price) for r in out.collect()) == [
+        ("2024-01-10", 1, 5), ("2024-01-12", 1, 5), ("2024-01-12", 2, None)]
+    read = [line for line in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "dt" in line and "Filter" in line]
+    assert any("scalar-subquery" in line and ">=" in line and "<=" in line for line in read), read
+    assert prices_by_day(asked.limit(0), log, days=9).count() == 0
