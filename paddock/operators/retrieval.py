@@ -21,6 +21,8 @@ from paddock.session import shared_dir
 
 #: Items of a block, about; users that are searched together; bytes of blocks a worker keeps.
 BLOCK_ROWS, USER_ROWS, KEPT_BYTES = 1024, 4096, 256 << 20
+#: Bytes of blocks that are stored, and so read, together.
+GROUP_BYTES = 1 << 20
 #: Ranges of norms, at most.
 RANGES = 1024
 
@@ -52,7 +54,8 @@ def pack_items(items: DataFrame, item: str, vec: str, block_rows: int = BLOCK_RO
 
     path = f"{shared_dir(items.sparkSession).rstrip('/')}/items-{uuid.uuid4().hex}"
     rows.select("range", "part", "norm", "id", "vec").groupBy("range", "part").applyInPandas(
-        packed, "norm double, ids binary, vecs binary, block string").write.parquet(path)
+        packed, "norm double, ids binary, vecs binary, block string").write.options(
+            **{"parquet.block.size": GROUP_BYTES, "parquet.page.size.row.check.min": 4}).parquet(path)
     return path
 
 
@@ -65,8 +68,12 @@ class ItemBlocks:
 
         store, inner = fs.FileSystem.from_uri(path) if ":" in path else (None, path)
         self.table = ds.dataset(inner, filesystem=store, format="parquet")
-        known = self.table.to_table(columns=["norm", "block"]).to_pylist() if self.table.files else []
-        self.order = sorted(((r["norm"], r["block"]) for r in known), reverse=True)
+        # a block is read from the row group that holds it, not looked for in the whole table
+        groups = [g for f in self.table.get_fragments() for g in f.split_by_row_group()]
+        known = [(r["norm"], r["block"], g) for g in groups
+                 for r in g.to_table(columns=["norm", "block"], schema=self.table.schema).to_pylist()]
+        known.sort(key=lambda r: r[:2], reverse=True)
+        self.order, self.group = [r[:2] for r in known], [r[2] for r in known]
         self.kept_bytes, self.held, self.cache = kept_bytes, 0, OrderedDict()
 
     def read(self, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -76,7 +83,8 @@ class ItemBlocks:
             return self.cache[k]
         import pyarrow.compute as pc
 
-        row = self.table.to_table(columns=["ids", "vecs"], filter=pc.field("block") == self.order[k][1])
+        row = self.group[k].to_table(
+            schema=self.table.schema, columns=["ids", "vecs"], filter=pc.field("block") == self.order[k][1])
         ids = np.frombuffer(row.column("ids")[0].as_py(), "<i8")
         found = ids, np.frombuffer(row.column("vecs")[0].as_py(), "<f8").reshape(len(ids), -1)
         self.cache[k] = found
@@ -114,17 +122,21 @@ def search(blocks: ItemBlocks, vectors: np.ndarray, n: int) -> tuple[np.ndarray,
     """(scores, ids, products made): n columns per row in order, -inf where there are fewer items."""
     norms = np.sqrt((vectors * vectors).sum(axis=1)) * (1 + 1e-9)
     scores, ids = np.full((len(vectors), n), -np.inf), np.full((len(vectors), n), np.iinfo(np.int64).max)
-    made = 0
+    last, made = scores.min(axis=1), 0
     for k, (norm, _) in enumerate(blocks.order):
-        open_ = np.flatnonzero(norms * norm >= scores.min(axis=1))
+        open_ = np.flatnonzero(norms * norm >= last)
         if not len(open_):
             break
         own, matrix = blocks.read(k)
         found = vectors[open_] @ matrix.T
         made += found.size
+        # most rows have nothing here that reaches their n-th score
+        better = (found >= last[open_, None]).any(axis=1)
+        open_, found = open_[better], found[better]
         scores[open_], ids[open_] = _best(
             np.concatenate([scores[open_], found], axis=1),
             np.concatenate([ids[open_], np.broadcast_to(own, found.shape)], axis=1), n)
+        last[open_] = scores[open_].min(axis=1)
     order = np.lexsort([ids, -scores], axis=1)
     return np.take_along_axis(scores, order, axis=1), np.take_along_axis(ids, order, axis=1), made
 

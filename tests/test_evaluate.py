@@ -98,6 +98,20 @@ def test_top_items_by_falling_norm(spark):
     assert [n for n, _ in blocks.order] == sorted((n for n, _ in blocks.order), reverse=True)
 
 
+def test_a_block_is_read_from_its_own_row_group(spark, monkeypatch):
+    from paddock.operators import retrieval
+
+    monkeypatch.setattr(retrieval, "GROUP_BYTES", 4096)
+    items = spark.range(3000).selectExpr(
+        "id as clue_id", "transform(sequence(1, 16), i -> cast(id % 97 + i as double)) as item_embedding")
+    blocks = ItemBlocks(pack_items(items.coalesce(1), "clue_id", "item_embedding", 16))
+    assert len({(g.path, g.row_groups[0].id) for g in blocks.group}) > 3
+    for k in (0, 5, len(blocks.order) - 1):
+        ids, vectors = blocks.read(k)
+        assert np.array_equal(vectors[:, 0], ids % 97 + 1.0)
+        assert np.sqrt((vectors * vectors).sum(axis=1)).max() == pytest.approx(blocks.order[k][0])
+
+
 def test_tower_matches_numpy(spark):
     from checks.q_evaluation import tower_weights
 
