@@ -10,7 +10,6 @@ either side is shuffled to the other, copied or collected.
 from __future__ import annotations
 
 import uuid
-from collections import OrderedDict
 
 import numpy as np
 import pandas as pd
@@ -20,7 +19,9 @@ from pyspark.sql import functions as F
 from paddock.session import shared_dir
 
 #: Items of a block, about; users that are searched together; bytes of blocks a worker keeps.
-BLOCK_ROWS, USER_ROWS, KEPT_BYTES = 1024, 4096, 256 << 20
+BLOCK_ROWS, USER_ROWS, KEPT_BYTES = 1024, 4096, 64 << 20
+#: Users whose scores with a block are held together.
+SCORED_ROWS = 512
 #: Bytes of blocks that are stored, and so read, together.
 GROUP_BYTES = 1 << 20
 #: Ranges of norms, at most.
@@ -60,7 +61,11 @@ def pack_items(items: DataFrame, item: str, vec: str, block_rows: int = BLOCK_RO
 
 
 class ItemBlocks:
-    """The packed blocks by falling norm, read one at a time; a worker keeps some of them."""
+    """The packed blocks by falling norm, read one at a time; a worker keeps the first ones.
+
+    Every search starts with the first block and reads on in order, so the first blocks
+    are those that are asked for again.
+    """
 
     def __init__(self, path: str, kept_bytes: int = KEPT_BYTES):
         import pyarrow.dataset as ds
@@ -74,12 +79,11 @@ class ItemBlocks:
                  for r in g.to_table(columns=["norm", "block"], schema=self.table.schema).to_pylist()]
         known.sort(key=lambda r: r[:2], reverse=True)
         self.order, self.group = [r[:2] for r in known], [r[2] for r in known]
-        self.kept_bytes, self.held, self.cache = kept_bytes, 0, OrderedDict()
+        self.kept_bytes, self.held, self.cache = kept_bytes, 0, {}
 
     def read(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids ascending, vectors) of the ``k``-th block."""
         if k in self.cache:
-            self.cache.move_to_end(k)
             return self.cache[k]
         import pyarrow.compute as pc
 
@@ -87,10 +91,10 @@ class ItemBlocks:
             schema=self.table.schema, columns=["ids", "vecs"], filter=pc.field("block") == self.order[k][1])
         ids = np.frombuffer(row.column("ids")[0].as_py(), "<i8")
         found = ids, np.frombuffer(row.column("vecs")[0].as_py(), "<f8").reshape(len(ids), -1)
-        self.cache[k] = found
-        self.held += sum(x.nbytes for x in found)
-        while self.held > self.kept_bytes and len(self.cache) > 1:
-            self.held -= sum(x.nbytes for x in self.cache.popitem(last=False)[1])
+        size = sum(x.nbytes for x in found)
+        if self.held + size <= self.kept_bytes:
+            self.cache[k] = found
+            self.held += size
         return found
 
 
@@ -128,15 +132,17 @@ def search(blocks: ItemBlocks, vectors: np.ndarray, n: int) -> tuple[np.ndarray,
         if not len(open_):
             break
         own, matrix = blocks.read(k)
-        found = vectors[open_] @ matrix.T
-        made += found.size
-        # most rows have nothing here that reaches their n-th score
-        better = (found >= last[open_, None]).any(axis=1)
-        open_, found = open_[better], found[better]
-        scores[open_], ids[open_] = _best(
-            np.concatenate([scores[open_], found], axis=1),
-            np.concatenate([ids[open_], np.broadcast_to(own, found.shape)], axis=1), n)
-        last[open_] = scores[open_].min(axis=1)
+        for at in range(0, len(open_), SCORED_ROWS):
+            some = open_[at:at + SCORED_ROWS]
+            found = vectors[some] @ matrix.T
+            made += found.size
+            # most rows have nothing here that reaches their n-th score
+            better = (found >= last[some, None]).any(axis=1)
+            some, found = some[better], found[better]
+            scores[some], ids[some] = _best(
+                np.concatenate([scores[some], found], axis=1),
+                np.concatenate([ids[some], np.broadcast_to(own, found.shape)], axis=1), n)
+            last[some] = scores[some].min(axis=1)
     order = np.lexsort([ids, -scores], axis=1)
     return np.take_along_axis(scores, order, axis=1), np.take_along_axis(ids, order, axis=1), made
 

@@ -146,3 +146,20 @@ def test_experiment_lift(spark):
     r = M.experiment_lift(df).first()
     assert (r.control_pv, r.test_pv, r.control_pair, r.test_pair, r.test_item) == (2, 3, 1, 3, 2)
     assert (r.lift_pv, r.lift_pair, r.lift_item) == (0.5, 2.0, 1.0)
+
+
+def test_search_memory_is_bounded_by_the_rows_scored_together(spark, monkeypatch):
+    """A worker keeps the blocks that every search starts with, and scores few rows at a time."""
+    from paddock.operators import retrieval as R
+
+    draw = random.Random(5)
+    rows = [(i, [draw.uniform(-1, 1) for _ in range(4)]) for i in range(200)]
+    items = spark.createDataFrame(rows, "clue_id long, item_embedding array<double>")
+    blocks = ItemBlocks(pack_items(items.coalesce(1), "clue_id", "item_embedding", 16), kept_bytes=2000)
+    vectors, shapes, best = np.array([v for _, v in rows]), [], R._best
+    want = search(blocks, vectors, 5)
+    assert 0 in blocks.cache and blocks.held <= 2000
+    monkeypatch.setattr(R, "_best", lambda s, i, n: (shapes.append(s.shape[0]), best(s, i, n))[1])
+    monkeypatch.setattr(R, "SCORED_ROWS", 30, raising=False)
+    got = search(blocks, vectors, 5)
+    assert max(shapes) <= 30 and all((a == b).all() for a, b in zip(want[:2], got[:2]))
