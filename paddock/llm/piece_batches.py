@@ -49,10 +49,10 @@ class Batches:
         """Whether a segment (spaces as pieces write them) can be searched here."""
         return len(text) <= LONGEST and self.single.issuperset(text)
 
-    def two_best(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-        """Scores, losses of the second choices (-1 where there is none), ids as bytes."""
-        n, size = len(texts), LONGEST
+    def two_best(self, texts: list[str]) -> tuple:
+        """Scores, losses of the second choices, ids of all in a row, how many each has."""
         lengths = np.array([len(t) for t in texts])
+        n, size = len(texts), int(lengths.max())
         joined = np.frombuffer("".join(t.ljust(size, "\0") for t in texts).encode("utf-32-le"), np.uint32)
         chars = np.where(joined < len(self.codes), self.codes[np.minimum(joined, len(self.codes) - 1)], -1)
         chars = chars.reshape(n, size)
@@ -78,7 +78,7 @@ class Batches:
         return self._backward(lengths, best, found)
 
     def _backward(self, lengths, best, found):
-        n, size = len(lengths), LONGEST
+        n, size = best.shape[0], best.shape[1] - 1
         every = np.arange(n)
         f = np.full((n, 2), _NONE, np.int64)
         done = np.zeros((n, 2), np.int64)
@@ -105,7 +105,7 @@ class Batches:
             total[rows, first] = _NONE
             second = size - 1 - np.argmax(total[:, ::-1], axis=1)
             f2 = total[rows, second]
-            shift = 4 * (size - 1 - depth[open_, which])
+            shift = 4 * (LONGEST - 1 - depth[open_, which])
             old = path[open_, which]
             new = [(f1, first, old | ((15 - first) << shift)), (f2, second, old | ((15 - second) << shift))]
             places = [(f[open_, rest], path[open_, rest], at[open_, rest], done[open_, rest], depth[open_, rest])]
@@ -122,18 +122,80 @@ class Batches:
             held[missing] = 0
             at[open_] = held
             open_ = open_[(held > 0).any(axis=1)]
-        loss = np.where(f[:, 1] == _NONE, -1, f[:, 0] - f[:, 1])
-        return f[:, 0], loss, self._ids(lengths, found, path[:, 0], depth[:, 0])
+        loss = np.where(f[:, 1] == _NONE, Segments.ALONE, f[:, 0] - f[:, 1])
+        return f[:, 0], loss, *self._ids(lengths, found, path[:, 0], depth[:, 0])
 
-    def _ids(self, lengths, found, path, depth) -> list[bytes]:
-        n, size = len(lengths), LONGEST
+    def _ids(self, lengths, found, path, depth) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all segments in a row, and how many each has."""
+        n, size = found.shape[0], found.shape[2]
         every = np.arange(n)
-        ids = np.zeros((n, size), "<i4")
+        ids = np.zeros((n, size), np.int32)
         end = lengths.copy()
         for d in range(int(depth.max(initial=0))):
-            k = 15 - ((path >> (4 * (size - 1 - d))) & 15)
+            k = 15 - ((path >> (4 * (LONGEST - 1 - d))) & 15)
             use = d < depth
             ids[every[use], (depth - 1 - d)[use]] = found[every[use], end[use], k[use]]
             end = np.where(use, end - k - 1, end)
-        raw, step = ids.tobytes(), 4 * size
-        return [raw[w * step:w * step + 4 * k] for w, k in enumerate(depth.tolist())]
+        return ids[np.arange(size) < depth[:, None]], depth
+
+
+class Segments:
+    """Segments that were searched, as numbers in arrays: score, loss of the second choice, ids.
+
+    Beyond ``most`` the half that was not met for longest goes.
+    """
+
+    #: Stands for the loss where there is no second choice.
+    ALONE = np.int64(1 << 62)
+
+    def __init__(self, most: int):
+        self.most, self.now = most, 0
+        self._start([])
+
+    def _start(self, names: list[str]) -> None:
+        self.names = names
+        self.index = {part: k for k, part in enumerate(names)}
+        if not names:
+            self.scores = self.losses = self.begins = self.sizes = self.met = np.zeros(0, np.int64)
+            self.ids = np.zeros(0, np.int32)
+
+    def __getitem__(self, part: str) -> tuple:
+        k = self.index[part]
+        loss, at = self.losses[k], self.begins[k]
+        return (int(self.scores[k]), None if loss == self.ALONE else int(loss),
+                self.ids[at:at + self.sizes[k]].astype("<i4").tobytes(), part)
+
+    def add(self, names: list[str], scores, losses, ids, sizes) -> None:
+        """``ids`` of all segments in a row, ``sizes`` how many each has."""
+        sizes = np.asarray(sizes, np.int64)
+        ends = len(self.ids) + np.cumsum(sizes)
+        self.index.update(zip(names, range(len(self.names), len(self.names) + len(names))))
+        self.names += names
+        self.scores = np.concatenate([self.scores, np.asarray(scores, np.int64)])
+        self.losses = np.concatenate([self.losses, np.asarray(losses, np.int64)])
+        self.begins, self.sizes = np.concatenate([self.begins, ends - sizes]), np.concatenate([self.sizes, sizes])
+        self.met = np.concatenate([self.met, np.full(len(names), self.now)])
+        self.ids = np.concatenate([self.ids, np.asarray(ids, np.int32)])
+
+    def shrink(self) -> None:
+        if len(self.names) <= self.most:
+            return
+        kept = np.sort(np.argsort(-self.met, kind="stable")[:self.most // 2])
+        ids, ends = self.gathered(kept)
+        for name in ("scores", "losses", "sizes", "met"):
+            setattr(self, name, getattr(self, name)[kept])
+        self.begins, self.ids = ends - self.sizes, ids
+        self._start([self.names[k] for k in kept.tolist()])
+
+    def places(self, names: list[str]) -> np.ndarray:
+        """Where the named segments are, all of which are known."""
+        at = np.fromiter(map(self.index.__getitem__, names), np.int64, len(names))
+        self.met[at] = self.now
+        return at
+
+    def gathered(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some segments one after the other, and where each one's end."""
+        sizes = self.sizes[at]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.ids[np.repeat(self.begins[at] - (ends - sizes), sizes) + np.arange(total)], ends

@@ -16,15 +16,19 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-from paddock.llm.piece_batches import Batches
+import numpy as np
+
+from paddock.llm.piece_batches import Batches, Segments
 
 SPACE = "▁"
 #: Scores are whole millionths of a nat, so sums and ties are exact.
 UNIT = 1_000_000
 #: Weight of the piece of rank r: 1 / (r + SHIFT).
 SHIFT = 2.7
-#: Beyond so many segments a worker starts anew with the next texts.
+#: Segments a worker keeps, about.
 CACHE = 250_000
+#: Short segments of like length that are searched at once.
+TOGETHER = 2_000
 
 
 @dataclass(frozen=True)
@@ -78,7 +82,7 @@ class Lattice:
             raise ValueError(f"pieces that reach across words are not supported: {inner[:3]}")
         self.lowest = min(pieces.scores, default=0)
         self.batches = Batches(self.known, pieces.scores)
-        self.cache: dict = {}
+        self.cache = Segments(CACHE)
         self.deeper: dict = {}
         self.bytes_of = [(t or "").replace(SPACE, " ").encode() for t in pieces.texts]
         for value, i in enumerate(pieces.byte_ids):
@@ -139,23 +143,28 @@ class Lattice:
         second = next(found, None)
         return score, None if second is None else score - second[0], _packed(ids), part
 
-    def prepare(self, texts: list[str]) -> None:
-        """Search all segments of some texts that are not in the cache, together."""
-        if len(self.cache) >= CACHE:
-            self.cache.clear()
-        new = {p for t in texts if t for p in self.parts(" " + t)} - self.cache.keys()
-        short = []
-        for part in new:
+    def prepare(self, texts: list[str]) -> list[np.ndarray]:
+        """The places of the texts' segments in the cache; new ones are searched together."""
+        cache = self.cache
+        cache.shrink()
+        cache.now += 1
+        names = [self.parts(" " + t) if t else [] for t in texts]
+        short, other = [], []
+        for part in set().union(*names) - cache.index.keys():
             text = part.replace(" ", SPACE)
             if SPACE not in part and self.batches.fits(text):
                 short.append((part, text))
             else:
-                self.cache[part] = self.segment(part)
-        for a in range(0, len(short), 20_000):
-            some = short[a:a + 20_000]
-            scores, losses, ids = self.batches.two_best([t for _, t in some])
-            for (part, _), score, loss, x in zip(some, scores.tolist(), losses.tolist(), ids):
-                self.cache[part] = (score, None if loss < 0 else loss, x, part)
+                other.append(self.segment(part))
+        short.sort(key=lambda x: len(x[1]))
+        for a in range(0, len(short), TOGETHER):
+            some = short[a:a + TOGETHER]
+            cache.add([part for part, _ in some], *self.batches.two_best([t for _, t in some]))
+        if other:
+            scores, losses, ids, parts = zip(*other)
+            cache.add(list(parts), scores, [Segments.ALONE if x is None else x for x in losses],
+                      np.frombuffer(b"".join(ids), "<i4"), [len(x) // 4 for x in ids])
+        return [cache.places(x) for x in names]
 
     def first(self, part: str, n: int) -> list:
         """The first ``n`` (loss, ids as bytes) of a segment."""
@@ -168,35 +177,47 @@ class Lattice:
             self.deeper[part, n] = kept
         return kept
 
-    def nbest(self, text: str, n: int) -> list:
-        """The ``n`` best (score, ids as little-endian int32 bytes) of a text, or as many as there are."""
+    def nbest(self, text: str, n: int, places: np.ndarray | None = None) -> list:
+        """The ``n`` best (score, ids as little-endian int32 bytes) of a text, or as many as there are.
+
+        ``places`` are those of its segments, where :meth:`prepare` has just given them.
+        """
+        return [(score, ids) for score, ids, _ in self.ranked(text, n, places)]
+
+    def ranked(self, text: str, n: int, places: np.ndarray | None = None) -> list:
+        """:meth:`nbest` with what each one changes of the best: (first id, how many, ids in their place)."""
         if not text:
-            return [(0, b"")]
-        names = self.parts(" " + text)
-        try:
-            parts = [self.cache[p] for p in names]
-        except KeyError:
-            self.prepare([text])
-            parts = [self.cache[p] for p in names]
-        score = sum(p[0] for p in parts)
-        runs = [p[2] for p in parts]
-        out = [(score, b"".join(runs))]
+            return [(0, b"", [])]
+        cache = self.cache
+        at = self.prepare([text])[0] if places is None else places
+        score = int(cache.scores[at].sum())
+        ids, ends = cache.gathered(at)
+        best = ids.astype("<i4").tobytes()
+        out = [(score, best, [])]
         if n == 1:
             return out
-        losses = heapq.nsmallest(n - 1, ((p[1], k) for k, p in enumerate(parts) if p[1] is not None))
-        open_ = [(k, self.first(parts[k][3], n)) for _, k in losses]
-        agenda = [(c[1][0], tuple(int(x == y) for y in range(len(open_))), x)
-                  for x, (_, c) in enumerate(open_)]
+        losses = cache.losses[at]
+        last = np.partition(losses, n - 2)[n - 2] if len(at) >= n else Segments.ALONE
+        few = np.flatnonzero((losses <= last) & (losses < Segments.ALONE))
+        # ties: the earlier segment
+        few = few[np.argsort(losses[few], kind="stable")][:n - 1].tolist()
+        open_ = [self.first(cache.names[at[k]], n) for k in few]
+        spans = sorted((4 * int(ends[k] - cache.sizes[at[k]]), 4 * int(ends[k]), x) for x, k in enumerate(few))
+        agenda = [(c[1][0], tuple(int(x == y) for y in range(len(open_))), x) for x, c in enumerate(open_)]
         heapq.heapify(agenda)
         while agenda and len(out) < n:
-            loss, ranks, at = heapq.heappop(agenda)
-            changed = runs.copy()
-            for (k, choices), r in zip(open_, ranks):
-                changed[k] = choices[r][1]
-            out.append((score - loss, b"".join(changed)))
-            for x in range(at, len(open_)):
+            loss, ranks, at_ = heapq.heappop(agenda)
+            parts, done, edits = [], 0, []
+            for begin, end, x in spans:
+                if ranks[x]:
+                    new = open_[x][ranks[x]][1]
+                    parts += [best[done:begin], new]
+                    edits.append((begin // 4, (end - begin) // 4, new))
+                    done = end
+            out.append((score - loss, b"".join([*parts, best[done:]]), edits))
+            for x in range(at_, len(open_)):
                 r = ranks[x] + 1
-                choices = open_[x][1]
+                choices = open_[x]
                 if r < len(choices):
                     more = loss + choices[r][0] - choices[r - 1][0]
                     heapq.heappush(agenda, (more, (*ranks[:x], r, *ranks[x + 1:]), x))

@@ -73,7 +73,7 @@ def op8(spark, sf_dir):
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return encode(docs, Pieces.load(PIECES)).select(
-        "_row.doc_id", "ids", "n_pieces", "scores", "digests", "round_trip")
+        "_row.doc_id", "ids", "n_pieces", "scores", "digests", "others", "round_trip")
 
 
 @query("op4_lm_scoring")

@@ -9,11 +9,11 @@ from __future__ import annotations
 
 import zlib
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paddock.llm.common import packed
+from paddock.llm.common import let, packed
 from paddock.llm.piece_lattice import UNIT, Lattice, Pieces
 
 N_BEST = 4
@@ -41,11 +41,22 @@ def _ids(column: list[bytes]):
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(column), "<i4")))
 
 
+def segmentation(ids: Column, edits: Column) -> Column:
+    """The ids of one of the others: ``ids`` with its ``edits`` made."""
+    start = F.struct(F.array().cast("array<int>").alias("ids"), F.lit(0).alias("at"))
+    done = F.aggregate(edits, start, lambda a, e: F.struct(
+        F.concat(a["ids"], F.slice(ids, a["at"] + 1, e["at"] - a["at"]), e["ids"]).alias("ids"),
+        (e["at"] + e["cut"]).alias("at")))
+    return let(done, lambda d: F.concat(d["ids"], F.slice(ids, d["at"] + 1, F.size(ids))))
+
+
 def encode(df: DataFrame, pieces: Pieces, text: str = "text", n: int = N_BEST) -> DataFrame:
     """Every row of ``df`` as ``_row``, with ``ids`` (the best segmentation),
     ``n_pieces``, ``scores`` (natural log, of the ``n`` best in order), ``digests``
-    (CRC-32 of each one's ids as little-endian int32) and ``round_trip`` (the ids
-    decode to the text).
+    (CRC-32 of each one's ids as little-endian int32), ``others`` (the second best
+    and on, in order, each as its changes of the best: from the id ``at`` on, counted
+    from 0, ``cut`` ids give way to ``ids``; :func:`segmentation` makes them) and
+    ``round_trip`` (the ids decode to the text).
 
     A null or empty text has one segmentation, of no pieces and score 0; ties go
     in a fixed order; equal texts get equal results; an empty table an empty one.
@@ -57,28 +68,29 @@ def encode(df: DataFrame, pieces: Pieces, text: str = "text", n: int = N_BEST) -
         import pyarrow as pa
 
         lattice = _lattice(shared)
-        for b in batches:
-            best, scores, digests, same = [], [], [], []
-            texts = b.column(1).to_pylist()
-            for at, t in enumerate(texts):
-                if at % TOGETHER == 0:
-                    lattice.prepare(texts[at:at + TOGETHER])
-                found = lattice.nbest(t or "", n)
-                best.append(found[0][1])
-                scores.append([s / UNIT for s, _ in found])
-                digests.append([f"{zlib.crc32(x):08x}" for _, x in found])
-                same.append(lattice.decode(np.frombuffer(found[0][1], "<i4").tolist()) == (t or ""))
-            ids = _ids(best)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), ids, pa.array([len(x) // 4 for x in best], pa.int64()),
-                 pa.array(scores, pa.list_(pa.float64())), pa.array(digests, pa.list_(pa.string())),
-                 pa.array(same, pa.bool_())],
-                ["_row", "ids", "n_pieces", "scores", "digests", "round_trip"])
+        kind = pa.list_(pa.list_(pa.struct([("at", pa.int32()), ("cut", pa.int32()), ("ids", pa.list_(pa.int32()))])))
+        for whole in batches:
+            for low in range(0, whole.num_rows, TOGETHER):
+                b = whole.slice(low, TOGETHER)
+                texts = [t or "" for t in b.column(1).to_pylist()]
+                found = [lattice.ranked(t, n, at) for t, at in zip(texts, lattice.prepare(texts))]
+                ids = [[x for _, x, _ in f] for f in found]
+                scores = [[s / UNIT for s, _, _ in f] for f in found]
+                digests = [[f"{zlib.crc32(x):08x}" for x in xs] for xs in ids]
+                others = [[[{"at": at, "cut": cut, "ids": np.frombuffer(x, "<i4")} for at, cut, x in edits]
+                           for _, _, edits in f[1:]] for f in found]
+                same = [lattice.decode(np.frombuffer(xs[0], "<i4").tolist()) == t for xs, t in zip(ids, texts)]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0), _ids([xs[0] for xs in ids]), pa.array([len(xs[0]) // 4 for xs in ids], pa.int64()),
+                     pa.array(scores, pa.list_(pa.float64())), pa.array(digests, pa.list_(pa.string())),
+                     pa.array(others, kind),
+                     pa.array(same, pa.bool_())],
+                    ["_row", "ids", "n_pieces", "scores", "digests", "others", "round_trip"])
 
     rows = packed(df, text=text)
     schema = T.StructType([rows.schema["_row"]] + T._parse_datatype_string(
         "ids array<int>, n_pieces long, scores array<double>, digests array<string>, "
-        "round_trip boolean").fields)
+        "others array<array<struct<at:int,cut:int,ids:array<int>>>>, round_trip boolean").fields)
     return rows.mapInArrow(run, schema)
 
 

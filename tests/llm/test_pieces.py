@@ -72,3 +72,39 @@ def test_round_trips(spark, lattice):
     bad = spark.createDataFrame([([10 ** 6],), (None,)], "ids array<int>")
     assert [r.decoded for r in decode(bad, Pieces.load(PATH)).collect()] == [None, None]
     assert encode(df.limit(0), Pieces.load(PATH)).count() == 0
+
+
+def test_every_segmentation_is_given(spark, lattice):
+    """The second best and on as ids, which decode to the text and have the digests."""
+    import zlib
+
+    from paddock.llm.piece_lattice import Pieces
+    from paddock.llm.sentencepieces import decode, encode, segmentation
+    from pyspark.sql import functions as F
+
+    texts = ["the  cat\nsat", "", None, "a", "öx thein", "w" * 40]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    coded = encode(df, Pieces.load(PATH))
+    coded = coded.withColumn("others", F.transform("others", lambda e: segmentation(F.col("ids"), e)))
+    for r in coded.select("_row.text", "ids", "others", "scores", "digests").collect():
+        every = [r.ids, *r.others]
+        assert len(every) == len(r.scores) == len({tuple(x) for x in every})
+        assert [f"{zlib.crc32(struct.pack(f'<{len(x)}i', *x)):08x}" for x in every] == r.digests
+        assert every == [list(unpacked(x)) for _, x in lattice.nbest(r.text or "", 4)]
+    rows = coded.selectExpr("_row.text", "explode(others) as ids")
+    assert all(r._row.text == r.decoded for r in decode(rows, Pieces.load(PATH)).collect())
+
+
+def test_a_small_cache_of_segments_changes_no_result(lattice):
+    from paddock.llm.piece_batches import Segments
+
+    draw = random.Random(3)
+    texts = [" ".join("".join(draw.choice("aeinrst") for _ in range(draw.randint(1, 18))) for _ in range(30))
+             for _ in range(40)]
+    want, whole = [lattice.nbest(t, 4) for t in texts], lattice.cache
+    lattice.cache = Segments(50)
+    try:
+        for t, w in zip(texts, want):
+            assert lattice.nbest(t, 4) == w and len(lattice.cache.names) <= 50 + 31
+    finally:
+        lattice.cache = whole
