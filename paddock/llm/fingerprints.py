@@ -111,7 +111,9 @@ def neighbour_fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text
             yield _batch([last[0]], [None], [("part", [part], pa.int32()), ("text", [last[1].text], pa.string()),
                                              ("first", [False], pa.bool_())])
 
-    done = written(dealt.mapInArrow(run, f"id long, {FIELDS}, part int, text string, first boolean"), "ranges")
+    # digits of hashes are half their length under entropy coding, and as long as they are under snappy
+    done = written(dealt.mapInArrow(run, f"id long, {FIELDS}, part int, text string, first boolean"), "ranges",
+                   compression="zstd")
     # one number per range that holds rows: which range follows which
     parts = sorted(r.part for r in done.where("first").select("part").distinct().collect())
     follows = dict(zip(parts, parts[1:] + parts[:1]))

@@ -231,3 +231,17 @@ def test_a_repeated_id_gives_one_text_of_the_sample(spark):
     got = {r["_key"]: (r.text, r.y) for r in labelled_sample(docs, labels, F.lit(True)).collect()}
     assert len(got) == 3 and got[1][0].startswith("text ") and got[1][1] == 0
     assert got[2] == ("", 1) and got[3] == ("other", 1)
+
+
+def test_ranges_of_fingerprints_are_written_at_half_their_length(spark):
+    import glob
+
+    from paddock.llm.fingerprints import neighbour_fingerprints
+    from paddock.session import shared_dir
+
+    texts = spark.range(40).selectExpr("id as doc_id", "concat_ws(' ', sequence(id, id + 60)) as text")
+    before = set(glob.glob(f"{shared_dir(spark).removeprefix("file:")}/ranges-*"))
+    assert neighbour_fingerprints(texts).count() == 40
+    (folder,) = set(glob.glob(f"{shared_dir(spark).removeprefix("file:")}/ranges-*")) - before
+    files = glob.glob(f"{folder}/part-*")
+    assert files and all(".zstd." in f for f in files)
