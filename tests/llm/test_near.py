@@ -86,3 +86,19 @@ def test_parity_bits_leave_out_no_link(spark):
     fit = parities_fit(F.col("n"), F.col("a"), F.col("m"), F.col("b"))
     assert links > 150 and df.where("link").where(~fit).count() == 0
     assert df.where(~fit).count() > 100
+
+
+def test_components_end_with_the_stars(spark, monkeypatch):
+    """Links that are stars take no round, others none beyond the one that makes them stars."""
+    from paddock.llm import components as C
+
+    made, kept = [], C.written
+    monkeypatch.setattr(C, "written", lambda df, label: made.append(label) or kept(df, label))
+    cases = [([(1, 5), (5, 1), (7, 1), (8, 9), (3, 3)], {1: 1, 5: 1, 7: 1, 8: 8, 9: 8}, 1),
+             ([(2, 9), (4, 9)], {2: 2, 4: 2, 9: 2}, 2), ([], {}, 1),
+             ([(i, i + 1) for i in range(40)], dict.fromkeys(range(41), 0), 9)]
+    for edges, expected, most in cases:
+        made.clear()
+        found = C.components(spark.createDataFrame(edges, "a long, b long"))
+        assert {r.node: r.component for r in found.collect()} == expected
+        assert len(made) <= most
