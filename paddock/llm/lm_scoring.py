@@ -30,6 +30,8 @@ from paddock.llm.common import written
 from paddock.llm.log_bilinear import BATCH, Model, Trainer, contexts_of
 
 OWN, ENDINGS, HEAD, ROUNDS = 384, 96, 50_000, 3
+#: Weights that a row holds on their way to the mean.
+BLOCK = 8_192
 END = b"\n"
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -164,6 +166,19 @@ def _texts(column) -> list[np.ndarray]:
     return [values[a:b] for a, b in zip(ends[:-1], ends[1:])]
 
 
+def _mean(table):
+    """The mean of one block of weights, by tokens; a group has one row from each task."""
+    import pyarrow as pa
+
+    total, tokens = 0.0, 0
+    for b in table.to_batches():
+        for n, weights in zip(b.column("n").to_pylist(), b.column("weights")):
+            total = total + np.frombuffer(weights.as_buffer(), np.float32).astype(np.float64) * n
+            tokens += n
+    mean = (total / tokens).astype(np.float32).tobytes()
+    return pa.table({"block": table.column("block").slice(0, 1), "weights": pa.array([mean], pa.binary())})
+
+
 def trained(texts: DataFrame, frequencies: np.ndarray, rounds: int = ROUNDS) -> Model:
     """A model of ``classes``, over every row in every round."""
     model = Model.fresh(frequencies)
@@ -193,18 +208,17 @@ def trained(texts: DataFrame, frequencies: np.ndarray, rounds: int = ROUNDS) ->
                 trainer.step(*rest)
                 tokens += len(rest[1])
             if tokens:
+                flat = trainer.model.flat()
+                blocks = [flat[a:a + BLOCK].tobytes() for a in range(0, len(flat), BLOCK)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([tokens], pa.int64()), pa.array([trainer.model.flat().tolist()],
-                                                              pa.list_(pa.float32()))], ["n", "weights"])
+                    [pa.array(range(len(blocks)), pa.int32()), pa.array([tokens] * len(blocks), pa.int64()),
+                     pa.array(blocks, pa.binary())], ["block", "n", "weights"])
 
-        parts = texts.select("classes").mapInArrow(run, "n long, weights array<float>")
-        each = parts.select("n", F.posexplode("weights").alias("at", "x"))
-        means = each.groupBy("at").agg((F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("x")).collect()
+        parts = texts.select("classes").mapInArrow(run, "block int, n long, weights binary")
+        means = parts.groupBy("block").applyInArrow(_mean, "block int, weights binary").collect()
         if not means:
             return model
-        flat = np.zeros(len(means), np.float32)
-        flat[[r.at for r in means]] = [r.x for r in means]
-        model = model.like(flat)
+        model = model.like(np.frombuffer(b"".join(r.weights for r in sorted(means)), np.float32))
     return model
 
 
@@ -220,7 +234,7 @@ def _neural(rows: DataFrame, model: Model) -> DataFrame:
             sums = []
             for a in range(0, b.num_rows, 64):
                 texts = _texts(b.column(1).slice(a, 64))
-                logs = model.log_probabilities(*contexts_of(texts, len(model.bias)))
+                logs = model.log_probabilities(*contexts_of(texts, len(model.outputs)))
                 sums.append(np.add.reduceat(logs, np.cumsum([0] + [len(t) for t in texts[:-1]])))
             done = np.concatenate(sums) / math.log(10) if sums else np.zeros(0)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(done)], ["row", "outside"])

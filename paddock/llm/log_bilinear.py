@@ -2,43 +2,56 @@
 
 The next class is predicted from the last ``CONTEXT`` ones: their vectors, each
 weighted by its distance, add up to a vector whose products with every class,
-plus that class's bias, are the class scores.  Training tells the true next
-class from noise classes, drawn by their frequency and shared by a batch, so one
-step is a few matrix products and needs no normalisation.  Scoring normalises:
-a batch of contexts times all classes gives whole rows of log-probabilities.
+plus that class's bias, are the class scores.  Classes that follow each other
+are a group, about as many groups as classes in each (:func:`group_size`), and
+groups have vectors of their own.  Training tells the true next class, and
+the true next group, from noise drawn by frequency and shared by a batch, so one
+step is a few matrix products, needs no normalisation and changes only the rows
+it meets.  Scoring normalises exactly on two levels: the group among all groups,
+the class among those of its group, so a token costs the square root of the classes.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
 
 CONTEXT, DIM, NOISE, BATCH = 5, 16, 64, 1024
 RATE, FIRST = 0.1, 1e-5
+#: Positions that are scored at once.
+TOGETHER = 1 << 16
+
+
+def group_size(classes: int) -> int:
+    """How many classes a group has; class ``c`` is in group ``c // size``."""
+    return math.isqrt(max(classes - 1, 0)) + 1
 
 
 @dataclass
 class Model:
-    """``start``, the class in front of a text, has the last input vector."""
+    """``start``, the class in front of a text, has the last input vector; the last
+    column of ``outputs`` (classes) and ``groups`` is a bias."""
 
     inputs: np.ndarray
     weights: np.ndarray
     outputs: np.ndarray
-    bias: np.ndarray
+    groups: np.ndarray
 
     @classmethod
     def fresh(cls, frequencies: np.ndarray, seed: int = 1) -> Model:
         """Predicts the frequencies whatever the context."""
         draw = np.random.RandomState(seed)
         size = len(frequencies)
-        return cls(draw.normal(0, 0.1, (size + 1, DIM)).astype(np.float32),
-                   np.full((CONTEXT, DIM), 1 / CONTEXT, np.float32),
-                   draw.normal(0, 0.1, (size, DIM)).astype(np.float32),
-                   np.log(frequencies).astype(np.float32))
+        inputs = draw.normal(0, 0.1, (size + 1, DIM))
+        outputs, groups = (np.column_stack([draw.normal(0, 0.1, (len(f), DIM)), np.log(f)])
+                           for f in (frequencies, _by_group(frequencies)))
+        return cls(*(p.astype(np.float32) for p in (
+            inputs, np.full((CONTEXT, DIM), 1 / CONTEXT), outputs, groups)))
 
     def parts(self) -> list[np.ndarray]:
-        return [self.inputs, self.weights, self.outputs, self.bias]
+        return [self.inputs, self.weights, self.outputs, self.groups]
 
     def flat(self) -> np.ndarray:
         return np.concatenate([p.ravel() for p in self.parts()])
@@ -50,32 +63,45 @@ class Model:
             at += p.size
         return Model(*out)
 
-    def _meaning(self, contexts: np.ndarray) -> np.ndarray:
-        total = self.inputs[contexts[:, 0]] * self.weights[0]
-        for j in range(1, CONTEXT):
-            total += self.inputs[contexts[:, j]] * self.weights[j]
-        return total
+    def meaning(self, vectors: np.ndarray) -> np.ndarray:
+        """Of contexts given by their classes' vectors; a last column of ones goes with the biases."""
+        out = np.ones((len(vectors), DIM + 1), np.float32)
+        np.einsum("njd,jd->nd", vectors, self.weights, out=out[:, :DIM])
+        return out
 
     def log_probabilities(self, contexts: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """The natural log-probability of each target after its context, normalised over all classes."""
         out = np.empty(len(targets), np.float64)
-        # bias and a bound of all scores are two more dimensions, so that the
-        # product gives numbers of at most 0 and nothing else passes over it
-        wide = np.concatenate([self.outputs, self.bias[:, None], np.ones((len(self.bias), 1))], axis=1).T
-        wide = np.ascontiguousarray(wide, np.float32)
-        longest, most = np.sqrt((self.outputs ** 2).sum(axis=1).max()), self.bias.max()
-        rows = min(4096, max(64, 4_000_000 // len(self.bias)))
-        for a in range(0, len(targets), rows):
-            c, t = contexts[a:a + rows], targets[a:a + rows]
-            meaning = self._meaning(c)
-            bound = np.sqrt((meaning ** 2).sum(axis=1)) * longest + most
-            ones = np.ones((len(t), 1), np.float32)
-            scores = np.concatenate([meaning, ones, -bound[:, None]], axis=1).astype(np.float32) @ wide
-            picked = scores[np.arange(len(t)), t].astype(np.float64)
-            out[a:a + rows] = picked - np.log(np.exp(scores, out=scores).sum(axis=1))
+        size = group_size(len(self.outputs))
+        for a in range(0, len(targets), TOGETHER):
+            found = targets[a:a + TOGETHER]
+            meaning = self.meaning(self.inputs.take(contexts[a:a + TOGETHER], axis=0))
+            group = found // size
+            logs = _log_shares(meaning @ self.groups.T, group)
+            order = np.argsort(group, kind="stable")
+            ends = np.cumsum(np.bincount(group, minlength=len(self.groups))).tolist()
+            begin = 0
+            for g, end in enumerate(ends):
+                if end > begin:
+                    some = order[begin:end]
+                    members = self.outputs[g * size:(g + 1) * size]
+                    logs[some] += _log_shares(meaning[some] @ members.T, found[some] - g * size)
+                    begin = end
+            out[a:a + TOGETHER] = logs
         return out
 
 
+def _by_group(frequencies: np.ndarray) -> np.ndarray:
+    return np.add.reduceat(frequencies, np.arange(0, len(frequencies), group_size(len(frequencies))))
+
+
+def _log_shares(scores: np.ndarray, picked: np.ndarray) -> np.ndarray:
+    """The log of the picked column's share in each row, of ``exp(scores)``."""
+    scores -= scores.max(axis=1)[:, None]
+    own = scores[np.arange(len(scores)), picked].astype(np.float64)
+    return own - np.log(np.exp(scores, out=scores).sum(axis=1))
+
+
 def contexts_of(texts: list[np.ndarray], start: int) -> tuple[np.ndarray, np.ndarray]:
     """The contexts (last class first) and targets of all positions of some texts."""
     pad = np.full(CONTEXT, start, np.int64)
@@ -90,48 +116,75 @@ def contexts_of(texts: list[np.ndarray], start: int) -> tuple[np.ndarray, np.nda
 
 
 class Trainer:
-    """Adagrad over batches (rare classes keep their pace and do not run on without new gradients); gradients of vectors that many rows share are summed by class."""
+    """Adagrad over batches (rare classes keep their pace and do not run on without new
+    gradients); gradients of a vector that many rows share are summed, and only such vectors change."""
 
     def __init__(self, model: Model, frequencies: np.ndarray, seed: int):
         self.model = model.like(model.flat().copy())
         self.draw = np.random.RandomState(seed)
-        self.cumulated = np.cumsum(frequencies)
-        self.noise = np.log(NOISE * frequencies).astype(np.float32)
-        self.squares = [np.full_like(p, FIRST) for p in model.parts()]
+        self.size = group_size(len(frequencies))
+        self.levels = [(np.cumsum(f), np.log(NOISE * f).astype(np.float32))
+                       for f in (frequencies, _by_group(frequencies))]
+        self.squares = [np.full_like(p, FIRST) for p in self.model.parts()]
 
     def step(self, contexts: np.ndarray, targets: np.ndarray) -> None:
+        m = self.model
+        for k, (rows, grads) in enumerate(self.gradients(contexts, targets)):
+            self._ascend(m.parts()[k], self.squares[k], rows, grads)
+
+    def gradients(self, contexts: np.ndarray, targets: np.ndarray, drawn: list | None = None) -> list:
+        """For each part of the model the rows that have a gradient, and the gradients; ``drawn`` is the noise."""
         m, n = self.model, len(targets)
-        drawn = np.minimum(np.searchsorted(self.cumulated, self.draw.random_sample(NOISE) * self.cumulated[-1]),
-                           len(self.cumulated) - 1)
-        meaning = m._meaning(contexts)
-        true = (meaning * m.outputs[targets]).sum(axis=1) + m.bias[targets] - self.noise[targets]
-        false = meaning @ m.outputs[drawn].T + (m.bias[drawn] - self.noise[drawn])
-        up = (1 - _sigmoid(true)) / n
-        down = -_sigmoid(false) / n
-        g_meaning = up[:, None] * m.outputs[targets] + down @ m.outputs[drawn]
-        grads = [np.zeros_like(p) for p in m.parts()]
-        grads[2] += _summed(targets, up[:, None] * meaning, len(m.outputs))
-        np.add.at(grads[2], drawn, down.T @ meaning)
-        grads[3] += np.bincount(targets, up, len(m.bias)).astype(np.float32)
-        np.add.at(grads[3], drawn, down.sum(axis=0))
-        spread = np.empty((CONTEXT, n, DIM), np.float32)
-        for j in range(CONTEXT):
-            grads[1][j] = (g_meaning * m.inputs[contexts[:, j]]).sum(axis=0)
-            np.multiply(g_meaning, m.weights[j], out=spread[j])
-        grads[0] += _summed(contexts.T.ravel(), spread.reshape(-1, DIM), len(m.inputs))
-        self._ascend(grads)
-
-    def _ascend(self, grads) -> None:
-        for p, g, b in zip(self.model.parts(), grads, self.squares):
-            b += g * g
-            p += RATE * g / np.sqrt(b)
+        drawn = self.noise() if drawn is None else drawn
+        vectors = m.inputs.take(contexts, axis=0)
+        meaning = m.meaning(vectors)
+        # the noise of both levels goes through the same products; its base comes in by the bias
+        other = np.concatenate([p.take(k, axis=0) for p, k in zip((m.outputs, m.groups), drawn)])
+        lowered = other.copy()
+        lowered[:, DIM] -= np.concatenate([base[k] for (_, base), k in zip(self.levels, drawn)])
+        down = _sigmoid(meaning @ lowered.T)
+        down *= np.float32(-1 / n)
+        g_meaning, g_other, heads = down @ other, down.T @ meaning, []
+        for at, (out, true, (_, base)) in enumerate(zip((m.outputs, m.groups), (targets, targets // self.size),
+                                                        self.levels)):
+            own = out.take(true, axis=0)
+            up = _sigmoid(base[true] - np.einsum("nd,nd->n", meaning, own))[:, None]
+            up /= np.float32(n)
+            g_meaning += up * own
+            heads.append(_summed(np.concatenate([true, drawn[at]]),
+                                 np.concatenate([up * meaning, g_other[at * NOISE:(at + 1) * NOISE]])))
+        g_meaning = np.ascontiguousarray(g_meaning[:, :DIM])
+        g_weights = np.einsum("nd,njd->jd", g_meaning, vectors)
+        g_inputs = np.multiply(g_meaning[:, None, :], m.weights, out=vectors).reshape(-1, DIM)
+        return [_summed(contexts.ravel(), g_inputs), (slice(None), g_weights), *heads]
+
+    def noise(self) -> list[np.ndarray]:
+        """``NOISE`` classes and ``NOISE`` groups by their frequencies."""
+        return [np.minimum(np.searchsorted(c, self.draw.random_sample(NOISE) * c[-1]), len(c) - 1)
+                for c, _ in self.levels]
+
+    @staticmethod
+    def _ascend(p, squares, rows, g) -> None:
+        b = squares[rows] + g * g
+        squares[rows] = b
+        p[rows] += np.float32(RATE) * g / np.sqrt(b)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-
-
-def _summed(rows: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
-    """The sums of the values' rows by their class."""
-    return np.stack([np.bincount(rows, values[:, d], size) for d in range(values.shape[1])],
-                    axis=1).astype(np.float32)
+    """In place."""
+    with np.errstate(over="ignore"):
+        np.exp(np.negative(x, out=x), out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
+def _summed(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct rows, and the sums of their values."""
+    # numbers of 16 bits are sorted by digits
+    order = np.argsort(rows.astype(np.uint16) if rows.max(initial=0) < 1 << 16 else rows, kind="stable")
+    found = rows[order]
+    first = np.concatenate([[True], found[1:] != found[:-1]])
+    at = np.empty(len(rows), np.intp)
+    at[order] = np.cumsum(first) - 1
+    sums = [np.bincount(at, column) for column in np.ascontiguousarray(values.T)]
+    return found[first], np.stack(sums, axis=1).astype(np.float32)

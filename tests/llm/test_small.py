@@ -137,6 +137,51 @@ def test_class_probabilities_sum_to_one():
     assert np.allclose(np.exp(logs).sum(axis=0), 1)
 
 
+def test_model_levels_and_gradients():
+    """A class costs its group and not all classes; gradients are those of both levels' NCE objective."""
+    import numpy as np
+
+    from paddock.llm import log_bilinear as B
+
+    draw = np.random.RandomState(3)
+    for size in (1, 2, 11, 12, 40):
+        model = B.Model.fresh(draw.dirichlet(np.ones(size)))
+        assert len(model.groups) <= B.group_size(size) and B.group_size(size) <= size ** .5 + 1
+        model = model.like(model.flat() + draw.normal(0, .3, model.flat().size).astype(np.float32))
+        contexts = draw.randint(0, size + 1, (6, B.CONTEXT))
+        logs = [model.log_probabilities(contexts, np.full(6, k)) for k in range(size)]
+        assert np.allclose(np.exp(logs).sum(axis=0), 1, atol=1e-5)
+
+    frequencies = draw.dirichlet(np.ones(12))
+    trainer = B.Trainer(B.Model.fresh(frequencies), frequencies, 1)
+    start = trainer.model.flat() + draw.normal(0, .2, trainer.model.flat().size)
+    contexts, targets, noise = draw.randint(0, 13, (30, B.CONTEXT)), draw.randint(0, 12, 30), trainer.noise()
+
+    def goal(flat):
+        parts, at = [], 0
+        for p in trainer.model.parts():
+            parts.append(flat[at:at + p.size].reshape(p.shape))
+            at += p.size
+        inputs, weights, *heads = parts
+        meaning = np.column_stack([(inputs[contexts] * weights).sum(axis=1), np.ones(30)])
+        total = 0
+        for out, true, false, (_, base) in zip(heads, (targets, targets // trainer.size), noise, trainer.levels):
+            yes, no = (meaning * out[true]).sum(axis=1) - base[true], meaning @ out[false].T - base[false]
+            total += (-np.log1p(np.exp(-yes))).mean() - np.log1p(np.exp(no)).sum() / 30
+        return total
+
+    trainer.model = trainer.model.like(start)
+    got = [np.zeros_like(p) for p in trainer.model.parts()]
+    for full, (rows, g) in zip(got, trainer.gradients(contexts, targets, noise)):
+        full[rows] = g
+    got = np.concatenate([g.ravel() for g in got])
+    for k in draw.choice(len(start), 120, replace=False):
+        near = [start.copy(), start.copy()]
+        near[0][k] += 1e-4
+        near[1][k] -= 1e-4
+        assert abs((goal(near[0]) - goal(near[1])) / 2e-4 - got[k]) < 2e-4
+
+
 def test_words_of_a_class_sum_to_one():
     import math
 
