@@ -1,17 +1,17 @@
-"""The two best segmentations of many short segments at once, in numpy.
+"""The two best scores and the best segmentation of many short segments at once, in numpy.
 
-The same search as :meth:`paddock.llm.piece_lattice.Lattice.search`: Viterbi
-scores forward, then A-star backward.  A heuristic is exact, so of all open
-paths only the two best can lead to the two best segmentations: the agenda of
-every segment has two places, and all segments take their steps together.
+The forward pass of :meth:`paddock.llm.piece_lattice.Lattice.search`, of all
+segments together and with the two best beginnings per place: that is all a
+segment has to say until it is one of the few whose other choices differ in a
+text's best, and those are searched backward by A-star.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-#: Longest segment: fifteen lengths of pieces fit into one number of 60 bits.
-LONGEST = 15
+#: Longest segment that is searched here.
+LONGEST = 24
 #: Characters with a column of their own in the table of transitions.
 COLUMNS = 160
 _NONE = np.int64(-(1 << 60))
@@ -56,10 +56,10 @@ class Batches:
         joined = np.frombuffer("".join(t.ljust(size, "\0") for t in texts).encode("utf-32-le"), np.uint32)
         chars = np.where(joined < len(self.codes), self.codes[np.minimum(joined, len(self.codes) - 1)], -1)
         chars = chars.reshape(n, size)
-        best = np.full((n, size + 1), _NONE, np.int64)
+        # per end: scores of the two best beginnings, the last piece of the best and where it starts
+        best, second = (np.full((n, size + 1), _NONE, np.int64) for _ in range(2))
         best[:, 0] = 0
-        # found[w, end, length - 1]: the piece of that length that ends there
-        found = np.full((n, size + 1, size), -1, np.int32)
+        last, start = (np.zeros((n, size + 1), np.int32) for _ in range(2))
         for i in range(size):
             alive = np.flatnonzero(i < lengths)
             node = np.zeros(len(alive), np.int32)
@@ -73,70 +73,31 @@ class Batches:
                 piece = self.piece[node]
                 is_piece = piece >= 0
                 rows, ids = alive[is_piece], piece[is_piece]
-                found[rows, j + 1, j - i] = ids
-                best[rows, j + 1] = np.maximum(best[rows, j + 1], best[rows, i] + self.scores[ids])
-        return self._backward(lengths, best, found)
-
-    def _backward(self, lengths, best, found):
-        n, size = best.shape[0], best.shape[1] - 1
-        every = np.arange(n)
-        f = np.full((n, 2), _NONE, np.int64)
-        done = np.zeros((n, 2), np.int64)
-        at = np.zeros((n, 2), np.int64)
-        path = np.zeros((n, 2), np.int64)
-        depth = np.zeros((n, 2), np.int64)
-        f[:, 0], at[:, 0] = best[every, lengths], lengths
-        back = np.arange(size)
-        open_ = every
-        while len(open_):
-            # the better of the two places that is not at the start yet
-            which = np.where(at[open_, 0] > 0, 0, 1)
-            rest = 1 - which
-            end = at[open_, which]
-            pieces = found[open_, end]
-            start = end[:, None] - back - 1
-            fine = pieces >= 0
-            done_all = np.where(fine, self.scores[pieces], 0) + done[open_, which][:, None]
-            total = np.where(fine, best[open_[:, None], np.maximum(start, 0)] + done_all, _NONE)
-            # equal totals: the longer last piece first, so look from the longest
-            first = size - 1 - np.argmax(total[:, ::-1], axis=1)
-            rows = np.arange(len(open_))
-            f1 = total[rows, first]
-            total[rows, first] = _NONE
-            second = size - 1 - np.argmax(total[:, ::-1], axis=1)
-            f2 = total[rows, second]
-            shift = 4 * (LONGEST - 1 - depth[open_, which])
-            old = path[open_, which]
-            new = [(f1, first, old | ((15 - first) << shift)), (f2, second, old | ((15 - second) << shift))]
-            places = [(f[open_, rest], path[open_, rest], at[open_, rest], done[open_, rest], depth[open_, rest])]
-            for total_, k, code in new:
-                places.append((total_, code, end - k - 1, done_all[rows, k], depth[open_, which] + 1))
-            fs = np.stack([p[0] for p in places], axis=1)
-            codes = np.stack([p[1] for p in places], axis=1)
-            order = np.lexsort((codes, -fs), axis=1)[:, :2]
-            for target, k in ((f, 0), (path, 1), (at, 2), (done, 3), (depth, 4)):
-                values = np.stack([p[k] for p in places], axis=1)
-                target[open_] = values[rows[:, None], order]
-            missing = f[open_] == _NONE
-            held = at[open_]
-            held[missing] = 0
-            at[open_] = held
-            open_ = open_[(held > 0).any(axis=1)]
-        loss = np.where(f[:, 1] == _NONE, Segments.ALONE, f[:, 0] - f[:, 1])
-        return f[:, 0], loss, *self._ids(lengths, found, path[:, 0], depth[:, 0])
-
-    def _ids(self, lengths, found, path, depth) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all segments in a row, and how many each has."""
-        n, size = found.shape[0], found.shape[2]
+                score = self.scores[ids]
+                one, two = best[rows, i] + score, second[rows, i] + score
+                held = best[rows, j + 1]
+                best[rows, j + 1] = np.maximum(held, one)
+                second[rows, j + 1] = np.maximum(np.maximum(second[rows, j + 1], two), np.minimum(held, one))
+                # equal scores: the longer last piece, which comes first
+                more = one > held
+                last[rows[more], j + 1], start[rows[more], j + 1] = ids[more], i
         every = np.arange(n)
-        ids = np.zeros((n, size), np.int32)
-        end = lengths.copy()
-        for d in range(int(depth.max(initial=0))):
-            k = 15 - ((path >> (4 * (LONGEST - 1 - d))) & 15)
-            use = d < depth
-            ids[every[use], (depth - 1 - d)[use]] = found[every[use], end[use], k[use]]
-            end = np.where(use, end - k - 1, end)
-        return ids[np.arange(size) < depth[:, None]], depth
+        total, other = best[every, lengths], second[every, lengths]
+        loss = np.where(other < _NONE // 2, Segments.ALONE, total - other)
+        return total, loss, *self._ids(lengths, last, start)
+
+    @staticmethod
+    def _ids(lengths, last, start) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all best segmentations in a row, and how many each has."""
+        n, size = last.shape[0], last.shape[1] - 1
+        ids, depth = np.zeros((n, size), np.int32), np.zeros(n, np.int64)
+        end, rows = lengths.copy(), np.arange(n)
+        while len(rows):
+            depth[rows] += 1
+            ids[rows, size - depth[rows]] = last[rows, end[rows]]
+            end[rows] = start[rows, end[rows]]
+            rows = rows[end[rows] > 0]
+        return ids[np.arange(size) >= size - depth[:, None]], depth
 
 
 class Segments:

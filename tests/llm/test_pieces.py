@@ -108,3 +108,25 @@ def test_a_small_cache_of_segments_changes_no_result(lattice):
             assert lattice.nbest(t, 4) == w and len(lattice.cache.names) <= 50 + 31
     finally:
         lattice.cache = whole
+
+
+def test_two_best_of_long_segments():
+    """Segments searched together are as those searched alone: scores, losses and ids, with ties, at any length."""
+    import random
+
+    from paddock.llm.piece_batches import Batches, Segments
+    from paddock.llm.piece_lattice import UNIT, Lattice, Pieces
+
+    draw = random.Random(5)
+    texts = ["▁", "a", "b", *sorted({"".join(draw.choice("ab") for _ in range(draw.randint(2, 5))) for _ in range(25)})]
+    lattice = Lattice(Pieces(tuple(texts), tuple(-UNIT * draw.randint(1, 3) for _ in texts), (), 0))
+    batches = Batches(lattice.known, lattice.pieces.scores)
+    parts = [" " * draw.randint(0, 1) + "".join(draw.choice("ab") for _ in range(draw.randint(1, 40))) for _ in range(500)]
+    scores, losses, ids, sizes = batches.two_best([p.replace(" ", "▁") for p in parts])
+    at = 0
+    for part, score, loss, size in zip(parts, scores, losses, sizes):
+        alone = lattice.segment(part)
+        assert (score, None if loss == Segments.ALONE else loss) == alone[:2]
+        assert ids[at:at + size].astype("<i4").tobytes() == alone[2]
+        at += size
+    assert at == len(ids) and max(map(len, parts)) > 30
