@@ -21,17 +21,21 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
+from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paddock.llm.common import written
-from paddock.llm.log_bilinear import BATCH, Model, Trainer, contexts_of
+from paddock.llm.log_bilinear import BATCH, RUN, Model, Trainer, runs_of
 
 OWN, ENDINGS, HEAD, ROUNDS = 384, 96, 50_000, 3
 #: Weights that a row holds on their way to the mean.
 BLOCK = 8_192
+#: Characters of texts whose words are looked up at once.
+LETTERS = 1 << 19
 END = b"\n"
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -53,6 +57,12 @@ def ending(word: bytes) -> int:
     return zlib.crc32(word.decode("utf-8", "replace")[-2:].encode()) % ENDINGS
 
 
+def ending_of(word: str) -> Column:
+    """:func:`ending` of a column of words."""
+    last = F.right(F.decode(word, "UTF-8"), F.lit(2))
+    return F.pmod(F.crc32(F.encode(last, "UTF-8")), F.lit(ENDINGS)).cast("int")
+
+
 def token_counts(docs: DataFrame) -> DataFrame:
     """``word``, ``ending`` and ``c`` for every token of ``text``; counted in each task first."""
 
@@ -60,10 +70,8 @@ def token_counts(docs: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         def rows(counted):
-            words = list(counted)
             return pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.binary()), pa.array(list(map(ending, words)), pa.int32()),
-                 pa.array(list(counted.values()), pa.int64())], ["word", "ending", "c"])
+                [pa.array(list(counted), pa.binary()), pa.array(list(counted.values()), pa.int64())], ["word", "c"])
 
         counted: Counter = Counter()
         for b in batches:
@@ -74,8 +82,8 @@ def token_counts(docs: DataFrame) -> DataFrame:
                     counted.clear()
         yield rows(counted)
 
-    return docs.select("text").mapInArrow(run, "word binary, ending int, c long").groupBy(
-        "word", "ending").agg(F.sum("c").alias("c"))
+    counts = docs.select("text").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    return counts.select("word", ending_of("word").alias("ending"), "c")
 
 
 class Lexicon:
@@ -138,28 +146,47 @@ def coded(rows: DataFrame, words: Lexicon) -> DataFrame:
         import pyarrow as pa
 
         lex = shared.value
-        get, shift = lex.head.get, lex.shift
+        place = {w: i for i, w in enumerate(lex.head)}.get
+        # a word that is not there has place -1, the last entry
+        classes_at, base_at, inside_at = map(np.array, zip(*lex.head.values(), (0, 0.0, 0.0)))
         for b in batches:
-            out: list = [[] for _ in range(6)]
-            for t in b.column(b.num_columns - 1).to_pylist():
-                found = tokens_of(t)
-                entries = [get(w) for w in found]
-                tail = [w for w, e in zip(found, entries) if e is None]
-                classes = [e[0] if e is not None else shift + ending(w) for w, e in zip(found, entries)]
-                known = [e for e in entries if e is not None]
-                for column, value in zip(out, (len(found), len(known), sum(e[1] for e in known),
-                                               sum(e[2] for e in known), classes, tail)):
-                    column.append(value)
-            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.int32()),
-                     pa.list_(pa.binary())]
-            yield pa.RecordBatch.from_arrays(
-                list(b.columns[:-1]) + [pa.array(c, k) for c, k in zip(out, kinds)],
-                list(b.schema.names[:-1]) + [f.split()[0] for f in CODED.split(", ")])
+            texts, done = b.column(b.num_columns - 1), 0
+            for together in _together(texts.to_pylist()):
+                found = list(map(tokens_of, together))
+                words = list(chain.from_iterable(found))
+                at = np.fromiter(map(place, words, repeat(-1)), np.intp, len(words))
+                others = np.flatnonzero(at < 0)
+                tail = [words[i] for i in others.tolist()]
+                classes = classes_at[at].astype(np.int32)
+                classes[others] = [lex.shift + ending(w) for w in tail]
+                ends = np.cumsum([0, *map(len, found)])
+                known, base, inside = (np.add.reduceat(x, ends[:-1]) for x in (
+                    (at >= 0).astype(np.int64), base_at[at], inside_at[at]))
+                lists = [pa.ListArray.from_arrays(pa.array(e, pa.int32()), v) for e, v in (
+                    (ends, pa.array(classes)), (ends - np.append(0, np.cumsum(known)), pa.array(tail, pa.binary())))]
+                yield pa.RecordBatch.from_arrays(
+                    [c.slice(done, len(together)) for c in b.columns[:-1]]
+                    + [pa.array(np.diff(ends)), pa.array(known), pa.array(base), pa.array(inside), *lists],
+                    list(b.schema.names[:-1]) + [f.split()[0] for f in CODED.split(", ")])
+                done += len(together)
 
     kept = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]
     return rows.mapInArrow(run, ", ".join(kept) + ", " + CODED)
 
 
+def _together(texts: list) -> Iterator[list]:
+    """The texts in their order, as many at once as have ``LETTERS`` characters, one at least."""
+    some, letters = [], 0
+    for t in texts:
+        some.append(t)
+        letters += len(t or "")
+        if letters >= LETTERS:
+            yield some
+            some, letters = [], 0
+    if some:
+        yield some
+
+
 def _texts(column) -> list[np.ndarray]:
     ends = column.offsets.to_numpy()
     values = column.values.to_numpy(zero_copy_only=False).astype(np.int64)
@@ -191,22 +218,20 @@ def trained(texts: DataFrame, frequencies: np.ndarray, rounds: int = ROUNDS) ->
 
             start, freq = shared.value
             trainer, tokens, rest = Trainer(start, freq, turn + 1), 0, None
+            each = BATCH // RUN
             for b in batches:
                 for a in range(0, b.num_rows, 256):
-                    contexts, targets = contexts_of(_texts(b.column(0).slice(a, 256)), len(freq))
-                    if rest is not None:
-                        contexts = np.concatenate([rest[0], contexts])
-                        targets = np.concatenate([rest[1], targets])
-                    order = trainer.draw.permutation(len(targets))
-                    whole = len(order) - len(order) % BATCH
-                    for x in range(0, whole, BATCH):
-                        pick = order[x:x + BATCH]
-                        trainer.step(contexts[pick], targets[pick])
-                    tokens += whole
-                    rest = contexts[order[whole:]], targets[order[whole:]]
-            if rest is not None and len(rest[1]):
-                trainer.step(*rest)
-                tokens += len(rest[1])
+                    texts = _texts(b.column(0).slice(a, 256))
+                    tokens += sum(map(len, texts))
+                    runs = runs_of(texts, len(freq))
+                    runs = np.concatenate([runs[:0] if rest is None else rest, runs])
+                    order = trainer.draw.permutation(len(runs))
+                    whole = len(order) - len(order) % each
+                    for x in range(0, whole, each):
+                        trainer.step(runs[order[x:x + each]])
+                    rest = runs[order[whole:]]
+            if rest is not None and len(rest):
+                trainer.step(rest)
             if tokens:
                 flat = trainer.model.flat()
                 blocks = [flat[a:a + BLOCK].tobytes() for a in range(0, len(flat), BLOCK)]
@@ -232,9 +257,9 @@ def _neural(rows: DataFrame, model: Model) -> DataFrame:
         model = shared.value
         for b in batches:
             sums = []
-            for a in range(0, b.num_rows, 64):
-                texts = _texts(b.column(1).slice(a, 64))
-                logs = model.log_probabilities(*contexts_of(texts, len(model.outputs)))
+            for a in range(0, b.num_rows, 256):
+                texts = _texts(b.column(1).slice(a, 256))
+                logs = model.log_probabilities_of(runs_of(texts, len(model.outputs)))
                 sums.append(np.add.reduceat(logs, np.cumsum([0] + [len(t) for t in texts[:-1]])))
             done = np.concatenate(sums) / math.log(10) if sums else np.zeros(0)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(done)], ["row", "outside"])
@@ -260,8 +285,7 @@ def score_texts(df: DataFrame, held_out: Column, key: str = "doc_id", text: str
     # words outside the head: their counts come by a join, their sums go back by row
     tail = rows.select("row", F.explode("tail").alias("word")).join(
         counts.select("word", "c", "ending").hint("shuffle_hash"), "word", "left")
-    tail = tail.withColumn("e", F.coalesce("ending", F.pmod(F.crc32(F.encode(F.right(
-        F.decode("word", "UTF-8"), F.lit(2)), "UTF-8")), F.lit(ENDINGS)).cast("int")))
+    tail = tail.withColumn("e", F.coalesce("ending", ending_of("word")))
     seen, unseen = (F.get(F.array(*[F.lit(float(x)) for x in values]), F.col("e"))
                     for values in (words.seen, words.unseen))
     known = F.col("c").isNotNull()

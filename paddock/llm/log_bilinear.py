@@ -18,10 +18,15 @@ from dataclasses import dataclass
 
 import numpy as np
 
-CONTEXT, DIM, NOISE, BATCH = 5, 16, 64, 1024
-RATE, FIRST = 0.1, 1e-5
-#: Positions that are scored at once.
-TOGETHER = 1 << 16
+CONTEXT, DIM, NOISE, BATCH = 5, 16, 64, 4096
+RATE, FIRST = 0.15, 1e-5
+#: Targets of a run: positions that follow each other, with the context of the first.  Targets that share noise.
+RUN, SHARED = 32, 1024
+HALF, OFTEN = np.float32(0.5), 5
+#: How often a group that is not drawn counts as noise, instead of a division by zero.
+NEVER = np.float32(2 ** -20)
+#: Runs that are scored at once, and rows whose scores stay in a processor's cache.
+TOGETHER, CACHED = 2048, 1024
 
 
 def group_size(classes: int) -> int:
@@ -63,56 +68,75 @@ class Model:
             at += p.size
         return Model(*out)
 
-    def meaning(self, vectors: np.ndarray) -> np.ndarray:
-        """Of contexts given by their classes' vectors; a last column of ones goes with the biases."""
-        out = np.ones((len(vectors), DIM + 1), np.float32)
-        np.einsum("njd,jd->nd", vectors, self.weights, out=out[:, :DIM])
+    def meaning(self, vectors: np.ndarray, spread: np.ndarray) -> np.ndarray:
+        """Of the targets of runs, by the vectors of their classes (a row per place) and :meth:`spread`;
+        a last column of ones goes with the biases."""
+        many = len(vectors) - CONTEXT
+        total = vectors[CONTEXT - 1:][:many] * spread[0]
+        part = np.empty_like(total)
+        for j in range(1, CONTEXT):
+            total += np.multiply(vectors[CONTEXT - 1 - j:][:many], spread[j], out=part)
+        out = np.ones((total.size // DIM, DIM + 1), np.float32)
+        out[:, :DIM] = total.reshape(-1, DIM)
         return out
 
+    def spread(self, runs: int) -> np.ndarray:
+        """Per distance, the last class first, the weights as often as there are runs."""
+        return np.tile(self.weights, runs)
+
     def log_probabilities(self, contexts: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """The natural log-probability of each target after its context, normalised over all classes."""
-        out = np.empty(len(targets), np.float64)
+        return self.log_probabilities_of(np.column_stack([contexts[:, ::-1], targets]))
+
+    def log_probabilities_of(self, runs: np.ndarray) -> np.ndarray:
+        """The same for all targets of runs (:func:`runs_of`) in their order."""
+        return np.concatenate([np.zeros(0)] + [
+            self._scored(runs[a:a + TOGETHER]) for a in range(0, len(runs), TOGETHER)])
+
+    def _scored(self, runs: np.ndarray) -> np.ndarray:
+        found = runs[:, CONTEXT:].ravel()
+        real = np.flatnonzero(found != len(self.outputs))
+        meaning = self.meaning(self.inputs.take(runs.T, axis=0).reshape(runs.shape[1], -1), self.spread(len(runs)))
+        meaning = meaning.reshape(-1, len(runs), DIM + 1).swapaxes(0, 1).reshape(-1, DIM + 1)
+        found, meaning = found[real], meaning.take(real, axis=0)
         size = group_size(len(self.outputs))
-        for a in range(0, len(targets), TOGETHER):
-            found = targets[a:a + TOGETHER]
-            meaning = self.meaning(self.inputs.take(contexts[a:a + TOGETHER], axis=0))
-            group = found // size
-            logs = _log_shares(meaning @ self.groups.T, group)
-            order = np.argsort(group, kind="stable")
-            ends = np.cumsum(np.bincount(group, minlength=len(self.groups))).tolist()
-            begin = 0
-            for g, end in enumerate(ends):
-                if end > begin:
-                    some = order[begin:end]
-                    members = self.outputs[g * size:(g + 1) * size]
-                    logs[some] += _log_shares(meaning[some] @ members.T, found[some] - g * size)
-                    begin = end
-            out[a:a + TOGETHER] = logs
-        return out
+        group = found // size
+        logs = _log_shares(self.groups, meaning, group)
+        order = _sorted(group)
+        ends = np.cumsum(np.bincount(group, minlength=len(self.groups))).tolist()
+        begin = 0
+        for g, end in enumerate(ends):
+            if end > begin:
+                some = order[begin:end]
+                members = self.outputs[g * size:(g + 1) * size]
+                logs[some] += _log_shares(members, meaning.take(some, axis=0), found[some] - g * size)
+                begin = end
+        return logs
 
 
 def _by_group(frequencies: np.ndarray) -> np.ndarray:
     return np.add.reduceat(frequencies, np.arange(0, len(frequencies), group_size(len(frequencies))))
 
 
-def _log_shares(scores: np.ndarray, picked: np.ndarray) -> np.ndarray:
-    """The log of the picked column's share in each row, of ``exp(scores)``."""
-    scores -= scores.max(axis=1)[:, None]
-    own = scores[np.arange(len(scores)), picked].astype(np.float64)
-    return own - np.log(np.exp(scores, out=scores).sum(axis=1))
+def _log_shares(members: np.ndarray, meaning: np.ndarray, picked: np.ndarray) -> np.ndarray:
+    """The log of the picked member's share for each row of ``meaning``, among all members."""
+    out = np.empty(len(picked), np.float64)
+    for a in range(0, len(picked), CACHED):
+        scores = members @ meaning[a:a + CACHED].T
+        scores -= scores.max(axis=0)
+        own = scores[picked[a:a + CACHED], np.arange(scores.shape[1])].astype(np.float64)
+        out[a:a + CACHED] = own - np.log(np.exp(scores, out=scores).sum(axis=0))
+    return out
 
 
-def contexts_of(texts: list[np.ndarray], start: int) -> tuple[np.ndarray, np.ndarray]:
-    """The contexts (last class first) and targets of all positions of some texts."""
+def runs_of(texts: list[np.ndarray], start: int) -> np.ndarray:
+    """All positions of some texts in their order, ``RUN`` targets a row behind the ``CONTEXT`` classes before
+    them.  ``start`` stands in front of texts and after the last; it is no target."""
     pad = np.full(CONTEXT, start, np.int64)
-    joined = np.concatenate([x for t in texts for x in (pad, t)]) if texts else pad[:0]
-    real = np.ones(len(joined), bool)
-    at = 0
-    for t in texts:
-        real[at:at + CONTEXT] = False
-        at += CONTEXT + len(t)
-    places = np.flatnonzero(real)
-    return joined[places[:, None] - np.arange(1, CONTEXT + 1)], joined[places]
+    size = sum(len(t) + CONTEXT for t in texts)
+    joined = [x for t in texts for x in (pad, t)]
+    joined = np.concatenate([*joined, np.full(CONTEXT + (-size % RUN if size else RUN), start, np.int64)])
+    return np.lib.stride_tricks.sliding_window_view(joined, CONTEXT + RUN)[::RUN]
 
 
 class Trainer:
@@ -126,65 +150,138 @@ class Trainer:
         self.levels = [(np.cumsum(f), np.log(NOISE * f).astype(np.float32))
                        for f in (frequencies, _by_group(frequencies))]
         self.squares = [np.full_like(p, FIRST) for p in self.model.parts()]
+        self.drawn: list = []
+        self.buffers: dict = {}
 
-    def step(self, contexts: np.ndarray, targets: np.ndarray) -> None:
-        m = self.model
-        for k, (rows, grads) in enumerate(self.gradients(contexts, targets)):
-            self._ascend(m.parts()[k], self.squares[k], rows, grads)
+    def step(self, runs: np.ndarray) -> None:
+        """One change by the mean gradient of the targets of runs; noise is drawn for each ``SHARED`` of them."""
+        each = max(SHARED // RUN, 1)
+        drawn = [self.noise() for _ in range(0, len(runs), each)]
+        for p, squares, (rows, grads) in zip(self.model.parts(), self.squares, self._mean(runs, each, drawn)):
+            self._ascend(p, squares, rows, grads)
 
     def gradients(self, contexts: np.ndarray, targets: np.ndarray, drawn: list | None = None) -> list:
         """For each part of the model the rows that have a gradient, and the gradients; ``drawn`` is the noise."""
-        m, n = self.model, len(targets)
-        drawn = self.noise() if drawn is None else drawn
-        vectors = m.inputs.take(contexts, axis=0)
-        meaning = m.meaning(vectors)
-        # the noise of both levels goes through the same products; its base comes in by the bias
-        other = np.concatenate([p.take(k, axis=0) for p, k in zip((m.outputs, m.groups), drawn)])
-        lowered = other.copy()
-        lowered[:, DIM] -= np.concatenate([base[k] for (_, base), k in zip(self.levels, drawn)])
-        down = _sigmoid(meaning @ lowered.T)
-        down *= np.float32(-1 / n)
-        g_meaning, g_other, heads = down @ other, down.T @ meaning, []
-        for at, (out, true, (_, base)) in enumerate(zip((m.outputs, m.groups), (targets, targets // self.size),
-                                                        self.levels)):
-            own = out.take(true, axis=0)
-            up = _sigmoid(base[true] - np.einsum("nd,nd->n", meaning, own))[:, None]
-            up /= np.float32(n)
-            g_meaning += up * own
-            heads.append(_summed(np.concatenate([true, drawn[at]]),
-                                 np.concatenate([up * meaning, g_other[at * NOISE:(at + 1) * NOISE]])))
-        g_meaning = np.ascontiguousarray(g_meaning[:, :DIM])
-        g_weights = np.einsum("nd,njd->jd", g_meaning, vectors)
-        g_inputs = np.multiply(g_meaning[:, None, :], m.weights, out=vectors).reshape(-1, DIM)
-        return [_summed(contexts.ravel(), g_inputs), (slice(None), g_weights), *heads]
+        runs = np.column_stack([contexts[:, ::-1], targets])
+        return self._mean(runs, len(runs), [self.noise() if drawn is None else drawn])
+
+    def _mean(self, runs: np.ndarray, each: int, drawn: list) -> list:
+        classes, sums, at, spread = [], [0, 0, 0], 0, self.model.spread(each)
+        values = self._kept("values", runs.size + len(drawn) * NOISE, 2 * DIM + 1)
+        for k, noise in enumerate(drawn):
+            some = runs[k * each:(k + 1) * each]
+            size = some.size + NOISE
+            # by places, then runs: what lies a distance before the targets is one block
+            places = some.T.ravel()
+            found = self._piece(places, spread[:, :len(some) * DIM], noise, values[at:at + size])
+            sums = [x + y for x, y in zip(sums, found)]
+            classes += [places, noise[0]]
+            at += size
+        weights, groups, n = sums
+        rows, total = _summed(np.concatenate(classes), values)
+        scale = HALF / np.float32(max(n, 1))
+        total *= scale
+        known = len(rows) - (rows[-1] == len(self.model.outputs))
+        return [(rows, total[:, :DIM]), (slice(None), weights * scale), (rows[:known], total[:known, DIM:]),
+                (slice(None), groups * scale)]
+
+    def _piece(self, classes: np.ndarray, spread: np.ndarray, drawn: list, values: np.ndarray) -> tuple:
+        """Twice the summed gradients of some runs: of the distances' weights and of all groups, and the number of
+        targets.  ``values`` takes those by class, columns of input and output vectors, then those of the noise."""
+        m, start, size = self.model, len(self.model.outputs), len(classes)
+        many = spread.shape[1] // DIM
+        vectors = m.inputs.take(classes, axis=0).reshape(-1, many * DIM)
+        meaning = m.meaning(vectors, spread)
+        true = classes[CONTEXT * many:]
+        none = np.flatnonzero(true == start)
+        if len(none):
+            true = np.minimum(true, start - 1)
+            meaning[none] = 0
+        # The noise classes and all groups, as often as drawn, go through the same products; their base comes in by
+        # the bias.  A sigmoid is (1 + tanh(x / 2)) / 2: factors go to the small matrices, the ones to their sums.
+        other = np.concatenate([m.outputs.take(drawn[0], axis=0), m.groups])
+        lowered = other * HALF
+        lowered[:, DIM] -= np.concatenate([self.levels[0][1].take(drawn[0]), self.levels[1][1]]) * HALF
+        times = np.ones(len(other), np.float32)
+        times[NOISE:] = np.maximum(np.bincount(drawn[1], minlength=len(m.groups)), NEVER)
+        other *= -times[:, None]
+        down = np.matmul(meaning, lowered.T, out=self._kept("down", len(meaning), len(other)))
+        np.tanh(down, out=down)
+        own = true // self.size
+        at = np.arange(NOISE, down.size, len(other)) + own
+        up = down.take(at)
+        down.ravel()[at] = up - (1 - up) / times.take(NOISE + own)
+        vector = m.outputs.take(true, axis=0)
+        up = np.einsum("nd,nd->n", meaning, vector)
+        up -= self.levels[0][1].take(true)
+        up *= HALF
+        up = np.subtract(1, np.tanh(up, out=up), out=up)
+        if len(none):
+            down[none], up[none] = -1, 0
+        up = up[:, None]
+        g_meaning = down @ other
+        g_meaning += other.sum(axis=0)
+        g_other = down.T @ meaning
+        g_other += np.ones(len(meaning), np.float32) @ meaning
+        g_other *= -times[:, None]
+        vector *= up
+        g_meaning += vector
+        g = np.ascontiguousarray(g_meaning[:, :DIM]).reshape(-1, many * DIM)
+        g_vectors, g_weights, part = np.zeros_like(vectors), [], np.empty_like(g)
+        for j in range(CONTEXT):
+            here = slice(CONTEXT - 1 - j, CONTEXT - 1 - j + len(g))
+            g_vectors[here] += np.multiply(g, spread[j], out=part)
+            g_weights.append(np.einsum("nd,nd->d", g, vectors[here]))
+        values[:size, :DIM] = g_vectors.reshape(-1, DIM)
+        values[size:, :DIM] = 0
+        values[:CONTEXT * many, DIM:] = 0
+        np.multiply(meaning, up, out=values[CONTEXT * many:size, DIM:])
+        values[size:, DIM:] = g_other[:NOISE]
+        return np.stack(g_weights).reshape(CONTEXT, -1, DIM).sum(axis=1), g_other[NOISE:], len(true) - len(none)
+
+    def _kept(self, name: str, rows: int, columns: int) -> np.ndarray:
+        """The same memory in every step, as fresh pages cost more than what is written to them."""
+        if name not in self.buffers or self.buffers[name].size < rows * columns:
+            self.buffers[name] = np.empty(rows * columns, np.float32)
+        return self.buffers[name][:rows * columns].reshape(rows, columns)
 
     def noise(self) -> list[np.ndarray]:
-        """``NOISE`` classes and ``NOISE`` groups by their frequencies."""
-        return [np.minimum(np.searchsorted(c, self.draw.random_sample(NOISE) * c[-1]), len(c) - 1)
-                for c, _ in self.levels]
+        """``NOISE`` classes and ``NOISE`` groups by their frequencies, one from each equal share of the whole
+        (each as likely as if drawn alone, and less left to chance)."""
+        if not self.drawn:
+            shares = (np.arange(NOISE) + self.draw.random_sample((2, 64, NOISE))) / NOISE
+            self.drawn = list(zip(*(np.minimum(np.searchsorted(c, x * c[-1]), len(c) - 1)
+                                    for x, (c, _) in zip(shares, self.levels))))
+        return self.drawn.pop()
 
     @staticmethod
     def _ascend(p, squares, rows, g) -> None:
-        b = squares[rows] + g * g
+        b = g * g
+        b += squares[rows]
         squares[rows] = b
-        p[rows] += np.float32(RATE) * g / np.sqrt(b)
+        g = g * np.float32(RATE)
+        g /= np.sqrt(b, out=b)
+        p[rows] += g
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    """In place."""
-    with np.errstate(over="ignore"):
-        np.exp(np.negative(x, out=x), out=x)
-    x += 1
-    return np.reciprocal(x, out=x)
+def _sorted(numbers: np.ndarray) -> np.ndarray:
+    """The order of numbers; those of 16 bits are sorted by digits."""
+    return np.argsort(numbers.astype(np.uint16) if numbers.max(initial=0) < 1 << 16 else numbers, kind="stable")
 
 
 def _summed(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct rows, and the sums of their values."""
-    # numbers of 16 bits are sorted by digits
-    order = np.argsort(rows.astype(np.uint16) if rows.max(initial=0) < 1 << 16 else rows, kind="stable")
-    found = rows[order]
-    first = np.concatenate([[True], found[1:] != found[:-1]])
-    at = np.empty(len(rows), np.intp)
-    at[order] = np.cumsum(first) - 1
-    sums = [np.bincount(at, column) for column in np.ascontiguousarray(values.T)]
-    return found[first], np.stack(sums, axis=1).astype(np.float32)
+    """The distinct rows, and the sums of their values: rows that come a few times are added up all
+    together, first to first, only those that come often each for itself."""
+    order = _sorted(rows)
+    ordered = rows[order]
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    times = np.diff(first, append=len(rows))
+    sums = values.take(order[first], axis=0)
+    often = times > OFTEN
+    for k in range(1, OFTEN):
+        some = np.flatnonzero((times > k) & ~often)
+        sums[some] += values.take(order[first[some] + k], axis=0)
+    if often.any():
+        begin = np.cumsum(times[often]) - times[often]
+        sums[often] = np.add.reduceat(values.take(order[np.repeat(often, times)], axis=0), begin, axis=0)
+    return ordered[first], sums

@@ -182,6 +182,65 @@ def test_model_levels_and_gradients():
         assert abs((goal(near[0]) - goal(near[1])) / 2e-4 - got[k]) < 2e-4
 
 
+def test_model_meets_a_place_of_a_run_once():
+    """Runs hold every position of the texts, few more places than targets, and give the gradients of its contexts."""
+    import numpy as np
+
+    from paddock.llm import log_bilinear as B
+
+    draw = np.random.RandomState(5)
+    texts = [draw.randint(0, 40, n) for n in (1, 3, 700, 1, 64, 2000)]
+    runs = B.runs_of(texts, 40)
+    padded = [np.concatenate([np.full(B.CONTEXT, 40), t]) for t in texts]
+    contexts = np.array([t[k - B.CONTEXT:k][::-1] for t in padded for k in range(B.CONTEXT, len(t))])
+    targets = np.concatenate(texts)
+    found = runs[:, B.CONTEXT:]
+    assert np.array_equal(found[found != 40], targets) and runs.size < 1.3 * len(targets)
+    assert B.runs_of([], 40)[:, B.CONTEXT:].min(initial=40) == 40
+
+    frequencies = np.sort(draw.dirichlet(np.ones(40)))[::-1]
+    trainer = B.Trainer(B.Model.fresh(frequencies), frequencies, 1)
+    trainer.model = trainer.model.like(trainer.model.flat() + draw.normal(0, .2, trainer.model.flat().size))
+    logs = trainer.model.log_probabilities(contexts, targets)
+    assert np.allclose(trainer.model.log_probabilities_of(runs), logs, atol=1e-4)
+    noise = trainer.noise()
+    for (rows, g), (others, h) in zip(trainer.gradients(contexts, targets, noise),
+                                      trainer._mean(runs, len(runs), [noise])):
+        assert isinstance(rows, slice) or np.array_equal(rows, others)
+        assert np.allclose(g, h, atol=1e-5)
+    # noise is dealt by share: a frequency is off by less than one draw at either end
+    for drawn, (shares, _) in zip(trainer.noise(), trainer.levels):
+        counts = np.bincount(drawn, minlength=len(shares))
+        assert np.all(np.abs(counts - B.NOISE * np.diff(shares, prepend=0)) < 2)
+
+
+def test_coded_texts_by_blocks(spark, monkeypatch):
+    """What a text gets does not depend on the texts that are looked up with it."""
+    from paddock.llm import lm_scoring as L
+
+    texts = ["a b a", None, "", "C c zz\x1fq qé", " b ", "日本 x" * 40, "new words only"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "key int, text string").coalesce(1)
+    head = [(b"a", 5), (b"b", 4), (L.END, 4), (b"c", 2)]
+    sums = {}
+    for w, c in head:
+        sums[L.ending(w)] = sums.get(L.ending(w), 0) + c
+    lex = L.Lexicon(head, {e: (c, 0) for e, c in sums.items()}, 15, 4)
+    assert [len(x) for x in L._together(["abc", None, "", "d" * L.LETTERS, "e"])] == [4, 1]
+    got = sorted(L.coded(docs, lex).collect())
+    for r, t in zip(got, texts):
+        words = L.tokens_of(t)
+        known = [w for w in words if w in lex.head]
+        assert (r.n_tokens, r.n_head) == (len(words), len(known))
+        assert [bytes(w) for w in r.tail] == [w for w in words if w not in lex.head]
+        assert r.classes == [lex.head[w][0] if w in lex.head else lex.shift + L.ending(w) for w in words]
+        assert abs(r.base - sum(lex.head[w][1] for w in known)) < 1e-12
+        assert abs(r.inside - sum(lex.head[w][2] for w in known)) < 1e-12
+    monkeypatch.setattr(L, "LETTERS", 1)
+    assert sorted(L.coded(docs, lex).collect()) == got
+    counted = {bytes(r.word): (r.ending, r.c) for r in L.token_counts(docs).collect()}
+    assert all(e == L.ending(w) for w, (e, _) in counted.items()) and counted[L.END][1] == len(texts)
+
+
 def test_words_of_a_class_sum_to_one():
     import math
 
