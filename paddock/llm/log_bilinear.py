@@ -5,10 +5,12 @@ weighted by its distance, add up to a vector whose products with every class,
 plus that class's bias, are the class scores.  Classes that follow each other
 are a group, about as many groups as classes in each (:func:`group_size`), and
 groups have vectors of their own.  Training tells the true next class, and
-the true next group, from noise drawn by frequency and shared by a batch, so one
-step is a few matrix products, needs no normalisation and changes only the rows
-it meets.  Scoring normalises exactly on two levels: the group among all groups,
-the class among those of its group, so a token costs the square root of the classes.
+the true next group, from noise drawn by frequency and shared by some targets, so one
+step is a few matrix products, needs no normalisation and changes only the classes
+it meets (and the groups, which are few).  It reads texts in runs of positions, where
+a class is looked up once for all contexts it is in.  Scoring normalises exactly on
+two levels: the group among all groups, the class among those of its group, so a
+token costs the square root of the classes.
 """
 
 from __future__ import annotations
@@ -20,9 +22,11 @@ import numpy as np
 
 CONTEXT, DIM, NOISE, BATCH = 5, 16, 64, 4096
 RATE, FIRST = 0.15, 1e-5
-#: Targets of a run: positions that follow each other, with the context of the first.  Targets that share noise.
+#: Targets of a run, positions that follow each other; targets that share their noise.
 RUN, SHARED = 32, 1024
-HALF, OFTEN = np.float32(0.5), 5
+#: Rows that come more often are summed each for itself.
+OFTEN = 5
+HALF = np.float32(0.5)
 #: How often a group that is not drawn counts as noise, instead of a division by zero.
 NEVER = np.float32(2 ** -20)
 #: Runs that are scored at once, and rows whose scores stay in a processor's cache.
