@@ -121,3 +121,49 @@ def test_prices_by_day_read_the_days_looked_back_on_only(spark):
     read = [line for line in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "dt" in line and "Filter" in line]
     assert any("scalar-subquery" in line and ">=" in line and "<=" in line for line in read), read
     assert prices_by_day(asked.limit(0), log, days=9).count() == 0
+
+
+def test_users_of_many_days_are_shuffled_before_their_rows_are_multiplied(spark, t):
+    """Rows of counts become one per day and one per category inside the tasks that group them."""
+    from paddock.plans import names as N
+    from paddock.plans.users import encoded_favourites
+
+    def above(text, mark):
+        lines = text.splitlines()
+        return "\n".join(lines[:next(i for i, x in enumerate(lines) if "Generate" in x and mark in x)])
+
+    assert "hashpartitioning" not in above(plan(t._counts("2024-01-20", "2024-01-26")), "sequence(")
+    rows = [(d, u, a, u % 3 + k, 1, 2, 3) for d in ("2024-01-20", "2024-01-21") for u in range(5)
+            for a in ("click", "bid") for k in range(4)]
+    counts = spark.createDataFrame(
+        rows, "dt string, user_id int, action string, clue_id int, cnt_0_7 long, cnt_7_14 long, cnt_14_30 long")
+    by = ("dt", "user_id", "action", "cluster")
+    asked = (by, "ratio_0_7", N.action_favourites(), t.codes, ("dt", "user_id"))
+    ratios = t._action_ratio(counts)
+    got = encoded_favourites(ratios, *asked, placed=True)
+    assert "hashpartitioning" not in above(plan(got), "cluster, tag_id")
+    want = sorted(map(str, encoded_favourites(ratios, *asked).collect()))
+    assert len(want) == 10 and sorted(map(str, got.collect())) == want
+
+
+def test_favourites_of_two_ratios_are_those_of_each(spark, monkeypatch):
+    from paddock.operators import encoding
+    from paddock.operators.aggregates import favourite_long, favourites_long
+
+    rows = [(1, "c", "a", 0.5, 0.0), (1, "c", "b", 0.5, 0.0), (1, "d", "a", 0.1, 0.9), (1, "d", "b", 0.2, 0.3), (2, "c", None, 0.4, 1.0)]
+    df = spark.createDataFrame(rows, "user_id int, cluster string, key string, x double, y double")
+    both = favourites_long(df, ["user_id", "cluster"], ["x", "y"])
+    for r in ("x", "y"):
+        want = favourite_long(df, ["user_id", "cluster"], r).collect()
+        got = both.where(both.ratio == r).select("user_id", "cluster", "best_key").collect()
+        assert sorted(map(str, got)) == sorted(map(str, want))
+    # the same codes from a dictionary that is sent to the rows and from one that is not
+    codes = spark.createDataFrame([("c", "b", 7), ("d", "a", 8), ("d", "a", 6), ("d", None, 5)],
+                                  "fea_name string, fea_val string, encode_id int")
+    found = []
+    for most in (encoding.SENT_BYTES, 0):
+        monkeypatch.setattr(encoding, "SENT_BYTES", most)
+        out = encoding.encode_long(both, both.cluster, both.best_key, codes)
+        assert ("Broadcast" in plan(out)) == (most > 0)
+        found.append(sorted(map(str, out.collect())))
+    assert found[0] == found[1] and sorted(r.encode_id for r in out.collect()) == [1, 1, 1, 1, 6, 7]
