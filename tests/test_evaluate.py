@@ -163,3 +163,59 @@ def test_search_memory_is_bounded_by_the_rows_scored_together(spark, monkeypatch
     monkeypatch.setattr(R, "SCORED_ROWS", 30, raising=False)
     got = search(blocks, vectors, 5)
     assert max(shapes) <= 30 and all((a == b).all() for a, b in zip(want[:2], got[:2]))
+
+
+def test_small_blocks_are_searched_in_long_runs_by_as_many_tasks_as_needed(spark, monkeypatch):
+    from paddock.operators import retrieval as R
+
+    draw = np.random.default_rng(3)
+    v = draw.normal(size=(600, 16))
+    v /= np.sqrt((v * v).sum(axis=1))[:, None]
+    rows = [(k, list(map(float, x))) for k, x in enumerate(v)]
+    items = spark.createDataFrame(rows, "clue_id long, item_embedding array<double>").coalesce(1)
+    blocks = ItemBlocks(pack_items(items, "clue_id", "item_embedding", 8))
+    runs, reads, run, read = [], [], blocks.run, blocks._read
+    monkeypatch.setattr(blocks, "run", lambda k: (runs.append(k), run(k))[1])
+    monkeypatch.setattr(blocks, "_read", lambda ks: (reads.append(len(ks)), read(ks))[1])
+    found, ids, made = search(blocks, v, 5)
+    want = np.lexsort([np.broadcast_to(np.arange(600), (600, 600)), -np.round(v @ v.T, 12)], axis=1)[:, :5]
+    assert np.array_equal(ids, want) and made == 600 * 600
+    assert len(blocks.order) > 40 and runs == [0] and sum(reads) == len(blocks.order)
+    # a run ends where norms fall, and where it is long
+    monkeypatch.setattr(R, "RUN_ROWS", 100)
+    assert np.array_equal(search(blocks, v, 5)[1], want) and len(runs) > 6
+    # one file of users is many tasks where there are many products
+    users = items.withColumnsRenamed({"clue_id": "user_id", "item_embedding": "user_embedding"})
+    assert top_items(users, items, 5).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(R, "TASK_PRODUCTS", 60_000)
+    top = top_items(users, items, 5)
+    assert top.rdd.getNumPartitions() == 6
+    assert {(r.user_id, r["rank"]): r.clue_id for r in top.collect()} == {
+        (k, n + 1): want[k, n] for k in range(600) for n in range(5)}
+
+
+def test_scores_that_floats_cannot_tell_apart_are_ranked_exactly(spark):
+    """Items that differ in the tenth digit, vectors of zeros and vectors of any size."""
+    base = [1.0, 2.0, -1.0]
+    rows = [(k, [x + 1e-10 * ((k * 37) % 50) for x in base]) for k in range(50)]
+    rows += [(50 + k, [x * 10.0 ** e for x in base]) for k, e in enumerate((-200, -60, 0, 60, 140))] + [(60, [0.0] * 3), (61, [0.0] * 3)]
+    items = spark.createDataFrame(rows, "clue_id long, item_embedding array<double>")
+    asked = [(1, [1.0, 1.0, 1.0]), (2, [-1e-30, 0.0, 0.0]), (3, [0.0] * 3), (4, [1e-120, 1e-120, 0.0]), (5, [1e120, 0.0, 1e120])]
+    users = spark.createDataFrame(asked, "user_id long, user_embedding array<double>")
+    for size in (4, 1024):
+        got = {}
+        for r in top_items(users, items, 7, block_rows=size).collect():
+            got.setdefault(r.user_id, []).append((r["rank"], r.clue_id))
+        for u, v in asked:
+            scores = [(-np.cumsum(np.array(v) * np.array(x))[-1], k) for k, x in rows]
+            assert [k for _, k in sorted(got[u])] == [k for _, k in sorted(scores)[:7]], (size, u)
+
+
+def test_the_range_of_a_norm_is_the_number_of_splits_below(spark):
+    from paddock.operators.retrieval import _range_of
+
+    splits = [k / 7 for k in range(100)]
+    for some in ([], splits[:1], splits[:31], splits[:32], splits[:65], splits):
+        values = [-1.0, 0.0, 3.3, 100.0, *splits, None]
+        df = spark.createDataFrame([(x,) for x in values], "norm double").withColumn("range", _range_of("norm", some))
+        assert all(r.range == (0 if r.norm is None else sum(s < r.norm for s in some)) for r in df.collect())
